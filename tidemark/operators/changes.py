@@ -221,3 +221,8 @@ def delete_where(table: DataFrame, keys: Sequence[str], predicate: Column, seq)
 def update_where(table: DataFrame, keys: Sequence[str], predicate: Column, values: dict[str, Column], seq) -> DataFrame:
     """Updates for the keys of the rows that satisfy a predicate."""
     return updates(table.filter(predicate).select(*keys, *[v.alias(n) for n, v in values.items()]), keys, seq)
+
+
+def empty_like(df: DataFrame) -> DataFrame:
+    """A table with the columns of a frame and no row yet."""
+    return df.sparkSession.createDataFrame([], df.schema)

@@ -11,7 +11,7 @@ from tidemark.operators.changes import OP, SEQ, SUPPLIED
 
 
 def row_digest(columns: Sequence[str]) -> Column:
-    """A 64 bit + MD5 digest of typed column values; NULL and absent text differ."""
+    """MD5 of the values as JSON; NULL stays visible in it."""
     return F.md5(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}))
 
 

@@ -237,7 +237,7 @@ SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderstatus = 'F' AS _deleted
 """)
 def source_flag(t: Tables):
     o = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return C.apply_changes(o.limit(0), C.flagged_ops(o, F.col("o_orderstatus") == "F", F.lit(1)), ORDER)
+    return C.apply_changes(C.empty_like(o), C.flagged_ops(o, F.col("o_orderstatus") == "F", F.lit(1)), ORDER)
 
 
 @query("dml12_history_mode", """
@@ -283,7 +283,7 @@ def two_step(t: Tables):
     c = t.customer.select("c_custkey", F.base64(F.encode("c_name", "UTF-8")).alias("payload"))
     encoded = c.withColumn("form", F.lit("encoded"))
     decoded = c.select("c_custkey", F.decode(F.unbase64("payload"), "UTF-8").alias("payload"), F.lit("decoded").alias("form"))
-    return C.apply_changes(encoded.limit(0), C.union_changes(C.upserts(encoded, 1), C.upserts(decoded, 2)), ["c_custkey"])
+    return C.apply_changes(C.empty_like(encoded), C.union_changes(C.upserts(encoded, 1), C.upserts(decoded, 2)), ["c_custkey"])
 
 
 @query("dml16_commit_point", MIXED_SQL)
