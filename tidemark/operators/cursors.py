@@ -54,6 +54,13 @@ def time_windows(start: datetime, end: datetime, span: timedelta) -> list[tuple[
     return out
 
 
+def window_number(c: Column, start: datetime, span: timedelta) -> Column:
+    """Number of the (after, up to] window of a time, for reading all windows in one pass."""
+    micros = int(span.total_seconds() * 1_000_000)
+    past = F.unix_micros(c.cast("timestamp")) - F.unix_micros(F.lit(start).cast("timestamp_ntz").cast("timestamp"))
+    return F.floor((past - 1) / micros)
+
+
 def in_window(c: Column, after, up_to) -> Column:
     return (c > F.lit(after)) & (c <= F.lit(up_to))
 

@@ -166,16 +166,13 @@ def narrowest_type(text: Column) -> Column:
 
 
 def inferred_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, type) of text columns from all their values, in one grouped pass over all columns."""
-    rank = {"int": 0, "bigint": 1, "double": 2, "string": 3}
-    long = df.unpivot([], [F.col(c).cast("string").alias(c) for c in columns], "column_name", "value") \
-        if len(columns) > 0 else df
-    kind = narrowest_type(F.col("value"))
-    ranked = F.create_map(*[x for k, v in rank.items() for x in (F.lit(k), F.lit(v))])
-    names = F.array(*[F.lit(k) for k in rank])
-    return (long.filter(F.col("value").isNotNull()).groupBy("column_name")
-            .agg(F.max(ranked[kind]).alias("r"))
-            .select("column_name", F.get(names, F.col("r")).alias("type_name")))
+    """(column, type) of text columns from all their values: one aggregate row over the table, then turned."""
+    names = ["int", "bigint", "double", "string"]
+    rank = F.create_map(*[x for i, k in enumerate(names) for x in (F.lit(k), F.lit(i))])
+    widest = df.agg(*[F.max(rank[narrowest_type(F.col(c).cast("string"))]).alias(c) for c in columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.get(F.array(*map(F.lit, names)), F.col(c)).alias("type_name"))
+                     for c in columns])
+    return widest.select(F.inline(rows))
 
 
 def infer_json(df: DataFrame, column: str) -> str:

@@ -134,7 +134,8 @@ def chunk_bounds(df: DataFrame, key: str, n: int) -> DataFrame:
     chain = pointer.filter(F.col("start") == 0).select("start")
     jump = pointer
     for _ in range(max(1, math.ceil(math.log2(total / n + 2)))):
-        chain = materialise(chain.unionByName(chain.join(jump, "start").select(F.col("stop").alias("start"))), "chunk-chain")
+        reach = F.explode(F.array("start", "stop")).alias("start")
+        chain = chain.join(jump, "start", "left").select(reach).filter(F.col("start").isNotNull())
         ahead = jump.select(F.col("start").alias("stop"), F.col("stop").alias("after"))
         jump = materialise(jump.join(ahead, "stop").select("start", F.col("after").alias("stop")), "chunk-jump")
     pairs = chain.distinct().join(pointer, "start")
