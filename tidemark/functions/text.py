@@ -44,10 +44,11 @@ def mapping_rows(df: DataFrame, column: str, key: str = "key", values: str = "va
     parts = F.transform(F.split(column, r"\|"), lambda p: F.struct(
         strip(F.substring_index(p, ":", 1)).alias("k"),
         F.when(p.contains(":"), strip(F.substring(p, F.instr(p, ":") + 1, F.length(p)))).alias("v")))
-    return (df.select("*", F.posexplode(parts).alias("_pos", "_part")).filter(F.col("_part.v").isNotNull())
-            .groupBy(*df.columns, F.col("_part.k").alias(key))
-            .agg(F.max_by(F.col("_part.v"), F.col("_pos")).alias("_v"))
-            .select(*df.columns, key, F.filter(F.transform(F.split("_v", ","), strip), lambda x: x != "").alias(values)))
+    last = F.filter(parts, lambda p, i: p["v"].isNotNull() & ~F.exists(
+        F.slice(parts, i + 2, F.size(parts)), lambda q: q["v"].isNotNull() & (q["k"] == p["k"])))
+    return (df.select("*", F.explode(last).alias("_part"))
+            .select(*df.columns, F.col("_part.k").alias(key),
+                    F.filter(F.transform(F.split("_part.v", ","), strip), lambda x: x != "").alias(values)))
 
 
 def encode_base64(text: Column) -> Column:

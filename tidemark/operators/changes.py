@@ -4,7 +4,7 @@ A change log has the columns
 
 * ``_seq``: order of the operations; unique per key, and across the log for truncates,
 * ``_op``: ``I`` upsert, ``U`` partial update, ``D`` soft delete, ``T`` truncate,
-* ``_supplied``: names of the columns the operation carries, NULL for all of them,
+* ``_supplied``: names of the columns the operation carries; NULL, or no such column at all, for whole rows,
 * the key columns and the value columns of the table.
 
 The fold is one grouped aggregate (combined before the shuffle, so a hot key
@@ -29,9 +29,10 @@ def _as_col(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def _log(df: DataFrame, op: str, seq, supplied: Sequence[str] | None) -> DataFrame:
-    names = F.lit(None).cast("array<string>") if supplied is None else F.array(*map(F.lit, supplied)).cast("array<string>")
-    return df.withColumns({SEQ: _as_col(seq).cast("bigint"), OP: F.lit(op), SUPPLIED: names})
+def _log(df: DataFrame, op: str, seq, supplied: Sequence[str] | None = None) -> DataFrame:
+    log = df.withColumns({SEQ: _as_col(seq).cast("bigint"), OP: F.lit(op)})
+    # a log without the column carries whole rows only, which folds as one struct instead of one per column
+    return log if supplied is None else log.withColumn(SUPPLIED, F.array(*map(F.lit, supplied)).cast("array<string>"))
 
 
 def upserts(df: DataFrame, seq, supplied: Sequence[str] | None = None) -> DataFrame:
@@ -48,13 +49,13 @@ def updates(df: DataFrame, keys: Sequence[str], seq) -> DataFrame:
 def deletes(df: DataFrame, keys: Sequence[str], seq) -> DataFrame:
     """Set the deleted flag for whole keys; values stay."""
     require_key_columns(df, keys)
-    return _log(df.select(*keys), "D", seq, [])
+    return _log(df.select(*keys), "D", seq)
 
 
 def truncate(spark, key_schema: T.StructType, seq: int) -> DataFrame:
     """One table-wide row: flags every row whose last touch is earlier."""
     empty = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in key_schema.fields])
-    return _log(empty, "T", seq, [])
+    return _log(empty, "T", seq)
 
 
 def union_changes(*logs: DataFrame) -> DataFrame:
@@ -74,8 +75,11 @@ def checked_key(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in key column {name}"))).alias(name)
 
 
-def fold_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: ``_first_i``, ``_last_i``, ``_last_d`` and per column the last supplied (seq, value)."""
+def fold_changes(changes: DataFrame, keys: Sequence[str], truncates: bool = False) -> DataFrame:
+    """One row per key: ``_first_i``, ``_last_i``, ``_last_d`` and per column the last supplied (seq, value).
+
+    With ``truncates`` the table-wide rows stay in, as one row with NULL keys that holds ``_last_t``.
+    """
     require_key_columns(changes, keys)
     values = [c for c in changes.columns if c not in keys and c not in META]
     seq, op = F.col(SEQ), F.col(OP)
@@ -85,18 +89,22 @@ def fold_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.max(F.when(op == "I", seq)).alias("_last_i"),
         F.max(F.when(op == "D", seq)).alias("_last_d"),
     ]
+    if truncates:
+        marks.append(F.max(F.when(op == "T", seq)).alias("_last_t"))
+        groups = [F.when(op != "T", checked_key(k)).alias(k) for k in keys]
+    else:
+        changes, groups = changes.filter(op != "T"), [checked_key(k) for k in keys]
+    names = ["_first_i", "_last_i", "_last_d", *(["_last_t"] if truncates else [])]
     if SUPPLIED in changes.columns:
         supplied = [
             F.max(F.when(writes & (F.col(SUPPLIED).isNull() | F.array_contains(SUPPLIED, c)),
                          F.struct(seq.alias("s"), F.col(c).alias("v")))).alias(f"_x_{c}")
             for c in values
         ]
-        folded = changes.filter(op != "T").groupBy(*map(checked_key, keys)).agg(*marks, *supplied)
-        return folded
+        return changes.groupBy(*groups).agg(*marks, *supplied)
     whole = F.max(F.when(writes, F.struct(seq.alias("s"), *values))).alias("_whole")
-    folded = changes.filter(op != "T").groupBy(*map(checked_key, keys)).agg(*marks, whole)
     last = F.col("_whole")
-    return folded.select(*keys, "_first_i", "_last_i", "_last_d", *[
+    return changes.groupBy(*groups).agg(*marks, whole).select(*keys, *names, *[
         F.when(last.isNotNull(), F.struct(last["s"].alias("s"), last[c].alias("v"))).alias(f"_x_{c}") for c in values
     ])
 
@@ -199,11 +207,7 @@ def flagged_ops(df: DataFrame, flag: Column, seq) -> DataFrame:
                                  F.struct(F.lit(1).alias("n"), F.lit("D").alias("o")))).otherwise(
         F.array(F.struct(F.lit(0).alias("n"), F.lit("I").alias("o"))))
     out = df.withColumn("_step", F.explode(steps))
-    return out.withColumns({
-        SEQ: (_as_col(seq).cast("bigint") * 2 + F.col("_step.n")),
-        OP: F.col("_step.o"),
-        SUPPLIED: F.lit(None).cast("array<string>"),
-    }).drop("_step")
+    return out.withColumns({SEQ: _as_col(seq).cast("bigint") * 2 + F.col("_step.n"), OP: F.col("_step.o")}).drop("_step")
 
 
 def incomplete_keys(changes: DataFrame, keys: Sequence[str]) -> DataFrame:

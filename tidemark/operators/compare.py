@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import OP, SEQ, SUPPLIED
+from tidemark.operators.changes import OP, SEQ
 
 
 def row_digest(columns: Sequence[str]) -> Column:
@@ -40,8 +40,7 @@ def snapshot_changes(previous: DataFrame, current: DataFrame, keys: Sequence[str
     op = (F.when(F.col("_is").isNull(), "D")
           .when(F.col("_was").isNull() | ~F.col("_old").eqNullSafe(F.col("_new")), "I"))
     return (old.join(new, list(keys), "full_outer").withColumn(OP, op).filter(F.col(OP).isNotNull())
-            .select(*keys, *values, F.lit(seq).cast("bigint").alias(SEQ), OP,
-                    F.lit(None).cast("array<string>").alias(SUPPLIED)))
+            .select(*keys, *values, F.lit(seq).cast("bigint").alias(SEQ), OP))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.changes import DELETED, OP, SYNCED, apply_folded, checked_key, fold_changes
+from tidemark.operators.changes import DELETED, SYNCED, apply_folded, checked_key, fold_changes
 from tidemark.operators.schema import cast_to, merged_schema
 from tidemark.session import broadcast_limit, hadoop_path, path_bytes
 
@@ -176,13 +176,14 @@ class KeyedTable:
         if batch and head["batch_ids"].get(batch[0], -1) >= batch[1]:
             return head["version"]
         version = head["version"] + 1
-        log = fold_changes(changes, self.keys)
+        log = fold_changes(changes, self.keys, truncates=True)
         log_path = self._write(self._bucketed(log).repartition(BUCKET), "log", version)
         touched = self._written(log_path)
         log_schema = T.StructType([*log.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        folded = self.spark.read.schema(log_schema).parquet(log_path)
-        cut_row = changes.filter(F.col(OP) == "T").agg(F.max("_seq").alias("cut")).first()
-        cut = cut_row["cut"] if cut_row else None
+        staged = self.spark.read.schema(log_schema).parquet(log_path)
+        # one value from one column of the staged log; the source of the changes is not read again
+        cut = staged.agg(F.max("_last_t").alias("cut")).first()["cut"] if touched else None
+        folded = staged.filter(F.col("_last_t").isNull()).drop("_last_t")
 
         stored = T.StructType.fromJson(head["schema"]) if head["schema"] else T.StructType([])
         incoming = T.StructType([changes.schema[k] for k in self.keys]
@@ -204,7 +205,7 @@ class KeyedTable:
                                      F.col(f.name).cast(T.StructType([T.StructField("s", T.LongType()),
                                                                       T.StructField("v", schema[f.name[3:]].dataType)]))
                                      .alias(f.name) if f.name.startswith("_x_") else F.col(f.name)
-                                     for f in log_schema.fields])
+                                     for f in log_schema.fields if f.name != "_last_t"])
             rows = self._applied(base, folded, cut, run_time, len(touched),
                                  path_bytes(self.spark, log_path) <= broadcast_limit(self.spark) // 4)
             with _co_partitioned(self.spark):
