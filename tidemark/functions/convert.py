@@ -13,7 +13,7 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 def strip(c: Column) -> Column:
     """Without white space at both ends, line ends included."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def lenient_int(c: Column) -> Column:

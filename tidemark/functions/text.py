@@ -68,15 +68,15 @@ def padded_code(text: Column, width: int = 10) -> Column:
 def section(text: Column, heading: str, following: str | None, otherwise: Column, open_length: int = 500,
             longest: int = 1000, shortest: int = 10) -> Column:
     """Text between two headings (any case); with no following heading ``open_length`` characters are read."""
-    at = F.regexp_instr(text, F.lit(f"(?i){heading}:"))
-    rest = F.substring(text, at + len(heading) + 1, F.length(text))
     if following is None:
-        body = F.substring(rest, 1, open_length)
+        body = F.regexp_extract(text, rf"(?is){heading}:(.{{0,{open_length}}})", 1)
     else:
-        stop = F.regexp_instr(rest, F.lit(f"(?i){following}:"))
-        body = F.when(stop > 0, F.substring(rest, F.lit(1), stop - 1)).otherwise(F.substring(rest, 1, open_length))
-    body = strip(body)
-    return F.when((at > 0) & (F.length(body) > shortest), F.substring(body, 1, longest)).otherwise(otherwise)
+        closed = F.regexp_extract(text, rf"(?is){heading}:(.*?)(?={following}:)", 1)
+        body = F.coalesce(F.nullif(closed, F.lit("")), F.regexp_extract(
+            text, rf"(?is){heading}:(?!.*{following}:)(.{{0,{open_length}}})", 1))
+    # through an array, so that the body is found once and not again for its length
+    long_enough = F.filter(F.array(strip(body)), lambda b: F.length(b) > shortest)
+    return F.coalesce(F.substring(F.get(long_enough, F.lit(0)), 1, longest), otherwise)
 
 
 def distinct_ids(text: Column, pattern: str) -> Column:

@@ -114,21 +114,21 @@ def last_truncate(changes: DataFrame) -> Column:
     return changes.filter(F.col(OP) == "T").agg(F.max(SEQ)).scalar()
 
 
-def apply_folded(base: DataFrame, folded: DataFrame, keys: Sequence[str], truncated_at: Column | None = None,
+def apply_folded(base: DataFrame | None, folded: DataFrame, keys: Sequence[str], truncated_at: Column | None = None,
                  run_time: Column | None = None, small_log: bool = False) -> DataFrame:
     """The table after the folded log.
 
     ``small_log`` says that the folded log is known to fit the session's
     broadcast limit: then the base is not shuffled. Otherwise both sides meet in
-    a full outer join on the key.
+    a full outer join on the key. A table without rows yet (None) needs no join.
     """
     cut = F.lit(None).cast("bigint") if truncated_at is None else truncated_at
+    if base is None:
+        missing = {DELETED: F.lit(False), "_hit": F.lit(None).cast("boolean")}
+        return _after(folded.withColumns(missing), keys, [*keys, *missing], folded, cut, run_time)
     if DELETED not in base.columns:
         base = base.withColumn(DELETED, F.lit(False))
     base = base.withColumn("_hit", F.lit(True))
-    changed = [c[3:] for c in folded.columns if c.startswith("_x_")]
-    columns = [c for c in base.columns if c not in keys and c not in (DELETED, SYNCED, "_hit")]
-    columns += [c for c in changed if c not in columns]
     if small_log:
         small = F.broadcast(folded)
         hits = base.select(*keys).join(F.broadcast(folded.select(*keys)), list(keys), "left_semi")
@@ -136,10 +136,19 @@ def apply_folded(base: DataFrame, folded: DataFrame, keys: Sequence[str], trunca
         joined = base.join(small, list(keys), "left").unionByName(fresh, allowMissingColumns=True)
     else:
         joined = base.join(folded, list(keys), "full_outer")
+    return _after(joined, keys, base.columns, folded, cut, run_time)
+
+
+def _after(joined: DataFrame, keys: Sequence[str], base_columns: Sequence[str], folded: DataFrame, cut: Column,
+           run_time: Column | None) -> DataFrame:
+    """Values and flags of the joined rows; ``_hit`` marks rows the base had."""
+    changed = [c[3:] for c in folded.columns if c.startswith("_x_")]
+    columns = [c for c in base_columns if c not in keys and c not in (DELETED, SYNCED, "_hit")]
+    columns += [c for c in changed if c not in columns]
     joined = joined.filter(F.col("_hit") | F.col("_first_i").isNotNull())
 
     def value(name: str) -> Column:
-        old = F.col(name) if name in base.columns else F.lit(None)
+        old = F.col(name) if name in base_columns else F.lit(None)
         if name not in changed:
             return old.alias(name)
         new = F.col(f"_x_{name}")
@@ -151,11 +160,11 @@ def apply_folded(base: DataFrame, folded: DataFrame, keys: Sequence[str], trunca
                .otherwise(F.coalesce(F.col(DELETED), F.lit(False)) | flagged.isNotNull()))
     out = [*keys, *map(value, columns), deleted.alias(DELETED)]
     if run_time is not None:
-        old = F.col(SYNCED) if SYNCED in base.columns else F.lit(None).cast("timestamp_ntz")
+        old = F.col(SYNCED) if SYNCED in base_columns else F.lit(None).cast("timestamp_ntz")
         touched = reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in ("_last_i", "_last_d")]
                          + [F.col(f"_x_{c}").isNotNull() for c in changed] + [cut.isNotNull()])
         out.append(F.when(touched, run_time).otherwise(old).alias(SYNCED))
-    elif SYNCED in base.columns:
+    elif SYNCED in base_columns:
         out.append(F.col(SYNCED))
     return joined.select(*out)
 

@@ -197,10 +197,12 @@ def bridge(df: DataFrame, key: str, links: str, linked: str) -> DataFrame:
 
 
 def edges(df: DataFrame, source: Column, source_type: str, target: Column, target_type: str, relation: str,
-          many: bool = False) -> DataFrame:
-    """Typed edges from a reference column, single or list."""
-    ends = df.select(source.cast("string").alias("from_id"), (F.explode(target) if many else target).alias("_to"))
-    ends = ends.filter(F.col("_to").isNotNull()).withColumn("to_id", F.col("_to").cast("string")).drop("_to")
+          many: bool = False, distinct: bool = False) -> DataFrame:
+    """Typed edges from a reference column, single or list; repeated references give one edge when ``distinct``."""
+    ends = df.select(source.alias("_from"), (F.explode(target) if many else target).alias("_to")).filter(F.col("_to").isNotNull())
+    if distinct:
+        ends = ends.distinct()  # on the narrow reference pair, before any text is built
+    ends = ends.select(F.col("_from").cast("string").alias("from_id"), F.col("_to").cast("string").alias("to_id"))
     return ends.select(F.concat_ws("_", "from_id", F.lit(relation), "to_id").alias("edge_id"), "from_id",
                        F.lit(source_type).alias("from_type"), "to_id", F.lit(target_type).alias("to_type"),
                        F.lit(relation).alias("relation"))

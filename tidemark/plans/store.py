@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,11 +158,11 @@ class KeyedTable:
             if old != new and not (isinstance(old, whole) and isinstance(new, whole)):
                 raise ValueError(f"key column {k} changes from {old.simpleString()} to {new.simpleString()}")
 
-    def _applied(self, base: DataFrame, folded: DataFrame, cut, run_time, touched: int, small: bool) -> DataFrame:
+    def _applied(self, base: DataFrame | None, folded: DataFrame, cut, run_time, touched: int, small: bool) -> DataFrame:
         """The touched buckets after the log; each bucket ends up in one task unless the log is small."""
         keys = [BUCKET, *self.keys]
         cut = None if cut is None else F.lit(cut)
-        if not small:
+        if base is not None and not small:
             base, folded = (side.repartition(2 * touched, BUCKET) for side in (base, folded))
         return apply_folded(base, folded, keys, cut, run_time, small_log=small)
 
@@ -177,12 +177,12 @@ class KeyedTable:
             return head["version"]
         version = head["version"] + 1
         log = fold_changes(changes, self.keys, truncates=True)
-        log_path = self._write(self._bucketed(log).repartition(BUCKET), "log", version)
+        seen = Observation()
+        log_path = self._write(self._bucketed(log.observe(seen, F.max("_last_t").alias("cut"))).repartition(BUCKET), "log", version)
         touched = self._written(log_path)
+        cut = seen.get["cut"]  # measured by the write itself; the changes are not read again
         log_schema = T.StructType([*log.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         staged = self.spark.read.schema(log_schema).parquet(log_path)
-        # one value from one column of the staged log; the source of the changes is not read again
-        cut = staged.agg(F.max("_last_t").alias("cut")).first()["cut"] if touched else None
         folded = staged.filter(F.col("_last_t").isNull()).drop("_last_t")
 
         stored = T.StructType.fromJson(head["schema"]) if head["schema"] else T.StructType([])
@@ -198,8 +198,7 @@ class KeyedTable:
             touched = sorted(set(touched) | set(head["buckets"]))
         buckets = dict(head["buckets"])
         if touched:
-            base = cast_to(self._read(head, touched), schema) if head["schema"] else self.spark.createDataFrame(
-                [], T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
+            base = cast_to(self._read(head, touched), schema) if head["buckets"] else None
             folded = folded.select(*[F.col(f.name).cast(schema[f.name].dataType).alias(f.name)
                                      if f.name in self.keys else
                                      F.col(f.name).cast(T.StructType([T.StructField("s", T.LongType()),

@@ -218,7 +218,7 @@ def bridge(t: Tables):
 
 def order_edges(t: Tables):
     single = nested.edges(t.orders, F.col("o_orderkey"), "order", F.col("o_custkey"), "customer", "placed_by")
-    many = nested.edges(t.lineitem, F.col("l_orderkey"), "order", F.array("l_partkey", "l_suppkey"), "item", "contains", many=True).distinct()
+    many = nested.edges(t.lineitem, F.col("l_orderkey"), "order", F.array("l_partkey", "l_suppkey"), "item", "contains", many=True, distinct=True)
     own = nested.edges(t.orders, F.col("o_orderkey"), "order", F.when(F.col("o_orderkey") > 0, F.col("o_orderkey") - 1), "order", "follows")
     return single.unionByName(many).unionByName(own)
 
