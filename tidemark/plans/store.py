@@ -2,8 +2,8 @@
 
 Layout below the table path::
 
-    data/v=<commit>/_bucket=<b>/*.parquet    rows of one bucket as of one commit
-    log/v=<commit>/_bucket=<b>/*.parquet     the folded changes of a commit
+    data/_version=<commit>/_bucket=<b>/*.parquet    rows of one bucket as of one commit
+    log/_version=<commit>/_bucket=<b>/*.parquet     the folded changes of a commit
     commits/<commit>.json                    which commit holds each bucket, schema, state, batch id
 
 A commit writes only the buckets its changes touch and becomes visible by one
@@ -98,11 +98,11 @@ class KeyedTable:
 
     def _read(self, head: dict, buckets: Sequence[str]) -> DataFrame:
         schema = T.StructType.fromJson(head["schema"])
-        paths = [f"{self.path}/data/v={head['buckets'][b]}/{BUCKET}={b}" for b in buckets if b in head["buckets"]]
+        paths = [f"{self.path}/data/_version={head['buckets'][b]}/{BUCKET}={b}" for b in buckets if b in head["buckets"]]
         if not paths:
             return self.spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
         return (self.spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
-                .option("basePath", f"{self.path}/data").parquet(*paths).drop("v"))
+                .option("basePath", f"{self.path}/data").parquet(*paths).drop("_version"))
 
     def read(self) -> DataFrame:
         """All rows, with the deleted flag."""
@@ -123,7 +123,7 @@ class KeyedTable:
 
     def _write(self, df: DataFrame, kind: str, version: int) -> str:
         # a rerun of a lost commit replaces its own unread folder
-        target = f"{self.path}/{kind}/v={version}"
+        target = f"{self.path}/{kind}/_version={version}"
         df.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
         return target
 
