@@ -63,8 +63,11 @@ def test_running_sum_and_pages(spark):
 def test_first_rows_by_position_equals_limit(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("g"))
     small = rows(windows.first_rows(df, ["g", "id"], 300))
-    large = rows(windows.number_rows(df, ["g", "id"], "_n").filter("_n <= 300").drop("_n"))
-    assert small == large
+    assert small == rows(windows.number_rows(df, ["g", "id"], "_n").filter("_n <= 300").drop("_n"))
+    assert small == rows(windows.first_rows(df, ["g", "id"], 300, in_memory=10))
+    assert windows.first_rows(df, ["g", "id"], 5000, in_memory=10).count() == 1000
+    text = df.withColumn("g", F.col("g").cast("string"))
+    assert len(small) == 300 and rows(windows.first_rows(text, ["g", "id"], 300, in_memory=10).select("id")) == sorted([(r[0],) for r in small], key=repr)
 
 
 def test_valid_to_over_a_hot_key(spark):

@@ -1,8 +1,8 @@
 """Order-dependent operators that scale: numbering, chunks, versions, prefixes.
 
 Nothing here runs an unpartitioned window over table rows. Global positions use
-two passes: the rows are written out range-partitioned, each partition is
-counted, and the counts before a partition are added to positions inside it.
+two passes: the rows are written out range-partitioned and sorted, each partition
+is counted, and the counts before a partition are added to positions inside it.
 """
 
 from __future__ import annotations
@@ -12,36 +12,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import materialise
 
 
 def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The rows, written out range-partitioned by the order, with their partition number ``_part``."""
-    spark = df.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    return materialise(ranged, "ranged")
+    """The rows, written out range-partitioned and sorted by the order, each with its place ``_id``.
 
+    The place holds the partition number in the upper bits and the position inside the partition below. Writing it
+    with the rows fixes it: a task that runs again after a lost executor cannot move rows between partitions.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(ranged.withColumn("_id", F.monotonically_increasing_id()), "ranged")
 
-def running_sum(df: DataFrame, order: Sequence[str], weight: Column | None = None, name: str = "running") -> DataFrame:
-    """Inclusive running sum of a weight (1 for none) in a total order over all rows."""
-    stored = _ranged(df.withColumn("_w", (F.lit(1) if weight is None else weight).cast("bigint")), order)
-    # one row per partition, at most shuffle.partitions of them
-    totals = sorted((r["_part"], r["s"]) for r in stored.groupBy("_part").agg(F.sum("_w").alias("s")).collect())
+
+_POSITION_BITS = 33
+
+
+def _part() -> Column:
+    return F.shiftright("_id", _POSITION_BITS)
+
+
+def _offsets(stored: DataFrame, weight: Column) -> DataFrame:
+    """Sum of the weights in all partitions before each one: one row per shuffle partition."""
+    sums = stored.groupBy(_part().alias("_part")).agg(F.sum(weight).alias("s")).collect()
     before, rows = 0, []
-    for part, total in totals:
+    for part, total in sorted((r["_part"], r["s"]) for r in sums):
         rows.append((part, before))
         before += total
-    offsets = df.sparkSession.createDataFrame(rows, "_part int, _before bigint")
+    return F.broadcast(stored.sparkSession.createDataFrame(rows, "_part bigint, _before bigint"))
+
+
+def running_sum(df: DataFrame, order: Sequence[str], weight: Column, name: str = "running") -> DataFrame:
+    """Inclusive running sum of a weight in a total order over all rows."""
+    stored = _ranged(df.withColumn("_w", weight.cast("bigint")), order).withColumn("_part", _part())
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (stored.join(F.broadcast(offsets), "_part")
-            .withColumn(name, F.sum("_w").over(inside) + F.col("_before")).drop("_part", "_before", "_w"))
+    return (stored.withColumn("_inside", F.sum("_w").over(inside)).join(_offsets(stored, F.col("_w")), "_part")
+            .withColumn(name, F.col("_inside") + F.col("_before")).drop("_part", "_id", "_inside", "_before", "_w"))
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """Positions from 1 in a total order; ``order`` must be unique."""
-    return running_sum(df, order, name=name)
+    """Positions from 1 in a total order; ``order`` must be unique. One shuffle, no window."""
+    stored = _ranged(df, order)
+    place = F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    return (stored.withColumn("_part", _part()).join(_offsets(stored, F.lit(1)), "_part")
+            .withColumn(name, place + F.col("_before") + 1).drop("_part", "_id", "_before"))
 
 
 def pages(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
@@ -51,10 +67,25 @@ def pages(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
             .withColumn("page_index", (F.col("_n") - 1) % size).drop("_n"))
 
 
-def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first n rows in an order; large n goes by positions instead of one sorted heap."""
-    if n <= 100_000:
+def first_rows(df: DataFrame, order: Sequence[str], n: int, in_memory: int = 1000) -> DataFrame:
+    """The first n rows in an order (unique for a fixed result).
+
+    Small n is a top-n heap per task. For larger n the leading column is cut first at an estimated quantile that is
+    checked by counting, and only the rows below the cut are numbered.
+    """
+    if n <= in_memory:
         return df.orderBy(*order).limit(n)
+    lead = order[0]
+    if isinstance(df.schema[lead].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        accuracy = 10_000
+        total = df.count()
+        if total <= n:
+            return df
+        share = min(1.0, n / total + 2 / accuracy)
+        cut = df.agg(F.percentile_approx(lead, share, accuracy).alias("c")).first()["c"]
+        below = df.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cut)))
+        if below.count() >= n:
+            df = below
     return number_rows(df, order, "_n").filter(F.col("_n") <= n).drop("_n")
 
 
@@ -82,17 +113,17 @@ def with_valid_to(df: DataFrame, keys: Sequence[str], time: str, name: str = "va
     Rows are cut by (key, time) ranges, so the versions of one key may span tasks; the first row of the following
     range closes a key that runs over a cut.
     """
-    stored = _ranged(df, [*keys, time])
+    stored = _ranged(df, [*keys, time]).withColumn("_part", _part())
     firsts = stored.groupBy("_part").agg(F.min(F.struct(*keys, time)).alias("first"))
     # one row per partition, at most shuffle.partitions of them
     parts = sorted(r["_part"] for r in firsts.select("_part").collect())
-    order = df.sparkSession.createDataFrame(list(zip(parts, parts[1:], strict=False)), "_part int, _next int")
+    order = df.sparkSession.createDataFrame(list(zip(parts, parts[1:], strict=False)), "_part bigint, _next bigint")
     following = (order.join(firsts.select(F.col("_part").alias("_next"), "first"), "_next")
                  .select("_part", F.col("first").alias("_first")))
     inside = F.lead(time).over(Window.partitionBy("_part", *keys).orderBy(time))
     same = F.struct(*keys) == F.struct(*[F.col("_first")[k].alias(k) for k in keys])
     return (stored.join(F.broadcast(following), "_part", "left")
-            .withColumn(name, F.coalesce(inside, F.when(same, F.col("_first")[time]))).drop("_part", "_first"))
+            .withColumn(name, F.coalesce(inside, F.when(same, F.col("_first")[time]))).drop("_part", "_id", "_first"))
 
 
 def success_prefix(df: DataFrame, key: str, failed: Column) -> DataFrame:
