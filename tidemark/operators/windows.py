@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,19 +133,42 @@ def success_prefix(df: DataFrame, key: str, failed: Column) -> DataFrame:
     return df.filter(bound.isNull() | (F.col(key) < bound))
 
 
-def chunk_bounds(df: DataFrame, key: str, n: int) -> DataFrame:
+def _leave(rows: pd.DataFrame) -> pd.DataFrame:
+    """For each pointer of a block: the first value on its chain that lies outside the block."""
+    rows = rows.sort_values("start", ascending=False)
+    leave: dict[int, int] = {}
+    for start, stop in zip(rows["start"], rows["stop"], strict=True):
+        leave[start] = leave.get(stop, stop)
+    return pd.DataFrame({"start": list(leave.keys()), "stop": list(leave.values())})
+
+
+def _follow(rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+    """The pointers of a block that the chain uses from where it enters the block."""
+    ahead, used = dict(zip(rows["start"], rows["stop"], strict=True)), []
+    for at in entries["start"]:
+        while at in ahead:
+            used.append((at, ahead[at]))
+            at = ahead[at]
+    return pd.DataFrame(used, columns=["start", "stop"])
+
+
+def chunk_bounds(df: DataFrame, key: str, n: int, span: int = 1_000_000) -> DataFrame:
     """Greedy chunks over a cursor column: (lower exclusive, upper inclusive, rows).
 
     Each chunk ends at the value of its n-th row and holds all rows of that value. Every distinct value gets a
-    pointer to the value that would end a chunk starting after it; the chain of pointers from the start is then
-    followed by doubling, so it takes log2(chunks) joins over the distinct values and no single task sees them all.
+    pointer to the value that would end a chunk starting after it. The chain of pointers from the start is followed
+    inside blocks of ``span`` row positions (so at most that many values per group) and from block to block by
+    doubling, which takes log2(blocks) joins; no task sees all values.
     """
     counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     values = materialise(running_sum(counted, [key], F.col("_n"), "c").select(F.col(key).alias("v"), "c", "_n"), "chunk-values")
     total = values.agg(F.max("c")).first()[0]
     if total is None:
         return values.select(F.col("v").alias("lower"), F.col("v").alias("upper"), F.col("c").alias("rows"))
-    block = lambda x: F.floor((x - 1) / n)
+    span = max(span, n)
+
+    def block(x: Column) -> Column:
+        return F.floor((x - 1) / n)
 
     starts = values.select("c").unionByName(df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("c")))
     targets = starts.select(block(F.col("c") + n).alias("b"), (F.col("c") + n).alias("pos"), F.col("c").alias("start"))
@@ -161,15 +185,18 @@ def chunk_bounds(df: DataFrame, key: str, n: int) -> DataFrame:
     pointer = (near.join(beyond, "b", "left")
                .select("start", F.coalesce("inside", "outside", F.when(F.col("start") < total, F.lit(total))).alias("stop"))
                .filter(F.col("stop").isNotNull()))
-    pointer = materialise(pointer, "chunk-next")
-    chain = pointer.filter(F.col("start") == 0).select("start")
-    jump = pointer
-    for _ in range(max(1, math.ceil(math.log2(total / n + 2)))):
-        reach = F.explode(F.array("start", "stop")).alias("start")
-        chain = chain.join(jump, "start", "left").select(reach).filter(F.col("start").isNotNull())
-        ahead = jump.select(F.col("start").alias("stop"), F.col("stop").alias("after"))
-        jump = materialise(jump.join(ahead, "stop").select("start", F.col("after").alias("stop")), "chunk-jump")
-    pairs = chain.distinct().join(pointer, "start")
+    pointer = materialise(pointer.withColumn("block", F.floor(F.col("start") / span)), "chunk-next")
+
+    entries = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("start"))
+    if total > span:
+        jump = materialise(pointer.groupBy("block").applyInPandas(_leave, "start bigint, stop bigint"), "chunk-leave")
+        for _ in range(max(1, math.ceil(math.log2(total / span + 2)))):
+            reach = F.explode(F.array("start", "stop")).alias("start")
+            entries = entries.join(jump, "start", "left").select(reach).filter(F.col("start").isNotNull())
+            ahead = jump.select(F.col("start").alias("stop"), F.col("stop").alias("after"))
+            jump = materialise(jump.join(ahead, "stop").select("start", F.col("after").alias("stop")), "chunk-jump")
+    entries = entries.distinct().withColumn("block", F.floor(F.col("start") / span))
+    pairs = pointer.groupBy("block").cogroup(entries.groupBy("block")).applyInPandas(_follow, "start bigint, stop bigint")
     upper = values.select(F.col("c").alias("stop"), F.col("v").alias("upper"))
     lower = values.select(F.col("c").alias("start"), F.col("v").alias("lower"))
     return (pairs.join(upper, "stop").join(lower, "start", "left")
