@@ -21,9 +21,13 @@ def first_line_match(text: Column, pattern: str) -> Column:
     return F.get(F.filter(captures, lambda v: v != ""), F.lit(0))
 
 
+# Fixed value: how a repaired version is written in a description.
+FIXED_VERSION = r"(?i)fixed in\s+(?:version\s+)?([0-9.]+(?:\s*(?:or|and)\s*[0-9.]+)*)"
+
+
 def fixed_version(text: Column, longest: int = 100) -> Column:
     """Version text after ``fixed in [version]``, any case, cut to a length; none gives NULL."""
-    found = F.regexp_extract(text, r"(?i)fixed in\s+(?:version\s+)?([0-9.]+(?:\s*(?:or|and)\s*[0-9.]+)*)", 1)
+    found = F.regexp_extract(text, FIXED_VERSION, 1)
     return F.nullif(F.substring(strip(found), 1, longest), F.lit(""))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import with_row_id
 from tidemark.operators import changes as C
 from tidemark.operators import compare
 from tidemark.plans.store import KeyedTable
@@ -78,6 +79,16 @@ def upsert(t: Tables):
     return table.read()
 
 
+@query("dml01b_upsert_lineitem", """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + CASE WHEN l_suppkey % 10 = 0 THEN 100 ELSE 0 END AS l_quantity, false AS _deleted FROM lineitem
+""")
+def upsert_lineitem(t: Tables):
+    """A tenth of lineitem changes; rows are found by an id over all values of the source row."""
+    rows = with_row_id(t.lineitem).select("_row_id", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    changed = rows.filter(every("l_suppkey", 10)).withColumn("l_quantity", F.col("l_quantity") + 100)
+    return C.apply_changes(rows, C.upserts(changed, 1), ["_row_id"]).drop("_row_id")
+
+
 @query("dml02_partial_update", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
   CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 10 ELSE o_totalprice END AS o_totalprice, false AS _deleted

@@ -362,6 +362,17 @@ def row_id(t: Tables):
     return K.with_row_id(t.events).select("event_id", "_row_id")
 
 
+@query("hsh02b_row_id_lineitem", """
+SELECT l_orderkey, l_linenumber, sha1('{"l_discount": ' || l_discount::VARCHAR || ', "l_extendedprice": ' || l_extendedprice::VARCHAR || ', "l_linenumber": ' || l_linenumber ||
+  ', "l_linestatus": "' || l_linestatus || '", "l_orderkey": ' || l_orderkey || ', "l_partkey": ' || l_partkey || ', "l_quantity": ' || l_quantity::VARCHAR ||
+  ', "l_returnflag": "' || l_returnflag || '", "l_shipdate": "' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') || '", "l_suppkey": ' || l_suppkey ||
+  ', "l_tax": ' || l_tax::VARCHAR || '}') AS _row_id FROM lineitem
+""")
+def row_id_lineitem(t: Tables):
+    """lineitem has no unique key, so its rows get an id from all their values."""
+    return K.with_row_id(t.lineitem).select("l_orderkey", "l_linenumber", "_row_id")
+
+
 @query("hsh03_id_fallback", r"""
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'a' || doc_id WHEN doc_id % 3 = 1 THEN 'b' || doc_id
   ELSE sha256('{"_id": null, "id": null, "lang": "' || lang || '", "n_chars": ' || n_chars || ', "source": "' || source || '"}') END AS document_id
