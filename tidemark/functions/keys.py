@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,7 +54,9 @@ def value_text(c: Column, kind: T.DataType) -> Column:
     elif isinstance(kind, T.IntegralType):
         text = c.cast("string")
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        text = json_string(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        text = F.date_format(c, "'\"'yyyy-MM-dd'T'HH:mm:ss.SSSSSS'\"'")
+    elif isinstance(kind, T.DateType):
+        text = F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
     elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         text = F.to_json(c, {"ignoreNullFields": "false"})
     elif isinstance(kind, T.BinaryType):
@@ -65,11 +68,13 @@ def value_text(c: Column, kind: T.DataType) -> Column:
 
 def row_json(schema: T.StructType, columns: Sequence[str], present: Mapping[str, Column] | None = None) -> Column:
     """Key-sorted JSON text of a row; ``present`` says per column where the key exists at all."""
-    parts = []
-    for name in sorted(columns):
-        part = F.concat(json_string(F.lit(name)), F.lit(": "), value_text(F.col(name), schema[name].dataType))
-        parts.append(F.when(present[name], part) if present and name in present else part)
-    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+    texts = {n: value_text(F.col(n), schema[n].dataType) for n in sorted(columns)}
+    names = {n: F.lit(json.dumps(n) + ": ") for n in texts}
+    if present:
+        parts = [F.when(present.get(n, F.lit(True)), F.concat(names[n], texts[n])) for n in texts]
+        return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+    pieces = [p for i, n in enumerate(texts) for p in (F.lit(", " if i else "{"), names[n], texts[n])]
+    return F.concat(*pieces, F.lit("}"))
 
 
 def row_hash(df: DataFrame, columns: Sequence[str] | None = None, present: Mapping[str, Column] | None = None) -> Column:

@@ -70,9 +70,15 @@ def require_key_columns(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"operation lacks key columns {missing}; the full key {list(keys)} is needed")
 
 
-def checked_key(name: str) -> Column:
-    """The key column; a NULL in it fails the job."""
-    return F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in key column {name}"))).alias(name)
+def with_full_keys(df: DataFrame, keys: Sequence[str], exempt: Column | None = None) -> DataFrame:
+    """The rows as they are; a NULL in a key column fails the job.
+
+    The test is a filter, so the key columns stay plain and an existing partitioning by them is still of use.
+    """
+    for k in keys:
+        bad = F.col(k).isNull() if exempt is None else F.col(k).isNull() & ~exempt
+        df = df.filter(F.when(bad, F.raise_error(F.lit(f"NULL in key column {k}")).cast("boolean")).otherwise(F.lit(True)))
+    return df
 
 
 def fold_changes(changes: DataFrame, keys: Sequence[str], truncates: bool = False) -> DataFrame:
@@ -91,9 +97,9 @@ def fold_changes(changes: DataFrame, keys: Sequence[str], truncates: bool = Fals
     ]
     if truncates:
         marks.append(F.max(F.when(op == "T", seq)).alias("_last_t"))
-        groups = [F.when(op != "T", checked_key(k)).alias(k) for k in keys]
+        changes = with_full_keys(changes, keys, exempt=op == "T")
     else:
-        changes, groups = changes.filter(op != "T"), [checked_key(k) for k in keys]
+        changes = with_full_keys(changes.filter(op != "T"), keys)
     names = ["_first_i", "_last_i", "_last_d", *(["_last_t"] if truncates else [])]
     if SUPPLIED in changes.columns:
         supplied = [
@@ -101,10 +107,10 @@ def fold_changes(changes: DataFrame, keys: Sequence[str], truncates: bool = Fals
                          F.struct(seq.alias("s"), F.col(c).alias("v")))).alias(f"_x_{c}")
             for c in values
         ]
-        return changes.groupBy(*groups).agg(*marks, *supplied)
+        return changes.groupBy(*keys).agg(*marks, *supplied)
     whole = F.max(F.when(writes, F.struct(seq.alias("s"), *values))).alias("_whole")
     last = F.col("_whole")
-    return changes.groupBy(*groups).agg(*marks, whole).select(*keys, *names, *[
+    return changes.groupBy(*keys).agg(*marks, whole).select(*keys, *names, *[
         F.when(last.isNotNull(), F.struct(last["s"].alias("s"), last[c].alias("v"))).alias(f"_x_{c}") for c in values
     ])
 
@@ -188,7 +194,7 @@ def replay_log(base: DataFrame, log: DataFrame, keys: Sequence[str], code: str,
     known = log.filter(F.col(code).isin(*codes))
     order = F.struct(*position)
     writing = [k for k, v in codes.items() if v == "I"]
-    last = known.groupBy(*map(checked_key, keys)).agg(
+    last = with_full_keys(known, keys).groupBy(*keys).agg(
         F.max_by(F.col(code), order).alias("_code"),
         F.max(F.when(F.col(code).isin(*writing), F.struct(order.alias("p"), F.struct(*values).alias("v")))).alias("_row"))
     both = base.withColumn("_hit", F.lit(True)).join(last, list(keys), "full_outer")

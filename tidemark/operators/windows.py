@@ -35,30 +35,35 @@ def _part() -> Column:
     return F.shiftright("_id", _POSITION_BITS)
 
 
-def _offsets(stored: DataFrame, weight: Column) -> DataFrame:
-    """Sum of the weights in all partitions before each one: one row per shuffle partition."""
+def _offsets(stored: DataFrame, weight: Column) -> tuple[DataFrame, int]:
+    """Sum of the weights in all partitions before each one (one row per shuffle partition), and the sum of all."""
     sums = stored.groupBy(_part().alias("_part")).agg(F.sum(weight).alias("s")).collect()
     before, rows = 0, []
     for part, total in sorted((r["_part"], r["s"]) for r in sums):
         rows.append((part, before))
         before += total
-    return F.broadcast(stored.sparkSession.createDataFrame(rows, "_part bigint, _before bigint"))
+    return F.broadcast(stored.sparkSession.createDataFrame(rows, "_part bigint, _before bigint")), before
 
 
 def running_sum(df: DataFrame, order: Sequence[str], weight: Column, name: str = "running") -> DataFrame:
     """Inclusive running sum of a weight in a total order over all rows."""
     stored = _ranged(df.withColumn("_w", weight.cast("bigint")), order).withColumn("_part", _part())
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (stored.withColumn("_inside", F.sum("_w").over(inside)).join(_offsets(stored, F.col("_w")), "_part")
+    return (stored.withColumn("_inside", F.sum("_w").over(inside)).join(_offsets(stored, F.col("_w"))[0], "_part")
             .withColumn(name, F.col("_inside") + F.col("_before")).drop("_part", "_id", "_inside", "_before", "_w"))
 
 
-def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """Positions from 1 in a total order; ``order`` must be unique. One shuffle, no window."""
+def _numbered(df: DataFrame, order: Sequence[str], name: str) -> tuple[DataFrame, int]:
     stored = _ranged(df, order)
+    offsets, total = _offsets(stored, F.lit(1))
     place = F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return (stored.withColumn("_part", _part()).join(_offsets(stored, F.lit(1)), "_part")
-            .withColumn(name, place + F.col("_before") + 1).drop("_part", "_id", "_before"))
+    return (stored.withColumn("_part", _part()).join(offsets, "_part")
+            .withColumn(name, place + F.col("_before") + 1).drop("_part", "_id", "_before")), total
+
+
+def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
+    """Positions from 1 in a total order; ``order`` must be unique. One shuffle, no window."""
+    return _numbered(df, order, name)[0]
 
 
 def pages(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
@@ -68,26 +73,27 @@ def pages(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
             .withColumn("page_index", (F.col("_n") - 1) % size).drop("_n"))
 
 
-def first_rows(df: DataFrame, order: Sequence[str], n: int, in_memory: int = 1000) -> DataFrame:
+def first_rows(df: DataFrame, order: Sequence[str], n: int, in_memory: int = 10_000) -> DataFrame:
     """The first n rows in an order (unique for a fixed result).
 
-    Small n is a top-n heap per task. For larger n the leading column is cut first at an estimated quantile that is
-    checked by counting, and only the rows below the cut are numbered.
+    Small n is a top-n heap per task. For larger n the leading column is cut first at an estimated quantile, and only
+    the rows below the cut are numbered; a cut that turns out too low falls back to all rows.
     """
     if n <= in_memory:
         return df.orderBy(*order).limit(n)
-    lead = order[0]
+    lead, below = order[0], None
     if isinstance(df.schema[lead].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        accuracy = 10_000
-        total = df.count()
-        if total <= n:
+        shares = [i / 100 for i in range(1, 101)]
+        row = df.agg(F.count("*").alias("n"), F.percentile_approx(lead, shares, 10_000).alias("q")).first()
+        if row["n"] <= n:
             return df
-        share = min(1.0, n / total + 2 / accuracy)
-        cut = df.agg(F.percentile_approx(lead, share, accuracy).alias("c")).first()["c"]
-        below = df.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cut)))
-        if below.count() >= n:
-            df = below
-    return number_rows(df, order, "_n").filter(F.col("_n") <= n).drop("_n")
+        cut = next((q for share, q in zip(shares, row["q"] or [], strict=False) if share >= n / row["n"] + 0.001), None)
+        if cut is not None:
+            below = df.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cut)))
+    numbered, total = _numbered(below if below is not None else df, order, "_n")
+    if below is not None and total < n:
+        numbered, total = _numbered(df, order, "_n")
+    return numbered.filter(F.col("_n") <= n).drop("_n")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

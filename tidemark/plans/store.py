@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.changes import DELETED, SYNCED, apply_folded, checked_key, fold_changes
+from tidemark.operators.changes import DELETED, SYNCED, apply_folded, fold_changes, with_full_keys
 from tidemark.operators.schema import cast_to, merged_schema
 from tidemark.session import broadcast_limit, hadoop_path, path_bytes
 
@@ -139,7 +139,7 @@ class KeyedTable:
         """First load: every row active."""
         if self.head() is not None:
             raise ValueError(f"table {self.path} already has commits")
-        rows = df.select(*map(checked_key, self.keys), *[c for c in df.columns if c not in self.keys])
+        rows = with_full_keys(df, self.keys)
         if DELETED not in rows.columns:
             rows = rows.withColumn(DELETED, F.lit(False))
         if run_time is not None:
