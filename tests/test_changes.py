@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators import changes as C
+from tidemark.plans import store
 from tidemark.plans.store import KeyedTable
-from tidemark.session import work_dir
+from tidemark.session import broadcast_limit, work_dir
 
 PRODUCT = "product_id int, name string, category string, price double, in_stock boolean"
 
@@ -166,8 +167,8 @@ def test_random_logs_with_truncates(spark):
         assert rows(table.read().select("c", "k", "a", "b", "_deleted")) == expected
 
 
-@pytest.mark.parametrize("small_log", [True, False])
-def test_both_join_forms(spark, small_log):
+@pytest.mark.parametrize("log_size", ["broadcast", "hash", "unknown"])
+def test_join_forms(spark, log_size):
     rng = random.Random(3)
     base, ops = {}, []
     for case in range(60):
@@ -175,29 +176,40 @@ def test_both_join_forms(spark, small_log):
         base.update(b)
         ops += o
     base_df, log = frames(spark, base, ops, 4)
-    out = C.apply_folded(base_df, C.fold_changes(log, ["c", "k"]), ["c", "k"], small_log=small_log)
+    out = C.apply_folded(base_df, C.fold_changes(log, ["c", "k"]), ["c", "k"], log_size=log_size)
     assert rows(out) == model_rows(model(base, ops))
 
 
-def test_large_commit_path(spark):
-    """The commit that shuffles both sides gives what the broadcast one gives."""
-    name = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(name)
+@pytest.mark.parametrize("log_size", ["broadcast", "hash", "unknown"])
+def test_commit_paths(spark, monkeypatch, log_size):
+    """Whatever the measured size of the log, the table is the same."""
+    monkeypatch.setattr(KeyedTable, "_log_size", lambda *a: log_size)
     base = spark.range(500).select(F.col("id").alias("k"), F.lit("old").alias("v"))
     log = C.union_changes(C.upserts(spark.range(400, 700).select(F.col("id").alias("k"), F.lit("new").alias("v")), 1),
                           C.deletes(spark.range(10).select(F.col("id").alias("k")), ["k"], 2))
-    results = []
-    for limit in (before, "-1"):
-        spark.conf.set(name, limit)
-        try:
-            table = KeyedTable(spark, work_dir(spark, "paths"), ["k"], buckets=5)
-            table.load(base)
-            table.commit(log)
-            results.append(rows(table.read()))
-        finally:
-            spark.conf.set(name, before)
-    assert results[0] == results[1]
-    assert len(results[0]) == 700 and sum(r[2] for r in results[0]) == 10
+    table = KeyedTable(spark, work_dir(spark, "paths"), ["k"], buckets=5)
+    table.load(base)
+    table.commit(log)
+    assert rows(table.read()) == sorted([(k, "new" if k >= 400 else "old", k < 10) for k in range(700)], key=repr)
+
+
+def test_size_of_the_log_decides(spark, monkeypatch):
+    table = KeyedTable(spark, work_dir(spark, "size"), ["k"], buckets=4)
+    limit = broadcast_limit(spark)
+    for size, expected in ((limit // 4, "broadcast"), (limit // 4 + 1, "hash"), (store.HASH_BYTES * 4, "hash"), (store.HASH_BYTES * 4 + 1, "unknown")):
+        monkeypatch.setattr(store, "path_bytes", lambda *a, size=size: size)
+        assert table._log_size("x", 4) == expected
+
+
+def test_large_commit_shuffles_each_side_once(spark):
+    base = spark.range(1000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    table = KeyedTable(spark, work_dir(spark, "plan"), ["k"], buckets=4)
+    folded = table._bucketed(C.fold_changes(C.upserts(base, 1), ["k"]))
+    for log_size, join in (("hash", "ShuffledHashJoin"), ("unknown", "SortMergeJoin")):
+        with store._bucket_writes(spark):
+            side = table._bucketed(base)
+            plan = table._applied(side, spark.createDataFrame([], folded.schema), None, None, 4, log_size)._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and plan.count("Exchange hashpartitioning(_bucket") == 2 and plan.count("Exchange") == 2
 
 
 def test_stopped_commit_leaves_table_and_state(spark):

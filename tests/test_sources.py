@@ -183,6 +183,22 @@ def test_stream_picks_up_new_files_only(spark):
     assert table.state() == {"batch": 2}
 
 
+def test_last_message_of_a_key_wins_inside_a_batch(spark):
+    path = work_dir(spark, "landed")
+    rows_in = spark.createDataFrame([(1, 3, "c"), (1, 9, "z"), (1, 5, "x"), (2, 1, "only")], "k int, at bigint, v string").repartition(3)
+    rows_in.write.parquet(path)
+    table = KeyedTable(spark, work_dir(spark, "t"), ["k"], buckets=2)
+    D.drain(D.file_stream(spark, path, rows_in.schema), table, work_dir(spark, "checkpoint"), "s", order=F.col("at"))
+    assert rows(table.read()) == [(1, 9, "z", False), (2, 1, "only", False)]
+
+
+def test_latest_row_of_a_key_wins_inside_a_run(spark):
+    source = spark.createDataFrame([(1, "2024-01-02", "new"), (1, "2024-01-01", "old")], "id int, updated_at string, v string").withColumn(
+        "updated_at", F.col("updated_at").cast("timestamp_ntz"))
+    out = run_specs(spark, [TableSpec("s", source, ["id"])], work_dir(spark, "latest"))
+    assert rows(out["s"].read().select("id", "v")) == [(1, "new")]
+
+
 def test_scan_pushes_filter_and_columns(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     plan = tables.scan(df, ["o_orderkey"], F.col("o_totalprice") > 1000)._jdf.queryExecution().executedPlan().toString()

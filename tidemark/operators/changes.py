@@ -121,12 +121,12 @@ def last_truncate(changes: DataFrame) -> Column:
 
 
 def apply_folded(base: DataFrame | None, folded: DataFrame, keys: Sequence[str], truncated_at: Column | None = None,
-                 run_time: Column | None = None, small_log: bool = False) -> DataFrame:
+                 run_time: Column | None = None, log_size: str = "unknown") -> DataFrame:
     """The table after the folded log.
 
-    ``small_log`` says that the folded log is known to fit the session's
-    broadcast limit: then the base is not shuffled. Otherwise both sides meet in
-    a full outer join on the key. A table without rows yet (None) needs no join.
+    ``log_size`` is what the caller has measured of the log. ``broadcast``: it fits the session's broadcast limit, so
+    the base is not shuffled. ``hash``: each partition of it fits in memory, so the base is shuffled but not sorted.
+    ``unknown``: a full outer sort-merge join, which spills. A table without rows yet (None) needs no join.
     """
     cut = F.lit(None).cast("bigint") if truncated_at is None else truncated_at
     if base is None:
@@ -135,13 +135,14 @@ def apply_folded(base: DataFrame | None, folded: DataFrame, keys: Sequence[str],
     if DELETED not in base.columns:
         base = base.withColumn(DELETED, F.lit(False))
     base = base.withColumn("_hit", F.lit(True))
-    if small_log:
+    if log_size == "broadcast":
         small = F.broadcast(folded)
         hits = base.select(*keys).join(F.broadcast(folded.select(*keys)), list(keys), "left_semi")
         fresh = folded.join(F.broadcast(hits), list(keys), "left_anti")
         joined = base.join(small, list(keys), "left").unionByName(fresh, allowMissingColumns=True)
     else:
-        joined = base.join(folded, list(keys), "full_outer")
+        side = folded.hint("shuffle_hash") if log_size == "hash" else folded
+        joined = base.join(side, list(keys), "full_outer")
     return _after(joined, keys, base.columns, folded, cut, run_time)
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.changes import upserts
 from tidemark.operators.cursors import infer_cursor, newer
@@ -50,6 +51,14 @@ def plan_tables(spark: SparkSession, specs: Sequence[TableSpec]) -> DataFrame:
                        cursor.alias("replication_key"))
 
 
+def _sequence(rows: DataFrame, cursor: str | None):
+    """Order between rows of one key in one run: by the cursor where it is a time or a whole number."""
+    kind = rows.schema[cursor].dataType if cursor and cursor in rows.columns else None
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(F.col(cursor).cast("timestamp"))
+    return F.col(cursor) if isinstance(kind, T.IntegralType) else 1
+
+
 def run_specs(spark: SparkSession, specs: Sequence[TableSpec], root: str) -> dict[str, KeyedTable]:
     """Plan, select, transform, apply and store the state, table by table."""
     plans = {r["table_name"]: r for r in plan_tables(spark, specs).collect()}  # one row per spec
@@ -68,6 +77,6 @@ def run_specs(spark: SparkSession, specs: Sequence[TableSpec], root: str) -> dic
             mark = found if found is not None else mark
         if spec.transform:
             rows = spec.transform(rows)
-        table.commit(upserts(rows, 1), state={"mark": mark, "strategy": plan["strategy"]})
+        table.commit(upserts(rows, _sequence(rows, cursor)), state={"mark": mark, "strategy": plan["strategy"]})
         out[spec.name] = table
     return out

@@ -30,16 +30,23 @@ from tidemark.session import broadcast_limit, hadoop_path, path_bytes
 BUCKET = "_bucket"
 
 
+# a task with few buckets writes them side by side instead of sorting its rows by bucket first
+_WRITE_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.maxConcurrentOutputFileWriters": "4"}
+# staged bytes per bucket up to which a join may hold the log of a bucket in memory
+HASH_BYTES = 32 << 20
+
+
 @contextmanager
-def _co_partitioned(spark: SparkSession) -> Iterator[None]:
-    """Let a join on (bucket, key) use sides that are partitioned by bucket alone."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+def _bucket_writes(spark: SparkSession) -> Iterator[None]:
+    """Let the join on (bucket, key) use sides that are partitioned by bucket alone, and write without a sort."""
+    before = {name: spark.conf.get(name) for name in _WRITE_SETTINGS}
     try:
+        for name, value in _WRITE_SETTINGS.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 class KeyedTable:
@@ -124,7 +131,8 @@ class KeyedTable:
     def _write(self, df: DataFrame, kind: str, version: int) -> str:
         # a rerun of a lost commit replaces its own unread folder
         target = f"{self.path}/{kind}/_version={version}"
-        df.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        with _bucket_writes(self.spark):
+            df.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
         return target
 
     def _written(self, folder: str) -> list[str]:
@@ -158,13 +166,19 @@ class KeyedTable:
             if old != new and not (isinstance(old, whole) and isinstance(new, whole)):
                 raise ValueError(f"key column {k} changes from {old.simpleString()} to {new.simpleString()}")
 
-    def _applied(self, base: DataFrame | None, folded: DataFrame, cut, run_time, touched: int, small: bool) -> DataFrame:
-        """The touched buckets after the log; each bucket ends up in one task unless the log is small."""
-        keys = [BUCKET, *self.keys]
+    def _log_size(self, log_path: str, touched: int) -> str:
+        """How the staged log may take part in the join, by its measured size (files are compressed, hence the margins)."""
+        size = path_bytes(self.spark, log_path)
+        if size <= broadcast_limit(self.spark) // 4:
+            return "broadcast"
+        return "hash" if size / max(1, touched) <= HASH_BYTES else "unknown"
+
+    def _applied(self, base: DataFrame | None, folded: DataFrame, cut, run_time, touched: int, log_size: str) -> DataFrame:
+        """The touched buckets after the log; each bucket ends up in one task unless the log is broadcast."""
         cut = None if cut is None else F.lit(cut)
-        if base is not None and not small:
+        if base is not None and log_size != "broadcast":
             base, folded = (side.repartition(2 * touched, BUCKET) for side in (base, folded))
-        return apply_folded(base, folded, keys, cut, run_time, small_log=small)
+        return apply_folded(base, folded, [BUCKET, *self.keys], cut, run_time, log_size)
 
     def commit(self, changes: DataFrame, state: dict | None = None, batch: tuple[str, int] | None = None,
                run_time: Column | None = None, before_publish=None) -> int:
@@ -205,10 +219,8 @@ class KeyedTable:
                                                                       T.StructField("v", schema[f.name[3:]].dataType)]))
                                      .alias(f.name) if f.name.startswith("_x_") else F.col(f.name)
                                      for f in log_schema.fields if f.name != "_last_t"])
-            rows = self._applied(base, folded, cut, run_time, len(touched),
-                                 path_bytes(self.spark, log_path) <= broadcast_limit(self.spark) // 4)
-            with _co_partitioned(self.spark):
-                folder = self._write(rows.select(*schema.fieldNames(), BUCKET), "data", version)
+            rows = self._applied(base, folded, cut, run_time, len(touched), self._log_size(log_path, len(touched)))
+            folder = self._write(rows.select(*schema.fieldNames(), BUCKET), "data", version)
             buckets.update({b: version for b in self._written(folder)})
         if before_publish:
             before_publish()

@@ -24,7 +24,8 @@ def landed(t: Tables, rows, parts: int = 10):
 @query("str01_queue_drain", EVENTS)
 def queue_drain(t: Tables):
     table = KeyedTable(t.spark, work_dir(t.spark, "drain"), ["event_id"])
-    D.drain(landed(t, t.events), table, work_dir(t.spark, "checkpoint"), "events")
+    D.drain(landed(t, t.events), table, work_dir(t.spark, "checkpoint"), "events",
+            order=F.unix_micros(F.col("ts").cast("timestamp")))
     return table.read()
 
 

@@ -17,17 +17,18 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, seq: Callable[[DataFrame], DataFrame] | None = None,
-          before_publish=None) -> None:
+def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, order: Column | None = None,
+          to_log: Callable[[DataFrame], DataFrame] | None = None, before_publish=None) -> None:
     """Write everything that has landed into the table, then stop.
 
     Each batch is committed to the table under its batch id before the stream marks it done: a batch that is run
-    again after a stop is recognised and skipped. ``seq`` turns a batch into a change log; by default its rows are
-    upserts ordered by one number per batch.
+    again after a stop is recognised and skipped. The rows are upserts; ``order`` (a whole number, such as a message
+    sequence or a time in microseconds) decides between messages of one key in one batch. ``to_log`` turns a batch
+    into any other change log.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log = seq(batch) if seq else upserts(batch, batch_id)
+        log = to_log(batch) if to_log else upserts(batch, batch_id if order is None else order)
         table.commit(log, state={"batch": batch_id}, batch=(name, batch_id), before_publish=before_publish)
 
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
