@@ -1 +1,8 @@
 """Incremental data replication and table upkeep on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions of this package travel to the Python workers by value: executors need no copy of it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -141,11 +142,14 @@ def success_prefix(df: DataFrame, key: str, failed: Column) -> DataFrame:
 
 def _leave(rows: pd.DataFrame) -> pd.DataFrame:
     """For each pointer of a block: the first value on its chain that lies outside the block."""
-    rows = rows.sort_values("start", ascending=False)
-    leave: dict[int, int] = {}
-    for start, stop in zip(rows["start"], rows["stop"], strict=True):
-        leave[start] = leave.get(stop, stop)
-    return pd.DataFrame({"start": list(leave.keys()), "stop": list(leave.values())})
+    rows = rows.sort_values("start")
+    start, stop = rows["start"].to_numpy(), rows["stop"].to_numpy()
+    own = np.arange(len(start))
+    at = np.minimum(np.searchsorted(start, stop), len(start) - 1)
+    ahead = np.where(start[at] == stop, at, own)  # the last pointer inside the block points to itself
+    while not np.array_equal(further := ahead[ahead], ahead):
+        ahead = further
+    return pd.DataFrame({"start": start, "stop": stop[ahead]})
 
 
 def _follow(rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
@@ -196,6 +200,9 @@ def chunk_bounds(df: DataFrame, key: str, n: int, span: int = 1_000_000) -> Data
     entries = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("start"))
     if total > span:
         jump = materialise(pointer.groupBy("block").applyInPandas(_leave, "start bigint, stop bigint"), "chunk-leave")
+        # only values that some block leaves to can be where the chain enters a block: at most n per block
+        doors = entries.unionByName(jump.select(F.col("stop").alias("start"))).distinct()
+        jump = materialise(jump.join(doors, "start", "left_semi"), "chunk-doors")
         for _ in range(max(1, math.ceil(math.log2(total / span + 2)))):
             reach = F.explode(F.array("start", "stop")).alias("start")
             entries = entries.join(jump, "start", "left").select(reach).filter(F.col("start").isNotNull())
