@@ -265,3 +265,16 @@ def test_key_type_change_is_refused(spark):
     assert rows(table.read()) == sorted([(1, 2, False), (2**40, 3, False)], key=repr)
     with pytest.raises(ValueError, match="key column"):
         table.commit(C.upserts(spark.createDataFrame([("x", 2)], "k string, v int"), 1))
+
+
+def test_empty_logs(spark):
+    """A run or batch without rows commits its state and changes nothing."""
+    schema = "k int, v int"
+    empty = spark.createDataFrame([], schema)
+    table = KeyedTable(spark, work_dir(spark, "empty"), ["k"], buckets=2)
+    table.commit(C.upserts(empty, 1), state={"mark": 0})
+    assert table.read().count() == 0
+    table.commit(C.upserts(spark.createDataFrame([(1, 1)], schema), 1), state={"mark": 1})
+    table.commit(C.upserts(empty.filter("k > 0"), 1), state={"mark": 2})
+    table.commit(C.upserts(spark.createDataFrame([(1, 1)], schema).filter("k > 5"), 1), state={"mark": 3})
+    assert rows(table.read()) == [(1, 1, False)] and table.state() == {"mark": 3}

@@ -156,6 +156,12 @@ def union_widened(left: DataFrame, right: DataFrame) -> DataFrame:
     return cast_to(left, schema).unionByName(cast_to(right, schema))
 
 
+def inexact_as_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, rows) whose whole numbers lose digits when a column widens to double, from one aggregate."""
+    counts = df.agg(*[F.count_if(F.abs(F.col(c)) > F.lit(2**53)).alias(c) for c in columns])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("inexact")) for c in columns])))
+
+
 def narrowest_type(text: Column) -> Column:
     """Name of the narrowest type that holds a text: int, bigint, double or string; NULL for NULL."""
     return (F.when(text.isNull(), F.lit(None))

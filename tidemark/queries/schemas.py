@@ -100,6 +100,14 @@ def widening(t: Tables):
     return table.read()
 
 
+@query("sch03b_inexact_rows", """
+SELECT 'event_id' AS column_name, 0::BIGINT AS inexact UNION ALL SELECT 'large', count(*) FILTER (event_id + 9007199254740900 > 9007199254740992) FROM events
+""")
+def inexact_rows(t: Tables):
+    """Rows that would lose digits if their whole-number column became double."""
+    return S.inexact_as_double(t.events.select("event_id", (F.col("event_id") + 9_007_199_254_740_900).alias("large")), ["event_id", "large"])
+
+
 @query("sch04_new_columns", """
 SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand, false AS _deleted FROM part
 """)
