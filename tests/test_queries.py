@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.queries import QUERIES
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,7 +16,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
