@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.shared import map_texts
 
-#: Distinct pieces a task remembers, and the longest piece it remembers; longer ones are encoded each time.
-CACHE_PIECES, CACHE_CHARS = 100_000, 64
+#: Distinct pieces of the younger of two generations that a Python worker remembers, the longest piece it remembers (longer ones
+#: are encoded each time), and the pairs of tokens it remembers.
+CACHE_PIECES, CACHE_CHARS, CACHE_PAIRS = 200_000, 64, 500_000
 
 
 def byte_letters() -> list[str]:
@@ -78,6 +79,8 @@ class Bpe:
                 self.automaton.add_word(symbols, (len(symbols), i))
         self.automaton.make_automaton()
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
+        self.pairs: dict[int, bool] = {}
 
     def _symbols_of(self, s: str) -> str:
         """One character per base symbol: a letter, or the last letter of a word, moved out of the letters' range."""
@@ -116,19 +119,22 @@ class Bpe:
         if self.end:
             s = s[:-1] + chr(ord(s[-1]) + 1024)
         last: list[tuple[int, int] | None] = [None] * len(s)  # (length, id) of the last token of each prefix
-        pair_ok: dict[tuple[int, int], bool] = {}
-        for at, (length, token) in self.automaton.iter(s):
-            start = at - length
+        pairs = self.pairs
+        for at, found in self.automaton.iter(s):
             if last[at] is not None:
                 continue
+            start = at - found[0]
             if start < 0:
-                last[at] = (length, token)
+                last[at] = found
             elif (before := last[start]) is not None:
-                pair = (before[1], token)
-                if (ok := pair_ok.get(pair)) is None:
-                    ok = pair_ok[pair] = self.compatible(*pair)
+                pair = before[1] << 32 | found[1]
+                ok = pairs.get(pair)
+                if ok is None:
+                    if len(pairs) >= CACHE_PAIRS:
+                        pairs.clear()
+                    ok = pairs[pair] = self.compatible(before[1], found[1])
                 if ok:
-                    last[at] = (length, token)
+                    last[at] = found
         ids, at = [], len(s) - 1
         while at >= 0:
             if last[at] is None:
@@ -139,10 +145,13 @@ class Bpe:
         return ids[::-1]
 
     def _remember(self, piece: str) -> tuple[bytes, str]:
-        ids = self.piece_ids(piece)
-        got = (struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids]))
+        got = self.older.get(piece)
+        if got is None:
+            ids = self.piece_ids(piece)
+            got = (struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids]))
         if len(piece) <= CACHE_CHARS:
             if len(self.known) >= CACHE_PIECES:
+                self.older = self.known.copy()
                 self.known.clear()
             self.known[piece] = got
         return got
@@ -172,9 +181,9 @@ class Bpe:
                 ids.append(struct.pack("<I", self.added[part]))
                 words.append(part)
                 continue
-            for got in [known.get(p) or self._remember(p) for p in self.pieces(part)]:
-                ids.append(got[0])
-                words.append(got[1])
+            found = [known.get(p) or self._remember(p) for p in self.pieces(part)]
+            ids += [f[0] for f in found]
+            words += [f[1] for f in found]
         return b"".join(ids), " ".join(words)
 
     def _parts(self, text: str | None) -> list[str]:
@@ -199,7 +208,8 @@ def tokenized(docs: DataFrame, path: str, text: str = "text", keep: list[str] |
     spec = docs.sparkSession.sparkContext.broadcast(load(path))
 
     def make():
-        model = Bpe(spec.value)
+        # kept with the broadcast value, so a Python worker that runs several tasks builds it once
+        model = spec.value.get("model") or spec.value.setdefault("model", Bpe(spec.value))
 
         def fn(texts):
             got = [model.encode_and_decode(t) for t in texts]
