@@ -48,7 +48,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.with_spans(read(spark, sf_dir, "documents"), keep=["doc_id"])
     base = F.filter("spans", lambda s: s["base"])
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
