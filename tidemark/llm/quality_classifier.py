@@ -114,12 +114,14 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     stats = written(with_statistics(narrow, "x", ["key"]), "statistics")
     taught = labels.select(F.col(quoted(key)).alias("key"), F.col(quoted(label)).cast("int").alias("y")).where("key is not null and y in (0, 1)")
     taught = taught.where(~is_held_out(F.col("key"))).groupBy("key").agg(F.max("y").alias("y"))
-    model = Discriminant(moments(stats.join(taught, "key"), "x", "y"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few kB
+    sums = moments(stats.join(taught, "key"), "x", "y")
+    shared = docs.sparkSession.sparkContext.broadcast(sums)  # a few kB
 
     def make():
+        model = Discriminant(shared.value)
+
         def fn(rows):
-            p = shared.value.scores(np.array(rows, dtype=float).reshape(-1, len(STATISTICS)))
+            p = model.scores(np.array(rows, dtype=float).reshape(-1, len(STATISTICS)))
             return [p.tolist(), [int(v >= THRESHOLD) for v in p]]
         return fn
 
