@@ -166,19 +166,22 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
                 best = max((k for _, k in b), default=0)
                 hosts.append(host_of(u))
                 blocks.append([t if k and k == best else None for t, k in b])
-                nodes.append([{"hash": x, "first": f, "end": e} for x, f, e in n])
+                nodes.append([{"hash": x, "first": f, "end": e, "text": any(t is not None for t in blocks[-1][f:e])} for x, f, e in n])
                 kept = "\n".join(t for t in blocks[-1] if t is not None)
                 whole.append(int.from_bytes(blake2b(kept.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
             return [hosts, blocks, nodes, whole]
         return fn
 
-    fields = [("host", "string"), ("blocks", "array<string>"), ("nodes", "array<struct<hash:bigint,first:int,end:int>>"), ("whole", "bigint")]
+    fields = [("host", "string"), ("blocks", "array<string>"), ("nodes", "array<struct<hash:bigint,first:int,end:int,text:boolean>>"), ("whole", "bigint")]
     parsed = written(map_texts(narrow, make, fields, ["row", "key", "url"], ["url", "page"]), "pages")
-    subtrees = parsed.select("row", "host", "whole", F.explode("nodes").alias("n")).select("row", "host", "whole", "n.hash", "n.first", "n.end")
+    subtrees = parsed.select("row", "host", "whole", F.explode("nodes").alias("n")).select("row", "host", "whole", "n.hash", "n.first", "n.end", "n.text")
     sizes = parsed.select("host", "whole").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     seen = subtrees.select("host", "hash", "whole").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
     template = seen.join(sizes, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages")).select("host", "hash")
-    deleted = subtrees.join(template, ["host", "hash"]).groupBy("row").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    # only spans that hold text not yet dropped by name go back to their pages
+    deleted = subtrees.where("text").join(template, ["host", "hash"]).groupBy("row").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    # written first: its size is known then, so few deletions do not shuffle all texts
+    deleted = written(deleted, "deleted")
     out = parsed.join(deleted, "row", "left")
     left = F.filter("blocks", lambda b, i: b.isNotNull() & ~F.coalesce(F.exists("spans", lambda s: (s["first"] <= i) & (i < s["end"])), F.lit(False)))
     text = F.array_join(left, "\n")
