@@ -23,7 +23,7 @@ from tidemark.llm.shared import map_texts
 
 #: Distinct pieces of the younger of two generations that a Python worker remembers, the longest piece it remembers (longer ones
 #: are encoded each time), and the pairs of tokens it remembers.
-CACHE_PIECES, CACHE_CHARS, CACHE_PAIRS = 200_000, 64, 500_000
+CACHE_PIECES, CACHE_CHARS, CACHE_PAIRS = 100_000, 64, 300_000
 
 
 def byte_letters() -> list[str]:

@@ -424,15 +424,19 @@ def masked_text(text: str | None, spans: list) -> str | None:
     return "".join(out) + text[at:]
 
 
-def masked(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
+def masked(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars", model: dict | None = None) -> DataFrame:
     """The documents with masked texts; a ``length`` column, if there is one, follows the new text (null stays null)."""
-    spans, new = free_name(docs, "spans"), free_name(docs, "masked")
-    found = with_spans(docs, spans, key, text)
+    new = free_name(docs, "masked")
+    p = docs.sparkSession.sparkContext.broadcast(model or fitted(docs, key, text))
 
     def make():
-        return lambda texts, all_of: [[masked_text(t, s) for t, s in zip(texts, all_of)]]
+        def fn(texts):
+            found = all_spans(texts, p.value)
+            return [[masked_text(t, [{"kind": KINDS[k], "start": a, "end": b} for a, b, k, _ in spans]) for t, spans in zip(texts, found)]]
+        return fn
 
-    done = map_texts(found, make, [(new, "string")], docs.columns, [text, spans])
+    rest = [c for c in docs.columns if c != text]
+    done = map_texts(docs, make, [(new, "string")], rest, [text])
     out = []
     for c in docs.columns:
         if c == text:
@@ -440,5 +444,5 @@ def masked(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str
         elif c == length and dict(docs.dtypes)[c] in ("bigint", "int"):
             out.append(F.when(F.col(quoted(c)).isNotNull() & F.col(new).isNotNull(), F.length(new).cast(dict(docs.dtypes)[c])).otherwise(F.col(quoted(c))).alias(c))
         else:
-            out.append(*columns([c]))
+            out += columns([c])
     return done.select(*out)
