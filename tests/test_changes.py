@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.conftest import rows
 from tidemark.operators import changes as C
@@ -20,24 +21,20 @@ def products(spark, *values):
 
 
 def golden_log(spark):
-    """The six steps, each with the table expected after it as (id, name, price, deleted)."""
-    first = products(spark, (1, "Laptop", "Electronics", 999.99, True), (2, "Wireless Mouse", "Electronics", 29.99, True),
-                     (3, "Desk Chair", "Furniture", 349.99, False))
-    price = spark.createDataFrame([(1, 799.99)], "product_id int, price double")
-    second = products(spark, (4, "Mechanical Keyboard", "Electronics", 129.99, True), (5, "Standing Desk", "Furniture", 599.99, True))
-    pro = products(spark, (1, "Laptop Pro", "Electronics", 1249.99, True))
-    gone = spark.createDataFrame([(5,)], "product_id int")
-    key = ["product_id"]
-    laptop, mouse, chair = (1, "Laptop", 799.99), (2, "Wireless Mouse", 29.99), (3, "Desk Chair", 349.99)
-    keyboard, desk, new = (4, "Mechanical Keyboard", 129.99), (5, "Standing Desk", 599.99), (1, "Laptop Pro", 1249.99)
-    on, off = (False,), (True,)
+    """Seven steps, each with the table expected after it as (id, name, price, deleted)."""
+    key, schema = ["product_id"], "product_id int, price double"
+    tea, rope, lamp, ink = (11, "Green tea"), (12, "Rope 8 mm"), (13, "Oil lamp"), (14, "Blue ink")
+    seeds = products(spark, (*tea, "Food", 4.25, True), (*rope, "Tools", 12.5, True))
     return [
-        (C.upserts(first, 1), [(1, "Laptop", 999.99, False), mouse + on, chair + on]),
-        (C.updates(price, key, 2), [laptop + on, mouse + on, chair + on]),
-        (C.truncate(spark, gone.schema, 3), [laptop + off, mouse + off, chair + off]),
-        (C.upserts(second, 4), [laptop + off, mouse + off, chair + off, keyboard + on, desk + on]),
-        (C.upserts(pro, 5), [new + on, mouse + off, chair + off, keyboard + on, desk + on]),
-        (C.deletes(gone, key, 6), [new + on, mouse + off, chair + off, keyboard + on, desk + off]),
+        (C.upserts(seeds, 10), [(*tea, 4.25, False), (*rope, 12.5, False)]),
+        (C.deletes(spark.createDataFrame([(12,)], "product_id int"), key, 20), [(*tea, 4.25, False), (*rope, 12.5, True)]),
+        (C.upserts(products(spark, (*lamp, "Home", 31.0, False)), 30), [(*tea, 4.25, False), (*rope, 12.5, True), (*lamp, 31.0, False)]),
+        (C.updates(spark.createDataFrame([(11, 5.0), (12, 9.75)], schema), key, 40), [(*tea, 5.0, False), (*rope, 9.75, True), (*lamp, 31.0, False)]),
+        (C.truncate(spark, T.StructType([T.StructField("product_id", T.IntegerType())]), 50), [(*tea, 5.0, True), (*rope, 9.75, True), (*lamp, 31.0, True)]),
+        (C.upserts(products(spark, (*ink, "Office", 2.0, True), (12, "Rope 10 mm", "Tools", 15.0, True)), 60),
+         [(*tea, 5.0, True), (12, "Rope 10 mm", 15.0, False), (*lamp, 31.0, True), (*ink, 2.0, False)]),
+        (C.updates(spark.createDataFrame([(14, 2.5), (99, 1.0)], schema), key, 70),
+         [(*tea, 5.0, True), (12, "Rope 10 mm", 15.0, False), (*lamp, 31.0, True), (*ink, 2.5, False)]),
     ]
 
 
@@ -45,7 +42,7 @@ def shown(df):
     return rows(df.select("product_id", "name", F.round("price", 2), "_deleted"))
 
 
-def test_golden_six_commits(spark):
+def test_golden_commits(spark):
     table = KeyedTable(spark, work_dir(spark, "golden"), ["product_id"], buckets=3)
     for log, expected in golden_log(spark):
         table.commit(log)
@@ -196,9 +193,10 @@ def test_commit_paths(spark, monkeypatch, log_size):
 def test_size_of_the_log_decides(spark, monkeypatch):
     table = KeyedTable(spark, work_dir(spark, "size"), ["k"], buckets=4)
     limit = broadcast_limit(spark)
-    for size, expected in ((limit // 4, "broadcast"), (limit // 4 + 1, "hash"), (store.HASH_BYTES * 4, "hash"), (store.HASH_BYTES * 4 + 1, "unknown")):
+    part = store.HASH_BYTES // store.IN_MEMORY
+    for size, splits, expected in ((limit // store.IN_MEMORY, 1, "broadcast"), (limit // store.IN_MEMORY + 1, 1, "hash"), (part, 1, "hash"), (part + 1, 1, "unknown"), (2 * part, 2, "hash")):
         monkeypatch.setattr(store, "path_bytes", lambda *a, size=size: size)
-        assert table._log_size("x", 4) == expected
+        assert table._log_size("x", ["0"], splits) == expected
 
 
 def test_large_commit_shuffles_each_side_once(spark):
@@ -208,8 +206,8 @@ def test_large_commit_shuffles_each_side_once(spark):
     for log_size, join in (("hash", "ShuffledHashJoin"), ("unknown", "SortMergeJoin")):
         with store._bucket_writes(spark):
             side = table._bucketed(base)
-            plan = table._applied(side, spark.createDataFrame([], folded.schema), None, None, 4, log_size)._jdf.queryExecution().executedPlan().toString()
-        assert join in plan and plan.count("Exchange hashpartitioning(_bucket") == 2 and plan.count("Exchange") == 2
+            plan = table._applied(side, spark.createDataFrame([], folded.schema), None, None, 4, 1, log_size)._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and plan.count("Exchange hashpartitioning(_part") == 2 and plan.count("Exchange") == 2
 
 
 def test_stopped_commit_leaves_table_and_state(spark):
@@ -243,7 +241,7 @@ def test_only_touched_buckets_are_rewritten(spark):
     table = KeyedTable(spark, work_dir(spark, "touch"), ["k"], buckets=16)
     table.load(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v")))
     table.commit(C.upserts(spark.createDataFrame([(3, 9)], "k bigint, v int"), 1))
-    versions = list(table.head()["buckets"].values())
+    versions = [int(a[1:a.index("-")]) for a in table.head()["buckets"].values()]
     assert versions.count(2) == 1 and versions.count(1) == 15
 
 
@@ -278,3 +276,64 @@ def test_empty_logs(spark):
     table.commit(C.upserts(empty.filter("k > 0"), 1), state={"mark": 2})
     table.commit(C.upserts(spark.createDataFrame([(1, 1)], schema).filter("k > 5"), 1), state={"mark": 3})
     assert rows(table.read()) == [(1, 1, False)] and table.state() == {"mark": 3}
+
+
+def test_bucket_count_and_keys_are_stored(spark):
+    path = work_dir(spark, "reopen")
+    frame = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    KeyedTable(spark, path, ["k"], buckets=8).load(frame)
+    table = KeyedTable(spark, path, ["k"])
+    table.commit(C.upserts(frame.withColumn("v", F.lit(2)), 1))
+    assert table.buckets == 8 and table.read().count() == 100
+    with pytest.raises(ValueError, match="8 buckets"):
+        KeyedTable(spark, path, ["k"], buckets=3)
+    with pytest.raises(ValueError, match="has the key"):
+        KeyedTable(spark, path, ["v"])
+    table.rebucket(3)
+    table = KeyedTable(spark, path, ["k"], buckets=3)
+    table.commit(C.upserts(frame.withColumn("v", F.lit(3)), 1))
+    assert rows(table.read().select("v").distinct()) == [(3,)] and table.read().count() == 100
+
+
+def test_losing_writer_leaves_the_winners_rows(spark):
+    """The second writer starts from the same version and writes its data after the first has published."""
+    path = work_dir(spark, "race")
+    frame = spark.range(50).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    one, two = KeyedTable(spark, path, ["k"], buckets=2), KeyedTable(spark, path, ["k"], buckets=2)
+    one.load(frame)
+    stale = two.head()
+    one.commit(C.upserts(frame.withColumn("v", F.lit(1)), 1))
+    two.head = lambda: stale
+    with pytest.raises(RuntimeError, match="another writer"):
+        two.commit(C.upserts(frame.withColumn("v", F.lit(2)), 1))
+    assert rows(one.read().select("v").distinct()) == [(1,)] and one.read().count() == 50
+    del two.head
+    two.commit(C.upserts(frame.withColumn("v", F.lit(2)), 1))
+    assert rows(one.read().select("v").distinct()) == [(2,)]
+
+
+def test_load_refuses_repeated_keys(spark):
+    table = KeyedTable(spark, work_dir(spark, "twice"), ["k"], buckets=2)
+    with pytest.raises(ValueError, match="more than once"):
+        table.load(spark.createDataFrame([(1, 1), (1, 2)], "k int, v int"))
+    assert table.head() is None
+
+
+def test_large_bucket_is_shared_by_tasks(spark, monkeypatch):
+    from tidemark.plans import store
+
+    monkeypatch.setattr(store, "TASK_BYTES", 2000)
+    monkeypatch.setattr(store, "broadcast_limit", lambda spark: 0)
+    table = KeyedTable(spark, work_dir(spark, "shared"), ["k"], buckets=2)
+    frame = spark.range(5000).select(F.col("id").alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    table.load(frame)
+    table.commit(C.upserts(frame.withColumn("v", F.lit("new")).where("k % 2 = 0"), 1))
+    files = table.read().select(F.input_file_name().alias("f"), "k", "v")
+    assert files.select("f").distinct().count() > 4 and files.where("v = 'new'").count() == 2500 and files.count() == 5000
+
+
+@pytest.mark.parametrize("kind,low,high", [("string", "A", "B"), ("decimal(10,3)", "1.5", "10.25"), ("double", "1.5", "10.25"), ("timestamp", "2024-01-01", "2024-02-01")])
+def test_order_of_any_type(spark, kind, low, high):
+    log = spark.createDataFrame([(1, high, "a"), (1, low, "z"), (2, None, "n")], "k int, c string, v string").withColumn("c", F.col("c").cast(kind))
+    folded = C.apply_changes(C.empty_like(log), C.upserts(log, F.struct("c")), ["k"])
+    assert rows(folded.select("k", "v")) == [(1, "a"), (2, "n")]

@@ -87,14 +87,23 @@ def test_lenient_date(spark, text, expected):
 
 
 def test_sections_and_defaults(spark):
-    report = "intro\nRisk Assessment: High risk of heat stress.\nAffected Farms: FARM_000002, FARM_000001, FARM_000002\nSpecies Risk Matrix:\n- Cattle: HIGH (heat)\n"
-    got = one(spark, report, lambda c: X.section(c, "RISK ASSESSMENT", "AFFECTED FARMS", F.lit("none")))
-    assert got == "High risk of heat stress."
-    assert one(spark, report, lambda c: X.section(c, "RECOMMENDED ACTIONS", "HISTORY", F.lit("none"))) == "none"
-    assert one(spark, report, lambda c: X.distinct_ids(c, r"FARM_\d{6}")) == ["FARM_000001", "FARM_000002"]
-    matrix = one(spark, report, lambda c: X.line_map(X.section(c, "SPECIES RISK MATRIX", "ACTIONS", F.lit(""), 300, shortest=0)))
-    assert [tuple(p) for p in matrix] == [("Cattle", "HIGH")]
-    assert one(spark, "RISK ASSESSMENT: " + "x" * 2000, lambda c: X.section(c, "RISK ASSESSMENT", "AFFECTED FARMS", F.lit(""))) == "x" * 499
+    report = "start\nWeather note: Frost in the north.\nStations: ST-07, ST-02, ST-07\nLevels by place:\n- Valley: LOW (wet)\n"
+    got = one(spark, report, lambda c: X.section(c, "WEATHER NOTE", "STATIONS", F.lit("none")))
+    assert got == "Frost in the north."
+    assert one(spark, report, lambda c: X.section(c, "ADVICE", "END", F.lit("none"))) == "none"
+    assert one(spark, report, lambda c: X.distinct_ids(c, r"ST-\d{2}")) == ["ST-02", "ST-07"]
+    levels = one(spark, report, lambda c: X.line_map(X.section(c, "LEVELS BY PLACE", "ADVICE", F.lit(""), 300)))
+    assert [tuple(p) for p in levels] == [("Valley", "LOW")]
+    long = "Weather note: " + "x" * 2000
+    assert one(spark, long, lambda c: X.section(c, "weather note", "stations", F.lit(""))) == "x" * 2000
+    assert one(spark, long, lambda c: X.section(c, "weather note", "stations", F.lit(""), open_length=500)) == "x" * 499
+    assert one(spark, long, lambda c: X.section(c, "weather note", None, F.lit(""), longest=10)) == "x" * 10
+
+
+def test_money_that_does_not_fit(spark):
+    assert str(one(spark, "12.50", lambda c: V.money(c))) == "12.50"
+    with pytest.raises(Exception, match="does not fit"):
+        one(spark, "12.505", lambda c: V.money(c))
 
 
 def test_mapping_last_duplicate_wins(spark):

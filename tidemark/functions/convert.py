@@ -16,8 +16,9 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
-def lenient_int(c: Column) -> Column:
-    return c.try_cast("int")
+def lenient_int(c: Column, kind: str = "bigint") -> Column:
+    """Whole number of a text, or NULL; ``kind`` may name a narrower type."""
+    return c.try_cast(kind)
 
 
 def lenient_float(c: Column) -> Column:
@@ -110,17 +111,25 @@ def flag_from_text(text: Column, default: bool | None = False, strict: bool = Tr
         word.isin(*false), F.lit(False)).otherwise(bad)
 
 
-def money(c: Column, as_double: bool = False) -> Column:
-    """Exact decimal, or a double on request."""
-    exact = c.cast(T.DecimalType(18, 2))
+def money(c: Column, as_double: bool = False, precision: int = 18, scale: int = 2) -> Column:
+    """Exact decimal, or a double on request; a value that the decimal would round or lose is an error."""
+    exact = c.cast("string").try_cast(T.DecimalType(precision, scale))
+    lost = c.isNotNull() & ~F.coalesce(exact.cast("double") == c.cast("double"), F.lit(False))
+    problem = F.raise_error(F.concat(F.lit(f"does not fit DECIMAL({precision},{scale}): "), c.cast("string")))
+    exact = F.when(lost, problem.cast(T.DecimalType(precision, scale))).otherwise(exact)
     return exact.cast("double") if as_double else exact
 
 
-def typed_cell(value: Column, kind: Column) -> dict[str, Column]:
-    """Typed columns of a text cell by its declared type; what does not fit stays readable as text."""
+def typed_cell(value: Column, kind: Column, precision: int = 38, scale: int = 9) -> dict[str, Column]:
+    """Typed columns of a text cell by its declared type; what does not fit stays readable as text.
+
+    A number with more decimal places than ``scale`` does not fit.
+    """
     stamp = F.when(kind.isin("DATE", "DATETIME"), utc(value).cast("timestamp_ntz"))
     check = F.when(kind == "CHECKBOX", F.lower(value).isin("true", "1"))
-    number = F.when(kind.isin("NUMBER", "CURRENCY", "PERCENT"), value.try_cast(T.DecimalType(38, 9)))
+    places = F.length(F.regexp_extract(value, r"\.([0-9]*?)0*\s*$", 1))
+    fits = (places <= scale) & ~value.rlike("[eE]")
+    number = F.when(kind.isin("NUMBER", "CURRENCY", "PERCENT") & fits, value.try_cast(T.DecimalType(precision, scale)))
     text = F.when(value.isNotNull() & F.coalesce(stamp.cast("string"), check.cast("string"), number.cast("string")).isNull(), value)
     return {"stamp_value": stamp, "check_value": check, "number_value": number, "text_value": text}
 

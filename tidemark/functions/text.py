@@ -25,10 +25,15 @@ def first_line_match(text: Column, pattern: str) -> Column:
 FIXED_VERSION = r"(?i)fixed in\s+(?:version\s+)?([0-9.]+(?:\s*(?:or|and)\s*[0-9.]+)*)"
 
 
-def fixed_version(text: Column, longest: int = 100) -> Column:
-    """Version text after ``fixed in [version]``, any case, cut to a length; none gives NULL."""
+def cut(text: Column, longest: int | None) -> Column:
+    """The first ``longest`` characters; all of them if None."""
+    return text if longest is None else F.substring(text, 1, longest)
+
+
+def fixed_version(text: Column, longest: int | None = None) -> Column:
+    """Version text after ``fixed in [version]``, any case, cut to a length if one is given; none gives NULL."""
     found = F.regexp_extract(text, FIXED_VERSION, 1)
-    return F.nullif(F.substring(strip(found), 1, longest), F.lit(""))
+    return F.nullif(cut(strip(found), longest), F.lit(""))
 
 
 def affected_products(criteria: Column, start: Column, end: Column, least_parts: int = 5) -> Column:
@@ -69,18 +74,20 @@ def padded_code(text: Column, width: int = 10) -> Column:
     return F.when(F.length(code) >= width, code).otherwise(F.lpad(code, width, "0"))
 
 
-def section(text: Column, heading: str, following: str | None, otherwise: Column, open_length: int = 500,
-            longest: int = 1000, shortest: int = 10) -> Column:
-    """Text between two headings (any case); with no following heading ``open_length`` characters are read."""
-    if following is None:
-        body = F.regexp_extract(text, rf"(?is){heading}:(.{{0,{open_length}}})", 1)
-    else:
-        closed = F.regexp_extract(text, rf"(?is){heading}:(.*?)(?={following}:)", 1)
-        body = F.coalesce(F.nullif(closed, F.lit("")), F.regexp_extract(
-            text, rf"(?is){heading}:(?!.*{following}:)(.{{0,{open_length}}})", 1))
+def section(text: Column, heading: str, following: str | None, otherwise: Column, open_length: int | None = None,
+            longest: int | None = None, shortest: int = 0) -> Column:
+    """Text between two headings (any case), or from the heading on where the following one does not come.
+
+    ``open_length`` limits an open section, ``longest`` any; both are off by default. A body of ``shortest`` characters
+    or fewer gives ``otherwise``. One pass finds the heading; the rest of the text is searched once.
+    """
+    rest = F.nullif(F.regexp_extract(text, rf"(?is){heading}:(.*)", 1), F.lit(""))
+    parts = F.array(cut(rest, open_length)) if following is None else F.transform(
+        F.array(F.split(rest, rf"(?is){following}:", 2)), lambda p: F.when(F.size(p) > 1, p[0]).otherwise(cut(p[0], open_length)))
+    body = F.get(parts, F.lit(0))
     # through an array, so that the body is found once and not again for its length
     long_enough = F.filter(F.array(strip(body)), lambda b: F.length(b) > shortest)
-    return F.coalesce(F.substring(F.get(long_enough, F.lit(0)), 1, longest), otherwise)
+    return F.coalesce(cut(F.get(long_enough, F.lit(0)), longest), otherwise)
 
 
 def distinct_ids(text: Column, pattern: str) -> Column:
@@ -97,9 +104,9 @@ def line_map(text: Column) -> Column:
     return F.filter(pairs, lambda p: (p["name"] != "") & (p["value"] != ""))
 
 
-def clean_cut(text: Column, longest: int) -> Column:
-    """Cut to a length; empty becomes NULL."""
-    return F.nullif(F.substring(text, 1, longest), F.lit(""))
+def clean_cut(text: Column, longest: int | None = None) -> Column:
+    """Cut to a length if one is given; empty becomes NULL."""
+    return F.nullif(cut(text, longest), F.lit(""))
 
 
 def clean_id(text: Column, prefix: str) -> Column:

@@ -2,7 +2,8 @@
 
 A change log has the columns
 
-* ``_seq``: order of the operations; unique per key, and across the log for truncates,
+* ``_seq``: order of the operations, of any type that can be ordered (whole numbers become bigint; a struct orders by several
+  columns); unique per key, and across the log for truncates,
 * ``_op``: ``I`` upsert, ``U`` partial update, ``D`` soft delete, ``T`` truncate,
 * ``_supplied``: names of the columns the operation carries; NULL, or no such column at all, for whole rows,
 * the key columns and the value columns of the table.
@@ -30,7 +31,9 @@ def _as_col(value) -> Column:
 
 
 def _log(df: DataFrame, op: str, seq, supplied: Sequence[str] | None = None) -> DataFrame:
-    log = df.withColumns({SEQ: _as_col(seq).cast("bigint"), OP: F.lit(op)})
+    log = df.withColumns({SEQ: _as_col(seq), OP: F.lit(op)})
+    if isinstance(log.schema[SEQ].dataType, (T.NumericType, T.NullType)) and not isinstance(log.schema[SEQ].dataType, T.FractionalType):
+        log = log.withColumn(SEQ, F.col(SEQ).cast("bigint"))
     # a log without the column carries whole rows only, which folds as one struct instead of one per column
     return log if supplied is None else log.withColumn(SUPPLIED, F.array(*map(F.lit, supplied)).cast("array<string>"))
 
@@ -128,7 +131,7 @@ def apply_folded(base: DataFrame | None, folded: DataFrame, keys: Sequence[str],
     the base is not shuffled. ``hash``: each partition of it fits in memory, so the base is shuffled but not sorted.
     ``unknown``: a full outer sort-merge join, which spills. A table without rows yet (None) needs no join.
     """
-    cut = F.lit(None).cast("bigint") if truncated_at is None else truncated_at
+    cut = F.lit(None).cast(folded.schema["_last_i"].dataType) if truncated_at is None else truncated_at
     if base is None:
         missing = {DELETED: F.lit(False), "_hit": F.lit(None).cast("boolean")}
         return _after(folded.withColumns(missing), keys, [*keys, *missing], folded, cut, run_time)

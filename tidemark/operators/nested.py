@@ -78,6 +78,8 @@ def _walk(c: Column, kind: T.DataType, path: str, depth: int, top: str, o: Flatt
     elif isinstance(kind, T.ArrayType):
         width = o.index_lists.get(path)
         if width is not None and isinstance(kind.elementType, T.StructType):
+            too_long = F.raise_error(F.concat(F.lit(f"{path} has more than {width} elements: "), F.size(c)))
+            c = F.when(F.size(c) > width, too_long.cast(kind)).otherwise(c)
             for i in range(width):
                 yield from _walk(F.get(c, F.lit(i)), kind.elementType, f"{path}{o.separator}{i}", depth + 1, top, o)
         elif o.lists != "drop":

@@ -79,6 +79,12 @@ def running_total(df: DataFrame, earlier: int, name: str = "total") -> DataFrame
     return df.agg((F.count("*") + F.lit(earlier)).alias(name))
 
 
+def running_totals(df: DataFrame, run: str, runs: Sequence[int], name: str = "total") -> DataFrame:
+    """Total after each run, runs without rows included: one conditional count a run, in one aggregate."""
+    up_to = [F.struct(F.lit(r).alias(run), F.count(F.when(F.col(run) <= r, 1)).alias(name)) for r in runs]
+    return df.agg(F.array(*up_to).alias("_runs")).select(F.inline("_runs"))
+
+
 def sum_or_zero(c: Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 

@@ -84,11 +84,11 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int, in_memory: int = 10_
         return df.orderBy(*order).limit(n)
     lead, below = order[0], None
     if isinstance(df.schema[lead].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        shares = [i / 100 for i in range(1, 101)]
-        row = df.agg(F.count("*").alias("n"), F.percentile_approx(lead, shares, 10_000).alias("q")).first()
-        if row["n"] <= n:
+        total = df.count()
+        if total <= n:
             return df
-        cut = next((q for share, q in zip(shares, row["q"] or [], strict=False) if share >= n / row["n"] + 0.001), None)
+        # the quantile of just this share, with its error on top
+        cut = df.agg(F.percentile_approx(lead, min(1.0, n / total + 2e-5), 100_000).alias("q")).first()["q"]
         if cut is not None:
             below = df.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cut)))
     numbered, total = _numbered(below if below is not None else df, order, "_n")

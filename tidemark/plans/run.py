@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.changes import upserts
 from tidemark.operators.cursors import infer_cursor, newer
@@ -29,7 +28,7 @@ class TableSpec:
     strategy: str | None = None
     cursor: str | None = None
     transform: Callable[[DataFrame], DataFrame] | None = None
-    buckets: int = 8
+    buckets: int | None = None
 
 
 def plan_tables(spark: SparkSession, specs: Sequence[TableSpec]) -> DataFrame:
@@ -52,11 +51,8 @@ def plan_tables(spark: SparkSession, specs: Sequence[TableSpec]) -> DataFrame:
 
 
 def _sequence(rows: DataFrame, cursor: str | None):
-    """Order between rows of one key in one run: by the cursor where it is a time or a whole number."""
-    kind = rows.schema[cursor].dataType if cursor and cursor in rows.columns else None
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(cursor).cast("timestamp"))
-    return F.col(cursor) if isinstance(kind, T.IntegralType) else 1
+    """Order between rows of one key in one run: by the cursor, whatever its type; a missing cursor comes first."""
+    return F.struct(F.col(cursor).alias("at")) if cursor and cursor in rows.columns else 1
 
 
 def run_specs(spark: SparkSession, specs: Sequence[TableSpec], root: str) -> dict[str, KeyedTable]:

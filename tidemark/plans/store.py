@@ -2,23 +2,24 @@
 
 Layout below the table path::
 
-    data/_version=<commit>/_bucket=<b>/*.parquet    rows of one bucket as of one commit
-    log/_version=<commit>/_bucket=<b>/*.parquet     the folded changes of a commit
-    commits/<commit>.json                    which commit holds each bucket, schema, state, batch id
-
-A commit writes only the buckets its changes touch and becomes visible by one
-rename of its JSON file. Work that stops before the rename leaves unread
-folders behind and can simply be run again.
+    data/_version=<attempt>/_bucket=<b>/*.parquet    rows of one bucket as of one commit
+    log/_version=<attempt>/_bucket=<b>/*.parquet     the folded changes of an attempt
+    commits/<commit>.json    keys, number of buckets, which attempt holds each bucket, schema, state, batch id
+
+A commit writes only the buckets its changes touch, below a folder name that no
+other attempt has, and becomes visible when its JSON file is created; only one
+writer can create it. Work that stops before, and the work of a writer that
+comes second, leaves unread folders behind and can simply be run again.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
-
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,13 +28,21 @@ from tidemark.operators.changes import DELETED, SYNCED, apply_folded, fold_chang
 from tidemark.operators.schema import cast_to, merged_schema
 from tidemark.session import broadcast_limit, hadoop_path, path_bytes
 
-BUCKET = "_bucket"
+BUCKET, PART = "_bucket", "_part"
 
 
 # a task with few buckets writes them side by side instead of sorting its rows by bucket first
 _WRITE_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.maxConcurrentOutputFileWriters": "4"}
-# staged bytes per bucket up to which a join may hold the log of a bucket in memory
+# staged bytes of a task's part of the log up to which the join may hold it in memory
 HASH_BYTES = 32 << 20
+# stored bytes of a bucket for which one more task works on it
+TASK_BYTES = 128 << 20
+# memory for a stored byte of a log: files are compressed and encoded
+IN_MEMORY = 10
+# buckets of a table that names none: one for so many rows of its first write, and at least so many
+BUCKET_ROWS, LEAST_BUCKETS = 10_000_000, 8
+# order of the last write of a row, kept by callers that need it; not part of what read() gives
+ORDER = "_order"
 
 
 @contextmanager
@@ -52,12 +61,25 @@ def _bucket_writes(spark: SparkSession) -> Iterator[None]:
 class KeyedTable:
     """A destination table with a primary key.
 
-    ``buckets`` sets the unit of rewriting: choose it so that one bucket holds
-    a few GB; keys spread over buckets by hash, so buckets stay even.
+    ``buckets`` sets the unit of rewriting and is stored with the table: an existing table keeps its number, whoever
+    opens it; :meth:`rebucket` changes it. A large bucket is worked on by several tasks, so the number bounds what a small
+    commit rewrites, not how many tasks run. A table that names no number gets one by the rows of its first write.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 8):
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+        head = self.head()
+        if head and head["keys"] != self.keys:
+            raise ValueError(f"table {self.path} has the key {head['keys']}, not {self.keys}")
+        if head and buckets is not None and buckets != head["bucket_count"]:
+            raise ValueError(f"table {self.path} has {head['bucket_count']} buckets, not {buckets}; see rebucket()")
+        self.buckets = head["bucket_count"] if head else buckets
+
+    def _choose_buckets(self, rows: DataFrame) -> None:
+        """Fix the number of buckets by the rows of the first write, if the caller has not."""
+        if self.buckets is None:
+            head = self.head()
+            self.buckets = head["bucket_count"] if head else max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS))
 
     # -- commit files ------------------------------------------------------
 
@@ -69,28 +91,33 @@ class KeyedTable:
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
 
     def head(self) -> dict | None:
-        """The newest commit, or None for a table never written."""
-        commits = self._commits()
-        if not commits:
-            return None
-        fs, target = hadoop_path(self.spark, f"{self.path}/commits/{commits[-1]:010d}.json")
-        stream = fs.open(target)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
+        """The newest commit, or None for a table never written. A commit file that is still being written does not count."""
+        for version in reversed(self._commits()):
+            fs, target = hadoop_path(self.spark, f"{self.path}/commits/{version:010d}.json")
+            stream = fs.open(target)
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text.endswith("}"):
+                return json.loads(text)
+        return None
 
     def _publish(self, commit: dict) -> None:
-        fs, temporary = hadoop_path(self.spark, f"{self.path}/commits/.{uuid.uuid4().hex}.tmp")
-        out = fs.create(temporary, False)
+        """Create the commit file if it is absent: of several writers of one version one succeeds."""
+        commit = {"keys": self.keys, "bucket_count": self.buckets, **commit}
+        fs, target = hadoop_path(self.spark, f"{self.path}/commits/{commit['version']:010d}.json")
+        taken = f"commit {commit['version']} of {self.path} was taken by another writer"
+        if fs.exists(target):
+            raise RuntimeError(taken)
+        try:
+            out = fs.create(target, False)
+        except Py4JJavaError as error:
+            raise RuntimeError(taken) from error
         try:
             out.write(bytearray(json.dumps(commit, sort_keys=True), "utf-8"))
         finally:
             out.close()
-        _, target = hadoop_path(self.spark, f"{self.path}/commits/{commit['version']:010d}.json")
-        if fs.exists(target) or not fs.rename(temporary, target):
-            raise RuntimeError(f"commit {commit['version']} of {self.path} was taken by another writer")
 
     # -- reading -----------------------------------------------------------
 
@@ -111,12 +138,13 @@ class KeyedTable:
         return (self.spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
                 .option("basePath", f"{self.path}/data").parquet(*paths).drop("_version"))
 
-    def read(self) -> DataFrame:
+    def read(self, with_order: bool = False) -> DataFrame:
         """All rows, with the deleted flag."""
         head = self.head()
         if head is None:
             raise ValueError(f"table {self.path} has no commit")
-        return self._read(head, sorted(head["buckets"])).drop(BUCKET)
+        rows = self._read(head, sorted(head["buckets"])).drop(BUCKET)
+        return rows if with_order else rows.drop(ORDER)
 
     def active(self) -> DataFrame:
         return self.read().filter(~F.col(DELETED)).drop(DELETED)
@@ -128,13 +156,29 @@ class KeyedTable:
         code = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets))
         return df.withColumn(BUCKET, code.cast("int"))
 
-    def _write(self, df: DataFrame, kind: str, version: int) -> str:
-        # a rerun of a lost commit replaces its own unread folder
-        target = f"{self.path}/{kind}/_version={version}"
+    def _write(self, df: DataFrame, kind: str, attempt: str) -> str:
+        target = f"{self.path}/{kind}/_version={attempt}"
         with _bucket_writes(self.spark):
-            df.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+            df.write.partitionBy(BUCKET).parquet(target)
         return target
 
+    @staticmethod
+    def _attempt(version: int) -> str:
+        return f"v{version}-{uuid.uuid4().hex}"
+
+    def _largest(self, folders: Sequence[str]) -> int:
+        """Bytes of the largest of some bucket folders."""
+        return max([0, *(path_bytes(self.spark, f) for f in folders)])
+
+    def _spread(self, df: DataFrame, buckets: int, splits: int, tasks: int = 0) -> DataFrame:
+        """Partitioned by bucket and, within a bucket, by key: ``splits`` tasks share a bucket.
+
+        No more tasks than ``tasks`` and than the session shuffles with: parts of small tables share a task.
+        """
+        tasks = max(tasks, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        part = F.col(BUCKET) * splits + F.pmod(F.hash(*[F.col(k).cast("string") for k in self.keys]), F.lit(splits))
+        return df.withColumn(PART, part).repartition(max(1, min(tasks, 2 * buckets * splits)), PART)
+
     def _written(self, folder: str) -> list[str]:
         """Bucket folders of one commit: at most ``buckets`` names."""
         fs, target = hadoop_path(self.spark, folder)
@@ -153,11 +197,36 @@ class KeyedTable:
         if run_time is not None:
             rows = rows.withColumn(SYNCED, run_time)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
-        folder = self._write(self._bucketed(rows).repartition(2 * self.buckets, BUCKET), "data", 1)
-        self._publish({"version": 1, "buckets": {b: 1 for b in self._written(folder)}, "schema": schema.jsonValue(),
-                       "state": state or {}, "batch_ids": {}})
+        attempt = self._attempt(1)
+        self._choose_buckets(rows)
+        # as many tasks as the session shuffles with; each writes few buckets
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        spread = self._spread(self._bucketed(rows), self.buckets, max(1, -(-tasks // self.buckets)), 2 * self.buckets).drop(PART)
+        folder = self._write(spread, "data", attempt)
+        head = {"version": 1, "buckets": {b: attempt for b in self._written(folder)}, "schema": schema.jsonValue(), "state": state or {}, "batch_ids": {}}
+        twice = self._read(head, sorted(head["buckets"])).groupBy(*self.keys).count().where("count > 1").select(*self.keys).first()
+        if twice is not None:
+            raise ValueError(f"key {tuple(twice)} occurs more than once")
+        self._publish(head)
         return 1
 
+    def rebucket(self, buckets: int) -> int:
+        """Write all rows over another number of buckets, as a commit of its own."""
+        head = self.head()
+        if head is None:
+            raise ValueError(f"table {self.path} has no commit")
+        rows = self._read(head, sorted(head["buckets"])).drop(BUCKET)
+        before, self.buckets = self.buckets, buckets
+        try:
+            version = head["version"] + 1
+            attempt = self._attempt(version)
+            folder = self._write(self._spread(self._bucketed(rows), buckets, 1, 2 * buckets).drop(PART), "data", attempt)
+            self._publish({**head, "version": version, "bucket_count": buckets, "buckets": {b: attempt for b in self._written(folder)}})
+        except BaseException:
+            self.buckets = before
+            raise
+        return version
+
     def _check_keys(self, stored: T.StructType, schema: T.StructType) -> None:
         whole = (T.ShortType, T.IntegerType, T.LongType)
         for k in self.keys:
@@ -166,19 +235,21 @@ class KeyedTable:
             if old != new and not (isinstance(old, whole) and isinstance(new, whole)):
                 raise ValueError(f"key column {k} changes from {old.simpleString()} to {new.simpleString()}")
 
-    def _log_size(self, log_path: str, touched: int) -> str:
-        """How the staged log may take part in the join, by its measured size (files are compressed, hence the margins)."""
-        size = path_bytes(self.spark, log_path)
-        if size <= broadcast_limit(self.spark) // 4:
+    def _log_size(self, log_path: str, touched: Sequence[str], splits: int) -> str:
+        """How the staged log may take part in the join, by the measured size of all of it or of its largest bucket."""
+        if IN_MEMORY * path_bytes(self.spark, log_path) <= broadcast_limit(self.spark):
             return "broadcast"
-        return "hash" if size / max(1, touched) <= HASH_BYTES else "unknown"
+        largest = self._largest([f"{log_path}/{BUCKET}={b}" for b in touched])
+        return "hash" if IN_MEMORY * largest / splits <= HASH_BYTES else "unknown"
 
-    def _applied(self, base: DataFrame | None, folded: DataFrame, cut, run_time, touched: int, log_size: str) -> DataFrame:
-        """The touched buckets after the log; each bucket ends up in one task unless the log is broadcast."""
+    def _applied(self, base: DataFrame | None, folded: DataFrame, cut, run_time, touched: int, splits: int, log_size: str, tasks: int = 0) -> DataFrame:
+        """The touched buckets after the log; a bucket's rows are shared by ``splits`` tasks unless the log is broadcast."""
         cut = None if cut is None else F.lit(cut)
+        keys = [BUCKET, *self.keys]
         if base is not None and log_size != "broadcast":
-            base, folded = (side.repartition(2 * touched, BUCKET) for side in (base, folded))
-        return apply_folded(base, folded, [BUCKET, *self.keys], cut, run_time, log_size)
+            base, folded = (self._spread(side, touched, splits, tasks) for side in (base, folded))
+            keys = [PART, *keys]
+        return apply_folded(base, folded, keys, cut, run_time, log_size)
 
     def commit(self, changes: DataFrame, state: dict | None = None, batch: tuple[str, int] | None = None,
                run_time: Column | None = None, before_publish=None) -> int:
@@ -190,9 +261,11 @@ class KeyedTable:
         if batch and head["batch_ids"].get(batch[0], -1) >= batch[1]:
             return head["version"]
         version = head["version"] + 1
+        self._choose_buckets(changes)
         log = fold_changes(changes, self.keys, truncates=True)
         seen = Observation()
-        log_path = self._write(self._bucketed(log.observe(seen, F.max("_last_t").alias("cut"))).repartition(BUCKET), "log", version)
+        attempt = self._attempt(version)
+        log_path = self._write(self._bucketed(log.observe(seen, F.max("_last_t").alias("cut"))).repartition(BUCKET), "log", attempt)
         touched = self._written(log_path)
         cut = seen.get["cut"]  # measured by the write itself; the changes are not read again
         log_schema = T.StructType([*log.schema.fields, T.StructField(BUCKET, T.IntegerType())])
@@ -215,13 +288,16 @@ class KeyedTable:
             base = cast_to(self._read(head, touched), schema) if head["buckets"] else None
             folded = folded.select(*[F.col(f.name).cast(schema[f.name].dataType).alias(f.name)
                                      if f.name in self.keys else
-                                     F.col(f.name).cast(T.StructType([T.StructField("s", T.LongType()),
+                                     F.col(f.name).cast(T.StructType([T.StructField("s", f.dataType["s"].dataType),
                                                                       T.StructField("v", schema[f.name[3:]].dataType)]))
                                      .alias(f.name) if f.name.startswith("_x_") else F.col(f.name)
                                      for f in log_schema.fields if f.name != "_last_t"])
-            rows = self._applied(base, folded, cut, run_time, len(touched), self._log_size(log_path, len(touched)))
-            folder = self._write(rows.select(*schema.fieldNames(), BUCKET), "data", version)
-            buckets.update({b: version for b in self._written(folder)})
+            stored_at = [f"{self.path}/data/_version={head['buckets'][b]}/{BUCKET}={b}" for b in touched if b in head["buckets"]]
+            sizes = [path_bytes(self.spark, f) for f in stored_at] or [0]
+            splits, tasks = max(1, -(-max(sizes) // TASK_BYTES)), 2 * -(-sum(sizes) // TASK_BYTES)
+            rows = self._applied(base, folded, cut, run_time, len(touched), splits, self._log_size(log_path, touched, splits), tasks)
+            folder = self._write(rows.select(*schema.fieldNames(), BUCKET), "data", attempt)
+            buckets.update({b: attempt for b in self._written(folder)})
         if before_publish:
             before_publish()
         batch_ids = dict(head["batch_ids"])

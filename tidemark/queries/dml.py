@@ -297,6 +297,26 @@ def two_step(t: Tables):
     return C.apply_changes(C.empty_like(encoded), C.union_changes(C.upserts(encoded, 1), C.upserts(decoded, 2)), ["c_custkey"])
 
 
+@query("dml16b_losing_writer", MIXED_SQL)
+def losing_writer(t: Tables):
+    """A second writer of the same version writes its rows after the first has published: its commit fails, and its retry counts."""
+    table = KeyedTable(t.spark, path := work_dir(t.spark, "race"), ORDER)
+    table.load(slim_orders(t))
+    wrong = C.upserts(slim_orders(t).withColumn("o_totalprice", F.lit(-1.0)), 1)
+    other = KeyedTable(t.spark, path, ORDER)
+
+    def first():
+        other.commit(C.upserts(slim_orders(t), 1))
+
+    try:
+        table.commit(wrong, before_publish=first)
+        raise AssertionError("two writers published one version")
+    except RuntimeError:
+        pass
+    table.commit(mixed_order_changes(t))
+    return table.read()
+
+
 @query("dml16_commit_point", MIXED_SQL)
 def commit_point(t: Tables):
     """A commit that stops before its publish leaves table and state alone; the rerun completes it."""

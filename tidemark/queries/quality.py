@@ -19,11 +19,11 @@ def text_rows(t: Tables):
     return t.customer.select(
         "c_custkey", spoiled(1, F.concat(key, F.lit("b")), key).alias("int_column"),
         spoiled(2, F.lit("  "), F.col("c_name")).alias("string_column"),
-        spoiled(3, F.lit("65442949415460829b"), F.concat(key, F.lit("0000000"))).alias("long_column"),
-        spoiled(4, F.lit('{"a": 1 "b": 2}'), F.concat(F.lit('{"segment": "'), "c_mktsegment", F.lit('"}'))).alias("json_column"),
-        spoiled(5, F.lit("FALSE1"), F.when(k % 2 == 0, "TRUE").otherwise("false")).alias("bool_column"),
-        spoiled(6, F.lit("2014-04-DD"), F.lit("2014-04-09")).alias("date_column"),
-        spoiled(7, F.lit("2016-07-19 12:39:TT"), F.lit("2016-07-19 8:56:09")).alias("stamp_column"))
+        spoiled(3, F.lit("12 thousand"), F.concat(key, F.lit("0000000"))).alias("long_column"),
+        spoiled(4, F.lit('{"open": ['), F.concat(F.lit('{"segment": "'), "c_mktsegment", F.lit('"}'))).alias("json_column"),
+        spoiled(5, F.lit("maybe"), F.when(k % 2 == 0, "TRUE").otherwise("false")).alias("bool_column"),
+        spoiled(6, F.lit("2003-02-3?"), F.lit("2003-02-28")).alias("date_column"),
+        spoiled(7, F.lit("2003-02-28 noon"), F.lit("2003-02-28 7:05:30")).alias("stamp_column"))
 
 
 
@@ -40,7 +40,7 @@ REASON_SQL = """CASE c_custkey % 20 WHEN 1 THEN 'int' WHEN 2 THEN 'string' WHEN
 
 @query("dq01_typed_rows", f"""
 SELECT c_custkey, c_custkey::INTEGER AS int_value, c_custkey * 10000000 AS long_value, c_custkey % 2 = 0 AS bool_value, c_name AS string_value,
-  DATE '2014-04-09' AS date_value, TIMESTAMP '2016-07-19 08:56:09' AS stamp_value FROM customer WHERE {REASON_SQL} IS NULL
+  DATE '2003-02-28' AS date_value, TIMESTAMP '2003-02-28 07:05:30' AS stamp_value FROM customer WHERE {REASON_SQL} IS NULL
 """)
 def typed_rows(t: Tables):
     good = Q.accepted(Q.with_reason(text_rows(t), rules()))

@@ -22,7 +22,15 @@ def lenient_numbers(t: Tables):
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     text = (F.when(k % 4 == 0, k.cast("string")).when(k % 4 == 1, F.concat(F.lit(" "), c.cast("string"), F.lit(" ")))
             .when(k % 4 == 2, F.concat(k.cast("string"), F.lit("b"))).otherwise("4.0"))
-    return t.orders.select("o_orderkey", V.lenient_int(text).alias("as_int"), V.lenient_float(text).alias("as_float"))
+    return t.orders.select("o_orderkey", V.lenient_int(text, "int").alias("as_int"), V.lenient_float(text).alias("as_float"))
+
+
+@query("cnv01b_large_whole_numbers", "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber < 5 THEN l_orderkey * 3000000000 + l_linenumber END AS as_int FROM lineitem")
+def large_whole_numbers(t: Tables):
+    """Whole numbers beyond 32 bit, and text that is none."""
+    big = F.col("l_orderkey") * F.lit(3_000_000_000) + F.col("l_linenumber")
+    text = F.when(F.col("l_linenumber") < 5, F.concat(F.lit(" "), big.cast("string"))).otherwise(F.concat(big.cast("string"), F.lit(".5x")))
+    return t.lineitem.select("l_orderkey", "l_linenumber", V.lenient_int(text).alias("as_int"))
 
 
 @query("cnv02_lenient_dates", """
@@ -175,6 +183,13 @@ def decimal(t: Tables):
     return t.part.select("p_partkey", V.money(price).cast("string").alias("exact"), V.money(price, as_double=True).alias("as_double"))
 
 
+@query("cnv14b_decimal_places", """
+SELECT l_orderkey, l_linenumber, CAST(CAST(l_discount AS DECIMAL(30,4)) AS VARCHAR) AS exact FROM lineitem
+""")
+def decimal_places(t: Tables):
+    return t.lineitem.select("l_orderkey", "l_linenumber", V.money(F.col("l_discount"), precision=30, scale=4).cast("string").alias("exact"))
+
+
 @query("cnv15_typed_cells", """
 SELECT p_partkey, 'NAME' AS title, NULL::TIMESTAMP AS stamp_value, NULL::BOOLEAN AS check_value, NULL::DOUBLE AS number_value, p_name AS text_value FROM part
 UNION ALL SELECT p_partkey, 'SIZE', NULL, NULL, CASE WHEN p_size % 2 = 0 THEN p_size::DOUBLE END, CASE WHEN p_size % 2 = 1 THEN 'n/a' END FROM part
@@ -318,14 +333,30 @@ def sections(t: Tables):
                       F.lit("\nspecies risk matrix:\n- cattle: HIGH now\n* sheep: "), "source", F.lit("\nnothing here\nRECOMMENDED ACTIONS: wait"))
     d = t.documents.select("doc_id", report.alias("report"))
     text = F.col("report")
-    farms = X.section(text, "AFFECTED FARMS", "SPECIES RISK MATRIX", F.lit(""), 200, shortest=0)
-    matrix = X.section(text, "SPECIES RISK MATRIX", "RECOMMENDED ACTIONS", F.lit(""), 300, shortest=0)
+    farms = X.section(text, "AFFECTED FARMS", "SPECIES RISK MATRIX", F.lit(""), 200, 1000)
+    matrix = X.section(text, "SPECIES RISK MATRIX", "RECOMMENDED ACTIONS", F.lit(""), 300, 1000)
     return d.select(
         "doc_id",
-        X.section(text, "RISK ASSESSMENT", "AFFECTED FARMS", F.lit("No assessment available")).alias("assessment"),
+        X.section(text, "RISK ASSESSMENT", "AFFECTED FARMS", F.lit("No assessment available"), 500, 1000, 10).alias("assessment"),
         F.array_join(X.distinct_ids(farms, r"FARM_\d{6}"), ",").alias("farms"),
         F.array_join(F.transform(X.line_map(matrix), lambda p: F.concat(p["name"], F.lit("="), p["value"])), ";").alias("matrix"),
-        X.section(text, "HISTORICAL CORRELATION", None, F.lit("No historical data available"), 800).alias("history"))
+        X.section(text, "HISTORICAL CORRELATION", None, F.lit("No historical data available"), 800, 1000, 10).alias("history"))
+
+
+@query("txt10b_whole_sections", r"""
+SELECT doc_id, coalesce(nullif(regexp_replace(text, '^[ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$', '', 'g'), ''), 'none') AS body, source AS origin FROM documents WHERE text IS NOT NULL
+""")
+def whole_sections(t: Tables):
+    """Sections of any length between headings, the last one open."""
+    report = F.concat(F.lit("Summary of all: first\nWHOLE BODY: "), "text", F.lit("\nOrigin:  "), "source", F.lit("  "))
+    d = t.documents.where("text is not null").select("doc_id", report.alias("report"))
+    return d.select("doc_id", X.section(F.col("report"), "Whole body", "\norigin", F.lit("none")).alias("body"),
+                    X.section(F.col("report"), "Origin", None, F.lit("none")).alias("origin"))
+
+
+@query("txt11b_clean_whole", "SELECT doc_id, nullif(text, '') AS body FROM documents")
+def clean_whole(t: Tables):
+    return t.documents.select("doc_id", X.clean_cut(F.col("text")).alias("body"))
 
 
 @query("txt11_clean_cut", """

@@ -181,6 +181,21 @@ def inferred_cursor(t: Tables):
     return found.join(marks, "table_name")
 
 
+@query("udf07b_text_and_decimal_cursors", """
+SELECT 'text' AS kind, o_custkey, max_by(o_orderkey, (strftime(o_orderdate, '%Y%m%d') || lpad(o_orderkey::VARCHAR, 12, '0'))) AS o_orderkey FROM orders GROUP BY 2
+UNION ALL SELECT 'decimal', o_custkey, max_by(o_orderkey, (o_totalprice, o_orderkey)) FROM orders GROUP BY 2
+""")
+def other_cursors(t: Tables):
+    """Many rows a key in one run: the greatest cursor wins, whatever its type."""
+    text = t.orders.select("o_custkey", "o_orderkey", F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("cursor"))
+    exact = F.col("o_totalprice").cast("decimal(20,2)") + F.col("o_orderkey").cast("decimal(20,0)") / F.lit(10 ** 12).cast("decimal(14,0)")
+    number = t.orders.select("o_custkey", "o_orderkey", exact.cast("decimal(38,12)").alias("cursor"))
+    given = [TableSpec(n, rows, ["o_custkey"], strategy="incremental", cursor="cursor") for n, rows in (("text", text), ("decimal", number))]
+    tables = run_specs(t.spark, given, work_dir(t.spark, "cursors"))
+    one, two = (tables[n].read().select(F.lit(n).alias("kind"), "o_custkey", "o_orderkey") for n in ("text", "decimal"))
+    return one.unionByName(two)
+
+
 @query("udf07_spec_run", """
 SELECT 'part' AS table_name, p_partkey AS key, p_brand AS info, false AS _deleted FROM part
 UNION ALL SELECT 'orders', o_orderkey, CASE WHEN o_orderdate > TIMESTAMP '1998-01-01' THEN lower(o_orderstatus) ELSE o_orderstatus END, false FROM orders

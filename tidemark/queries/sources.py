@@ -29,6 +29,29 @@ def delimited(t: Tables):
     return files.read_delimited(t.spark, path)
 
 
+@query("src01b_quoted_line_breaks", """
+SELECT p_partkey::VARCHAR AS p_partkey, p_name || chr(10) || 'second "line", of ' || p_brand AS note FROM part WHERE p_size % 5 <> 0
+""")
+def quoted_line_breaks(t: Tables):
+    """Cells with line breaks stay whole; lines with a surplus cell go to the rejects."""
+    path = work_dir(t.spark, "csv")
+    cell = F.concat(F.lit('"'), "p_name", F.lit('\nsecond ""line"", of '), "p_brand", F.lit('"'))
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(","), cell, F.when(F.col("p_size") % 5 == 0, ",one too many").otherwise(""))
+    header = F.concat(F.lit("p_partkey,note\n"), F.array_join(F.sort_array(F.collect_list(line)), "\n"))
+    # one small file for each brand and size, each with its header
+    t.part.groupBy("p_brand", "p_size").agg(header.alias("value")).select("value").repartition(4, "value").write.option("lineSep", "\n").text(path)
+    good, rejects = files.read_delimited_checked(t.spark, path)
+    return good.where("p_partkey <> 'p_partkey'")
+
+
+@query("src01c_tab_file", "SELECT c_custkey::VARCHAR AS c_custkey, c_name || ', ' || c_mktsegment AS label, 'é' AS accent FROM customer")
+def tab_file(t: Tables):
+    path = work_dir(t.spark, "tab")
+    t.customer.select("c_custkey", F.concat("c_name", F.lit(", "), "c_mktsegment").alias("label"), F.lit("é").alias("accent")).write.options(
+        **CSV, sep="\t", encoding="ISO-8859-1").csv(path)
+    return files.read_delimited(t.spark, path, delimiter="\t", encoding="ISO-8859-1")
+
+
 @query("src02_typed_pruned", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
 def typed_pruned(t: Tables):
     path = work_dir(t.spark, "csv")
@@ -85,6 +108,17 @@ def page_documents(t: Tables):
     return files.read_pages(t.spark, path, rows="data")
 
 
+@query("src06b_mixed_pages", "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey FROM customer")
+def mixed_pages(t: Tables):
+    """Pages of one folder hold their records under different names; each page chooses its own list."""
+    path = work_dir(t.spark, "pages")
+    row, third = F.struct("c_custkey", "c_name", "c_nationkey"), F.floor(F.col("c_custkey") / 50) % 3
+    page = t.customer.groupBy(F.floor(F.col("c_custkey") / 50).alias("page")).agg(F.collect_list(row).alias("rows"), F.max(third).alias("k"))
+    page.select("page", *[F.when(F.col("k") == i, F.col("rows")).alias(n) for i, n in enumerate(("data", "results", "entries"))],
+                F.array(F.struct(F.lit("late").alias("problem"))).alias("warnings")).write.json(path)
+    return files.read_pages(t.spark, path).where("c_custkey is not null").select("c_custkey", "c_name", "c_nationkey")
+
+
 @query("src07_xml", "SELECT p_partkey, p_name, CASE WHEN p_size % 2 = 0 THEN p_size END AS p_size FROM part")
 def xml(t: Tables):
     path = work_dir(t.spark, "xml")
@@ -172,6 +206,18 @@ def keyed_table(t: Tables):
     return table.read()
 
 
+@query("snk01b_reopened_other_buckets", "SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, false AS _deleted FROM orders")
+def reopened(t: Tables):
+    """Loaded with 8 buckets, opened again without a number, written over 3 buckets, and committed to once more."""
+    path, rows = work_dir(t.spark, "reopened"), t.orders.select("o_orderkey", "o_totalprice")
+    KeyedTable(t.spark, path, ["o_orderkey"], buckets=8).load(rows)
+    table = KeyedTable(t.spark, path, ["o_orderkey"])
+    table.commit(C.upserts(rows.withColumn("o_totalprice", F.lit(0.0)), 1))
+    table.rebucket(3)
+    KeyedTable(t.spark, path, ["o_orderkey"]).commit(C.upserts(rows.withColumn("o_totalprice", F.col("o_totalprice") + 1), 1))
+    return table.read()
+
+
 @query("snk03_run_summary", """
 SELECT TIMESTAMP '2024-02-01 06:00:00' AS sync_start, 3::BIGINT AS table_count, ((SELECT count(*) FROM customer) + (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders))::BIGINT AS record_count,
   'customer,lineitem,orders' AS tables

@@ -29,6 +29,20 @@ def queue_drain(t: Tables):
     return table.read()
 
 
+@query("str01b_late_messages", """
+SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id, max_by(event_type, (ts, event_id)) AS event_type, false AS _deleted FROM events GROUP BY 1
+""")
+def late_messages(t: Tables):
+    """Batches arrive newest first; the order of the messages decides, not the order of the batches."""
+    path = work_dir(t.spark, "late")
+    late = t.events.select("user_id", "event_id", "event_type", "ts")
+    late.repartitionByRange(10, F.col("ts").desc()).write.parquet(path)
+    table = KeyedTable(t.spark, work_dir(t.spark, "latest"), ["user_id"])
+    stream = D.file_stream(t.spark, path, t.spark.read.parquet(path).schema, files_per_batch=3)
+    D.drain(stream, table, work_dir(t.spark, "checkpoint"), "late", order=F.struct("ts", "event_id"))
+    return table.read().drop("ts")
+
+
 @query("str02_write_then_ack", EVENTS)
 def write_then_ack(t: Tables):
     """The drain stops between write and acknowledgement of its second batch and is started again."""

@@ -44,7 +44,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL_ROOT:
         _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="tidemark-"))

@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +19,22 @@ from tidemark.session import hadoop_path
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def read_delimited(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
-    """Delimited text with a header; every column is text. Only the header is read ahead."""
-    return spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
+def read_delimited(spark: SparkSession, path, multi_line: bool = True, delimiter: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """Delimited text with a header; every column is text. Only the header is read ahead.
+
+    Quoted line breaks belong to their cell. Where no cell holds one, ``multi_line=False`` lets Spark split large files.
+    """
+    return spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower(), sep=delimiter, encoding=encoding).csv(path)
+
+
+def read_delimited_checked(spark: SparkSession, path, multi_line: bool = True, delimiter: str = ",", encoding: str = "UTF-8",
+                           corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): rows whose cells match the header, and the raw text of those with more or fewer cells."""
+    plain = read_delimited(spark, path, multi_line, delimiter, encoding)
+    schema = T.StructType([*plain.schema.fields, T.StructField(corrupt, T.StringType())])
+    rows = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower(), sep=delimiter, encoding=encoding,
+                              columnNameOfCorruptRecord=corrupt).schema(schema).csv(path)
+    return rows.where(F.col(corrupt).isNull()).select(*plain.columns), rows.where(F.col(corrupt).isNotNull()).select(corrupt)
 
 
 def read_typed(spark: SparkSession, path, schema: str | T.StructType, columns: Sequence[str]) -> DataFrame:
@@ -99,26 +112,47 @@ def read_pages(spark: SparkSession, path, rows: str | None = None, multi_line: b
     return envelope_rows(spark.read.option("multiLine", str(multi_line).lower()).json(path), rows)
 
 
-def envelope_rows(documents: DataFrame, rows: str | None = None) -> DataFrame:
-    """The records inside page documents.
+# Fixed value: list names that hold records, the likeliest first.
+RECORD_LISTS = ("data", "results", "items", "records", "rows")
 
-    With ``rows`` the named list is taken and anything else is an error; without it ``data`` if it is a list, else
-    the first list, else each document is one row.
-    """
+
+def _chosen_list(documents: DataFrame, rows: str | None, prefer: Sequence[str]) -> tuple[list[str], Column]:
+    """Names of the lists in order of choice, and the one that each document's records are taken from."""
     lists = [f.name for f in documents.schema.fields if isinstance(f.dataType, T.ArrayType)]
     if rows is not None:
         if rows not in lists:
             raise ValueError(f"the documents have no list {rows}")
-        chosen = rows
-    elif "data" in lists:
-        chosen = "data"
-    elif lists:
-        chosen = lists[0]
-    else:
+        lists = [rows]
+    lists = [n for n in prefer if n in lists] + [n for n in lists if n not in prefer]
+    return lists, F.coalesce(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in lists], F.lit(None).cast("string"))
+
+
+def envelope_rows(documents: DataFrame, rows: str | None = None, prefer: Sequence[str] = RECORD_LISTS) -> DataFrame:
+    """The records inside page documents; each document chooses its own list.
+
+    With ``rows`` the named list is taken; without it the first of ``prefer`` that the document has, else the first other
+    list by name. Records of differently named lists come under the union of their columns. If no document has a list,
+    each document is one row; otherwise documents without one are found by :func:`pages_without_rows`.
+    """
+    lists, chosen = _chosen_list(documents, rows, prefer)
+    if not lists:
         return documents
-    element = documents.schema[chosen].dataType.elementType
-    items = documents.select(F.explode(chosen).alias("_item"))
-    return items.select("_item.*") if isinstance(element, T.StructType) else items.select(F.col("_item").alias("value"))
+    if len(lists) > 1:  # columns of lists that no document chooses stay out; one row for each list at most
+        used = {r["n"] for r in documents.select(chosen.alias("n")).distinct().collect()}
+        lists = [n for n in lists if n in used] or lists[:1]
+    out = None
+    for name in lists:
+        element = documents.schema[name].dataType.elementType
+        items = documents.where(chosen == name).select(F.explode(name).alias("_item"))
+        items = items.select("_item.*") if isinstance(element, T.StructType) else items.select(F.col("_item").alias("value"))
+        out = items if out is None else out.unionByName(items, allowMissingColumns=True)
+    return out
+
+
+def pages_without_rows(documents: DataFrame, rows: str | None = None, prefer: Sequence[str] = RECORD_LISTS) -> DataFrame:
+    """Documents that :func:`envelope_rows` finds no list in, as they are."""
+    lists, chosen = _chosen_list(documents, rows, prefer)
+    return documents.where(chosen.isNull()) if lists else documents.limit(0)
 
 
 def read_xml(spark: SparkSession, path, row_tag: str, schema: str | T.StructType | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import upserts
-from tidemark.plans.store import KeyedTable
+from tidemark.plans.store import ORDER, KeyedTable
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
@@ -22,13 +22,29 @@ def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, orde
     """Write everything that has landed into the table, then stop.
 
     Each batch is committed to the table under its batch id before the stream marks it done: a batch that is run
-    again after a stop is recognised and skipped. The rows are upserts; ``order`` (a whole number, such as a message
-    sequence or a time in microseconds) decides between messages of one key in one batch. ``to_log`` turns a batch
-    into any other change log.
+    again after a stop is recognised and skipped. The rows are upserts; ``order`` (a message sequence, a time, or a struct of
+    several columns) decides between messages of one key, in one batch and across batches: it is stored with each
+    row, and a message that comes in a later batch but is older than the row is left out. Without an order a key may occur once
+    in a batch, and later batches win. ``to_log`` turns a batch into any other change log.
     """
 
+    def in_order(batch: DataFrame) -> DataFrame:
+        named = batch.withColumn(ORDER, order)
+        if table.head() is None or ORDER not in table.schema().fieldNames():
+            return named
+        stored = table.read(with_order=True).select(*table.keys, F.col(ORDER).alias("_stored"))
+        return named.join(stored, table.keys, "left").where(F.col("_stored").isNull() | (F.col(ORDER) >= F.col("_stored"))).drop("_stored")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        log = to_log(batch) if to_log else upserts(batch, batch_id if order is None else order)
+        if to_log:
+            log = to_log(batch)
+        elif order is not None:
+            log = upserts(in_order(batch), F.col(ORDER))
+        else:
+            twice = batch.groupBy(*table.keys).count().where("count > 1").select(*table.keys).first()
+            if twice is not None:
+                raise ValueError(f"key {tuple(twice)} occurs more than once in batch {batch_id}; an order is needed")
+            log = upserts(batch, batch_id)
         table.commit(log, state={"batch": batch_id}, batch=(name, batch_id), before_publish=before_publish)
 
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
