@@ -29,12 +29,15 @@ def read_delimited(spark: SparkSession, path, multi_line: bool = True, delimiter
 
 def read_delimited_checked(spark: SparkSession, path, multi_line: bool = True, delimiter: str = ",", encoding: str = "UTF-8",
                            corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects): rows whose cells match the header, and the raw text of those with more or fewer cells."""
+    """(rows, rejects): rows whose cells match the header, and those with more or fewer cells, with their raw text behind.
+
+    Write the rejects out before asking for the raw text alone: the reader does not serve that column by itself.
+    """
     plain = read_delimited(spark, path, multi_line, delimiter, encoding)
     schema = T.StructType([*plain.schema.fields, T.StructField(corrupt, T.StringType())])
     rows = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower(), sep=delimiter, encoding=encoding,
                               columnNameOfCorruptRecord=corrupt).schema(schema).csv(path)
-    return rows.where(F.col(corrupt).isNull()).select(*plain.columns), rows.where(F.col(corrupt).isNotNull()).select(corrupt)
+    return rows.where(F.col(corrupt).isNull()).select(*plain.columns), rows.where(F.col(corrupt).isNotNull())
 
 
 def read_typed(spark: SparkSession, path, schema: str | T.StructType, columns: Sequence[str]) -> DataFrame:
