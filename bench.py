@@ -18,14 +18,14 @@ from tidemark.queries import QUERIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "dml00_mixed_changes", "dml01_upsert", "dml01b_upsert_lineitem", "dml08_log_replay", "dml10_snapshot_compare", "snk01_keyed_table",
+    "dml00_mixed_changes", "dml01_upsert", "dml01b_upsert_lineitem", "dml01c_upsert_lineitem_table", "dml08_log_replay", "dml10_snapshot_compare", "snk01_keyed_table",
     "nst01_flatten", "nst04_parent_and_child", "nst07_child_tree", "hsh01_row_hash", "hsh02b_row_id_lineitem", "hsh06_generated_key",
     "jon06_edges", "jon10_compare_hashes", "agg06_merge_counts", "agg07_latest_fact", "agg17_assemble",
     "win01_keep_first", "win03_chunk_bounds", "win04_pages", "win06_versions", "inc04_keyset", "inc08_mark_per_parent",
     "inc16_resume_after_cap", "dq01_typed_rows", "src02_typed_pruned", "src05_parquet_export", "src10_interval",
     "str01_queue_drain", "str06_stepped_series", "udf02_budgeted_score", "udf03_consensus", "txt10_sections",
 ]
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def main() -> None:

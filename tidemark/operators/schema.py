@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +29,7 @@ DECLARED_TYPES: dict[str, T.DataType] = {
 }
 
 # Source type names per source family and the declared type each becomes.
-# Decimal and money keep their digits (precision and scale follow the name).
+# Decimals take precision and scale from the type text where it has them; those here are for bare names.
 SOURCE_TYPES: dict[str, dict[str, str]] = {
     "sqlserver": {
         "bit": "BOOLEAN", "tinyint": "SHORT", "smallint": "SHORT", "int": "INT", "integer": "INT",
@@ -61,6 +62,7 @@ SOURCE_TYPES: dict[str, dict[str, str]] = {
         "boolean": "BOOLEAN", "tinyint": "SHORT", "smallint": "SHORT", "int": "INT", "bigint": "LONG",
         "float": "FLOAT", "double": "DOUBLE", "date": "NAIVE_DATE", "timestamp_ntz": "NAIVE_DATETIME",
         "timestamp": "UTC_DATETIME", "binary": "BINARY", "string": "STRING", "variant": "JSON",
+        "decimal": "DECIMAL(38,9)", "array": "JSON", "map": "JSON", "struct": "JSON",
     },
 }
 
@@ -162,6 +164,11 @@ def inexact_as_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("inexact")) for c in columns])))
 
 
+def loses_as_double(c: Column, kind: T.DataType) -> Column:
+    """Whether a whole or decimal number is another one after a trip through double."""
+    return F.coalesce(c.cast("double").cast(kind) != c, F.lit(False))
+
+
 def narrowest_type(text: Column) -> Column:
     """Name of the narrowest type that holds a text: int, bigint, double or string; NULL for NULL."""
     return (F.when(text.isNull(), F.lit(None))
@@ -182,10 +189,16 @@ def inferred_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def infer_json(df: DataFrame, column: str) -> str:
-    """DDL of all JSON texts of a column: one aggregate, one row to the driver."""
+    """Schema of all JSON texts of a column as Spark names it for variants: one aggregate, one row to the driver."""
     return df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"]
 
 
+def json_ddl(df: DataFrame, column: str) -> str:
+    """The same schema as DDL, at any depth; columns without a type are text."""
+    found = infer_json(df, column)
+    return re.sub(r"\bVOID\b", "STRING", re.sub(r"\bOBJECT<", "STRUCT<", found))
+
+
 def drop_undeclared_nulls(df: DataFrame, declared: Sequence[str]) -> DataFrame:
     """Leave out columns that are NULL in all rows unless they are declared (one aggregate row decides)."""
     open_columns = [c for c in df.columns if c not in declared]
@@ -202,12 +215,15 @@ def source_type_table(spark: SparkSession) -> DataFrame:
 
 
 def map_source_types(catalogue: DataFrame, family: str, type_column: str = "data_type") -> DataFrame:
-    """Catalogue rows with the declared type of their source type; unknown types are STRING."""
+    """Catalogue rows with the declared type of their source type; unknown types are STRING, nested ones JSON."""
     types = source_type_table(catalogue.sparkSession).filter(F.col("family") == family).drop("family")
-    base = F.lower(F.trim(F.regexp_replace(F.col(type_column), r"\(.*\)", "")))
+    base = F.lower(F.trim(F.regexp_replace(F.col(type_column), r"\(.*\)|<.*>", "")))
+    digits = F.regexp_extract(F.col(type_column), r"^[^<(]*\(\s*(\d+\s*(,\s*\d+)?)\s*\)", 1)
+    digits = F.when(digits.contains(","), F.regexp_replace(digits, r"\s", "")).otherwise(F.concat(digits, F.lit(",0")))
+    exact = F.col("source_type").isin("decimal", "numeric", "number", "dec") & F.col(type_column).rlike(r"\(\s*\d+")
     return (catalogue.withColumn("source_type", base)
             .join(types, "source_type", "left")
-            .withColumn("declared_type", F.coalesce("declared_type", F.lit("STRING")))
+            .withColumn("declared_type", F.when(exact, F.concat(F.lit("DECIMAL("), digits, F.lit(")"))).otherwise(F.coalesce("declared_type", F.lit("STRING"))))
             .drop("source_type"))
 
 

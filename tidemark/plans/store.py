@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import DELETED, SYNCED, apply_folded, fold_changes, with_full_keys
-from tidemark.operators.schema import cast_to, merged_schema
+from tidemark.operators.schema import cast_to, loses_as_double, merged_schema
 from tidemark.session import broadcast_limit, hadoop_path, path_bytes
 
 BUCKET, PART = "_bucket", "_part"
@@ -251,6 +251,18 @@ class KeyedTable:
             keys = [PART, *keys]
         return apply_folded(base, folded, keys, cut, run_time, log_size)
 
+    def _without_loss(self, schema: T.StructType, stored: T.StructType, incoming: T.StructType, head: dict, staged: DataFrame) -> T.StructType:
+        """Whole and decimal numbers that widen to double meet at text instead, if any of their values would lose digits."""
+        exact = (T.LongType, T.DecimalType)
+        lost = set()
+        for names, kinds, rows, at in ((stored.fieldNames(), stored, lambda: self._read(head, sorted(head["buckets"])), "{}"),
+                                       (incoming.fieldNames(), incoming, lambda: staged, "_x_{}.v")):
+            risky = [n for n in names if n not in self.keys and isinstance(schema[n].dataType, T.DoubleType) and isinstance(kinds[n].dataType, exact)]
+            if risky:
+                found = rows().agg(*[F.max(loses_as_double(F.col(at.format(n)), kinds[n].dataType)).alias(n) for n in risky]).first()
+                lost |= {n for n in risky if found[n]}
+        return T.StructType([T.StructField(f.name, T.StringType() if f.name in lost else f.dataType, True) for f in schema.fields])
+
     def commit(self, changes: DataFrame, state: dict | None = None, batch: tuple[str, int] | None = None,
                run_time: Column | None = None, before_publish=None) -> int:
         """Apply a change log and store the state with it; returns the version.
@@ -277,6 +289,7 @@ class KeyedTable:
                                 + [T.StructField(f.name[3:], f.dataType["v"].dataType, True)
                                    for f in log.schema.fields if f.name.startswith("_x_")])
         schema, widened = merged_schema(stored, incoming)
+        schema = self._without_loss(schema, stored, incoming, head, staged)
         self._check_keys(stored, schema)
         extra = [T.StructField(DELETED, T.BooleanType())] + ([T.StructField(SYNCED, T.TimestampNTZType())]
                                                             if run_time is not None else [])

@@ -89,6 +89,19 @@ def upsert_lineitem(t: Tables):
     return C.apply_changes(rows, C.upserts(changed, 1), ["_row_id"]).drop("_row_id")
 
 
+@query("dml01c_upsert_lineitem_table", """
+SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey, sum(CAST(l_quantity AS BIGINT))::BIGINT + CASE WHEN max(l_partkey) % 10 = 0 THEN 100 ELSE 0 END AS quantity, false AS _deleted
+FROM lineitem GROUP BY 1, 2
+""")
+def upsert_lineitem_table(t: Tables):
+    """Lineitem as a stored table, then a tenth of it upserted."""
+    rows = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("l_partkey"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
+    table = KeyedTable(t.spark, work_dir(t.spark, "lineitem"), ["l_orderkey", "l_linenumber"])
+    table.load(rows)
+    table.commit(C.upserts(rows.filter(every("l_partkey", 10)).withColumn("quantity", F.col("quantity") + 100), 1))
+    return table.read()
+
+
 @query("dml02_partial_update", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
   CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 10 ELSE o_totalprice END AS o_totalprice, false AS _deleted

@@ -87,6 +87,44 @@ def inferred_json(t: Tables):
     return rows.agg(F.count("*").alias("rows"), F.sum("p.k").alias("total")).withColumn("json_schema", F.lit(found))
 
 
+@query("sch02c_nested_json", """
+SELECT event_id, event_type AS name, CAST(event_id + 3000000000 AS BIGINT) AS big, user_id AS first FROM events
+""")
+def nested_json(t: Tables):
+    """Objects in objects and lists in objects, read under the inferred DDL."""
+    text = F.to_json(F.struct(F.struct(F.col("event_type").alias("name"), F.struct((F.col("event_id") + 3_000_000_000).alias("big")).alias("deep")).alias("outer"),
+                              F.array(F.struct(F.col("user_id").alias("u"))).alias("list")))
+    rows = t.events.select("event_id", text.alias("j"))
+    parsed = rows.select("event_id", F.from_json("j", S.json_ddl(rows, "j")).alias("p"))
+    return parsed.select("event_id", F.col("p.outer.name").alias("name"), F.col("p.outer.deep.big").alias("big"), F.get("p.list", F.lit(0))["u"].alias("first"))
+
+
+@query("sch03c_widening_without_loss", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '0.5' ELSE (9007199254740993 + 2 * o_orderkey)::VARCHAR END AS large,
+  CASE WHEN o_orderkey % 5 = 0 THEN 0.5::DOUBLE ELSE (o_custkey)::DOUBLE END AS small, false AS _deleted FROM orders
+""")
+def widening_without_loss(t: Tables):
+    """Whole numbers meet fractions: as double where every number stays, as text where digits would go."""
+    table = KeyedTable(t.spark, work_dir(t.spark, "exact"), ["o_orderkey"], buckets=4)
+    table.load(t.orders.select("o_orderkey", (F.lit(9007199254740993) + 2 * F.col("o_orderkey")).alias("large"), F.col("o_custkey").cast("bigint").alias("small")))
+    table.commit(C.upserts(t.orders.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit(0.5).alias("large"), F.lit(0.5).alias("small")), 1))
+    return table.read()
+
+
+@query("sch06b_mapped_read", """
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS price, '[' || o_custkey || ',' || o_orderkey || ']' AS pair, o_orderdate FROM orders
+""")
+def mapped_read(t: Tables):
+    """The mapped types drive the read: decimals keep precision and scale, nested values become JSON."""
+    source = t.orders.select("o_orderkey", F.col("o_totalprice").cast("decimal(15,2)").alias("price"), F.array("o_custkey", "o_orderkey").alias("pair"), "o_orderdate")
+    mapped = S.map_source_types(K.columns_of(t.spark, {"orders": source}), "spark")
+    declared = {r["column_name"]: r["declared_type"] for r in mapped.collect()}  # one row for each column
+    if declared["price"] != "DECIMAL(15,2)":
+        raise AssertionError(declared)
+    typed = S.with_declared_types(source, declared)
+    return typed.withColumn("price", F.col("price").cast("string"))
+
+
 @query("sch03_widening", """
 SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'about ' || p_size WHEN p_partkey % 3 = 0 THEN (p_size + 0.5)::DOUBLE::VARCHAR ELSE p_size::DOUBLE::VARCHAR END AS size, false AS _deleted FROM part
 """)
