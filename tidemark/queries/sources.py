@@ -192,6 +192,14 @@ def vertex_properties(t: Tables):
     return graph.property_table(customer_vertices(t), "c_custkey", ["name", "segment"])
 
 
+@query("src12c_edges", """
+SELECT 'e' || l_orderkey || '-' || l_linenumber || '-' || l_partkey AS edge_id, 'supplies' AS edge_label, l_suppkey AS out_vertex_id, l_partkey AS in_vertex_id, l_quantity FROM lineitem
+""")
+def edges(t: Tables):
+    rows = t.lineitem.withColumn("id", F.concat(F.lit("e"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")))
+    return graph.edge_table(rows, "id", F.lit("supplies"), "l_suppkey", "l_partkey", ["l_quantity"])
+
+
 @query("snk01_keyed_table", """
 SELECT l_orderkey, l_linenumber, sum(CAST(l_quantity AS BIGINT))::BIGINT + CASE WHEN max(l_returnflag) = 'R' THEN 1 ELSE 0 END AS quantity, max(l_returnflag) AS flag, false AS _deleted,
   CASE WHEN max(l_returnflag) = 'R' THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS _synced FROM lineitem GROUP BY 1, 2

@@ -29,6 +29,16 @@ def queue_drain(t: Tables):
     return table.read()
 
 
+@query("src14_topics", "SELECT event_type AS topic, max(event_id) AS position, count(*) AS messages FROM events GROUP BY 1")
+def topics(t: Tables):
+    """Several topics in one run: the messages of all in one table, and the last position of each in its state."""
+    table = KeyedTable(t.spark, work_dir(t.spark, "topics"), ["event_type", "event_id"])
+    D.drain(landed(t, t.events.select("event_type", "event_id", "ts")), table, work_dir(t.spark, "checkpoint"), "topics", positions=("event_type", "event_id"))
+    state = [(k.removeprefix("position:"), v) for k, v in table.state().items() if k.startswith("position:")]  # one row for each topic
+    counts = table.read().groupBy(F.col("event_type").alias("topic")).agg(F.count("*").alias("messages"))
+    return counts.join(t.spark.createDataFrame(state, "topic string, position bigint"), "topic")
+
+
 @query("str01b_late_messages", """
 SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id, max_by(event_type, (ts, event_id)) AS event_type, false AS _deleted FROM events GROUP BY 1
 """)

@@ -18,14 +18,15 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 
 def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, order: Column | None = None,
-          to_log: Callable[[DataFrame], DataFrame] | None = None, before_publish=None) -> None:
+          to_log: Callable[[DataFrame], DataFrame] | None = None, before_publish=None, positions: tuple[str, str] | None = None) -> None:
     """Write everything that has landed into the table, then stop.
 
     Each batch is committed to the table under its batch id before the stream marks it done: a batch that is run
     again after a stop is recognised and skipped. The rows are upserts; ``order`` (a message sequence, a time, or a struct of
     several columns) decides between messages of one key, in one batch and across batches: it is stored with each
     row, and a message that comes in a later batch but is older than the row is left out. Without an order a key may occur once
-    in a batch, and later batches win. ``to_log`` turns a batch into any other change log.
+    in a batch, and later batches win. ``to_log`` turns a batch into any other change log. ``positions`` (topic column, position
+    column) keeps the last position of each topic in the table's state, committed with the rows; one row for each topic reaches the driver.
     """
 
     def in_order(batch: DataFrame) -> DataFrame:
@@ -45,7 +46,13 @@ def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, orde
             if twice is not None:
                 raise ValueError(f"key {tuple(twice)} occurs more than once in batch {batch_id}; an order is needed")
             log = upserts(batch, batch_id)
-        table.commit(log, state={"batch": batch_id}, batch=(name, batch_id), before_publish=before_publish)
+        state = {"batch": batch_id}
+        if positions is not None:
+            old = table.state()
+            for topic, last in batch.groupBy(positions[0]).agg(F.max(positions[1])).collect():
+                name_of = f"position:{topic}"
+                state[name_of] = max(last, old.get(name_of, last))
+        table.commit(log, state=state, batch=(name, batch_id), before_publish=before_publish)
 
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
