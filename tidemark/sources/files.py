@@ -164,8 +164,13 @@ def read_xml(spark: SparkSession, path, row_tag: str, schema: str | T.StructType
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def interval_scan(df: DataFrame, time: str, start, end, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
-    """Rows of a half-open interval; prunes date partitions and Parquet row groups."""
+def interval_scan(df: DataFrame, time: str, start, end, columns: Sequence[str] | None = None, limit: int | None = None,
+                  order: Sequence[str] = ()) -> DataFrame:
+    """Rows of a half-open interval; prunes date partitions and Parquet row groups. A limit needs the order that decides which rows."""
     out = df.filter((F.col(time) >= F.lit(start)) & (F.col(time) < F.lit(end)))
     out = out.select(*columns) if columns else out
-    return out.limit(limit) if limit is not None else out
+    if limit is None:
+        return out
+    if not order:
+        raise ValueError("a limit needs an order")
+    return out.orderBy(*order).limit(limit)
