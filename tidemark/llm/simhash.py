@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import columns, free_name, map_texts, quoted, written
 
 SHINGLE, RADIUS = 3, 3
-#: Fewest slices, and the fingerprints for which one more slice is made.
-SLICES, PER_SLICE = 64, 250_000
+#: Fewest slices; most centres and most fingerprints of a slice, whatever the parities; fingerprints a task sends on at once, copies included.
+SLICES, CENTRES, HOLDERS, SENT = 64, 8_000_000, 32_000_000, 4_000_000
 SINGLE = np.uint64(1) << np.arange(64, dtype=np.uint64)
 DOUBLE = np.array([SINGLE[i] | SINGLE[j] for i, j in itertools.combinations(range(64), 2)], dtype=np.uint64)
 SELF = np.zeros(1, dtype=np.uint64)
@@ -171,18 +171,33 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[member], nodes[root[member]]
 
 
-def ties(fps: DataFrame, name: str = "fp") -> DataFrame:
-    """Ties (a, b) between distinct fingerprints that connect all those within the radius."""
-    count = fps.count()
+def slices_for(count: int) -> int:
+    """A power of two such that no slice holds too much: centres fall evenly, a fingerprint goes to 2,017 slices at most."""
     slices = SLICES
-    while slices * PER_SLICE < count:
+    while count * (1 + len(SINGLE)) > CENTRES * slices or count * min(1.0, (1 + len(DOUBLE)) / slices) > HOLDERS:
         slices *= 2
+    return slices
+
+
+def ties(fps: DataFrame, name: str = "fp") -> DataFrame:
+    """Ties (a, b) between distinct fingerprints that connect all those within the radius."""
+    slices = slices_for(fps.count())
+    at_once = SENT // min(slices, 1 + len(DOUBLE))
 
     def scatter(batches):
+        def sent():
+            # a row for each slice, its fingerprints packed
+            parts = to_slices(np.concatenate(held), slices)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([p.tobytes() for p in parts.values()], pa.binary())], ["slice", "fps"])
+
+        held: list[np.ndarray] = []
         for batch in batches:
-            # the batch's own fingerprints only: a row for each slice with the fingerprints packed
-            parts = to_slices(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), slices)
-            yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([p.tobytes() for p in parts.values()], pa.binary())], ["slice", "fps"])
+            held.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            if sum(map(len, held)) >= at_once:
+                yield sent()
+        if held:
+            yield sent()
 
     def meet(table):
         parts = table.column("fps")
