@@ -406,7 +406,7 @@ def test_each_pair_meets_in_some_slice(slices):
 
 def test_fingerprint_brute_force(llm_spark):
     import xxhash
-    for text in [None, "", "One", "one two", "a b c d e a b c A B C", "é ü x y\x0bz q"]:
+    for text in [None, "", " ".join(f"w{i % 977}" for i in range(140_000)), "One", "one two", "a b c d e a b c A B C", "é ü x y\x0bz q"]:
         words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")) if w]
         grams = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
         hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]

@@ -44,15 +44,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     if not words:
         return 0
     digest, join = xxhash.xxh64_digest, b" ".join
-    if len(words) <= shingle:
-        hashes = [digest(join(words), 42)]
-    else:
-        hashes = [digest(x, 42) for x in map(join, zip(*[words[i:] for i in range(shingle)]))]
+    size = min(shingle, len(words))
+    count = len(words) - size + 1
     bits = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 16):  # long texts in blocks
-        part = np.frombuffer(b"".join(hashes[at:at + (1 << 16)]), dtype=np.uint8).reshape(-1, 8)
-        bits += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * bits > len(hashes)).tobytes(), "big")
+    for at in range(0, count, 1 << 16):  # long texts in blocks
+        block = words[at:at + (1 << 16) + size - 1]
+        hashes = b"".join([digest(x, 42) for x in map(join, zip(*[block[i:] for i in range(size)]))])
+        bits += np.unpackbits(np.frombuffer(hashes, dtype=np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * bits > count).tobytes(), "big")
 
 
 def signed(value: int) -> int:
