@@ -50,12 +50,14 @@ def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
     """Words inside windows that occur twice or more in the text, the first occurrence included."""
     if len(words) <= window:
         return 0
-    grams = list(zip(*[words[i:] for i in range(window)]))
-    if len(set(grams)) == len(grams):
-        return 0
-    times = Counter(grams)
+    hashes = list(map(hash, zip(*[words[i:] for i in range(window)])))
+    if len(set(hashes)) == len(hashes):
+        return 0  # equal windows have equal hashes
+    seen = Counter(hashes)
+    again = [(i, tuple(words[i:i + window])) for i, h in enumerate(hashes) if seen[h] > 1]
+    times = Counter(g for _, g in again)
     count, until = 0, 0
-    for i, g in enumerate(grams):
+    for i, g in again:
         if times[g] > 1:
             count += i + window - max(i, until)
             until = i + window
