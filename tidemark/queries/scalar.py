@@ -319,28 +319,28 @@ def padded_code(t: Tables):
 
 @query("txt10_sections", r"""
 SELECT doc_id,
-  CASE WHEN length(regexp_replace(text, '^\s+|\s+$', '', 'g')) > 10 THEN substring(regexp_replace(text, '^\s+|\s+$', '', 'g'), 1, 1000) ELSE 'No assessment available' END AS assessment,
-  CASE WHEN doc_id % 2 = 0 THEN 'FARM_' || lpad((doc_id % 7)::VARCHAR, 6, '0') || CASE WHEN doc_id % 7 = 3 THEN '' ELSE '' END ELSE '' END AS farms,
-  'cattle=HIGH;sheep=' || source AS matrix, 'No historical data available' AS history
+  CASE WHEN length(regexp_replace(text, '^\s+|\s+$', '', 'g')) > 10 THEN substring(regexp_replace(text, '^\s+|\s+$', '', 'g'), 1, 1000) ELSE 'no note' END AS note,
+  CASE WHEN doc_id % 2 = 0 THEN 'SITE-' || lpad((doc_id % 7)::VARCHAR, 6, '0') || CASE WHEN doc_id % 7 = 3 THEN '' ELSE '' END ELSE '' END AS sites,
+  'valley=HIGH;ridge=' || source AS levels, 'nothing kept' AS history
 FROM documents
 """)
 def sections(t: Tables):
     """A report text with headings around the whole document text."""
     k = F.col("doc_id")
-    farm = F.concat(F.lit("FARM_"), F.lpad((k % 7).cast("string"), 6, "0"))
-    report = F.concat(F.lit("Risk Assessment: "), "text", F.lit("\nAFFECTED FARMS: "),
-                      F.when(k % 2 == 0, F.concat(farm, F.lit(" and "), farm)).otherwise("none"),
-                      F.lit("\nspecies risk matrix:\n- cattle: HIGH now\n* sheep: "), "source", F.lit("\nnothing here\nRECOMMENDED ACTIONS: wait"))
+    site = F.concat(F.lit("SITE-"), F.lpad((k % 7).cast("string"), 6, "0"))
+    report = F.concat(F.lit("Weather note: "), "text", F.lit("\nSTATIONS: "),
+                      F.when(k % 2 == 0, F.concat(site, F.lit(" and "), site)).otherwise("none"),
+                      F.lit("\nlevels by place:\n- valley: HIGH now\n* ridge: "), "source", F.lit("\nnothing here\nADVICE: wait"))
     d = t.documents.select("doc_id", report.alias("report"))
     text = F.col("report")
-    farms = X.section(text, "AFFECTED FARMS", "SPECIES RISK MATRIX", F.lit(""), 200, 1000)
-    matrix = X.section(text, "SPECIES RISK MATRIX", "RECOMMENDED ACTIONS", F.lit(""), 300, 1000)
+    sites = X.section(text, "STATIONS", "LEVELS BY PLACE", F.lit(""), 200, 1000)
+    levels = X.section(text, "LEVELS BY PLACE", "ADVICE", F.lit(""), 300, 1000)
     return d.select(
         "doc_id",
-        X.section(text, "RISK ASSESSMENT", "AFFECTED FARMS", F.lit("No assessment available"), 500, 1000, 10).alias("assessment"),
-        F.array_join(X.distinct_ids(farms, r"FARM_\d{6}"), ",").alias("farms"),
-        F.array_join(F.transform(X.line_map(matrix), lambda p: F.concat(p["name"], F.lit("="), p["value"])), ";").alias("matrix"),
-        X.section(text, "HISTORICAL CORRELATION", None, F.lit("No historical data available"), 800, 1000, 10).alias("history"))
+        X.section(text, "WEATHER NOTE", "STATIONS", F.lit("no note"), 500, 1000, 10).alias("note"),
+        F.array_join(X.distinct_ids(sites, r"SITE-\d{6}"), ",").alias("sites"),
+        F.array_join(F.transform(X.line_map(levels), lambda p: F.concat(p["name"], F.lit("="), p["value"])), ";").alias("levels"),
+        X.section(text, "PAST YEARS", None, F.lit("nothing kept"), 800, 1000, 10).alias("history"))
 
 
 @query("txt10b_whole_sections", r"""
