@@ -63,14 +63,23 @@ def test_running_sum_and_pages(spark):
     assert pages == sorted([(k, k // 40, k % 40) for k in range(500)], key=repr)
 
 
-def test_first_rows_by_position_equals_limit(spark):
-    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("g"))
-    small = rows(windows.first_rows(df, ["g", "id"], 300))
-    assert small == rows(windows.number_rows(df, ["g", "id"], "_n").filter("_n <= 300").drop("_n"))
-    assert small == rows(windows.first_rows(df, ["g", "id"], 300, in_memory=10))
-    assert windows.first_rows(df, ["g", "id"], 5000, in_memory=10).count() == 1000
+def test_first_rows_equal_limit(spark):
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 9 > 0, F.col("id") % 7).alias("g"))
+    for order in (["g", "id"], ["id"]):
+        small = rows(windows.first_rows(df, order, 300))
+        assert len(small) == 300 and small == rows(windows.first_rows(df, order, 300, heap=True))
+        assert rows(windows.split_at(df, order, 300)[1]) == sorted(set(map(tuple, df.collect())) - set(small), key=repr)
+    assert windows.first_rows(df, ["g", "id"], 5000).count() == 1000 and windows.first_rows(df, ["g"], 0).count() == 0
     text = df.withColumn("g", F.col("g").cast("string"))
-    assert len(small) == 300 and rows(windows.first_rows(text, ["g", "id"], 300, in_memory=10).select("id")) == sorted([(r[0],) for r in small], key=repr)
+    assert rows(windows.first_rows(text, ["g", "id"], 300)) == rows(windows.first_rows(text, ["g", "id"], 300, heap=True))
+
+
+@pytest.mark.parametrize("n", [1, 50, 111, 112, 130, 999])
+def test_ties_keep_the_number_of_rows(spark, n):
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 9 > 0, F.col("id") % 7).alias("g"))
+    first, rest = windows.split_at(df, ["g"], n)
+    assert first.count() == n and rest.count() == 1000 - n
+    assert rows(first.select("g")) == rows(windows.first_rows(df, ["g"], n, heap=True).select("g"))
 
 
 def test_valid_to_over_a_hot_key(spark):

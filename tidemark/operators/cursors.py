@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.windows import first_rows, number_rows
+from tidemark.operators.windows import first_rows, split_at
 
 
 def newer(c: Column, mark, inclusive: bool = False) -> Column:
@@ -42,7 +42,7 @@ def id_steps(df: DataFrame, key: str, start: int, step: int) -> DataFrame:
 
 def after_offset(df: DataFrame, order: Sequence[str], offset: int) -> DataFrame:
     """Rows beyond a row offset in a total order."""
-    return number_rows(df, order, "_n").filter(F.col("_n") > offset).drop("_n")
+    return split_at(df, order, offset)[1]
 
 
 def time_windows(start: datetime, end: datetime, span: timedelta) -> list[tuple[datetime, datetime]]:
@@ -119,9 +119,9 @@ def client_filter_counts(df: DataFrame, time: str, mark, missing: str = "keep")
     return df.agg(F.count_if(test).alias("synced"), F.count_if(~test).alias("skipped"))
 
 
-def capped(df: DataFrame, order: Sequence[str], mark: Sequence | None, cap: int) -> DataFrame:
-    """At most ``cap`` rows beyond a composite mark, in order; the cap is the budget of the run."""
-    return first_rows(df.filter(after_position(order, mark)), order, cap)
+def capped(df: DataFrame, order: Sequence[str], mark: Sequence | None, cap: int, heap: bool = False) -> DataFrame:
+    """At most ``cap`` rows beyond a composite mark, in order; the cap is the budget of the run, ``heap`` as in first_rows."""
+    return first_rows(df.filter(after_position(order, mark)), order, cap, heap)
 
 
 def position_of(df: DataFrame, order: Sequence[str], previous: Sequence | None = None) -> list | None:

@@ -31,13 +31,13 @@ def row_budget(calls: int, calls_per_row: int) -> int:
 
 
 def budgeted_score(df: DataFrame, key: str, text: str, score: Callable[[Column], Column], name: str, budget: int,
-                   order: Sequence[str] | None = None) -> DataFrame:
+                   order: Sequence[str] | None = None, heap: bool = False) -> DataFrame:
     """Scores for the first ``budget`` rows that have a text, NULL for the others.
 
-    Only the chosen rows reach the scorer; ``key`` is unique, so the join back adds no row.
+    Only the chosen rows reach the scorer; ``key`` is unique, so the join back adds no row. ``heap`` as in first_rows.
     """
     chosen = first_rows(df.filter(F.col(text).isNotNull() & (F.col(text) != "")).select(key, text, *(order or [])),
-                        order or [key], budget)
+                        order or [key], budget, heap)
     scored = chosen.select(key, score(F.col(text)).alias(name))
     return df.join(scored, key, "left")
 
@@ -57,7 +57,7 @@ def assessment_rows(df: DataFrame, key: str, answer: str, schema: str, kind: str
     return parsed.filter(filled).select(key, F.lit(kind).alias("assessment_type"), "_a.*")
 
 
-def seed_and_expand(facts: DataFrame, links: DataFrame, seed: DataFrame, item: str, hops: int, step_limit: int) -> DataFrame:
+def seed_and_expand(facts: DataFrame, links: DataFrame, seed: DataFrame, item: str, hops: int, step_limit: int | None = None) -> DataFrame:
     """Counts per item for the seeds and for the items reached from them, with the hop."""
     from tidemark.operators.joins import expand_frontier
 

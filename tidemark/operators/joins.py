@@ -61,18 +61,18 @@ def expand_frontier(seed: DataFrame, links: DataFrame, hops: int, step_limit: in
     """Ids reached from the seeds over an undirected two-column link table ``(item, via)``, with their hop.
 
     A hop goes item to via to item; ids seen before (seeds included) are never taken again. With
-    ``step_limit`` each hop keeps that many new ids, most linked first, then by id. Each hop is written out,
-    so the plan does not grow with the hops.
+    ``step_limit`` each hop keeps that many new ids, most linked first, then by id. The new ids of
+    each hop are written out once, so the plan grows by one scan a hop and ids seen before are not written again.
     """
-    visited = materialise(seed.select("item").distinct().withColumn("hop", F.lit(0)), "hop")
+    frontier = visited = materialise(seed.select("item").distinct().withColumn("hop", F.lit(0)), "hop")
     for hop in range(1, hops + 1):
-        frontier = visited.filter(F.col("hop") == hop - 1).select("item")
-        vias = links.join(frontier, "item").select("via").distinct()
+        vias = links.join(frontier.select("item"), "item").select("via").distinct()
         reached = (links.join(vias, "via").join(visited, "item", "left_anti")
                    .groupBy("item").agg(F.count("*").alias("links")))
         if step_limit is not None:
             reached = reached.orderBy(F.desc("links"), "item").limit(step_limit)
-        visited = materialise(visited.unionByName(reached.select("item", F.lit(hop).alias("hop"))), "hop")
+        frontier = materialise(reached.select("item", F.lit(hop).alias("hop")), "hop")
+        visited = visited.unionByName(frontier)
     return visited
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,27 +74,85 @@ def pages(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
             .withColumn("page_index", (F.col("_n") - 1) % size).drop("_n"))
 
 
-def first_rows(df: DataFrame, order: Sequence[str], n: int, in_memory: int = 10_000) -> DataFrame:
-    """The first n rows in an order (unique for a fixed result).
+def up_to(df: DataFrame, order: Sequence[str], at: Row) -> Column:
+    """Whether a row is not after the given order values, nulls first. The leading column alone bounds the scan."""
+    def value(name: str) -> Column:
+        return F.lit(at[name]).cast(df.schema[name].dataType)
 
-    Small n is a top-n heap per task. For larger n the leading column is cut first at an estimated quantile, and only
-    the rows below the cut are numbered; a cut that turns out too low falls back to all rows.
+    def before(name: str) -> Column:
+        return F.lit(False) if at[name] is None else F.col(name).isNull() | (F.col(name) < value(name))
+
+    def same(name: str) -> Column:
+        return F.col(name).isNull() if at[name] is None else F.col(name) == value(name)
+
+    out = F.lit(True)
+    for name in reversed(order):
+        out = before(name) | (same(name) & out)
+    return (before(order[0]) | same(order[0])) & out
+
+
+def _bound(df: DataFrame, order: Sequence[str], n: int) -> tuple[Row, int, int] | None:
+    """(order values of the n-th row, rows equal to it up to the n-th, rows equal to it after), None for fewer rows.
+
+    Only the order columns are sorted, and of those with a number or a time in front only what an estimated quantile
+    leaves; one row and the counts of each partition reach the driver.
     """
-    if n <= in_memory:
-        return df.orderBy(*order).limit(n)
-    lead, below = order[0], None
+    keys, lead = df.select(*order), order[0]
+    parts = [keys]
     if isinstance(df.schema[lead].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        total = df.count()
-        if total <= n:
-            return df
-        # the quantile of just this share, with its error on top
-        cut = df.agg(F.percentile_approx(lead, min(1.0, n / total + 2e-5), 100_000).alias("q")).first()["q"]
+        total = keys.count()
+        if total < n:
+            return None
+        # the quantile of just this share, with its error on top; a cut that is too low falls back to all rows
+        cut = keys.agg(F.percentile_approx(lead, min(1.0, n / total + 2e-5), 100_000).alias("q")).first()["q"]
         if cut is not None:
-            below = df.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cut)))
-    numbered, total = _numbered(below if below is not None else df, order, "_n")
-    if below is not None and total < n:
-        numbered, total = _numbered(df, order, "_n")
-    return numbered.filter(F.col("_n") <= n).drop("_n")
+            parts.insert(0, keys.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cut))))
+    for part in parts:
+        stored, before = _ranged(part, order), 0
+        counts = stored.groupBy(_part().alias("p")).count().collect()
+        for p, count in sorted((r["p"], r["count"]) for r in counts):
+            if before + count >= n:
+                at = stored.filter(F.col("_id") == (p << _POSITION_BITS) + n - before - 1).select(*order).first()
+                equal = F.lit(True)
+                for c in order:
+                    equal = equal & F.col(c).eqNullSafe(F.lit(at[c]).cast(df.schema[c].dataType))
+                place = F.col("_id") < (p << _POSITION_BITS) + n - before
+                ties = stored.filter(equal).agg(F.count_if(place).alias("taken"), F.count_if(~place).alias("left")).first()
+                return at, ties["taken"], ties["left"]
+            before += count
+    return None
+
+
+def split_at(df: DataFrame, order: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:
+    """The first n rows in an order, and the others, as two filters on the order of the n-th row.
+
+    No row is copied or shuffled for it. If the order is not unique, which of the rows equal to the n-th one come first
+    is not fixed, but the number of rows is.
+    """
+    if n <= 0:
+        return df.limit(0), df
+    found = _bound(df, order, n)
+    if found is None:
+        return df, df.limit(0)
+    at, taken, left = found
+    inside = up_to(df, order, at)
+    first, rest = df.filter(inside), df.filter(~inside)
+    if left:
+        equal = F.lit(True)
+        for c in order:
+            equal = equal & F.col(c).eqNullSafe(F.lit(at[c]).cast(df.schema[c].dataType))
+        ties = df.filter(equal)
+        first, rest = first.filter(~equal).unionByName(ties.limit(taken)), rest.unionByName(ties.limit(left))
+    return first, rest
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int, heap: bool = False) -> DataFrame:
+    """The first n rows in an order, nulls first (unique for a fixed result).
+
+    ``heap`` is for callers whose n is small by its meaning (a page, a report, calls of one run): each task keeps its
+    n first rows. Otherwise n may be any share of the table, see :func:`split_at`.
+    """
+    return df.orderBy(*order).limit(n) if heap else split_at(df, order, n)[0]
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -162,13 +220,32 @@ def _follow(rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(used, columns=["start", "stop"])
 
 
+def _next_end(rows: DataFrame) -> DataFrame:
+    """``stop`` of each row: the nearest position of a row with ``end`` 1 at or after its own.
+
+    Rows are cut by ranges of position; what lies beyond a range comes from the first end of the ranges after it.
+    """
+    stored = _ranged(rows, ["pos", "end"]).withColumn("_part", _part())
+    is_end = F.when(F.col("end") == 1, F.col("pos"))
+    after, beyond = [], None
+    # one row for each shuffle partition
+    for r in sorted(stored.groupBy("_part").agg(F.min(is_end).alias("first")).collect(), key=lambda r: -r["_part"]):
+        after.append((r["_part"], beyond))
+        beyond = beyond if r["first"] is None else r["first"]
+    later = rows.sparkSession.createDataFrame(after, "_part bigint, _beyond bigint")
+    inside = Window.partitionBy("_part").orderBy(F.desc("pos"), F.desc("end")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (stored.withColumn("_inside", F.min(is_end).over(inside)).join(F.broadcast(later), "_part")
+            .withColumn("stop", F.coalesce("_inside", "_beyond")).drop("_part", "_id", "_inside", "_beyond"))
+
+
 def chunk_bounds(df: DataFrame, key: str, n: int, span: int = 1_000_000) -> DataFrame:
     """Greedy chunks over a cursor column: (lower exclusive, upper inclusive, rows).
 
     Each chunk ends at the value of its n-th row and holds all rows of that value. Every distinct value gets a
-    pointer to the value that would end a chunk starting after it. The chain of pointers from the start is followed
-    inside blocks of ``span`` row positions (so at most that many values per group) and from block to block by
-    doubling, which takes log2(blocks) joins; no task sees all values.
+    pointer to the value that would end a chunk starting after it: the next one in one sorted pass, however many rows
+    a value has. The chain of pointers from the start is followed inside blocks of ``span`` row positions (so at most
+    that many values are in a group) and from block to block by doubling, which takes log2(blocks) joins; no task sees
+    all values.
     """
     counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     values = materialise(running_sum(counted, [key], F.col("_n"), "c").select(F.col(key).alias("v"), "c", "_n"), "chunk-values")
@@ -177,37 +254,25 @@ def chunk_bounds(df: DataFrame, key: str, n: int, span: int = 1_000_000) -> Data
         return values.select(F.col("v").alias("lower"), F.col("v").alias("upper"), F.col("c").alias("rows"))
     span = max(span, n)
 
-    def block(x: Column) -> Column:
-        return F.floor((x - 1) / n)
-
     starts = values.select("c").unionByName(df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("c")))
-    targets = starts.select(block(F.col("c") + n).alias("b"), (F.col("c") + n).alias("pos"), F.col("c").alias("start"))
-    ends = values.select(block(F.col("c")).alias("b"), F.col("c").alias("pos"), F.lit(None).cast("bigint").alias("start"))
-    # inside a block of n positions: nearest end at or after the target (at most 2n rows per block)
-    from_above = Window.partitionBy("b").orderBy(F.desc("pos")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    near = (targets.unionByName(ends)
-            .withColumn("inside", F.min(F.when(F.col("start").isNull(), F.col("pos"))).over(from_above))
-            .filter(F.col("start").isNotNull()))
-    # beyond the block: exactly one value is the first to end after it
-    first, last = block(F.greatest(F.col("c") - F.col("_n"), F.lit(1))), block(F.col("c")) - 1
-    beyond = (values.filter(first <= last)
-              .select(F.explode(F.sequence(first, last)).alias("b"), F.col("c").alias("outside")))
-    pointer = (near.join(beyond, "b", "left")
-               .select("start", F.coalesce("inside", "outside", F.when(F.col("start") < total, F.lit(total))).alias("stop"))
+    targets = starts.select((F.col("c") + n).alias("pos"), F.lit(0).alias("end"), F.col("c").alias("start"))
+    ends = values.select(F.col("c").alias("pos"), F.lit(1).alias("end"), F.lit(None).cast("bigint").alias("start"))
+    pointer = (_next_end(targets.unionByName(ends)).filter(F.col("end") == 0)
+               .select("start", F.coalesce("stop", F.when(F.col("start") < total, F.lit(total))).alias("stop"))
                .filter(F.col("stop").isNotNull()))
     pointer = materialise(pointer.withColumn("block", F.floor(F.col("start") / span)), "chunk-next")
 
-    entries = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("start"))
-    if total > span:
-        jump = materialise(pointer.groupBy("block").applyInPandas(_leave, "start bigint, stop bigint"), "chunk-leave")
-        # only values that some block leaves to can be where the chain enters a block: at most n per block
-        doors = entries.unionByName(jump.select(F.col("stop").alias("start"))).distinct()
-        jump = materialise(jump.join(doors, "start", "left_semi"), "chunk-doors")
-        for _ in range(max(1, math.ceil(math.log2(total / span + 2)))):
-            reach = F.explode(F.array("start", "stop")).alias("start")
-            entries = entries.join(jump, "start", "left").select(reach).filter(F.col("start").isNotNull())
-            ahead = jump.select(F.col("start").alias("stop"), F.col("stop").alias("after"))
-            jump = materialise(jump.join(ahead, "stop").select("start", F.col("after").alias("stop")), "chunk-jump")
+    # written, as the optimizer would turn a join with a known single row into one without keys
+    entries = materialise(df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("start")), "chunk-entry")
+    jump = materialise(pointer.groupBy("block").applyInPandas(_leave, "start bigint, stop bigint"), "chunk-leave")
+    # only values that some block leaves to can be where the chain enters a block: at most n per block
+    doors = entries.unionByName(jump.select(F.col("stop").alias("start"))).distinct()
+    jump = materialise(jump.join(doors, "start", "left_semi"), "chunk-doors")
+    for _ in range(max(1, math.ceil(math.log2(total / span + 2)))):
+        reach = F.explode(F.array("start", "stop")).alias("start")
+        entries = entries.join(jump, "start", "left").select(reach).filter(F.col("start").isNotNull())
+        ahead = jump.select(F.col("start").alias("stop"), F.col("stop").alias("after"))
+        jump = materialise(jump.join(ahead, "stop").select("start", F.col("after").alias("stop")), "chunk-jump")
     entries = entries.distinct().withColumn("block", F.floor(F.col("start") / span))
     pairs = pointer.groupBy("block").cogroup(entries.groupBy("block")).applyInPandas(_follow, "start bigint, stop bigint")
     upper = values.select(F.col("c").alias("stop"), F.col("v").alias("upper"))

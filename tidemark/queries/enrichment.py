@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.operators import enrich as E
 from tidemark.operators import project, summary
-from tidemark.queries.relational import FRONTIER_SQL
+from tidemark.queries.relational import FRONTIER_SQL, REACHED_SQL
 from tidemark.queries.registry import Tables, query
 
 
@@ -17,23 +15,6 @@ def words(texts: pd.Series) -> pd.Series:
     return texts.str.split(" ").str.len()
 
 
-def by_length(texts: pd.Series) -> pd.Series:
-    return (texts.str.len() > 500).map({True: "HIGH", False: "LOW"})
-
-
-def by_lines(texts: pd.Series) -> pd.Series:
-    return (texts.str.count("\n") >= 3).map({True: "HIGH", False: "LOW"})
-
-
-def judged(first: pd.Series, second: pd.Series) -> pd.Series:
-    return first.where(first == second, "MEDIUM")
-
-
-def answers(texts: pd.Series) -> pd.Series:
-    out = [json.dumps({"risk": {"level": "HIGH"}, "words": len(x.split(" "))}) if len(x) > 200 else "no answer" for x in texts]
-    return pd.Series(out, dtype="object")
-
-
 @query("udf01_record_hook", "SELECT c_custkey, upper(c_name) AS c_name, c_nationkey * 2 AS doubled FROM customer")
 def record_hook(t: Tables):
     """A column function, then a Python function on Arrow batches."""
@@ -51,7 +32,18 @@ SELECT d.doc_id, d.lang, s.words FROM documents d LEFT JOIN (SELECT doc_id, len(
 def budgeted_score(t: Tables):
     score = F.pandas_udf(words, "bigint")
     docs = t.documents.select("doc_id", "lang", F.when(F.col("lang") != "fr", F.col("text")).alias("text"))
-    return E.budgeted_score(docs, "doc_id", "text", score, "words", E.row_budget(120, 3)).drop("text")
+    return E.budgeted_score(docs, "doc_id", "text", score, "words", E.row_budget(120, 3), heap=True).drop("text")
+
+
+@query("udf02b_budget_as_share", """
+SELECT d.doc_id, s.words FROM documents d LEFT JOIN (SELECT doc_id, len(string_split(text, ' '))::BIGINT AS words FROM documents WHERE lang <> 'fr'
+  QUALIFY row_number() OVER (ORDER BY lang, doc_id) <= (SELECT count(*) // 3 FROM documents)) s USING (doc_id)
+""")
+def budget_as_share(t: Tables):
+    """A third of the table is scored, in an order with a text in front."""
+    docs = t.documents.select("doc_id", "lang", F.when(F.col("lang") != "fr", F.col("text")).alias("text"))
+    budget = E.row_budget(docs.count(), 3)
+    return E.budgeted_score(docs, "doc_id", "text", F.pandas_udf(words, "bigint"), "words", budget, ["lang", "doc_id"]).drop("text", "lang")
 
 
 VIEWS_SQL = """
@@ -60,19 +52,23 @@ SELECT doc_id, CASE WHEN length(text) > 500 THEN 'HIGH' ELSE 'LOW' END AS first,
 
 
 def views(t: Tables):
-    a, b = F.pandas_udf(by_length, "string"), F.pandas_udf(by_lines, "string")
-    docs = t.documents.select("doc_id", "lang", a("text").alias("first"), b("text").alias("second"))
-    return docs.withColumn("second", F.when(F.col("lang") != "fr", F.col("second"))).drop("lang")
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n")))
+    second = F.when(F.col("lang") != "fr", F.when(breaks >= 3, "HIGH").otherwise("LOW"))
+    return t.documents.select("doc_id", F.when(F.length("text") > 500, "HIGH").otherwise("LOW").alias("first"), second.alias("second"))
+
+
+def judged(first, second):
+    return F.when(first == second, first).otherwise("MEDIUM")
 
 
 @query("udf03_consensus", f"SELECT doc_id, first, second, CASE WHEN first = second THEN first ELSE 'MEDIUM' END AS consensus, first <> second AS disagrees FROM ({VIEWS_SQL}) WHERE second IS NOT NULL")
 def consensus(t: Tables):
-    return E.consensus(views(t), "first", "second", F.pandas_udf(judged, "string"))
+    return E.consensus(views(t), "first", "second", judged)
 
 
 @query("udf03b_disagreements", f"SELECT count(*) AS pairs, count(*) FILTER (first <> second) AS disagreements FROM ({VIEWS_SQL}) WHERE second IS NOT NULL")
 def disagreements(t: Tables):
-    both = E.consensus(views(t), "first", "second", F.pandas_udf(judged, "string"))
+    both = E.consensus(views(t), "first", "second", judged)
     return both.agg(F.count("*").alias("pairs"), F.count_if("disagrees").alias("disagreements"))
 
 
@@ -83,6 +79,14 @@ def seed_and_expand(t: Tables):
     return E.seed_and_expand(t.lineitem, links, seed, "l_partkey", hops=2, step_limit=20)
 
 
+@query("udf04c_expand_all", f"SELECT f.item, f.hop, coalesce(n, 0) AS n FROM ({REACHED_SQL}) f LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_partkey = f.item")
+def expand_all(t: Tables):
+    """As udf04 without a limit: everything that two hops reach."""
+    links = t.lineitem.select(F.col("l_partkey").alias("item"), F.col("l_orderkey").alias("via"))
+    seed = t.part.filter(F.col("p_brand") == "Brand#13").select(F.col("p_partkey").alias("item"))
+    return E.seed_and_expand(t.lineitem, links, seed, "l_partkey", hops=2)
+
+
 @query("udf04b_expanded_top", """
 SELECT l_suppkey, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_brand = 'Brand#13' GROUP BY 1 ORDER BY n DESC, l_suppkey LIMIT 5
 """)
@@ -97,7 +101,8 @@ SELECT doc_id, 'primary' AS assessment_type, 'HIGH' AS risk_level, len(string_sp
 def assessment_rows(t: Tables):
     from tidemark.operators.nested import flatten
 
-    answered = t.documents.select("doc_id", F.pandas_udf(answers, "string")("text").alias("answer"))
+    answer = F.to_json(F.struct(F.struct(F.lit("HIGH").alias("level")).alias("risk"), F.size(F.split("text", " ")).alias("words")))
+    answered = t.documents.select("doc_id", F.when(F.length("text") > 200, answer).otherwise("no answer").alias("answer"))
     return flatten(E.assessment_rows(answered, "doc_id", "answer", "risk struct<level: string>, words bigint", "primary"))
 
 

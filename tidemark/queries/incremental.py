@@ -85,8 +85,9 @@ SELECT o_orderkey, o_orderdate, ((year(o_orderdate) - 1995) // 3)::INTEGER AS ba
 def window_batches(t: Tables):
     """One batch per window, the mark is the window's end."""
     rows, out = slim(t).select("o_orderkey", "o_orderdate"), None
-    cuts = [datetime(y, 1, 1) - timedelta(microseconds=1) for y in (1998, 2001, 2004)]
-    mark = datetime(1995, 1, 1)
+    mark, last, cuts = datetime(1995, 1, 1), rows.agg(F.max("o_orderdate")).first()[0], []
+    while last is not None and (not cuts or cuts[-1] < last):  # windows of three years until the newest row
+        cuts.append(datetime(1998 + 3 * len(cuts), 1, 1) - timedelta(microseconds=1))
     for n, cut in enumerate(cuts):
         batch = rows.filter(I.in_window(F.col("o_orderdate"), mark, cut)).withColumn("batch", F.lit(n))
         out, mark = (batch if out is None else out.unionByName(batch)), cut
@@ -197,7 +198,16 @@ def resume_after_cap(t: Tables):
 SELECT o_orderkey, o_orderdate FROM orders WHERE (o_orderdate, o_orderkey) > (TIMESTAMP '1998-01-01', 500) ORDER BY o_orderdate, o_orderkey LIMIT 100
 """)
 def capped_pull(t: Tables):
-    return I.capped(slim(t).select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], [D98, 500], 100)
+    return I.capped(slim(t).select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], [D98, 500], 100, heap=True)
+
+
+@query("srt05b_capped_share", """
+SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem QUALIFY row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) <= (SELECT count(*) // 3 FROM lineitem)
+""")
+def capped_share(t: Tables):
+    """A pull that takes a third of the table."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    return I.capped(rows, ["l_shipdate", "l_orderkey", "l_linenumber"], None, rows.count() // 3)
 
 
 @query("inc17_log_position", """

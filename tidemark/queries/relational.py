@@ -289,6 +289,9 @@ SELECT * FROM v1 UNION ALL SELECT item, 2 FROM h2
 """
 
 
+REACHED_SQL = FRONTIER_SQL.replace("ORDER BY count(*) DESC, item LIMIT 20", "")
+
+
 @query("jon12_frontier", FRONTIER_SQL)
 def frontier(t: Tables):
     links = t.lineitem.select(F.col("l_partkey").alias("item"), F.col("l_orderkey").alias("via"))
@@ -296,6 +299,14 @@ def frontier(t: Tables):
     return joins.expand_frontier(seed, links, hops=2, step_limit=20)
 
 
+@query("jon12b_frontier_whole", REACHED_SQL)
+def frontier_whole(t: Tables):
+    """Every id that two hops reach."""
+    links = t.lineitem.select(F.col("l_partkey").alias("item"), F.col("l_orderkey").alias("via"))
+    seed = t.part.filter(F.col("p_brand") == "Brand#13").select(F.col("p_partkey").alias("item"))
+    return joins.expand_frontier(seed, links, hops=2)
+
+
 # -- aggregates ----------------------------------------------------------------------
 
 
@@ -471,19 +482,30 @@ def last_write(t: Tables):
     return windows.last_write(compare.append_batches(*later), ["o_orderkey"], ["seq"], ["o_totalprice", "o_orderstatus"])
 
 
-@query("win03_chunk_bounds", """
-WITH RECURSIVE v AS (SELECT o_orderdate AS v, sum(count(*)) OVER (ORDER BY o_orderdate)::BIGINT AS c FROM orders GROUP BY 1),
+CHUNKS_SQL = """
+WITH RECURSIVE r AS ({rows}),
+v AS (SELECT v, sum(count(*)) OVER (ORDER BY v)::BIGINT AS c FROM r GROUP BY v),
 t AS (SELECT max(c) AS total FROM v),
 chain AS (
-  SELECT 0::BIGINT AS start, (SELECT coalesce(min(c), (SELECT total FROM t)) FROM v WHERE c >= 100)::BIGINT AS stop
+  SELECT 0::BIGINT AS start, (SELECT coalesce(min(c), (SELECT total FROM t)) FROM v WHERE c >= {n})::BIGINT AS stop
   UNION ALL
-  SELECT stop, (SELECT coalesce(min(c), (SELECT total FROM t)) FROM v WHERE c >= chain.stop + 100)::BIGINT FROM chain WHERE stop < (SELECT total FROM t))
+  SELECT stop, (SELECT coalesce(min(c), (SELECT total FROM t)) FROM v WHERE c >= chain.stop + {n})::BIGINT FROM chain WHERE stop < (SELECT total FROM t))
 SELECT l.v AS lower, u.v AS upper, stop - start AS rows FROM chain JOIN v u ON u.c = stop LEFT JOIN v l ON l.c = start
-""")
+"""
+
+
+@query("win03_chunk_bounds", CHUNKS_SQL.format(rows="SELECT o_orderdate AS v FROM orders", n=100))
 def chunk_bounds(t: Tables):
     return windows.chunk_bounds(t.orders, "o_orderdate", 100)
 
 
+@query("win03b_hot_value", CHUNKS_SQL.format(rows="SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS v FROM orders", n=25))
+def chunk_bounds_hot(t: Tables):
+    """A third of the rows share one value, and the chain runs over many blocks."""
+    rows = t.orders.select(F.when(F.col("o_orderkey") % 3 == 0, 0).otherwise(F.col("o_custkey")).alias("v"))
+    return windows.chunk_bounds(rows, "v", 25, span=500)
+
+
 @query("win04_pages", """
 SELECT c_custkey, ((row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1) // 40)::BIGINT AS page, ((row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1) % 40)::BIGINT AS page_index FROM customer
 """)
@@ -529,7 +551,16 @@ def limit_offset(t: Tables):
 @query("srt03_budget", "SELECT doc_id, lang FROM documents WHERE lang <> 'en' ORDER BY doc_id LIMIT 20")
 def budget(t: Tables):
     calls, calls_per_row = 60, 3
-    return windows.first_rows(t.documents.filter(F.col("lang") != "en").select("doc_id", "lang"), ["doc_id"], calls // calls_per_row)
+    return windows.first_rows(t.documents.filter(F.col("lang") != "en").select("doc_id", "lang"), ["doc_id"], calls // calls_per_row, heap=True)
+
+
+@query("srt03b_budget_as_share", """
+SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (ORDER BY lang, doc_id) <= (SELECT count(*) // 4 FROM documents)
+""")
+def budget_as_share(t: Tables):
+    """A budget of a quarter of the table, in an order with a text in front."""
+    rows = t.documents.select("doc_id", "lang")
+    return windows.first_rows(rows, ["lang", "doc_id"], rows.count() // 4)
 
 
 @query("srt04_stop_at_known", "SELECT event_id, event_type FROM events WHERE event_id > 400")
