@@ -63,6 +63,24 @@ def test_tree_keys_and_depth(spark):
     assert rows(out["orders_check_selection"].select("orders_check_id", "id", "name")) == [(10, 100, "s"), (10, 101, "t")]
 
 
+def test_tree_rows_equal_the_tables_in_one_scan(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "a", [(10, [(100, "s"), (101, "t")]), (11, None), (12, [])]), (2, None, None), (3, "c", [])],
+        "id int, name string, checks array<struct<id: int, selections: array<struct<id: int, name: string>>>>").write.parquet(str(tmp_path / "r"))
+    df = spark.read.parquet(str(tmp_path / "r"))
+    tree = {"orders": [("checks", "orders_check")], "orders_check": [("selections", "orders_check_selection")]}
+    together = S.tree_rows(df, "orders", tree)
+    for name, table in S.child_tree(df, "orders", tree).items():
+        assert rows(S.table_of(together, name).select(*table.columns)) == rows(table)
+    assert together._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_elements_of_several_lists(spark):
+    df = spark.createDataFrame([(1, ["a", None], [(5,)]), (2, None, []), (3, [], None)], "id int, tags array<string>, marks array<struct<n: int>>")
+    got = rows(S.element_rows(df, ["id"], ["tags", "marks"]).select("id", "tbl", "pos", "tags", "marks.n"))
+    assert got == sorted([(1, "tags", 0, "a", None), (1, "tags", 1, None, None), (1, "marks", 0, None, 5)], key=repr)
+
+
 def test_expand_parent_wins(spark):
     df = spark.createDataFrame([(1, "p", [("child", 5)]), (2, "q", None)], "id int, name string, items array<struct<name: string, n: int>>")
     name, out = S.expand(df, "orders", "items")

@@ -125,6 +125,18 @@ def child_table(df: DataFrame, keys: Sequence[str], items: str, position: str |
     return out.select(*lead, "_item.*") if isinstance(element, T.StructType) else out.select(*lead, F.col("_item").alias("value"))
 
 
+def element_rows(df: DataFrame, keys: Sequence[str], lists: Sequence[str], position: str = "pos", name: str = "tbl") -> DataFrame:
+    """The elements of several lists in one pass: keys, the list's name, the position, and a column for each list."""
+    types = {c: df.schema[c].dataType.elementType for c in lists}
+
+    def listed(column: str) -> Column:
+        return F.transform(column, lambda e, i: F.struct(
+            F.lit(column).alias(name), i.alias(position), *[(e if c == column else F.lit(None).cast(kind)).alias(c) for c, kind in types.items()]))
+
+    none = T.ArrayType(T.StructType([T.StructField(name, T.StringType()), T.StructField(position, T.IntegerType()), *[T.StructField(c, k) for c, k in types.items()]]))
+    return df.select(*keys, F.inline(F.concat(*[F.coalesce(listed(c), F.array().cast(none)) for c in lists])))
+
+
 def child_count(items: str) -> Column:
     """Number of children; a missing list counts as 0."""
     return F.coalesce(F.size(items), F.lit(0))
@@ -156,6 +168,49 @@ def child_tree(df: DataFrame, root: str, tree: Mapping[str, Sequence[tuple[str,
     return out
 
 
+def tree_rows(df: DataFrame, root: str, tree: Mapping[str, Sequence[tuple[str, str]]], key: str = "id",
+              flat: Mapping[str, Sequence[str]] | None = None, name: str = "tbl") -> DataFrame:
+    """The rows of all tables of :func:`child_tree` in one pass over the records: the table's name, and a struct for each
+    table, of which only that table's is set. ``table_of`` takes one table out.
+
+    List after list, the rows of the table that holds it are followed by the list's elements, so no list is built and
+    none outgrows what the record holds.
+    """
+    kinds, tables = {root: df.schema}, [root]
+
+    def only(holds: Column, column: str) -> Column:
+        return F.when(holds, F.col(column)).alias(column)
+
+    # _tbl: the table of a row; _r_<table>: its record; _k_<table>: the key of the record above
+    rows = df.select(F.lit(root).alias("_tbl"), F.struct(*df.columns).alias(f"_r_{root}"))
+    for table in tables:
+        for field, child in tree.get(table, ()):
+            element = kinds[child] = kinds[table][field].dataType.elementType
+            own, none = F.col("_tbl") == table, F.array(F.lit(None).cast(element))
+            listed = F.when(own, F.coalesce(F.concat(none, F.col(f"_r_{table}")[field]), none)).otherwise(none)
+            before = [c for c in rows.columns if c != "_tbl"]
+            spread = rows.select("*", F.posexplode(listed).alias("_p", "_e"))
+            rows = spread.select(F.when(F.col("_p") > 0, child).otherwise(F.col("_tbl")).alias("_tbl"), *[only(F.col("_p") == 0, c) for c in before],
+                                 F.when(F.col("_p") > 0, F.col("_e")).alias(f"_r_{child}"), F.when(F.col("_p") > 0, F.col(f"_r_{table}")[key]).alias(f"_k_{child}"))
+            tables.append(child)
+
+    parents = {child: t for t in tables for _, child in tree.get(t, ())}
+    out = [F.col("_tbl").alias(name)]
+    for table in tables:
+        options = FlattenOptions(only=(flat or {}).get(table, ()))
+        members = [c.alias(options.name(p)) for f in kinds[table].fields if not isinstance(f.dataType, T.ArrayType)
+                   for p, c in _walk(F.col(f"_r_{table}")[f.name], f.dataType, f.name, 1, f.name, options)]
+        if table != root:
+            members = [F.col(f"_k_{table}").alias(f"{parents[table]}_{key}"), *members]
+        out.append(F.when(F.col("_tbl") == table, F.struct(*members)).alias(table))
+    return rows.select(*out)
+
+
+def table_of(rows: DataFrame, table: str, name: str = "tbl") -> DataFrame:
+    """One table of :func:`tree_rows`."""
+    return rows.filter(F.col(name) == table).select(f"{table}.*")
+
+
 def expand(df: DataFrame, table: str, navigation: str) -> tuple[str, DataFrame]:
     """Rows of an expanded list or object with every scalar of the parent; the parent wins on equal names."""
     kind = df.schema[navigation].dataType

@@ -267,12 +267,13 @@ def chunk_bounds(df: DataFrame, key: str, n: int, span: int = 1_000_000) -> Data
     jump = materialise(pointer.groupBy("block").applyInPandas(_leave, "start bigint, stop bigint"), "chunk-leave")
     # only values that some block leaves to can be where the chain enters a block: at most n per block
     doors = entries.unionByName(jump.select(F.col("stop").alias("start"))).distinct()
-    jump = materialise(jump.join(doors, "start", "left_semi"), "chunk-doors")
-    for _ in range(max(1, math.ceil(math.log2(total / span + 2)))):
+    jump = jump.join(doors, "start", "left_semi")
+    for step in range(max(1, math.ceil(math.log2(total / span + 2)))):
+        if step:
+            ahead = jump.select(F.col("start").alias("stop"), F.col("stop").alias("after"))
+            jump = materialise(jump.join(ahead, "stop").select("start", F.col("after").alias("stop")), "chunk-jump")
         reach = F.explode(F.array("start", "stop")).alias("start")
         entries = entries.join(jump, "start", "left").select(reach).filter(F.col("start").isNotNull())
-        ahead = jump.select(F.col("start").alias("stop"), F.col("stop").alias("after"))
-        jump = materialise(jump.join(ahead, "stop").select("start", F.col("after").alias("stop")), "chunk-jump")
     entries = entries.distinct().withColumn("block", F.floor(F.col("start") / span))
     pairs = pointer.groupBy("block").cogroup(entries.groupBy("block")).applyInPandas(_follow, "start bigint, stop bigint")
     upper = values.select(F.col("c").alias("stop"), F.col("v").alias("upper"))

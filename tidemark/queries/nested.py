@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tidemark.functions import values as N
@@ -168,11 +166,8 @@ UNION ALL SELECT 'child', order_id, id, NULL, amount FROM checks
 """)
 def parent_and_child(t: Tables):
     rows = order_records(t).withColumnRenamed("id", "order_id")
-    parent = S.parent_table(rows, "checks").select(F.lit("parent").alias("part"), "order_id", F.lit(None).cast("bigint").alias("id"),
-                                                   "status", F.lit(None).cast("bigint").alias("amount"))
-    child = S.child_table(rows, ["order_id"], "checks").select(F.lit("child").alias("part"), "order_id", "id",
-                                                               F.lit(None).cast("string").alias("status"), "amount")
-    return parent.unionByName(child)
+    parts = S.tree_rows(rows.select("order_id", "status", "checks"), "parent", {"parent": [("checks", "child")]}, key="order_id", name="part")
+    return parts.select("part", F.coalesce("parent.order_id", "child.parent_order_id").alias("order_id"), "child.id", "parent.status", "child.amount")
 
 
 @query("nst05_json_blob", f"""
@@ -199,16 +194,12 @@ UNION ALL SELECT 'orders_check_selection', id, check_id, name, tax_id FROM selec
 """)
 def child_tree(t: Tables):
     tree = {"orders": [("checks", "orders_check")], "orders_check": [("selections", "orders_check_selection")]}
-    out = S.child_tree(order_records(t).drop("tags"), "orders", tree,
-                       flat={"orders": ["customer"], "orders_check_selection": ["tax"]})
-    none, text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
-    parts = [
-        out["orders"].select(F.lit("orders").alias("tbl"), "id", none.alias("parent_id"), F.col("status").alias("info"), F.col("customer_id").alias("extra")),
-        out["orders_check"].select(F.lit("orders_check").alias("tbl"), "id", F.col("orders_id").alias("parent_id"), text.alias("info"), F.col("amount").alias("extra")),
-        out["orders_check_selection"].select(F.lit("orders_check_selection").alias("tbl"), "id", F.col("orders_check_id").alias("parent_id"),
-                                             F.col("name").alias("info"), F.col("tax_id").alias("extra")),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    rows = S.tree_rows(order_records(t), "orders", tree, flat={"orders": ["customer"], "orders_check_selection": ["tax"]})
+    order, check, selection = (lambda c, x=x: F.col(f"{x}.{c}") for x in ("orders", "orders_check", "orders_check_selection"))
+    return rows.select("tbl", F.coalesce(order("id"), check("id"), selection("id")).alias("id"),
+                       F.coalesce(check("orders_id"), selection("orders_check_id")).alias("parent_id"),
+                       F.coalesce(order("status"), selection("name")).alias("info"),
+                       F.coalesce(order("customer_id"), check("amount"), selection("tax_id")).alias("extra"))
 
 
 @query("nst08_expand", f"""
@@ -372,10 +363,8 @@ UNION ALL SELECT order_id, 'checks', i::INTEGER, NULL, amount FROM checks
 """)
 def mixed_children(t: Tables):
     """Lists of objects are spread, lists of scalars come under ``value``."""
-    rows = order_records(t).withColumnRenamed("id", "order_id")
-    tags = S.child_table(rows, ["order_id"], "tags", position="pos").withColumn("tbl", F.lit("tags"))
-    checks = S.child_table(rows, ["order_id"], "checks", position="pos").select("order_id", "pos", "amount", F.lit("checks").alias("tbl"))
-    return tags.unionByName(checks, allowMissingColumns=True).withColumnRenamed("order_id", "id")
+    rows = S.element_rows(order_records(t), ["id"], ["tags", "checks"])
+    return rows.select("id", "tbl", "pos", F.col("tags").alias("value"), "checks.amount")
 
 
 @query("nst23_payload", """
