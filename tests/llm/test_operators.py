@@ -431,6 +431,17 @@ def test_near_duplicates_awkward(llm_spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_simhash_without_keys_keeps_one_of_a_component(llm_spark):
+    words = [f"word{i}" for i in range(400)]
+    base = " ".join(words)
+    near = [" ".join(words[:-1] + [f"other{j}"]) for j in range(40)]
+    close = next(t for t in near if 0 < (simhash.fingerprint(t) ^ simhash.fingerprint(base)).bit_count() <= 3)
+    docs = llm_spark.createDataFrame([(None, base), (None, close), (None, base), (None, "something else entirely")], "doc_id bigint, text string")
+    assert simhash.drop_near_duplicates(docs).count() == 2
+    mixed = docs.unionByName(llm_spark.createDataFrame([(9, close), (4, base)], "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] or 0 for r in simhash.drop_near_duplicates(mixed).collect()) == [0, 4]
+
+
 # ---- quotations
 
 def test_quotations(llm_spark):

@@ -230,9 +230,11 @@ def roots(edges: DataFrame, label: str = "roots") -> DataFrame:
         mark = tuple(seen)
 
 
-def components(rows: DataFrame, fp: str, key: str, out: str) -> DataFrame:
+def components(rows: DataFrame, fp: str, key: str, out: str, root: str | None = None) -> DataFrame:
     """All columns of ``rows`` plus ``out``: the smallest ``key`` of the component of the row's fingerprint.
 
+    With ``root`` a column of that name gives the component's smallest fingerprint, which names it without keys, too.
+
     Null keys take part but are never a smallest key (null if a component has no other). Equal fingerprints, repeated
     rows and repeated keys meet in one grouped row first, so a third of all rows with one text is one fingerprint here.
     """
@@ -242,9 +244,9 @@ def components(rows: DataFrame, fp: str, key: str, out: str) -> DataFrame:
     own = grouped.join(linked.withColumnsRenamed({"node": "_f", "root": "_r"}), "_f", "left").withColumn("_r", F.coalesce("_r", "_f"))
     own = own.select("_f", "_r", "_k")
     least = own.groupBy("_r").agg(F.min("_k").alias("_c"))
-    table = own.join(least, "_r").select(F.col("_f").alias(f := free_name(rows, "_f")), F.col("_c").alias(c := free_name(rows, "_c")))
+    table = own.join(least, "_r").select(F.col("_f").alias(f := free_name(rows, "_f")), F.col("_c").alias(c := free_name(rows, "_c")), F.col("_r").alias(r := free_name(rows, "_r")))
     joined = rows.join(table, F.col(fp) == F.col(f))
-    return joined.select(*columns(rows.columns), F.col(c).alias(out))
+    return joined.select(*columns(rows.columns), F.col(c).alias(out), *([F.col(r).alias(root)] if root else []))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -256,12 +258,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, with its own columns: the one of the smallest key, any one among equal keys."""
-    fp, row, group, best = (free_name(docs, x) for x in ("_fp", "_row", "_group", "_best"))
+    """One document of each component, with its own columns: the one of the smallest key, any one among equal keys.
+
+    A null key comes after all others; a component without any key keeps one document, too.
+    """
+    fp, row, group, root, best = (free_name(docs, x) for x in ("_fp", "_row", "_group", "_root", "_best"))
     marked = written(with_fingerprints(docs, fp, text).withColumn(row, F.monotonically_increasing_id()), "docs")
     narrow = marked.select(F.col(quoted(key)), fp, row)
-    found = components(narrow, fp, key, group)
-    # components without any key are told apart by their fingerprints' root, which has no key; keep one for each fingerprint there
-    part = F.when(F.col(group).isNull(), F.col(fp))
-    first = found.groupBy(F.col(group), part.alias("_p")).agg(F.min_by(F.col(row), F.struct(F.col(quoted(key)).isNull(), F.col(quoted(key)), F.col(row))).alias(best))
+    found = components(narrow, fp, key, group, root)
+    first = found.groupBy(root).agg(F.min_by(F.col(row), F.struct(F.col(quoted(key)).isNull(), F.col(quoted(key)), F.col(row))).alias(best))
     return marked.join(first.select(best), F.col(row) == F.col(best), "left_semi").select(*columns(docs.columns))
