@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry_has_rows(spark):
     df = entry.entry(spark)
-    assert df.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "_deleted"]
+    assert df.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "_deleted"]
     assert df.count() == 1800
 
 

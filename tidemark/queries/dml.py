@@ -15,17 +15,13 @@ NEW = 1_000_000_000
 ORDER = ["o_orderkey"]
 
 
-def slim_orders(t: Tables):
-    return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-
-
 def every(column: str, n: int):
     return F.col(column) % n == 0
 
 
 def mixed_order_changes(t: Tables):
     """Upserts, partial updates, deletes and new keys over the orders; several operations on some keys."""
-    o = slim_orders(t)
+    o = t.orders
     return C.union_changes(
         C.upserts(o.filter(every("o_orderkey", 10)).withColumn("o_totalprice", F.col("o_totalprice") * 2), 1),
         C.updates(o.filter(every("o_orderkey", 7)).select("o_orderkey", (F.col("o_totalprice") + 10).alias("o_totalprice")), ORDER, 2),
@@ -43,11 +39,11 @@ WITH old AS (
     CASE WHEN o_orderkey % 30 = 0 THEN 'R' WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
     CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 10 WHEN o_orderkey % 10 = 0 THEN o_totalprice * 2
          ELSE o_totalprice END AS o_totalprice,
-    o_orderdate, (o_orderkey % 15 = 0 AND o_orderkey % 30 <> 0) AS _deleted
+    o_orderdate, o_orderpriority, (o_orderkey % 15 = 0 AND o_orderkey % 30 <> 0) AS _deleted
   FROM orders)
 SELECT * FROM old
 UNION ALL
-SELECT o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, false
+SELECT o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, false
 FROM orders WHERE o_orderkey % 5 = 0
 """
 
@@ -55,19 +51,19 @@ FROM orders WHERE o_orderkey % 5 = 0
 @query("dml00_mixed_changes", MIXED_SQL)
 def mixed(t: Tables):
     """All kinds of operations in one log, folded and applied in one plan."""
-    return C.apply_changes(slim_orders(t), mixed_order_changes(t), ORDER)
+    return C.apply_changes(t.orders, mixed_order_changes(t), ORDER)
 
 
 @query("dml01_upsert", """
 SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
-  CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, false AS _deleted
+  CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority, false AS _deleted
 FROM orders
 UNION ALL
-SELECT o_orderkey + 1000000000, o_custkey, 'N', o_totalprice, o_orderdate, false FROM orders WHERE o_orderkey % 5 = 0
+SELECT o_orderkey + 1000000000, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority, false FROM orders WHERE o_orderkey % 5 = 0
 """)
 def upsert(t: Tables):
     """Load a stored table, commit an upsert log, read the table."""
-    o = slim_orders(t)
+    o = t.orders
     table = KeyedTable(t.spark, work_dir(t.spark, "upsert"), ORDER)
     table.load(o)
     table.commit(C.union_changes(
@@ -80,11 +76,11 @@ def upsert(t: Tables):
 
 
 @query("dml01b_upsert_lineitem", """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + CASE WHEN l_suppkey % 10 = 0 THEN 100 ELSE 0 END AS l_quantity, false AS _deleted FROM lineitem
+SELECT * REPLACE (l_quantity + CASE WHEN l_suppkey % 10 = 0 THEN 100 ELSE 0 END AS l_quantity), false AS _deleted FROM lineitem
 """)
 def upsert_lineitem(t: Tables):
     """A tenth of lineitem changes; rows are found by an id over all values of the source row."""
-    rows = with_row_id(t.lineitem).select("_row_id", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    rows = with_row_id(t.lineitem)
     changed = rows.filter(every("l_suppkey", 10)).withColumn("l_quantity", F.col("l_quantity") + 100)
     return C.apply_changes(rows, C.upserts(changed, 1), ["_row_id"]).drop("_row_id")
 
@@ -314,12 +310,12 @@ def two_step(t: Tables):
 def losing_writer(t: Tables):
     """A second writer of the same version writes its rows after the first has published: its commit fails, and its retry counts."""
     table = KeyedTable(t.spark, path := work_dir(t.spark, "race"), ORDER)
-    table.load(slim_orders(t))
-    wrong = C.upserts(slim_orders(t).withColumn("o_totalprice", F.lit(-1.0)), 1)
+    table.load(t.orders)
+    wrong = C.upserts(t.orders.withColumn("o_totalprice", F.lit(-1.0)), 1)
     other = KeyedTable(t.spark, path, ORDER)
 
     def first():
-        other.commit(C.upserts(slim_orders(t), 1))
+        other.commit(C.upserts(t.orders, 1))
 
     try:
         table.commit(wrong, before_publish=first)
@@ -334,7 +330,7 @@ def losing_writer(t: Tables):
 def commit_point(t: Tables):
     """A commit that stops before its publish leaves table and state alone; the rerun completes it."""
     table = KeyedTable(t.spark, work_dir(t.spark, "commit"), ORDER)
-    table.load(slim_orders(t), state={"mark": 0})
+    table.load(t.orders, state={"mark": 0})
 
     def stop():
         raise RuntimeError("executor lost")

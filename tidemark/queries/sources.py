@@ -52,13 +52,12 @@ def tab_file(t: Tables):
     return files.read_delimited(t.spark, path, delimiter="\t", encoding="ISO-8859-1")
 
 
-@query("src02_typed_pruned", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
+@query("src02_typed_pruned", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem")
 def typed_pruned(t: Tables):
     path = work_dir(t.spark, "csv")
-    t.lineitem.drop("l_shipdate").write.options(**CSV).csv(path)
-    schema = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
-              "l_discount double, l_tax double, l_returnflag string, l_linestatus string")
-    return files.read_typed(t.spark, path, schema, ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"])
+    t.lineitem.write.options(**CSV).csv(path)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.lineitem.schema)
+    return files.read_typed(t.spark, path, schema, ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"])
 
 
 @query("src03_folder", """
