@@ -262,8 +262,7 @@ def chunk_bounds(df: DataFrame, key: str, n: int, span: int = 1_000_000) -> Data
                .filter(F.col("stop").isNotNull()))
     pointer = materialise(pointer.withColumn("block", F.floor(F.col("start") / span)), "chunk-next")
 
-    # written, as the optimizer would turn a join with a known single row into one without keys
-    entries = materialise(df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("start")), "chunk-entry")
+    entries = pointer.filter(F.col("start") == 0).select("start")
     jump = materialise(pointer.groupBy("block").applyInPandas(_leave, "start bigint, stop bigint"), "chunk-leave")
     # only values that some block leaves to can be where the chain enters a block: at most n per block
     doors = entries.unionByName(jump.select(F.col("stop").alias("start"))).distinct()
