@@ -305,6 +305,33 @@ def test_model_adds_and_keeps(llm_spark, model):
     assert right[True] > 0.7 * 320 and right[False] > 0.95 * 80
 
 
+def test_regions_hold_whatever_can_be_added(monkeypatch):
+    monkeypatch.setattr(pii, "MARGIN", 0)
+    rng = random.Random(9)
+    parts = ["a", "jo", "at", "dot", "AT", " ", "  ", "(", ")", "[", "]", ".", "@", "1", "23", "255", "4111", "-", "x-y", "\n", "/", "(at)", " at ", " dot ", "[.]", "é", "00"]
+    found = 0
+    for _ in range(800):
+        t = "".join(rng.choice(parts) for _ in range(rng.randrange(4, 20)))
+        read_spans = pii.regions(t)
+        for a in range(len(t)):
+            for b in range(a + 1, len(t) + 1):
+                if any(pii.holds(t[a:b], k) for k in range(4)):
+                    found += 1
+                    assert any(x <= a and b <= y for x, y in read_spans), (t, t[a:b])
+    assert found > 50
+    name = "-".join(["department"] * 12)
+    for t in (f"jane at {name} dot example dot org", f"{name} [at] mail.physics.university-of-somewhere.edu", f"jane dot {name}(at){name}[.]org"):
+        (a, b), = pii.regions(f"ask {t} for more")
+        assert a <= 4 and b >= 4 + len(t)
+
+
+def test_long_addresses_are_masked_whole(monkeypatch):
+    address = "jane [at] mail.physics." + "-".join(["university"] * 9) + ".edu"
+    text = f"write to {address} for more"
+    monkeypatch.setattr(pii, "model_spans", lambda texts, p: [[(0, 33, 0)]])  # ends inside the address, begins before it
+    assert [(text[a:b], k, base) for a, b, k, base in pii.all_spans([text], {"": 0})[0]] == [(address, 0, False)]
+
+
 def test_pii_masks(llm_spark, model):
     docs = documents(llm_spark, [(1, "write to jo.do@mail.example.com or +1 (555) 555-0100 now"), (2, "nothing here"), (3, None), (4, "")])
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.masked(docs, model=model).collect()}

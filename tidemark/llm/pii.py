@@ -3,8 +3,8 @@
 The rules give the base spans, which always stay. The model is trained in numpy on the driver from labelled spans: windows
 around base spans of a bounded sample of documents, and variants of such spans in the sample's text that the rules do not
 match (spaces around an at sign, "(at)", "[.]", numbers without a plus sign, other separators), next to numbers that are no
-personal data. At work it reads all text within ``MARGIN`` characters of a digit, an at sign or a spelt-out one, without which
-no span of these kinds exists; the rest of a text is no personal data by definition of the kinds, so it is not decoded.
+personal data. At work it reads every run of digits and marks and every address, written or spelt out, that could pass the check
+of an added span, from end to end whatever its length, with ``MARGIN`` characters of context; no span that passes can lie elsewhere.
 Regions are cut into overlapping windows, each is decoded by Viterbi, and each character takes its tag from the window in
 which it is most central. A span of the model counts if it is apart from base spans and its digits or its address hold up.
 """
@@ -23,6 +23,8 @@ KINDS = ["email", "ip", "card", "phone"]
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 #: Documents that give training text, windows made from them, and the seed of their making.
 SAMPLE_DOCS, TRAIN_WINDOWS, SEED = 600, 1600, 5
+#: Fewer digits are no card or telephone number.
+LEAST_DIGITS = 9
 WIDTH, STRIDE, MARGIN, HIDDEN, EPOCHS, BATCH, RATE = 64, 32, 24, 20, 9, 64, 0.02
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -30,7 +32,16 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_SIGN = re.compile(r"[0-9@]|[(\[{]\s?at\s?[)\]}]|\bat\b(?=.{1,40}\bdot\b)", re.I)
+# what an added span can be made of: an at sign, written or spelt out, between parts joined by dots, written or spelt out; or digits and marks
+_AT = re.compile(r"[@aA](?:(?<=@)|(?<=[\s(\[{][aA])[tT](?=[\s)\]}]))")
+_DOT = r"(?:[(\[{]\s*+(?:[dD][oO][tT]|\.)\s*+[)\]}]|\.|(?<=\s)[dD][oO][tT](?=\s))"
+_TOD = r"(?:[)\]}]\s*+(?:[tT][oO][dD]|\.)\s*+[(\[{]|\.|[tT][oO][dD](?=\s))"  # in reversed text
+_AFTER = re.compile(rf"\s*+[)\]}}]?+\s*+[A-Za-z0-9-]++(?:\s*+{_DOT}\s*+[A-Za-z0-9-]++)++")
+_BEFORE = re.compile(rf"\s*+[(\[{{]?+(?:\s*+{_TOD})*+\s*+[A-Za-z0-9_%+-]*+(?:(?:\s*+{_TOD})++\s*+[A-Za-z0-9_%+-]*+)*+\s*+")
+_NUMBERS = re.compile(r"[0-9]++(?:(?:[().\-/\s\[\]{}]|[dD][oO][tT])++[0-9]++)*+")
+# the same parts without white space around a plain dot, which may end a sentence
+_NAME = re.compile(r"\s*+[)\]}]?+\s*+[A-Za-z0-9-]++(?:(?:\.|\s*+[(\[{]\s*+(?:[dD][oO][tT]|\.)\s*+[)\]}]\s*+|\s++[dD][oO][tT]\s++)[A-Za-z0-9-]++)*+")
+_LOCAL_PART = re.compile(r"\s*+[(\[{]?+\s*+[A-Za-z0-9._%+-]++(?:(?:\s*+[)\]}]\s*+(?:[tT][oO][dD]|\.)\s*+[(\[{]\s*+|\s++[tT][oO][dD]\s++)[A-Za-z0-9._%+-]++)*+")
 
 
 def luhn(digits: str) -> bool:
@@ -228,12 +239,28 @@ def viterbi(e: np.ndarray, t: np.ndarray) -> np.ndarray:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Disjoint spans of text within the margin of a sign of personal data."""
+    """Disjoint spans of text, with a margin, that hold every span that ``holds`` can accept.
+
+    An address needs an at sign with a dotted name behind it, four numbers need nine digits or three dots, the others nine digits.
+    """
+    found, turned = [], None
+    for m in _NUMBERS.finditer(text):
+        run = m.group()
+        digits = len(digits_of(run))
+        if digits >= LEAST_DIGITS or digits >= 4 and run.count(".") + run.lower().count("dot") >= 3:
+            a = m.start()
+            while a > 0 and text[a - 1] in " ().-/":
+                a -= 1
+            found.append((a, m.end()))
+    for m in _AT.finditer(text):
+        if after := _AFTER.match(text, m.end()):
+            turned = text[::-1] if turned is None else turned
+            found.append((len(text) - _BEFORE.match(turned, len(text) - m.start()).end(), after.end()))
     out: list[list[int]] = []
-    for m in _SIGN.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
+    for a, b in sorted(found):
+        a, b = max(0, a - MARGIN), min(len(text), b + MARGIN)
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
     return [(a, b) for a, b in out]
@@ -281,6 +308,7 @@ def model_spans(texts: list[str], p: dict) -> list[list[tuple[int, int, int]]]:
 def plain(text: str, kind: int) -> str:
     """A span's text without what is written to hide it."""
     if kind <= 1:
+        text = re.sub(r"\s{2,}", " ", text)
         text = re.sub(r"\s*[(\[{]\s?at\s?[)\]}]\s*|\s+at\s+", "@", text, flags=re.I)
         text = re.sub(r"\s*[(\[{]\s?(?:dot|\.)\s?[)\]}]\s*|\s+dot\s+", ".", text, flags=re.I)
         return re.sub(r"\s*([@.])\s*", r"\1", text)
@@ -289,8 +317,6 @@ def plain(text: str, kind: int) -> str:
 
 def holds(text: str, kind: int) -> bool:
     """Whether a span of the model is what it claims to be."""
-    if len(text) > 80:
-        return False
     t = plain(text, kind)
     if kind == 0:
         return base_spans(t) != [] and base_spans(t)[0][:2] == (0, len(t))
@@ -298,7 +324,17 @@ def holds(text: str, kind: int) -> bool:
         return re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", t) is not None and ip_holds(t)
     if kind == 2:
         return 12 <= len(t) <= 19 and luhn(t) and re.fullmatch(r"[0-9]+(?:[ .\-/]{1,3}[0-9]+)*", text) is not None
-    return 9 <= len(t) <= 15 and re.fullmatch(r"(?:00|\()[0-9 ().\-/]+[0-9]", text) is not None and len(re.findall(r"[0-9]+", text)) >= 3
+    return LEAST_DIGITS <= len(t) <= 15 and re.fullmatch(r"(?:00|\()[0-9 ().\-/]+[0-9]", text) is not None and len(re.findall(r"[0-9]+", text)) >= 3
+
+
+def addresses(text: str, turned: str, a: int, b: int) -> list[tuple[int, int]]:
+    """Whole addresses around the at signs in a span: windows and the model may end inside a long one."""
+    out = []
+    for m in _AT.finditer(text, a, min(len(text), b + 1)):
+        left, right = _LOCAL_PART.match(turned, len(text) - m.start()), _NAME.match(text, m.end())
+        if m.start() < b and left and right:
+            out.append((len(text) - left.end(), right.end()))
+    return out
 
 
 def all_spans(texts: list[str | None], p: dict | None) -> list[list[tuple[int, int, int, bool]]]:
@@ -308,9 +344,11 @@ def all_spans(texts: list[str | None], p: dict | None) -> list[list[tuple[int, i
     added = model_spans([t or "" for t in texts], p) if p else [[] for _ in texts]
     for text, own, more in zip(texts, base, added):
         spans = [(*s, True) for s in own]
+        turned = text[::-1] if any(k == 0 for _, _, k in more) else ""
         for a, b, k in more:
-            if all(b <= x or y <= a for x, y, _ in own) and holds(text[a:b], k):
-                spans.append((a, b, k, False))
+            for x, y in (addresses(text, turned, a, b) if k == 0 else []) + [(a, b)]:
+                if all(y <= s[0] or s[1] <= x for s in spans) and holds(text[x:y], k):
+                    spans.append((x, y, k, False))
         out.append(sorted(spans, key=lambda s: (s[0], s[2])))
     return out
 
