@@ -149,6 +149,21 @@ def test_html_copied_articles_stay(llm_spark):
     assert html_text.extracted(read(llm_spark, SF, "pages").limit(0)).count() == 0
 
 
+def kept(page):
+    return [t for t, kind in html_text.parse(page)[0] if kind]
+
+
+@pytest.mark.parametrize("tag", ["<video-player src=a></video-player>", "<title-bar>", "<select-menu>", "<object-x>", "<svg width=1/>", '<svg aria-label="a > b" width="1" />', "<svg/>",
+                                 "<math/>", "<iframe src=a>", "<video src=a>", "<noscript>"])
+def test_html_text_goes_on_after(tag):
+    assert kept(f"<p>One.</p>{tag}<p>Two.</p><p>Three.</p>") == ["One.", "Two.", "Three."]
+
+
+def test_html_raw_elements_go():
+    assert kept("<p>One.</p><svg><text>no</text></svg ><p>Two.</p><SCRIPT>if (a<b) '<p>no</p>'</script><p>Three.</p><style>no") == ["One.", "Two.", "Three."]
+    assert len(kept("<svg><p>a</p>" * 100_000)) == 100_000  # linear
+
+
 # ---- toxicity
 
 def test_block_max_equals_brute_force():

@@ -24,6 +24,7 @@ from tidemark.llm.shared import map_texts, quoted, written
 LEAST_PAGES, LEAST_SHARE = 3, 0.2
 # fixed values: elements by what they do
 RAW = "script style noscript template textarea title svg math iframe object select canvas audio video xmp noembed noframes".split()
+TO_THE_END = frozenset("script style textarea title".split())  # without an end tag
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("head nav aside footer form dialog menu button fieldset".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
@@ -38,8 +39,9 @@ WORDS = re.compile(r"ads?|adverts?|advertisements?|advertising|adsense|banner|br
                    r"sidebar|signup|social|sponsor(?:ed|s)?|subscribe|toolbar|widgets?|modal|disclaimer|hidden|login|recommended|trending")
 OUTSIDE_WORDS = re.compile(r"header|topbar|top")
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
     r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/><]*+)(?P<attrs>(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)(?:>|\Z)", re.S | re.I)
+RAW_END = {tag: re.compile(rf"</{tag}(?:[\s/][^>]*)?>", re.I) for tag in RAW}
 ATTR = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 HOST = re.compile(r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
@@ -115,14 +117,25 @@ def parse(page: str | None) -> tuple[list[tuple[str, int]], list[tuple[int, int,
             if stack[i].tag in stop:
                 return
 
-    at, page = 0, page or ""
-    for m in TOKEN.finditer(page):
+    at, page, unclosed = 0, page or "", set()
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             text[stack[-1].dropped].append(page[at:m.start()])
         at = m.end()
         if (tag := m["tag"]) is None:
             continue
         tag = tag.lower()
+        if tag in RAW_END and not m["end"]:
+            if tag in ("svg", "math") and m["attrs"].rstrip().endswith("/"):
+                continue
+            # no end tag from here on: none for the later ones, either
+            if tag not in unclosed and (end := RAW_END[tag].search(page, at)):
+                at = end.end()
+                continue
+            unclosed.add(tag)
+            if tag in TO_THE_END:
+                at = len(page)
+            continue
         if m["end"]:
             if tag in BLOCK:
                 flush()
