@@ -164,6 +164,15 @@ def test_html_raw_elements_go():
     assert len(kept("<svg><p>a</p>" * 100_000)) == 100_000  # linear
 
 
+def test_html_template_of_one_section_of_a_large_host(llm_spark):
+    notice = "<div><span>Spring sale until Sunday.</span></div>"
+    page = lambda i: f"<html><body>{notice if i % 10 == 0 else ''}<p>Text of page {i}.</p></body></html>"
+    for n in (40, 400):  # on a tenth of the pages: a few of a small host, many of a large one
+        rows = [(i, f"https://large.example/{i}", page(i)) for i in range(n)]
+        got = {r["page_id"]: r["text"] for r in html_text.extracted(llm_spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+        assert got == {i: ("Spring sale until Sunday.\n" if n == 40 and i % 10 == 0 else "") + f"Text of page {i}." for i in range(n)}
+
+
 # ---- toxicity
 
 def test_block_max_equals_brute_force():

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import map_texts, quoted, written
 
-#: A template occurs on this many different pages of a host at least, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 3, 0.2
+#: A template occurs on this many different pages of a host; on a small host, where that is more than the share, on the share and
+#: on ``LEAST_PAGES`` of them at least. What is a template with ``MANY_PAGES`` stays one however large the host grows.
+MANY_PAGES, LEAST_PAGES, SMALL_SHARE = 10, 3, 0.2
 # fixed values: elements by what they do
 RAW = "script style noscript template textarea title svg math iframe object select canvas audio video xmp noembed noframes".split()
 TO_THE_END = frozenset("script style textarea title".split())  # without an end tag
@@ -190,7 +191,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
     subtrees = parsed.select("row", "host", "whole", F.explode("nodes").alias("n")).select("row", "host", "whole", "n.hash", "n.first", "n.end", "n.text")
     sizes = parsed.select("host", "whole").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     seen = subtrees.select("host", "hash", "whole").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
-    template = seen.join(sizes, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages")).select("host", "hash")
+    template = seen.join(sizes, "host").where(F.col("n") >= F.least(F.lit(float(MANY_PAGES)), SMALL_SHARE * F.col("pages"))).select("host", "hash")
     # only spans that hold text not yet dropped by name go back to their pages
     deleted = subtrees.where("text").join(template, ["host", "hash"]).groupBy("row").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
     # written first: its size is known then, so few deletions do not shuffle all texts
