@@ -164,6 +164,23 @@ def test_html_raw_elements_go():
     assert len(kept("<svg><p>a</p>" * 100_000)) == 100_000  # linear
 
 
+def test_html_titles_of_articles_stay():
+    for name in ("related-work", "social_policy", "promotion-and-relegation", "informed-consent", "modal-logic", "hidden-markov-models", "navigation", "comments"):
+        assert kept(f"<article><h2 id='{name}'>Title</h2><p>Text.</p></article>") == ["Title", "Text."]
+        assert kept(f"<article><section id='{name}'><h2>Title</h2><p>Text.</p></section></article>") == ["Title", "Text."]
+        assert kept(f"<main><div class='section' id='{name}'><h2>Title</h2><p id='{name}'>Text.</p></div></main>") == ["Title", "Text."]
+    assert kept("<article><h2 class=social>Title</h2><p>As <math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></semantics></math> holds.</p><math/><p>So.</p></article>") \
+        == ["Title", "As x=1 holds.", "So."]
+    assert kept("<article><p>Text.</p><div class='share-buttons'>no</div><div id=comments>no</div><section class='newsletter'>no</section><div role=navigation>no</div></article>") == ["Text."]
+
+
+def test_html_weak_words_go_where_they_recur(llm_spark):
+    page = lambda i: f"<article><h2 class=social>Follow us</h2><p>Text of page {i}.</p><h2 id=related>Related {i}</h2></article>"
+    rows = [(i, f"https://weak.example/{i}", page(i)) for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in html_text.extracted(llm_spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: f"Text of page {i}.\nRelated {i}" for i in range(12)}
+
+
 def test_html_template_of_one_section_of_a_large_host(llm_spark):
     notice = "<div><span>Spring sale until Sunday.</span></div>"
     page = lambda i: f"<html><body>{notice if i % 10 == 0 else ''}<p>Text of page {i}.</p></body></html>"

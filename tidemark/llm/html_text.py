@@ -24,10 +24,10 @@ from tidemark.llm.shared import map_texts, quoted, written
 #: on ``LEAST_PAGES`` of them at least. What is a template with ``MANY_PAGES`` stays one however large the host grows.
 MANY_PAGES, LEAST_PAGES, SMALL_SHARE = 10, 3, 0.2
 # fixed values: elements by what they do
-RAW = "script style noscript template textarea title svg math iframe object select canvas audio video xmp noembed noframes".split()
+RAW = "script style noscript template textarea title svg iframe object select canvas audio video xmp noembed noframes".split()
 TO_THE_END = frozenset("script style textarea title".split())  # without an end tag
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("head nav aside footer form dialog menu button fieldset".split())
+DROPPED = frozenset("head nav aside footer form dialog menu button fieldset annotation annotation-xml".split())  # annotations repeat a formula
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr
 ul""".split())
@@ -38,6 +38,13 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 WORDS = re.compile(r"ads?|adverts?|advertisements?|advertising|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|gdpr|copyright|disqus|footer|"
                    r"masthead|menu|nav|navbar|navigation|newsletter|notices?|pager|pagination|popup|promos?|promotion|related|replies|respond|shar(?:e|ing)|"
                    r"sidebar|signup|social|sponsor(?:ed|s)?|subscribe|toolbar|widgets?|modal|disclaimer|hidden|login|recommended|trending")
+#: Words that titles hold, too: on a section or heading of an article they tell nothing unless it recurs across the host.
+WEAK_WORDS = re.compile(r"advertising|banner|consent|copyright|cookies?|disclaimer|footer|gdpr|hidden|login|menu|modal|navigation|notices?|promotion|recommended|"
+                        r"related|respond|social|sponsor(?:ed|s)?|toolbar|trending|widgets?")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: In an article the id of one of these counts, as a whole; ids of others are made from titles and terms.
+BOXES = frozenset("div ul ol table".split())
+SECTION_WORDS = re.compile(r"(?:^|\s)(?:section|level\d|sect\d)(?:\s|$)")
 OUTSIDE_WORDS = re.compile(r"header|topbar|top")
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -53,28 +60,37 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower().removeprefix("www.") if m else ""
 
 
-def is_boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element is told to be no article text by its name, role, class or id."""
+def is_boilerplate(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is told to be no article text by its name, role, class or id; and whether it is if it also recurs."""
     if tag in DROPPED or tag == "header" and not in_article:
-        return True
+        return True, False
     if not attrs or tag in ("html", "body", "main"):
-        return False
-    for name, a, b, c in ATTR.findall(attrs):
-        name, value = name.lower(), (a or b or c).lower()
+        return False, False
+    found = [(name.lower(), (a or b or c).lower()) for name, a, b, c in ATTR.findall(attrs)]
+    titled = in_article and (tag in HEADINGS or tag == "section" or any(n == "class" and SECTION_WORDS.search(v) for n, v in found))
+    weak = False
+    for name, value in found:
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id"):
+            return True, False
+        if name == "id" and (tag in HEADINGS or titled):
+            weak = weak or WORDS.fullmatch(value) is not None
+        elif name == "id" and in_article:
+            if tag in BOXES and WORDS.fullmatch(value):
+                return True, False
+        elif name in ("class", "id"):
             for word in re.split(r"[^a-z0-9]+", value):
                 if WORDS.fullmatch(word) or not in_article and OUTSIDE_WORDS.fullmatch(word):
-                    return True
-    return False
+                    if not titled or not WEAK_WORDS.fullmatch(word):
+                        return True, False
+                    weak = True
+    return False, weak
 
 
 class _Node:
-    __slots__ = ("tag", "dropped", "article", "main", "first", "parts")
+    __slots__ = ("tag", "dropped", "article", "main", "first", "weak", "parts")
 
-    def __init__(self, tag, dropped, article, main, first):
-        self.tag, self.dropped, self.article, self.main, self.first, self.parts = tag, dropped, article, main, first, []
+    def __init__(self, tag, dropped, article, main, first, weak=False):
+        self.tag, self.dropped, self.article, self.main, self.first, self.weak, self.parts = tag, dropped, article, main, first, weak, []
 
 
 def parse(page: str | None) -> tuple[list[tuple[str, int]], list[tuple[int, int, int]]]:
@@ -104,7 +120,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, int]], list[tuple[int, int,
         digest = blake2b(("\x00".join([node.tag, *node.parts])).encode("utf-8", "replace"), digest_size=8).digest()
         stack[-1].parts.append(digest.hex())
         article = stack[-1].article or stack[-1].main
-        if node.tag in BLOCK and len(blocks) > node.first and node.tag not in ("html", "body", "article", "main") and not (article and node.tag in TEXT_BLOCKS):
+        if node.tag in BLOCK and len(blocks) > node.first and node.tag not in ("html", "body", "article", "main") and not (article and node.tag in TEXT_BLOCKS and not node.weak):
             nodes.append((int.from_bytes(digest, "big", signed=True), node.first, len(blocks)))
 
     def close_to(tags, stop):
@@ -127,7 +143,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, int]], list[tuple[int, int,
             continue
         tag = tag.lower()
         if tag in RAW_END and not m["end"]:
-            if tag in ("svg", "math") and m["attrs"].rstrip().endswith("/"):
+            if tag == "svg" and m["attrs"].rstrip().endswith("/"):
                 continue
             # no end tag from here on: none for the later ones, either
             if tag not in unclosed and (end := RAW_END[tag].search(page, at)):
@@ -153,9 +169,10 @@ def parse(page: str | None) -> tuple[list[tuple[str, int]], list[tuple[int, int,
             continue
         up = stack[-1]
         inside = up.article or up.main
-        dropped = up.dropped or is_boilerplate(tag, m["attrs"], inside)
+        told, weak = is_boilerplate(tag, m["attrs"], inside)
+        dropped = up.dropped or told
         stack.append(_Node(tag, dropped, up.article or tag == "article" and not dropped, up.main or not dropped and (
-            tag == "main" or "main" in m["attrs"] and re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]) is not None), len(blocks)))
+            tag == "main" or "main" in m["attrs"] and re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]) is not None), len(blocks), weak))
     text[stack[-1].dropped].append(page[at:])
     flush()
     while len(stack) > 1:
