@@ -525,6 +525,16 @@ def test_quotations(llm_spark):
         (3, 0): (rows[8][3], 0, None, None), (3, 1): (rows[8][3], 0, 3, 0), (3, 2): ("yes", 1, 3, 1)}
 
 
+def test_quotations_short_and_said_later(llm_spark):
+    said = "The harbour is closed today."
+    rows = [("a", 0, "x", "Hello."), ("a", 1, "x", "Why not?"), ("a", 2, "x", "Something else."), ("a", 3, "y", "> Why not?\n\nBecause."),
+            ("b", 0, "x", f"> {said}\n\nReally?"), ("b", 1, "y", said), ("c", 4, "x", said), ("d", 0, "x", "> Why not?\n\nNo idea.")]
+    got = {(r["conv_id"], r["turn"]): (r["reply_conv_id"], r["reply_turn"]) for r in quotations.linked(llm_spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")).collect()}
+    assert got[("a", 3)] == ("a", 1)  # not the message before it
+    assert got[("b", 0)] == ("c", 4)  # b itself says it only later
+    assert got[("d", 0)] == (None, None)
+
+
 def test_quotations_one_hot_conversation(llm_spark):
     rows = [(1, i, "user", f"message number {i} of this talk\n> message number {i - 1} of this talk" if i % 3 else f"message number {i} of this talk") for i in range(300)]
     df = llm_spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(6)

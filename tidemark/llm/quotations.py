@@ -23,8 +23,8 @@ from tidemark.llm.shared import map_texts, written
 
 MARK = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
 ATTRIBUTION = re.compile(r"^\s*(?:on\b.*\bwrote|.{1,80}\b(?:wrote|writes|said|schrieb|a écrit|escribió))\s*:\s*$", re.I)
-#: Shorter passages say too little to name a message.
-LEAST_WORDS = 3
+#: Shorter passages say too little to name a message of another conversation; their hashes begin with ``SHORT``.
+LEAST_WORDS, SHORT = 3, "~"
 
 
 def levels(text: str | None) -> list[tuple[int, str]]:
@@ -42,9 +42,9 @@ def normalised(text: str) -> str:
 
 
 def passage_hash(text: str) -> str | None:
-    """Hash of a normalised passage, None for one that is too short."""
+    """Hash of a normalised passage, marked for a short one; None without words."""
     t = normalised(text)
-    return hashlib.md5(t.encode()).hexdigest() if t.count(" ") >= LEAST_WORDS - 1 else None
+    return (SHORT if t.count(" ") < LEAST_WORDS - 1 else "") + hashlib.md5(t.encode()).hexdigest() if t else None
 
 
 def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
@@ -62,7 +62,7 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
             whole = passage_hash(" ".join(run))
             passages += [(level, whole)] if whole else []
             if len(run) > 1:
-                passages += [(level, h) for h in map(passage_hash, run) if h]
+                passages += [(level, h) for h in map(passage_hash, run) if h and not h.startswith(SHORT)]
             run = []
     return re.sub(r"\n{3,}", "\n\n", "\n".join(own)).strip(), list(dict.fromkeys(passages))
 
@@ -117,7 +117,7 @@ def linked(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, own text, n_quotes, reply_conv_id, reply_turn, reply_order of every row.
 
     A quote is looked for in the same conversation first, in others only if no message there said it; among several
-    messages the latest earlier one counts (in another conversation: the first in order of conversation and turn).
+    messages the latest earlier one counts (in another conversation: the first in order of conversation and turn). Short passages are looked for in the same one only.
     reply_order numbers a conversation's messages so that a reply follows its original: they go by turn, and a message
     whose turn is missing goes last. Null texts have no words and no quotes. Rows with the same conversation and turn all
     stay, in order of role and text. A null conversation is one conversation of its own.
@@ -141,14 +141,17 @@ def linked(messages: DataFrame) -> DataFrame:
         said.select(F.lit(None).cast("bigint").alias("row"), F.col("c").alias("conv_id"), F.col("t").alias("turn"), F.lit(0).alias("level"), "hash", "t"))
     both = both.withColumn("g", F.concat("hash", id_text(F.col("conv_id"))))
     near = carried(both, "g", [F.col("turn").asc_nulls_last(), F.col("row").asc_nulls_last(), "level"], "t").where("row is not null").drop("t")
-    first = said.groupBy("hash").agg(F.min(F.struct("c", "t")).alias("first"))
-    found = near.join(first, "hash", "left")
-    elsewhere = ~F.col("first.c").eqNullSafe(F.col("conv_id"))
-    found = found.select("row", "level", F.col("prev").isNotNull().alias("same"), F.coalesce("prev", F.when(elsewhere, F.col("first.t"))).alias("t"),
-                         F.when(F.col("prev").isNotNull(), F.col("conv_id")).when(elsewhere, F.col("first.c")).alias("c")).where("t is not null")
+    # the first sayings of the two least conversations: one of them is not the quoting one
+    each = said.where(~F.col("hash").startswith(SHORT) & F.col("t").isNotNull()).groupBy("hash", "c").agg(F.min("t").alias("t"))
+    first = each.groupBy("hash").agg(F.min(F.struct("c", "t")).alias("first"))
+    second = each.join(first, "hash").where(~F.col("c").eqNullSafe(F.col("first.c"))).groupBy("hash").agg(F.min(F.struct("c", "t")).alias("second"))
+    found = near.join(first, "hash", "left").join(second, "hash", "left")
+    other = F.when(~F.col("first.c").eqNullSafe(F.col("conv_id")), F.col("first")).otherwise(F.col("second"))
+    found = found.select("row", "level", F.col("prev").isNotNull().alias("same"), F.col("hash").startswith(SHORT).alias("short"), F.coalesce("prev", other["t"]).alias("t"),
+                         F.when(F.col("prev").isNotNull(), F.col("conv_id")).otherwise(other["c"]).alias("c")).where("t is not null")
     # the shallowest quote, one of the same conversation first, then the latest
-    best = found.groupBy("row").agg(F.min_by(F.struct("c", "t"), F.struct("level", ~F.col("same"), -F.col("t"))).alias("to"))
-    placed = parsed.select("row", "conv_id", "turn", "role", "own", F.size("quotes").cast("bigint").alias("n_quotes"), id_text(F.col("conv_id")).alias("g"))
+    best = found.groupBy("row").agg(F.min_by(F.struct("c", "t"), F.struct("level", ~F.col("same"), "short", -F.col("t"))).alias("to"))
+    placed = parsed.select("row", "conv_id", "turn", "role", "own", F.size(F.filter("quotes", lambda q: ~q["hash"].startswith(SHORT))).cast("bigint").alias("n_quotes"), id_text(F.col("conv_id")).alias("g"))
     placed = carried(placed, "g", [F.col("turn").asc_nulls_last(), "role", "own", "row"], "turn")
     return placed.join(best, "row", "left").select(
         "conv_id", "turn", "role", F.col("own").alias("text"), "n_quotes",
