@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html_text, pii, quality_classifier, quality_rules, quotations, sharding, simhash, toxicity
+from tidemark.llm import (bpe, centroids, decontaminate, html_text, infill, packing, pii, quality_classifier, quality_rules, quotations, sharding, simhash,
+                          toxicity)
 from tidemark.llm.shared import read
 
 
@@ -72,13 +73,69 @@ def op10_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotations.linked(read(spark, sf_dir, "conversations"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document rearranged for filling in its middle, and the text rebuilt from that, as digests."""
+    done = infill.filled_in_middle(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens, each filled with the lexical neighbours of its seed."""
+    return packing.packed(read(spark, sf_dir, "documents"), packing.default_path())
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of each embedding after five rounds of exact k-means."""
+    return centroids.clustered(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_decontaminate, op2_bpe, op3_html_text, op4_toxicity, op5_sharding, op6_pii, op7_quality_rules, op8_simhash, op9_quality_classifier, op10_quotations)}
+    op1_decontaminate, op2_bpe, op3_html_text, op4_toxicity, op5_sharding, op6_pii, op7_quality_rules, op8_simhash, op9_quality_classifier, op10_quotations,
+    op11_infill, op12_packing, op13_centroids)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+def _rounds(n: int) -> str:
+    """n rounds of assignment and exact means as SQL, from the centroids c0(num, i, y) over the long vectors x(rid, i, v)."""
+    steps = []
+    for r in range(n + 1):
+        steps.append(f"""
+d{r} as materialized (select rid, num, sum((v - y) * (v - y)) as dist from x join c{r} using (i) group by rid, num),
+a{r} as materialized (select rid, min(dist) as distance, arg_min(num, dist * 64 + num) as num from d{r} group by rid)""")
+        if r < n:
+            steps.append(f"""
+m{r} as (select num, i, sum(v) as total, count(*) as n from a{r} join x using (rid) group by num, i),
+c{r + 1} as materialized (select num, i, coalesce((total - ((total % n) + n) % n) // n, y) as y from c{r} left join m{r} using (num, i))""")
+    return ",".join(steps)
+
+
+_INFILL_HASH = lambda i: f"('0x' || substr(h, {8 * i + 1}, 8))::bigint"
+
 ORACLES: dict[str, str] = {
+    "op11_infill": f"""
+with u as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+                  sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+c as (select *, len(u)::bigint as n, {_INFILL_HASH(0)} % (len(u) + 1) as a, {_INFILL_HASH(1)} % (len(u) + 1) as b,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or {_INFILL_HASH(2)} % 100 >= 90 then 'plain'
+                  when {_INFILL_HASH(3)} % 100 < 20 then 'spm' else 'psm' end as form from u),
+p as (select *, array_to_string(u[1:least(a, b)], '') as pre, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as mid,
+             array_to_string(u[greatest(a, b) + 1:], '') as suf from c)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+              else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256, sha256(t) as restored_sha256
+from p""",
+    "op13_centroids": f"""
+with k as materialized (select row_number() over () as rid, vec_id, embedding as e from embeddings
+           where len(embedding) = 64 and len(list_filter(embedding, lambda z: z is not null and isfinite(z))) = 64),
+x as materialized (select rid, vec_id, unnest(range(1, 65)) as i, unnest(list_transform(e, lambda z: floor(256 * z::double)::bigint)) as v from k),
+f as (select rid, row_number() over (order by sha256('2:' || vec_id::varchar)) - 1 as num from k order by num limit 40),
+c0 as (select num, i, v as y from f join x using (rid)),{_rounds(5)},
+t as (select num, sum(distance) as ci from a5 group by num),
+s as (select num, sha256(string_agg(y::bigint::varchar, ',' order by i)) as digest from c5 group by num)
+select vec_id, num::int as cluster, distance::bigint as distance, ci::bigint as cluster_inertia, (select sum(ci) from t)::bigint as inertia, digest as centroid_sha256
+from a5 join k using (rid) join t using (num) join s using (num)""",
     "op1_decontaminate": f"""
 with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
 items as (select item_id::varchar as item, {_WORDS} as w from benchmark),
