@@ -15,6 +15,7 @@ import json
 import re
 import zlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,10 @@ BLOCK_DOCS, TASK_BYTES = 2048, 32 << 20
 #: Words of a byte-level BPE, as its format fixes them.
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # texts left to the tokenizer library: characters whose classes may differ between versions of Unicode, very long white space
-_LEFT = re.compile("[^\x00-\u024f\u2010-\u2027]|\\s{256}")
+_RARE = re.compile("[^\x00-\u024f\u2010-\u2027]")
+# bytes of white space below U+0250 become spaces
+_SPACES = bytes(32 if b in b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \xc2\x85\xa0" else b for b in range(256))
+_LONG_SPACE = b" " * 256
 
 _PIECES = [("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()), ("doc_tokens", T.LongType()),
            ("sequence_id", T.LongType()), ("offset", T.LongType())]
@@ -74,19 +78,27 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.left = re.compile("|".join([_LEFT.pattern, *specials]))
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         ranks = _ranks(path)
         self.fast = ranks and tiktoken.Encoding("ranks", pat_str=_WORD, mergeable_ranks=ranks, special_tokens={})
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        out = [self.fast.encode_ordinary(t) if self.fast and not self.left.search(t) else None for t in texts]
+    def _plain(self, text: str) -> bool:
+        return not (not text.isascii() and _RARE.search(text) or any(s in text for s in self.specials) or _LONG_SPACE in text.encode().translate(_SPACES))
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        out = [self.fast.encode_to_numpy(t, disallowed_special=()) if self.fast and self._plain(t) else None for t in texts]
         rest = [i for i, ids in enumerate(out) if ids is None]
         for i, e in zip(rest, self.tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = e.ids
+            out[i] = np.array(e.ids, np.uint32)
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
+
+
 def width(path: str) -> str:
     """The smallest whole-number type of numpy that holds the ids of a tokenizer."""
     from tokenizers import Tokenizer
@@ -100,9 +112,9 @@ def tokenised(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     kind = width(path)
 
     def run(batches):
-        encode = Encoder(path)
+        encode = encoder(path)
         for batch in batches:
-            ids = [np.array([*x, end], kind) for x in encode([t or "" for t in batch.column(1).to_pylist()])]
+            ids = [np.append(x, np.uint32(end)).astype(kind) for x in encode([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
                                              ["key", "n", "ids"])
 
