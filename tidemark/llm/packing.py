@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,6 +31,10 @@ WINDOW, END = 2048, 1
 K1, B = 1.2, 0.75
 #: Documents of one shard, and the token bytes a task of the packing stage is planned for (its memory is bounded by the shard).
 BLOCK_DOCS, TASK_BYTES = 2048, 32 << 20
+#: Tokens in more than one of so many documents of a shard are scored as matrix rows; neighbours sorted at first; documents sampled for each task's bounds.
+DENSE_PART, FIRST, SAMPLE = 8, 64, 200
+#: Tasks of the packing stage at most: the driver holds one bound for each. A task works shard by shard, so its size bounds no memory.
+MOST_TASKS = 20_000
 
 #: Words of a byte-level BPE, as its format fixes them.
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -85,11 +90,11 @@ class Encoder:
     def _plain(self, text: str) -> bool:
         return not (not text.isascii() and _RARE.search(text) or any(s in text for s in self.specials) or _LONG_SPACE in text.encode().translate(_SPACES))
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        out = [self.fast.encode_to_numpy(t, disallowed_special=()) if self.fast and self._plain(t) else None for t in texts]
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        out = [self.fast.encode_ordinary(t) if self.fast and self._plain(t) else None for t in texts]
         rest = [i for i, ids in enumerate(out) if ids is None]
         for i, e in zip(rest, self.tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, np.uint32)
+            out[i] = e.ids
         return out
 
 
@@ -114,7 +119,7 @@ def tokenised(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     def run(batches):
         encode = encoder(path)
         for batch in batches:
-            ids = [np.append(x, np.uint32(end)).astype(kind) for x in encode([t or "" for t in batch.column(1).to_pylist()])]
+            ids = [np.fromiter((*x, end), kind, len(x) + 1) for x in encode([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
                                              ["key", "n", "ids"])
 
@@ -179,14 +184,36 @@ class Shard:
         self.docs, self.weights = doc[order], weight[order]
         self.begin = np.searchsorted(term[order], np.arange(len(names) + 1))
         self.of = np.split(term, np.searchsorted(doc, np.arange(1, self.n)))
+        # postings of tokens that stand in an eighth of the documents, as rows of a matrix: at most 8 x tokens of a document of them
+        counts = np.diff(self.begin)
+        common = np.flatnonzero(counts * DENSE_PART > self.n)
+        self.row = np.full(len(names), -1, np.int64)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.n), np.float32)
+        held = self.row[term] >= 0
+        self.dense[self.row[term[held]], doc[held]] = weight[held]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 score of every document of the shard for the distinct tokens of one."""
-        terms = self.of[seed]
+        rows = self.row[self.of[seed]]
+        wanted = np.zeros(len(self.dense), np.float32)
+        wanted[rows[rows >= 0]] = 1
+        terms = self.of[seed][rows < 0]
         begin, count = self.begin[terms], self.begin[terms + 1] - self.begin[terms]
-        total = int(count.sum())
-        at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(total)
-        return np.bincount(self.docs[at], weights=self.weights[at], minlength=self.n)
+        at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        return np.bincount(self.docs[at], weights=self.weights[at], minlength=self.n) + wanted @ self.dense
+
+
+def _falling(scores: np.ndarray) -> Iterator[int]:
+    """Documents of score 0 or more by falling score, ties in their order; the best few are sorted first."""
+    top = scores
+    if len(scores) > 4 * FIRST:
+        least = max(np.partition(scores, -FIRST)[-FIRST], 0)
+        best = np.flatnonzero(scores >= least)
+        yield from best[np.argsort(-scores[best], kind="stable")]
+        top = np.where(scores >= least, -1.0, scores)
+    rest = np.flatnonzero(top >= 0)
+    yield from rest[np.argsort(-top[rest], kind="stable")]
 
 
 class Rest:
@@ -221,9 +248,7 @@ def fill(rests: list[Rest], weights: Weights, window: int) -> tuple[list[list[Re
         scores = np.where(unused, index.scores(seed), -1.0)
         seed = None
         # ties: the earlier document
-        for other in np.argsort(-scores, kind="stable"):
-            if not room or scores[other] < 0:
-                break
+        for other in _falling(scores) if room else ():
             unused[other] = False
             if len(rests[other].ids) > room:
                 sequence.append(rests[other].cut(room))
@@ -231,6 +256,8 @@ def fill(rests: list[Rest], weights: Weights, window: int) -> tuple[list[list[Re
             else:
                 sequence.append(rests[other])
                 room -= len(rests[other].ids)
+            if not room:
+                break
         if room:
             return full, sequence
         full.append(sequence)
@@ -295,6 +322,8 @@ def packed(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     item = np.dtype(kind).itemsize
     fields = [T.StructField(key, tokens.schema["key"].dataType), *[T.StructField(n, t) for n, t in _PIECES]]
     names, out = [f.name for f in fields], T.StructType(fields)
+    rest_schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("spot", T.LongType()), tokens.schema["key"], tokens.schema["n"],
+                                T.StructField("telling", T.LongType()), T.StructField("crc", T.LongType()), tokens.schema["ids"]])
 
     def windows(batches):
         take = _numbers(1)
@@ -305,19 +334,31 @@ def packed(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                 made += [(take(), [Rest(k, at, ids[at:at + window], n)]) for at in range(0, n - window + 1, window)]
             yield _rows(made, batch.column(0).type, names)
 
-    def rests(batches):
-        for batch in batches:
-            found = [(np.frombuffer(raw, kind)[n // window * window:], n) for n, raw in zip(*(batch.column(i).to_pylist() for i in (1, 2)))]
-            doc, term, times = _distinct([_terms(ids) for ids, _ in found])
-            telling = np.full(len(found), -1, np.int64)
-            if len(doc):
-                lengths = np.array([len(ids) for ids, _ in found], np.float64)
-                # the token of the largest weight of each document; of equal ones the larger
-                order = np.lexsort((term, weights(term, times, lengths[doc]), doc))
-                telling[doc[order]] = term[order]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([n for _, n in found], pa.int64()), pa.array(telling), pa.array([zlib.crc32(ids.tobytes()) for ids, _ in found], pa.int64()),
-                pa.array([ids.tobytes() for ids, _ in found], pa.binary())], ["key", "n", "telling", "crc", "ids"])
+    def telling(ids: list[np.ndarray]) -> np.ndarray:
+        """The token of the largest weight of each document, of equal ones the largest; -1 for a document without any."""
+        doc, term, times = _distinct([_terms(x) for x in ids])
+        out = np.full(len(ids), -1, np.int64)
+        if len(doc):
+            weight = weights(term, times, np.array([len(x) for x in ids], np.float64)[doc])
+            begin = np.flatnonzero(np.diff(doc, prepend=-1))
+            best = np.repeat(np.maximum.reduceat(weight, begin), np.diff(np.append(begin, len(doc))))
+            out[doc[begin]] = np.maximum.reduceat(np.where(weight == best, term, -1), begin)
+        return out
+
+    def rests(bounds: np.ndarray):
+        def run(batches):
+            at = TaskContext.get().partitionId() << 40
+            for batch in batches:
+                totals = batch.column(1).to_pylist()
+                found = [np.frombuffer(raw, kind)[n // window * window:] for n, raw in zip(totals, batch.column(2).to_pylist())]
+                raw, token = [ids.tobytes() for ids in found], telling(found)
+                # the place of a row spreads the documents of one token evenly, copies and repeated rows too
+                spot = (token << 32) + [zlib.crc32(struct.pack("<q", at + i)) for i in range(len(found))]
+                at += len(found)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.searchsorted(bounds, spot), pa.int32()), pa.array(spot), batch.column(0), batch.column(1), pa.array(token),
+                    pa.array(map(zlib.crc32, raw), pa.int64()), pa.array(raw, pa.binary())], rest_schema.names)
+        return run
 
     def pack(batches):
         take = _numbers(0)
@@ -335,12 +376,13 @@ def packed(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
             full, held = fill(held, weights, window)
             yield _rows([(take(), s) for s in [*full, *_powers(held)]], key_type, names)
 
-    rest_schema = T.StructType([tokens.schema["key"], tokens.schema["n"], T.StructField("telling", T.LongType()), T.StructField("crc", T.LongType()), tokens.schema["ids"]])
-    left = tokens.where(F.col("n") % window > 0).mapInArrow(rests, rest_schema)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size["total"] or 0) * item // TASK_BYTES))
-    # crc and key spread the documents of one token evenly over tasks, whatever share of all documents holds it
-    order = ["telling", "crc", "key", "n"]
-    near = left.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    left = tokens.where(F.col("n") % window > 0).select("key", "n", "ids")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, -(-(size["total"] or 0) * item // TASK_BYTES)))
+    # ranges of (telling, place) for the tasks; a sample bounds them, so their balance depends on it and no row does
+    probe = left.sample(min(1.0, SAMPLE * tasks / max(size["n"], 1)), seed=1).mapInArrow(rests(np.zeros(0, np.int64)), rest_schema)
+    bounds = probe.agg(F.percentile_approx("spot", [i / tasks for i in range(1, tasks)] or [0.5], 20 * tasks)).first()[0] or []
+    dealt = left.mapInArrow(rests(np.array(sorted(bounds), np.int64)), rest_schema).repartitionById(tasks, "part")
+    near = dealt.sortWithinPartitions("telling", "crc", "key", "n").drop("part", "spot")
     whole = tokens.where(F.col("n") >= window).select("key", "n", "ids").mapInArrow(windows, out)
     return written(near.mapInArrow(pack, out).unionByName(whole), "pieces")
 
