@@ -3,7 +3,7 @@
 A change log has the columns
 
 * ``_seq``: order of the operations, of any type that can be ordered (whole numbers become bigint; a struct orders by several
-  columns); unique per key, and across the log for truncates,
+  columns); unique per key, and across the log for truncates; an operation with a NULL order is older than all others,
 * ``_op``: ``I`` upsert, ``U`` partial update, ``D`` soft delete, ``T`` truncate,
 * ``_supplied``: names of the columns the operation carries; NULL, or no such column at all, for whole rows,
 * the key columns and the value columns of the table.
@@ -26,6 +26,11 @@ SEQ, OP, SUPPLIED, DELETED, SYNCED = "_seq", "_op", "_supplied", "_deleted", "_s
 META = (SEQ, OP, SUPPLIED)
 
 
+def sequence(log: DataFrame) -> Column:
+    """The order of a log's operations as aggregates and comparisons take it: where it may be NULL, a struct, which keeps NULL as the least value."""
+    return F.struct(F.col(SEQ).alias("o")) if log.schema[SEQ].nullable else F.col(SEQ)
+
+
 def _as_col(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
@@ -91,7 +96,7 @@ def fold_changes(changes: DataFrame, keys: Sequence[str], truncates: bool = Fals
     """
     require_key_columns(changes, keys)
     values = [c for c in changes.columns if c not in keys and c not in META]
-    seq, op = F.col(SEQ), F.col(OP)
+    seq, op = sequence(changes), F.col(OP)
     writes = op.isin("I", "U")
     marks = [
         F.min(F.when(op == "I", seq)).alias("_first_i"),
@@ -120,7 +125,7 @@ def fold_changes(changes: DataFrame, keys: Sequence[str], truncates: bool = Fals
 
 def last_truncate(changes: DataFrame) -> Column:
     """Sequence of the last truncate as a scalar subquery (one row whatever the log's size)."""
-    return changes.filter(F.col(OP) == "T").agg(F.max(SEQ)).scalar()
+    return changes.filter(F.col(OP) == "T").agg(F.max(sequence(changes))).scalar()
 
 
 def apply_folded(base: DataFrame | None, folded: DataFrame, keys: Sequence[str], truncated_at: Column | None = None,

@@ -20,7 +20,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,6 +146,15 @@ class KeyedTable:
         rows = self._read(head, sorted(head["buckets"])).drop(BUCKET)
         return rows if with_order else rows.drop(ORDER)
 
+    def matching(self, keys: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """Keys and ``columns`` of the stored rows whose key stands in a small frame: only its buckets are read, and the frame, not the table, may be broadcast."""
+        head = self.head()
+        if head is None:
+            raise ValueError(f"table {self.path} has no commit")
+        wanted = keys.select(*self.keys).distinct()
+        buckets = [str(r[BUCKET]) for r in self._bucketed(wanted).select(BUCKET).distinct().collect()]  # at most one row a bucket
+        return self._read(head, sorted(buckets)).select(*self.keys, *columns).join(wanted, self.keys)
+
     def active(self) -> DataFrame:
         return self.read().filter(~F.col(DELETED)).drop(DELETED)
 
@@ -244,7 +253,7 @@ class KeyedTable:
 
     def _applied(self, base: DataFrame | None, folded: DataFrame, cut, run_time, touched: int, splits: int, log_size: str, tasks: int = 0) -> DataFrame:
         """The touched buckets after the log; a bucket's rows are shared by ``splits`` tasks unless the log is broadcast."""
-        cut = None if cut is None else F.lit(cut)
+        cut = F.struct(F.lit(cut["o"]).alias("o")) if isinstance(cut, Row) else cut if cut is None else F.lit(cut)
         keys = [BUCKET, *self.keys]
         if base is not None and log_size != "broadcast":
             base, folded = (self._spread(side, touched, splits, tasks) for side in (base, folded))

@@ -98,6 +98,22 @@ def upsert_lineitem_table(t: Tables):
     return table.read()
 
 
+@query("dml01d_null_order", """
+WITH log AS (
+  SELECT user_id, event_id, event_type, CASE WHEN event_id % 3 <> 0 THEN event_id END AS seq FROM events WHERE user_id % 2 = 0)
+SELECT user_id, arg_max(event_type, coalesce(seq, -1) * 1000000000 + CASE WHEN seq IS NULL THEN event_id ELSE 0 END) AS event_type, false AS _deleted
+FROM (SELECT * FROM log WHERE seq IS NOT NULL OR event_id IN (SELECT max(event_id) FROM log WHERE seq IS NULL GROUP BY user_id)) GROUP BY 1
+""")
+def null_order(t: Tables):
+    """A third of the operations have no order: they are older than the others, and alone they still make the row."""
+    e = t.events.filter(F.col("user_id") % 2 == 0).select("user_id", "event_id", "event_type")
+    unordered = e.filter(F.col("event_id") % 3 == 0).groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("event_type"))
+    ordered = e.filter(F.col("event_id") % 3 != 0)
+    table = KeyedTable(t.spark, work_dir(t.spark, "nullorder"), ["user_id"])
+    table.commit(C.union_changes(C.upserts(unordered, F.lit(None).cast("bigint")), C.upserts(ordered, F.col("event_id")).drop("event_id")))
+    return table.read()
+
+
 @query("dml02_partial_update", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
   CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 10 ELSE o_totalprice END AS o_totalprice, false AS _deleted

@@ -118,6 +118,20 @@ def mixed_pages(t: Tables):
     return files.read_pages(t.spark, path).where("c_custkey is not null").select("c_custkey", "c_name", "c_nationkey")
 
 
+@query("src06c_empty_first_list", """
+SELECT c_custkey, c_name, CASE WHEN c_custkey // 50 % 2 = 1 THEN 'results' ELSE 'data' END AS taken_from FROM customer
+""")
+def empty_first_list(t: Tables):
+    """Every second page has an empty preferred list beside a filled one: its records come from the filled one."""
+    path = work_dir(t.spark, "pages")
+    odd = F.floor(F.col("c_custkey") / 50) % 2 == 1
+    row = lambda name: F.struct("c_custkey", "c_name", F.lit(name).alias("taken_from"))
+    page = t.customer.groupBy(F.floor(F.col("c_custkey") / 50).alias("page")).agg(
+        F.collect_list(F.when(~odd, row("data"))).alias("data"), F.collect_list(F.when(odd, row("results"))).alias("results"))
+    page.write.json(path)
+    return files.read_pages(t.spark, path)
+
+
 @query("src07_xml", "SELECT p_partkey, p_name, CASE WHEN p_size % 2 = 0 THEN p_size END AS p_size FROM part")
 def xml(t: Tables):
     path = work_dir(t.spark, "xml")

@@ -127,14 +127,15 @@ def _chosen_list(documents: DataFrame, rows: str | None, prefer: Sequence[str])
             raise ValueError(f"the documents have no list {rows}")
         lists = [rows]
     lists = [n for n in prefer if n in lists] + [n for n in lists if n not in prefer]
-    return lists, F.coalesce(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in lists], F.lit(None).cast("string"))
+    filled = [F.when(F.size(n) > 0, F.lit(n)) for n in lists]
+    return lists, F.coalesce(*filled, *[F.when(F.col(n).isNotNull(), F.lit(n)) for n in lists], F.lit(None).cast("string"))
 
 
 def envelope_rows(documents: DataFrame, rows: str | None = None, prefer: Sequence[str] = RECORD_LISTS) -> DataFrame:
     """The records inside page documents; each document chooses its own list.
 
-    With ``rows`` the named list is taken; without it the first of ``prefer`` that the document has, else the first other
-    list by name. Records of differently named lists come under the union of their columns. If no document has a list,
+    With ``rows`` the named list is taken; without it the first list with records, those of ``prefer`` before the others by name.
+    A document with several filled lists keeps those it did not choose: see :func:`unchosen_lists`. Records of differently named lists come under the union of their columns. If no document has a list,
     each document is one row; otherwise documents without one are found by :func:`pages_without_rows`.
     """
     lists, chosen = _chosen_list(documents, rows, prefer)
@@ -158,6 +159,16 @@ def pages_without_rows(documents: DataFrame, rows: str | None = None, prefer: Se
     return documents.where(chosen.isNull()) if lists else documents.limit(0)
 
 
+def unchosen_lists(documents: DataFrame, prefer: Sequence[str] = RECORD_LISTS) -> DataFrame:
+    """(list, documents, records): filled lists that :func:`envelope_rows` passes over because the document has an earlier one."""
+    lists, chosen = _chosen_list(documents, None, prefer)
+    if not lists:
+        return documents.sparkSession.createDataFrame([], "list string, documents bigint, records bigint")
+    sizes = documents.select(chosen.alias("_c"), F.explode(F.array(*[F.struct(F.lit(n).alias("list"), F.size(n).alias("n")) for n in lists])).alias("_l"))
+    passed = sizes.where((F.col("_l.n") > 0) & (F.col("_l.list") != F.col("_c")))
+    return passed.groupBy(F.col("_l.list").alias("list")).agg(F.count("*").alias("documents"), F.sum("_l.n").alias("records"))
+
+
 def read_xml(spark: SparkSession, path, row_tag: str, schema: str | T.StructType | None = None) -> DataFrame:
     """Repeated elements as rows."""
     reader = spark.read.format("xml").option("rowTag", row_tag)

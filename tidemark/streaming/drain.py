@@ -24,7 +24,8 @@ def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, orde
     Each batch is committed to the table under its batch id before the stream marks it done: a batch that is run
     again after a stop is recognised and skipped. The rows are upserts; ``order`` (a message sequence, a time, or a struct of
     several columns) decides between messages of one key, in one batch and across batches: it is stored with each
-    row, and a message that comes in a later batch but is older than the row is left out. Without an order a key may occur once
+    row, and a message that comes in a later batch but is older than the row is left out. A NULL order is older than any other. The
+    order is that of the last drained message: operations committed by other means, deletes among them, neither have nor change it. Without an order a key may occur once
     in a batch, and later batches win. ``to_log`` turns a batch into any other change log. ``positions`` (topic column, position
     column) keeps the last position of each topic in the table's state, committed with the rows; one row for each topic reaches the driver.
     """
@@ -33,8 +34,10 @@ def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, orde
         named = batch.withColumn(ORDER, order)
         if table.head() is None or ORDER not in table.schema().fieldNames():
             return named
-        stored = table.read(with_order=True).select(*table.keys, F.col(ORDER).alias("_stored"))
-        return named.join(stored, table.keys, "left").where(F.col("_stored").isNull() | (F.col(ORDER) >= F.col("_stored"))).drop("_stored")
+        # structs, so that NULL compares as the least order
+        stored = table.matching(batch, [ORDER]).select(*table.keys, F.struct(F.col(ORDER).alias("o")).alias("_stored"))
+        newer = F.struct(F.col(ORDER).alias("o")) >= F.col("_stored")
+        return named.join(stored, table.keys, "left").where(F.col("_stored").isNull() | newer).drop("_stored")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if to_log:
