@@ -58,6 +58,47 @@ def _bucket_writes(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+def order_literal(value) -> Column | None:
+    """An observed order as a column again."""
+    if isinstance(value, Row):
+        return F.struct(*[(order_literal(v) if v is not None else F.lit(None)).alias(n) for n, v in value.asDict().items()])
+    return None if value is None else F.lit(value)
+
+
+def commit_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the commit files of a table."""
+    fs, folder = hadoop_path(spark, f"{path}/commits")
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = hadoop_path(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file if it is absent: of several writers one succeeds, for the others it is an error."""
+    fs, target = hadoop_path(spark, path)
+    taken = f"{path} was taken by another writer"
+    if fs.exists(target):
+        raise RuntimeError(taken)
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as error:
+        raise RuntimeError(taken) from error
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
 class KeyedTable:
     """A destination table with a primary key.
 
@@ -83,22 +124,10 @@ class KeyedTable:
 
     # -- commit files ------------------------------------------------------
 
-    def _commits(self) -> list[int]:
-        fs, folder = hadoop_path(self.spark, f"{self.path}/commits")
-        if not fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
-
     def head(self) -> dict | None:
         """The newest commit, or None for a table never written. A commit file that is still being written does not count."""
-        for version in reversed(self._commits()):
-            fs, target = hadoop_path(self.spark, f"{self.path}/commits/{version:010d}.json")
-            stream = fs.open(target)
-            try:
-                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            finally:
-                stream.close()
+        for version in reversed(commit_versions(self.spark, self.path)):
+            text = read_text(self.spark, f"{self.path}/commits/{version:010d}.json")
             if text.endswith("}"):
                 return json.loads(text)
         return None
@@ -106,18 +135,7 @@ class KeyedTable:
     def _publish(self, commit: dict) -> None:
         """Create the commit file if it is absent: of several writers of one version one succeeds."""
         commit = {"keys": self.keys, "bucket_count": self.buckets, **commit}
-        fs, target = hadoop_path(self.spark, f"{self.path}/commits/{commit['version']:010d}.json")
-        taken = f"commit {commit['version']} of {self.path} was taken by another writer"
-        if fs.exists(target):
-            raise RuntimeError(taken)
-        try:
-            out = fs.create(target, False)
-        except Py4JJavaError as error:
-            raise RuntimeError(taken) from error
-        try:
-            out.write(bytearray(json.dumps(commit, sort_keys=True), "utf-8"))
-        finally:
-            out.close()
+        create_once(self.spark, f"{self.path}/commits/{commit['version']:010d}.json", json.dumps(commit, sort_keys=True))
 
     # -- reading -----------------------------------------------------------
 
@@ -253,7 +271,7 @@ class KeyedTable:
 
     def _applied(self, base: DataFrame | None, folded: DataFrame, cut, run_time, touched: int, splits: int, log_size: str, tasks: int = 0) -> DataFrame:
         """The touched buckets after the log; a bucket's rows are shared by ``splits`` tasks unless the log is broadcast."""
-        cut = F.struct(F.lit(cut["o"]).alias("o")) if isinstance(cut, Row) else cut if cut is None else F.lit(cut)
+        cut = order_literal(cut)
         keys = [BUCKET, *self.keys]
         if base is not None and log_size != "broadcast":
             base, folded = (self._spread(side, touched, splits, tasks) for side in (base, folded))
