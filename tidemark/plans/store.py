@@ -148,6 +148,11 @@ class KeyedTable:
         head = self.head()
         return dict(head["state"]) if head else {}
 
+    def has_batch(self, name: str, batch_id: int) -> bool:
+        """Whether a batch of a stream is in."""
+        head = self.head()
+        return bool(head) and head["batch_ids"].get(name, -1) >= batch_id
+
     def _read(self, head: dict, buckets: Sequence[str]) -> DataFrame:
         schema = T.StructType.fromJson(head["schema"])
         paths = [f"{self.path}/data/_version={head['buckets'][b]}/{BUCKET}={b}" for b in buckets if b in head["buckets"]]

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import with_row_id
 from tidemark.operators import changes as C
 from tidemark.operators import compare
+from tidemark.plans.merge_table import MergeTable
 from tidemark.plans.store import KeyedTable
 from tidemark.queries.registry import Tables, query
-from tidemark.session import work_dir
+from tidemark.session import path_bytes, work_dir
 
 NEW = 1_000_000_000
 ORDER = ["o_orderkey"]
@@ -156,6 +157,23 @@ def truncate(t: Tables):
     return C.apply_changes(p, log.filter(F.col("_seq") <= 100), ["p_partkey"], truncates=True)
 
 
+@query("dml04b_truncate_mark", """
+SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 'again' ELSE p_name END AS p_name, p_retailprice, p_partkey % 4 <> 0 AS _deleted FROM part
+""")
+def truncate_mark(t: Tables):
+    """A truncate of a table merged on read is a mark in its commit: no data file is written for it."""
+    p = t.part.select("p_partkey", "p_name", "p_retailprice")
+    table = MergeTable(t.spark, path := work_dir(t.spark, "marked"), ["p_partkey"])
+    table.commit(C.upserts(p, 0))
+    table.compact()
+    before = path_bytes(t.spark, f"{path}/base") + path_bytes(t.spark, f"{path}/delta")
+    table.commit(C.truncate(t.spark, p.select("p_partkey").schema, 0))
+    if path_bytes(t.spark, f"{path}/base") + path_bytes(t.spark, f"{path}/delta") != before:
+        raise AssertionError("a truncate wrote data")
+    table.commit(C.upserts(p.filter(every("p_partkey", 4)).withColumn("p_name", F.lit("again")), 0, ["p_name"]))
+    return table.read()
+
+
 @query("dml05_revive", """
 SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 'revived' ELSE p_name END AS p_name,
   CASE WHEN p_partkey % 3 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.queries.registry import Tables, query
+from tidemark.session import work_dir
+from tidemark.sources import checked_sink as B
 
 
 def text_rows(t: Tables):
@@ -56,6 +59,25 @@ def rejects(t: Tables):
     return bad.select(F.get_json_object("row", "$.c_custkey").cast("bigint").alias("c_custkey"), Q.REASON)
 
 
+@query("snk02b_both_in_one_commit", f"SELECT c_custkey, {REASON_SQL} AS reason FROM customer")
+def both_in_one_commit(t: Tables):
+    """Accepted and rejected rows through a sink that lists both in one commit of the driver; a first run, whose tasks fail late, leaves nothing to be seen."""
+    path = work_dir(t.spark, "checked")
+    checked = Q.with_reason(text_rows(t), rules())
+    rows = checked.drop(Q.REASON)
+    last = t.customer.agg(F.max("c_custkey")).first()[0]
+    fails = F.when(F.col("c_custkey") == last, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.lit(None))
+    try:
+        B.write_checked(rows, path, fails)
+        raise AssertionError("the first run did not fail")
+    except PySparkException:
+        if B.commits(path):
+            raise AssertionError("a failed run can be seen") from None
+    B.write_checked(checked.withColumnRenamed(Q.REASON, "why").select(*rows.columns, "why"), path, F.col("why"))
+    good, bad = B.read_checked(t.spark, path, "accepted"), B.read_checked(t.spark, path, "rejected")
+    return good.select("c_custkey", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("c_custkey", F.col(B.REASON).alias("reason")))
+
+
 @query("agg13_reject_counts", f"SELECT coalesce({REASON_SQL}, 'ok') AS reason, count(*) AS n FROM customer GROUP BY 1")
 def reject_counts(t: Tables):
     return Q.reject_counts(Q.with_reason(text_rows(t), rules()))

@@ -8,9 +8,10 @@ from tidemark.operators import changes as C
 from tidemark.operators import schema as S
 from tidemark.operators.cursors import infer_cursor
 from tidemark.plans.run import TableSpec, plan_tables, run_specs
+from tidemark.plans.merge_table import MergeTable
 from tidemark.plans.store import KeyedTable
 from tidemark.queries.registry import Tables, query
-from tidemark.session import work_dir
+from tidemark.session import path_bytes, work_dir
 from tidemark.sources import catalogue as K
 
 # columns of the tables used here, as the SQL side must name them
@@ -146,6 +147,22 @@ def inexact_rows(t: Tables):
     return S.inexact_as_double(t.events.select("event_id", (F.col("event_id") + 9_007_199_254_740_900).alias("large")), ["event_id", "large"])
 
 
+@query("sch03d_widened_on_read", """
+SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN c_acctbal ELSE c_nationkey::DOUBLE END AS measure, CASE WHEN c_custkey % 9 = 0 THEN c_mktsegment END AS extra, false AS _deleted FROM customer
+""")
+def widened_on_read(t: Tables):
+    """Whole numbers become doubles and a column is added by a commit of a ninth of the rows; the stored rows are cast when they are read."""
+    c = t.customer
+    table = MergeTable(t.spark, path := work_dir(t.spark, "widened"), ["c_custkey"])
+    table.commit(C.upserts(c.select("c_custkey", F.col("c_nationkey").alias("measure")), 0))
+    table.compact()
+    base = path_bytes(t.spark, f"{path}/base")
+    table.commit(C.upserts(c.filter(F.col("c_custkey") % 9 == 0).select("c_custkey", F.col("c_acctbal").alias("measure"), F.col("c_mktsegment").alias("extra")), 0))
+    if path_bytes(t.spark, f"{path}/base") != base:
+        raise AssertionError("a widened column rewrote rows")
+    return table.read()
+
+
 @query("sch04_new_columns", """
 SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS p_brand, false AS _deleted FROM part
 """)

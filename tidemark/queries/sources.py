@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import values as N
 from tidemark.operators import changes as C
 from tidemark.operators import summary
+from tidemark.plans.merge_table import MergeTable
 from tidemark.plans.store import KeyedTable
 from tidemark.queries.registry import Tables, query
 from tidemark.sources import catalogue, files, graph, tables
-from tidemark.session import work_dir
+from tidemark.session import path_bytes, work_dir
 
 CSV = {"header": "true", "quote": '"', "escape": '"'}
 
@@ -239,6 +240,28 @@ def reopened(t: Tables):
     return table.read()
 
 
+@query("snk01c_small_commits", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 100 < 12 THEN o_totalprice + o_orderkey % 100 + 1 ELSE o_totalprice END AS o_totalprice, o_orderkey % 100 = 50 AS _deleted FROM orders
+""")
+def small_commits(t: Tables):
+    """Merge on read: the orders, then twelve commits of one in a hundred rows each and a delete; compaction in between, and what it left removed at the end."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    table = MergeTable(t.spark, path := work_dir(t.spark, "merged"), ["o_orderkey"])
+    table.commit(C.upserts(rows, 0))
+    table.compact()
+    base = path_bytes(t.spark, f"{path}/base")
+    for i in range(12):
+        mine = rows.filter(F.col("o_orderkey") % 100 == i)
+        table.commit(C.updates(mine.select("o_orderkey", (F.col("o_totalprice") + i + 1).alias("o_totalprice")), ["o_orderkey"], 0), state={"commit": i})
+        if i == 6:
+            if path_bytes(t.spark, f"{path}/base") != base:
+                raise AssertionError("a small commit rewrote rows")
+            table.compact()
+    table.commit(C.deletes(rows.filter(F.col("o_orderkey") % 100 == 50), ["o_orderkey"], 0))
+    table.clean(keep=1, older_than_s=-60)
+    return table.read()
+
+
 @query("snk03_run_summary", """
 SELECT TIMESTAMP '2024-02-01 06:00:00' AS sync_start, 3::BIGINT AS table_count, ((SELECT count(*) FROM customer) + (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders))::BIGINT AS record_count,
   'customer,lineitem,orders' AS tables

@@ -9,8 +9,10 @@ from tidemark.functions import values as N
 from tidemark.operators import changes as C
 from tidemark.plans.store import KeyedTable
 from tidemark.queries.registry import Tables, query
+from tidemark.sources import topics as K
 from tidemark.session import work_dir
 from tidemark.streaming import drain as D
+from tidemark.streaming import state as S
 
 EVENTS = "SELECT event_id, ts, user_id, event_type, value, props, false AS _deleted FROM events"
 
@@ -39,6 +41,39 @@ def topics(t: Tables):
     return counts.join(t.spark.createDataFrame(state, "topic string, position bigint"), "topic")
 
 
+@query("src14b_bounded_topics", """
+WITH m AS (SELECT event_type AS topic, event_id AS position, user_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events WHERE event_type IN (
+  SELECT event_type FROM events GROUP BY 1 ORDER BY 1 LIMIT 3))
+SELECT topic, position, user_id, false AS _deleted FROM m
+""")
+def bounded_topics(t: Tables):
+    """Three topics through a source of their own, in runs of a third of the longest topic each; the second run stops between write and acknowledgement."""
+    path, acks, checkpoint = work_dir(t.spark, "broker"), work_dir(t.spark, "acks"), work_dir(t.spark, "checkpoint")
+    names = [r[0] for r in t.events.select("event_type").distinct().orderBy("event_type").limit(3).collect()]
+    messages = t.events.filter(F.col("event_type").isin(names))
+    most = messages.groupBy("event_type").count().agg(F.max("count")).first()[0]
+    K.land(messages.select("event_type", "event_id", "user_id"), path, "event_type", "event_id", per_file=most)
+    table, runs = KeyedTable(t.spark, work_dir(t.spark, "topics"), ["topic", "position"]), []
+
+    def stop(batch_id):
+        runs.append(batch_id)
+        if len(runs) == 2:
+            raise RuntimeError("lost between write and acknowledgement")
+
+    at, before = {}, None
+    while at != before:
+        before = dict(at)
+        try:
+            at = D.drain_topics(t.spark, path, "user_id bigint", table, checkpoint, "topics", acks, -(-most // 3), stop)
+        except StreamingQueryException:
+            before = None
+        if any(p > at.get(k, -1) for k, p in K.read_acks(acks).items()):
+            raise AssertionError("acknowledged before the write")
+    if len(runs) < 4 or len(at) != 3:
+        raise AssertionError(f"{len(runs)} runs to {at}")
+    return table.read()
+
+
 @query("str01b_late_messages", """
 SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id, max_by(event_type, (ts, event_id)) AS event_type, false AS _deleted FROM events GROUP BY 1
 """)
@@ -105,6 +140,43 @@ def last_position(t: Tables):
     return table.read()
 
 
+def landed_in_turn(t: Tables, rows, parts: int = 6):
+    """Files that land one after the other, in order of time."""
+    path = work_dir(t.spark, "turns")
+    spans = rows.select(F.explode(F.percentile_approx("ts", [i / parts for i in range(1, parts)])).alias("b")).collect()
+    bounds = [None, *sorted({r["b"] for r in spans}), None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = rows if low is None else rows.filter(F.col("ts") >= F.lit(low))
+        part = part if high is None else part.filter(F.col("ts") < F.lit(high))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return D.file_stream(t.spark, path, rows.schema, files_per_batch=1)
+
+
+@query("str05b_position_expiry", """
+SELECT user_id, max(ts) AS last_ts, arg_max(event_id, (ts, event_id)) AS position,
+  date_trunc('millisecond', max(ts)) + INTERVAL 12 HOUR <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR AS _deleted FROM events GROUP BY 1
+""")
+def position_expiry(t: Tables):
+    """Positions in a state of their own with timers: keys silent for half a day are deleted, and come back when they speak again. The stream is stopped before its third batch is done and started again."""
+    table = KeyedTable(t.spark, work_dir(t.spark, "expiry"), ["user_id"])
+    stream, checkpoint, batches = landed_in_turn(t, t.events.select("user_id", "event_id", "ts")), work_dir(t.spark, "checkpoint"), []
+    changes = S.positions_with_expiry(stream, ["user_id"], "ts", "event_id", "1 hour", 12 * 3600 * 1000)
+
+    def stop(batch_id):
+        batches.append(batch_id)
+        if len(batches) == 3:
+            raise RuntimeError("lost before the acknowledgement")
+
+    try:
+        S.upsert_positions(changes, table, checkpoint, "expiry", ["user_id"], "last_ts", "position", stop)
+    except StreamingQueryException:
+        pass
+    if batches != [0, 1, 2]:
+        raise AssertionError(f"the stop did not happen: {batches}")
+    S.upsert_positions(changes, table, checkpoint, "expiry", ["user_id"], "last_ts", "position")
+    return table.read()
+
+
 @query("str06_stepped_series", """
 SELECT event_type, time_bucket(INTERVAL 15 SECOND, ts) AS step_start, arg_max(value, (ts, value)) AS value FROM events GROUP BY 1, 2
 """)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.changes import upserts
 from tidemark.plans.store import ORDER, KeyedTable
+from tidemark.sources.topics import topic_stream
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
@@ -18,7 +19,8 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 
 def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, order: Column | None = None,
-          to_log: Callable[[DataFrame], DataFrame] | None = None, before_publish=None, positions: tuple[str, str] | None = None) -> None:
+          to_log: Callable[[DataFrame], DataFrame] | None = None, before_publish=None, positions: tuple[str, str] | None = None,
+          before_ack: Callable[[int], None] | None = None) -> None:
     """Write everything that has landed into the table, then stop.
 
     Each batch is committed to the table under its batch id before the stream marks it done: a batch that is run
@@ -56,12 +58,28 @@ def drain(stream: DataFrame, table: KeyedTable, checkpoint: str, name: str, orde
                 name_of = f"position:{topic}"
                 state[name_of] = max(last, old.get(name_of, last))
         table.commit(log, state=state, batch=(name, batch_id), before_publish=before_publish)
+        if before_ack:
+            before_ack(batch_id)
 
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
+def drain_topics(spark: SparkSession, path: str, columns: str, table: KeyedTable, checkpoint: str, name: str, acks: str, max_per_topic: int = 1000,
+                 before_ack: Callable[[int], None] | None = None) -> dict[str, int]:
+    """One bounded run over landed topics into a table keyed by topic and position: at most ``max_per_topic`` messages of each.
+
+    The positions are committed with the rows, and the next run goes on from there. Returns them.
+    """
+    def positions() -> dict[str, int]:
+        return {k.removeprefix("position:"): v for k, v in table.state().items() if k.startswith("position:")}
+
+    stream = topic_stream(spark, path, columns, acks, max_per_topic, start=positions())
+    drain(stream, table, checkpoint, name, positions=("topic", "position"), before_ack=before_ack)
+    return positions()
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append everything that has landed to Parquet files (exactly once), then stop."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(
