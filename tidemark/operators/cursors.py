@@ -154,3 +154,12 @@ def infer_cursor(catalogue: DataFrame, preferred: Sequence[str] = PREFERRED_CURS
             .agg(F.min(F.when(rank.isNotNull(), F.struct(rank.alias("rank"), F.col("column_name").alias("n")))).alias("_best"))
             .select("table_name", F.col("_best.n").alias("replication_key"),
                     F.when(F.col("_best").isNull(), "FULL").otherwise("INCREMENTAL").alias("strategy")))
+
+
+def until_known(df: DataFrame, order: Sequence[str], known: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows newer than the newest row whose key is known, as a newest-first read finds them that stops there; all rows if none is known.
+
+    ``known`` may hold any part of the earlier keys, such as those of the last run.
+    """
+    mark = df.join(known.select(*key), list(key), "left_semi").agg(F.max(F.struct(*order)).alias("m")).scalar()
+    return df.where(F.coalesce(F.struct(*order) > mark, F.lit(True)))

@@ -85,6 +85,54 @@ def running_totals(df: DataFrame, run: str, runs: Sequence[int], name: str = "to
     return df.agg(F.array(*up_to).alias("_runs")).select(F.inline("_runs"))
 
 
+def partial_totals(df: DataFrame, sums: Sequence[str] = (), marks: Sequence[str] = (), distinct: str | None = None) -> DataFrame:
+    """One row that can be merged with others: number of rows, sums, least and greatest values, and a sketch of the distinct values of a column.
+
+    Sums are exact for whole and decimal numbers.
+    """
+    out = [F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"sum_{c}") for c in sums],
+           *[f(c).alias(f"{n}_{c}") for c in marks for n, f in (("min", F.min), ("max", F.max))]]
+    return df.agg(*out, *([F.hll_sketch_agg(distinct).alias("sketch")] if distinct else []))
+
+
+def merged_totals(parts: DataFrame) -> DataFrame:
+    """Partial totals of several runs as one; :func:`distinct_count` reads the sketch."""
+    def merged(name: str) -> Column:
+        if name == "sketch":
+            return F.hll_union_agg(name).alias(name)
+        f = F.min if name.startswith("min_") else F.max if name.startswith("max_") else F.sum
+        return f(name).cast(parts.schema[name].dataType).alias(name)
+
+    return parts.agg(*[merged(c) for c in parts.columns])
+
+
+def distinct_count(sketch: Column | str = "sketch") -> Column:
+    return F.hll_sketch_estimate(sketch)
+
+
+def totals_text(totals: DataFrame) -> str:
+    """Totals (one row) as text for a state."""
+    return totals.select(F.to_json(F.struct(*totals.columns), {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})).first()[0]
+
+
+def totals_of_text(text: str, like: DataFrame) -> DataFrame:
+    """Totals from a state's text, typed like other partial totals."""
+    rows = like.sparkSession.createDataFrame([(text,)], "t string")
+    return rows.select(F.from_json("t", like.schema, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("t")).select("t.*")
+
+
+def commit_with_totals(table, log: DataFrame, totals: DataFrame, batch: tuple[str, int], name: str = "totals", before_publish=None) -> int:
+    """Commit the rows of a run and the totals of all runs together: only this run's rows are read, and a run that is repeated counts once.
+
+    ``totals`` are the run's :func:`partial_totals`; what the state holds is merged with them.
+    """
+    if table.has_batch(*batch):
+        return table.head()["version"]
+    earlier = table.state().get(name)
+    both = totals if earlier is None else merged_totals(totals.unionByName(totals_of_text(earlier, totals)))
+    return table.commit(log, state={name: totals_text(both)}, batch=batch, before_publish=before_publish)
+
+
 def sum_or_zero(c: Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import with_row_id
 from tidemark.operators import changes as C
 from tidemark.operators import compare
+from tidemark.operators import digests as G
 from tidemark.plans.merge_table import MergeTable
 from tidemark.plans.store import KeyedTable
+from tidemark.plans.zoned_table import ZonedTable
 from tidemark.queries.registry import Tables, query
 from tidemark.session import path_bytes, work_dir
 
@@ -245,6 +247,23 @@ SELECT o_orderkey + 1000000000, o_orderstatus, o_totalprice, false FROM orders W
 """
 
 
+@query("dml07b_zone_maps", """
+SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-03-31' THEN 0.0 ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE o_orderdate NOT BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '1995-06-30'
+""")
+def zone_maps(t: Tables):
+    """Update and delete by date: the commit's least and greatest date of each file say which files can hold such rows; the others stay as they are."""
+    rows = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    table = ZonedTable(t.spark, work_dir(t.spark, "zoned"), "o_orderdate", file_rows=max(1, rows.count() // 24))
+    table.append(rows)
+    before = {z["file"] for z in table.head()["zones"]}
+    table.update_where("1997-03-01", "1997-03-31", {"o_totalprice": F.lit(0.0)})
+    table.delete_where("1995-06-01", "1995-06-30")
+    if len(before - {z["file"] for z in table.head()["zones"]}) > 6:
+        raise AssertionError("files of other dates were rewritten")
+    return table.read()
+
+
 @query("dml08_log_replay", REPLAY_SQL)
 def log_replay(t: Tables):
     base, log = change_log(t)
@@ -286,6 +305,27 @@ def snapshot_compare(t: Tables):
     return C.apply_changes(before, log, ["p_partkey"])
 
 
+@query("dml10c_hash_tree", """
+WITH b AS (SELECT min(p_partkey) AS lo, max(p_partkey) AS hi FROM part)
+SELECT p_partkey, p_name, CASE WHEN p_partkey - lo < (hi - lo + 1) // 100 AND p_partkey % 2 = 0 THEN p_retailprice + 5 ELSE p_retailprice END AS p_retailprice,
+  p_partkey - lo < (hi - lo + 1) // 100 AND p_partkey % 2 = 1 AS _deleted FROM part, b
+""")
+def hash_tree(t: Tables):
+    """One per cent of the keys changed or gone: digests of key ranges find the ranges, and no file of another range is read."""
+    before = t.part.select("p_partkey", "p_name", "p_retailprice")
+    low, high = t.part.agg(F.min("p_partkey"), F.max("p_partkey")).first()
+    place = F.col("p_partkey") - low
+    block = F.floor(place / max(1, (high - low + 1) // 64))
+    G.write_snapshot(before, path := work_dir(t.spark, "snapshot"), block)
+    touched = place < (high - low + 1) // 100
+    after = before.filter(~touched | every("p_partkey", 2)).withColumn("p_retailprice", F.when(touched, F.col("p_retailprice") + 5).otherwise(F.col("p_retailprice")))
+    log, blocks = G.changes_since(t.spark, path, after, ["p_partkey"], block)
+    changed, of_all = blocks.count(), t.spark.read.parquet(f"{path}/rows").select(G.BLOCK).distinct().count()
+    if not changed < of_all / 8:
+        raise AssertionError(f"{changed} of {of_all} ranges differ")
+    return C.apply_changes(before, log, ["p_partkey"])
+
+
 @query("dml11_source_flag_delete", """
 SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderstatus = 'F' AS _deleted FROM orders
 """)

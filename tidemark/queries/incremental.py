@@ -10,6 +10,7 @@ from tidemark.operators import changes as C
 from tidemark.operators import cursors as I
 from tidemark.operators import joins, summary
 from tidemark.plans.store import KeyedTable
+from tidemark.plans.zoned_table import ZonedTable
 from tidemark.queries.registry import Tables, query
 from tidemark.session import materialise, work_dir
 
@@ -259,3 +260,20 @@ def state_runs(t: Tables):
     fresh = slim(t).filter(I.newer(F.col("o_orderdate"), datetime.fromisoformat(table.state()["mark"])))
     table.commit(C.upserts(fresh, 1), state={"mark": fresh.agg(F.max("o_orderdate").cast("string")).first()[0]})
     return table.read()
+
+
+@query("inc01b_newer_by_zones", "SELECT event_id, ts, user_id, least(4, (n - 1) // per + 1)::INTEGER AS page FROM (SELECT *, row_number() OVER (ORDER BY ts) AS n, (count(*) OVER () + 3) // 4 AS per FROM events)")
+def newer_by_zones(t: Tables):
+    """Four capped runs over files with zones: each finds its end by the counts of the files, and opens only files behind the mark."""
+    rows = t.events.select("event_id", "ts", "user_id")
+    n = rows.count()
+    table = ZonedTable(t.spark, work_dir(t.spark, "zoned"), "ts", file_rows=max(1, n // 10))
+    half = rows.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    table.append(rows.filter(F.col("ts") > half))
+    table.append(rows.filter(F.col("ts") <= half))
+    mark, out = None, None
+    for page in range(1, 5):
+        got, mark = table.page(-(-n // 4), mark)
+        got = got.withColumn("page", F.lit(page))
+        out = got if out is None else out.unionByName(got)
+    return out

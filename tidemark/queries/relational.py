@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
+from tidemark.operators import changes as C
 from tidemark.operators import compare, joins, nested, project, summary, windows
+from tidemark.operators import keysets as K
+from tidemark.operators.cursors import until_known
+from tidemark.plans.store import KeyedTable
 from tidemark.queries.nested import order_records
 from tidemark.queries.registry import Tables, query
+from tidemark.session import materialise, work_dir
+from tidemark.sources.files import interval_scan
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LINE_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -251,6 +257,14 @@ def missing_keys(t: Tables):
     return compare.missing_keys(t.customer, t.customer.filter(F.col("c_mktsegment") != "FURNITURE"), ["c_custkey"])
 
 
+@query("jon09b_key_bits", "SELECT o_orderkey FROM orders WHERE o_orderkey % 11 = 0")
+def key_set_difference(t: Tables):
+    """The keys of the last run are kept as bits; those that the source no longer has are found by and-not of 64 keys at a time."""
+    last = materialise(K.key_bits(t.orders, "o_orderkey"), "keyset")
+    now = K.key_bits(t.orders.filter(F.col("o_orderkey") % 11 != 0), "o_orderkey")
+    return K.keys_of(K.without(last, now), "o_orderkey")
+
+
 @query("jon10_compare_hashes", """
 SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN 'D' WHEN p_size > 25 THEN 'U' ELSE '=' END AS verdict FROM part
 UNION ALL SELECT p_partkey + 1000000000, 'I' FROM part WHERE p_brand = 'Brand#13'
@@ -460,6 +474,32 @@ def running_total(t: Tables):
     return summary.running_totals(t.events.withColumn("run", run), "run", [1, 2, 3])
 
 
+@query("agg18b_totals_in_state", """
+SELECT 1 AS run, count(*) AS n, sum(user_id)::BIGINT AS users, max(ts) AS newest FROM events WHERE ts < '2024-01-10'
+UNION ALL SELECT 2, count(*), sum(user_id)::BIGINT, max(ts) FROM events WHERE ts < '2024-01-20' UNION ALL SELECT 3, count(*), sum(user_id)::BIGINT, max(ts) FROM events
+""")
+def totals_in_state(t: Tables):
+    """Three commits, each reads its own rows only and merges their totals with those of the state; the second stops once before its publish, the third is sent twice."""
+    table, out, stops = KeyedTable(t.spark, work_dir(t.spark, "totals"), ["event_id"]), [], [2]
+
+    def stop():
+        if run in stops:
+            stops.remove(run)
+            raise RuntimeError("lost")
+
+    for run, (low, high) in enumerate((("2000-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2100-01-01")), 1):
+        rows = interval_scan(t.events, "ts", low, high, ["event_id", "user_id", "ts"])
+        part = summary.partial_totals(rows, ["user_id"], ["ts"], "user_id")
+        for _ in range(2 if run > 1 else 1):
+            try:
+                summary.commit_with_totals(table, C.upserts(rows, run), part, ("runs", run), before_publish=stop)
+            except RuntimeError:
+                continue
+        got = summary.totals_of_text(table.state()["totals"], part)
+        out.append(got.select(F.lit(run).alias("run"), "n", F.col("sum_user_id").alias("users"), F.col("max_ts").alias("newest")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 # -- order-dependent operators ---------------------------------------------------------
 
 
@@ -568,6 +608,15 @@ def stop_at_known(t: Tables):
     return t.events.filter(F.col("event_id") > 400).select("event_id", "event_type")
 
 
+@query("srt04b_stop_at_known_ids", "SELECT event_id, ts, event_type FROM events WHERE (ts, event_id) > (SELECT (max(ts), arg_max(event_id, (ts, event_id))) FROM events WHERE ts < '2024-01-22')")
+def stop_at_known_ids(t: Tables):
+    """The ids of the last run come from its table: what is newer than the newest of them is read."""
+    events = t.events.select("event_id", "ts", "event_type")
+    table = KeyedTable(t.spark, work_dir(t.spark, "lastrun"), ["event_id"])
+    table.load(interval_scan(events, "ts", "2024-01-15", "2024-01-22", ["event_id"]))
+    return until_known(events, ["ts", "event_id"], table.read(), ["event_id"])
+
+
 # -- set operations ------------------------------------------------------------------------
 
 

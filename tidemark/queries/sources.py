@@ -159,6 +159,29 @@ def segments(t: Tables):
     return out
 
 
+@query("src09b_quantile_segments", "SELECT CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE l_orderkey END AS key, l_partkey, l_suppkey, l_linenumber FROM lineitem")
+def quantile_segments(t: Tables):
+    """A key of which one value holds a third of the rows, in twelve segments of like size; the fifth fails once and is pulled again alone."""
+    rows = t.lineitem.select(F.when(F.col("l_orderkey") % 3 == 0, 7).otherwise(F.col("l_orderkey")).alias("key"), "l_partkey", "l_suppkey", "l_linenumber")
+    cuts, path, failed = tables.quantile_segments(rows, "key", 12, ["l_partkey", "l_suppkey", "l_linenumber"]), work_dir(t.spark, "segments"), []
+
+    def fail(i):
+        if i == 4 and not failed:
+            failed.append(i)
+            raise RuntimeError("lost")
+
+    try:
+        tables.pull_segments(rows, "key", cuts, path, fail)
+    except RuntimeError:
+        pass
+    if tables.pull_segments(rows, "key", cuts, path, fail) != list(range(4, len(cuts))):
+        raise AssertionError("finished segments were pulled again")
+    sizes = [r["count"] for r in t.spark.read.parquet(f"{path}/rows").groupBy("_segment").count().collect()]
+    if max(sizes) > 2 * sum(sizes) / len(cuts):
+        raise AssertionError(f"segments of {sizes} rows")
+    return tables.pulled(t.spark, path, rows.schema)
+
+
 @query("src10_interval", """
 SELECT event_id, ts, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-10 12:00:00' AND ts < TIMESTAMP '2024-01-20'
 """)
