@@ -196,23 +196,49 @@ def test_html_template_of_one_section_of_a_large_host(llm_spark):
 
 def test_block_max_equals_brute_force():
     rng = random.Random(2)
-    terms = [f"t{i}".encode() for i in range(40)]
-    idf = {t: 1 + rng.random() * 3 for t in terms}
-    examples = [(str(i), rng.randrange(2), dict(Counter(rng.choices(terms, k=rng.randrange(6))))) for i in range(700)]
-    index = toxicity.Index(idf, examples, (1.0, 1.0), 0.1)
-    vectors = [(k, index.vector(c)) for k, _, c in examples]
+    words = [f"t{i}" for i in range(40)]
+    terms = [w.encode() for w in words]
+    vectors = toxicity.Vectors(terms, np.array([1 + rng.random() * 3 for _ in terms]), 0.7)
+    texts = [" ".join(rng.choices([*words, "other"], k=rng.randrange(6))) for _ in range(2000)]
+    examples = [(str(i), rng.randrange(2), *vectors(toxicity.terms_of(t))) for i, t in enumerate(texts)]
+    index = toxicity.Index(vectors, examples, (1.0, 1.0), 0.1)
+    dicts = [(k, dict(zip(at.tolist(), w.tolist()))) for k, _, at, w in examples]
     queries_run = 0
     for _ in range(150):
-        query = dict(Counter(rng.choices(terms, k=rng.randrange(5))))
-        q = index.vector(query)
-        every = [(-round(sum(w * v.get(t, 0) for t, w in q.items()), 9), k) for k, v in vectors]
+        q = vectors(toxicity.terms_of(" ".join(rng.choices([*words, "new"], k=rng.randrange(5)))))
+        every = [(-round(sum(w * v.get(t, 0) for t, w in zip(*map(np.ndarray.tolist, q))), 9), k) for k, v in dicts]
         want = [(k, -s) for s, k in sorted(x for x in every if x[0] < 0)[:toxicity.NEIGHBOURS]]
-        got = [(index.keys[i], s) for i, s in index.nearest(query)]
-        assert got == pytest.approx(want) if not want else [g[0] for g in got] == [w[0] for w in want] and [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=2e-9)
-        queries_run += bool(q)
+        got = [(index.keys[i], s) for i, s in index.nearest(*q)]
+        assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=2e-9)
+        assert [k for k, _ in got] == [k for k, _ in want]
+        queries_run += bool(len(q[0]))
     assert index.scored_blocks < queries_run * index.blocks  # some blocks were skipped
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_each_example_finds_itself(llm_spark, sf):
+    """At every size: a labelled example's nearest neighbour is itself or an equal text, and toxic examples score toxic."""
+    docs, labels = read(llm_spark, f"/root/testdata/sf{sf}", "documents"), read(llm_spark, f"/root/testdata/sf{sf}", "labels")
+    texts = {str(r["doc_id"]): toxicity.terms_of(r["text"]) for r in docs.collect()}
+    got = toxicity.scored(docs, labels).join(labels, "doc_id").where("not held_out").collect()
+    for r in got:
+        mine = texts[str(r["doc_id"])]
+        assert not mine or texts[r["neighbours"][0]] == mine
+    toxic = [r["predicted"] for r in got if r["toxic"] == 1]
+    assert sum(toxic) / len(toxic) > 0.85
+
+
+def test_toxicity_few_labels(llm_spark):
+    """Three equal toxic texts among forty others are enough; a copy that is not labelled scores toxic, too."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(30))) for i in range(40)] + [(i, "you utter blockhead go away and never speak again") for i in (101, 103, 104, 105)]
+    learnt = [i for i in (101, 103, 104, 105) if zlib.crc32(str(i).encode()) % 5][:3]
+    labels = [(i, 0) for i, _ in rows if i < 100] + [(i, 1) for i in learnt]
+    got = {r["doc_id"]: r for r in toxicity.scored(documents(llm_spark, rows), llm_spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()}
+    assert all(got[i]["predicted"] == 1 for i in (101, 103, 104, 105)) and all(got[i]["predicted"] == 0 for i in range(40))
+    assert set(got[105]["neighbours"][:3]) == set(map(str, learnt))
+
+
 def test_toxicity_held_out(llm_spark):
     docs, labels = read(llm_spark, "/root/testdata/sf0.1", "documents"), read(llm_spark, "/root/testdata/sf0.1", "labels")
     got = toxicity.scored(docs, labels).join(labels, "doc_id").where("held_out").toPandas()

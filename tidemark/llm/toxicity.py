@@ -1,19 +1,22 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Examples and terms come from a bounded sample of labelled rows (``EXAMPLES`` of each class, chosen by hash of the key).
-A term is a word or the first ``STEMS`` bytes of a longer one, as insults inflect. Terms are those that toxic examples use far more often (a G-squared test and a ratio of shares on counts of distinct texts);
-without this choice most of a cosine comes from words that have nothing to do with the label. Their document frequencies are counted over the whole corpus.
+Examples are a bounded sample of labelled rows (``EXAMPLES`` of each class, chosen by hash of the key). Vectors hold every word of a text and
+the first ``STEM`` bytes of longer ones, as insults inflect. A term's weight is its inverse document frequency over the whole corpus times
+how far the examples with the term part from the share of the classes, never below ``FLOOR``: no term is left out, and words that have nothing to
+do with the label weigh little. Terms of a text that no example has count for its length.
 
 The index holds postings in blocks of ``BLOCK`` examples, with each term's greatest weight in each block. For a query the
 block maxima give an upper bound of any cosine in a block; blocks are scored exactly in falling order of their bounds
 until no bound reaches the k-th best cosine, so the neighbours are exact. They vote with weights that grow with the
-cosine and undo the sampling of the classes; the rate of texts without any term is mixed in, so few or far neighbours give
+cosine and undo the sampling of the classes; the rate of the labels is mixed in, so few or far neighbours give
 scores near it. The neighbours are the evidence.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -24,218 +27,222 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import ascii_words, columns, hash_sample, is_held_out, map_texts, quoted, written
 
 #: Labelled rows used of each class; neighbours; examples of a block; power of the cosine in a vote; weight of the base rate.
-EXAMPLES, NEIGHBOURS, BLOCK, POWER, SMOOTH = 8_000, 25, 64, 2.0, 0.5
-#: Of a term: least G-squared and least ratio between its shares of toxic and other texts. Most terms kept, and the terms a
-#: task counts before it sends them on.
-LEAST_G2, LEAST_RATIO, MOST_TERMS, FLUSH = 20.0, 25.0, 4_000, 500_000
+EXAMPLES, NEIGHBOURS, BLOCK, POWER, SMOOTH = 4_000, 25, 256, 2.0, 0.5
+#: Bytes of a stem; weight of a term that says nothing of the label; examples of the overall share mixed into a term's share; terms a task counts before it sends them on.
+STEM, FLOOR, PRIOR, FLUSH = 5, 0.02, 4.0, 500_000
 THRESHOLD = 0.5
-STEMS = (4, 5, 6)
+#: Results of texts remembered by a task, as copies are common.
+REMEMBERED = 20_000
 
 
-def terms_of_word(word: bytes) -> list[bytes]:
-    """The word and its stems; a stem is marked by a sign that no word has."""
-    return [word, *[b"^" + word[:n] for n in STEMS if len(word) > n]]
+def terms_of(text: str | None) -> Counter:
+    """Occurrences of words and stems; a stem is marked by a sign that no word has."""
+    out = Counter(ascii_words(text))
+    stems: Counter = Counter()
+    for word, n in out.items():
+        if len(word) > STEM:
+            stems[b"^" + word[:STEM]] += n
+    out.update(stems)
+    return out
 
 
-class Chosen:
-    """Occurrences of chosen terms in a text; a word's terms are looked up once."""
-
-    def __init__(self, terms):
-        self.terms = frozenset(terms)
-        self.of_word: dict[bytes, list[bytes]] = {}
-
-    def counts(self, text: str | None) -> Counter:
-        known, out = self.of_word, Counter()
-        if len(known) > 300_000:
-            known.clear()
-        for w in ascii_words(text):
-            got = known.get(w)
-            if got is None:
-                got = known[w] = [t for t in terms_of_word(w) if t in self.terms] or NOTHING
-            if got:
-                out.update(got)
-        return out
-
-
-NOTHING: list[bytes] = []
+def _sums(found: dict[bytes, list[int]], names: list[str]) -> pa.RecordBatch:
+    terms = list(found)
+    return pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), *(pa.array([found[t][i] for t in terms], pa.int64()) for i in range(len(names) - 1))], names)
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
     """(term, n0, n1): the rows of each label y with the term. A task sends sums, not occurrences."""
 
     def count(batches):
-        def out():
-            terms = list(found)
-            return pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array([found[t][0] for t in terms], pa.int64()),
-                                               pa.array([found[t][1] for t in terms], pa.int64())], ["term", "n0", "n1"])
         found: dict[bytes, list[int]] = {}
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w in {t for w in set(ascii_words(text)) for t in terms_of_word(w)}:
-                    found.setdefault(w, [0, 0])[y] += 1
+                for t in terms_of(text):
+                    found.setdefault(t, [0, 0])[y] += 1
             if len(found) > FLUSH:
-                yield out()
+                yield _sums(found, ["term", "n0", "n1"])
                 found = {}
-        yield out()
+        yield _sums(found, ["term", "n0", "n1"])
 
     parts = rows.select("text", "y").mapInArrow(count, "term binary, n0 bigint, n1 bigint")
     return parts.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def g_squared(n0: F.Column, n1: F.Column, all0: int, all1: int) -> F.Column:
-    """How far the term's rows part from the classes' shares, as twice the log-likelihood ratio."""
-    total = all0 + all1
+def corpus_counts(docs: DataFrame, terms) -> DataFrame:
+    """(term, n): rows with each of the (broadcast) terms, over all documents."""
 
-    def part(seen, rows):
-        expect = (n0 + n1) * F.lit(rows / total)
-        rest = F.lit(total) - n0 - n1
-        out = F.when(seen > 0, seen * F.log(seen / expect)).otherwise(0.0)
-        other, expect_other = F.lit(rows) - seen, rest * F.lit(rows / total)
-        return out + F.when((other > 0) & (expect_other > 0), other * F.log(other / expect_other)).otherwise(0.0)
+    def count(batches):
+        known, found = set(terms.value), Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found.update(known.intersection(terms_of(text)))
+        yield _sums({t: [n] for t, n in found.items()}, ["term", "n"])
 
-    return 2 * (part(n0, all0) + part(n1, all1))
+    return docs.select("text").mapInArrow(count, "term binary, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def corpus_counts(docs: DataFrame, terms) -> tuple[int, dict[bytes, int]]:
-    """Rows, and rows with each of the (broadcast) terms, over all documents."""
+def class_weight(n0: np.ndarray, n1: np.ndarray, share: float) -> np.ndarray:
+    """How far the examples with a term part from the share of class 1 (relative entropy of the smoothed shares), plus the floor."""
+    r = (n1 + PRIOR * share) / (n0 + n1 + PRIOR)
+    return FLOOR + np.maximum(r * np.log(r / share) + (1 - r) * np.log((1 - r) / (1 - share)), 0)
 
-    def count(batches):
-        chosen, found, rows = Chosen(terms.value), Counter(), 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                rows += 1
-                found.update(chosen.counts(text).keys())
-        found[b" rows"] = rows  # a space is in no term
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
 
-    got = docs.select("text").mapInArrow(count, "term binary, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()  # at most MOST_TERMS
-    out = {bytes(r["term"]): r["n"] for r in got}
-    return out.pop(b" rows", 0), out
+class Vectors:
+    """Weights of terms, and unit vectors of texts over them."""
+
+    def __init__(self, terms: list[bytes], weights: np.ndarray, unknown: float):
+        self.at, self.weights, self.unknown = {t: i for i, t in enumerate(terms)}, weights, unknown
+
+    def __call__(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of the known terms, by term; the length is that of all terms."""
+        get = self.at.get
+        at = np.fromiter((get(t, -1) for t in counts), np.int64, len(counts))
+        w = 1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))
+        w *= np.where(at >= 0, self.weights[at], self.unknown) if len(self.weights) else self.unknown
+        known = np.flatnonzero(at >= 0)
+        order = known[np.argsort(at[known], kind="stable")]
+        length = math.sqrt(float(w @ w))
+        return at[order], w[order] / length if length else w[order]
 
 
 class Index:
-    """Block-max inverted index over example vectors; vectors have length 1."""
+    """Block-max inverted index over example vectors."""
 
-    def __init__(self, idf: dict[bytes, float], examples: list[tuple[str, int, dict[bytes, int]]], weights: tuple[float, float], prior: float):
-        self.idf, self.weights, self.prior = idf, weights, prior
-        self.chosen = Chosen(idf)
-        vectors = [(key, y, self.vector(counts)) for key, y, counts in examples]
+    def __init__(self, vectors: Vectors, examples: list[tuple[str, int, np.ndarray, np.ndarray]], weights: tuple[float, float] = (1.0, 1.0), prior: float = 0.0):
+        self.vectors, self.weights, self.prior = vectors, weights, prior
         # like examples side by side, so block maxima are tight; the order itself changes no result
-        vectors = sorted((v for v in vectors if v[2]), key=lambda v: (max(v[2], key=lambda t: (v[2][t], t)), v[0]))
-        self.keys = [v[0] for v in vectors]
-        self.rank = np.argsort(np.argsort(np.array(self.keys, dtype=str), kind="stable"), kind="stable") if vectors else np.zeros(0, int)
-        self.labels = np.array([v[1] for v in vectors], dtype=int)
-        self.blocks = -(-len(vectors) // BLOCK)
-        self.postings: dict[bytes, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
-        lists: dict[bytes, dict[int, list]] = {}
-        for i, (_, _, vector) in enumerate(vectors):
-            for t, w in vector.items():
-                lists.setdefault(t, {}).setdefault(i // BLOCK, []).append((i % BLOCK, w))
-        self.maxima: dict[bytes, np.ndarray] = {}
-        for t, by_block in lists.items():
-            self.postings[t] = {b: (np.array([x[0] for x in p]), np.array([x[1] for x in p])) for b, p in by_block.items()}
-            self.maxima[t] = np.zeros(self.blocks)
-            for b, (_, w) in self.postings[t].items():
-                self.maxima[t][b] = w.max()
-        self.known: dict = {}
+        examples = sorted((e for e in examples if len(e[2])), key=lambda e: (e[1], int(e[2][np.argmax(e[3])]), e[0]))
+        self.keys = [e[0] for e in examples]
+        self.rank = np.argsort(np.argsort(np.array(self.keys, dtype=str), kind="stable"), kind="stable") if examples else np.zeros(0, int)
+        self.labels = np.array([e[1] for e in examples], dtype=int)
+        self.blocks = -(-len(examples) // BLOCK)
+        size = len(vectors.weights)
+        term = np.concatenate([e[2] for e in examples]) if examples else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples])
+        order = np.argsort(term, kind="stable")
+        self.owner, self.w = owner[order], (np.concatenate([e[3] for e in examples]) if examples else np.zeros(0))[order]
+        # place of the first posting of each term in each block, and the greatest weight there
+        cell = term[order] * max(self.blocks, 1) + self.owner // BLOCK
+        counts = np.bincount(cell, minlength=size * max(self.blocks, 1))
+        self.begin = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        self.maxima = np.zeros(size * max(self.blocks, 1), np.float32)
+        # rounded up, so that a bound stays a bound
+        np.maximum.at(self.maxima, cell, np.nextafter(self.w.astype(np.float32), np.float32(np.inf)))
+        self.maxima = self.maxima.reshape(size, max(self.blocks, 1))
+        self.known: dict[bytes, tuple[float, list[str]]] = {}
         self.scored_blocks = 0
 
-    def vector(self, counts: dict[bytes, int]) -> dict[bytes, float]:
-        out = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items() if t in self.idf}
-        length = math.sqrt(sum(v * v for v in out.values()))
-        return {t: out[t] / length for t in sorted(out)} if length else {}
-
-    def nearest(self, counts: dict[bytes, int], k: int = NEIGHBOURS) -> list[tuple[int, float]]:
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[int, float]]:
         """(example, cosine) of the k nearest with a cosine over 0; among equal cosines the smaller keys."""
-        query = [(t, w) for t, w in self.vector(counts).items() if t in self.maxima]
-        if not query:
+        if not len(terms) or not self.blocks:
             return []
-        bounds = sum(w * self.maxima[t] for t, w in query)
+        bounds = weights @ self.maxima[terms]
         found_i, found_s, kth = [], [], 0.0
         for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or bounds[b] < kth - 1e-9:
+            if bounds[b] <= 0 or bounds[b] < kth - 1e-6:
                 break
-            cosine = np.zeros(BLOCK)
-            for t, w in query:
-                if (p := self.postings[t].get(b)) is not None:
-                    cosine[p[0]] += w * p[1]
+            cell = terms * self.blocks + b
+            begin = self.begin[cell].astype(np.int64)
+            count = self.begin[cell + 1] - begin
+            at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+            cosine = np.round(np.bincount(self.owner[at] - b * BLOCK, weights=self.w[at] * np.repeat(weights, count), minlength=BLOCK), 9)
             self.scored_blocks += 1
             near = np.flatnonzero(cosine > 0)
             found_i.append(near + b * BLOCK)
-            found_s.append(np.round(cosine[near], 9))
+            found_s.append(cosine[near])
             best = np.concatenate(found_s)
             if len(best) >= k:
                 kth = np.partition(best, len(best) - k)[len(best) - k]
-        if not found_i:
-            return []
         i, s = np.concatenate(found_i), np.concatenate(found_s)
         order = np.lexsort((self.rank[i], -s))[:k]
         return list(zip(i[order].tolist(), s[order].tolist()))
 
     def score(self, text: str | None) -> tuple[float, list[str]]:
-        """Score, and the keys of the neighbours as evidence. Texts with the same chosen words share a result."""
-        counts = self.chosen.counts(text)
-        key = tuple(sorted(counts.items()))
+        """Score, and the keys of the neighbours as evidence. Equal texts share a result."""
+        key = hashlib.blake2b((text or "").encode(), digest_size=16).digest()
         if (got := self.known.get(key)) is None:
-            near = self.nearest(counts)
+            near = self.nearest(*self.vectors(terms_of(text)))
             votes = [0.0, 0.0]
             for i, s in near:
                 y = int(self.labels[i])
                 votes[y] += s ** POWER * self.weights[y]
             got = ((votes[1] + SMOOTH * self.prior) / (votes[0] + votes[1] + SMOOTH), [self.keys[i] for i, _ in near])
-            if len(self.known) >= 50_000:
+            if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[key] = got
         return got
 
 
+_BUILT: dict[str, Index] = {}
+
+
+def _index(model) -> Index:
+    """The index of a broadcast model, built once in a Python worker."""
+    if model.value[0] not in _BUILT:
+        _BUILT.clear()
+        number, terms, weights, unknown, examples, votes, prior = model.value
+        unpacked = [(key, y, np.frombuffer(at, np.int64), np.frombuffer(w, np.float64)) for key, y, at, w in examples]
+        _BUILT[number] = Index(Vectors(terms, weights, unknown), unpacked, votes, prior)
+    return _BUILT[model.value[0]]
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str, label: str, examples: int = EXAMPLES) -> tuple:
-    """(idf, examples, class weights, base rate) from labelled rows that are not held out; bounded by ``examples``."""
+    """(terms, weights, weight of unknown terms, examples, class weights, base rate) from labelled rows that are not held out.
+
+    The driver holds the terms of at most 2 x ``examples`` texts. One class alone, or none, gives no examples.
+    """
     spark = docs.sparkSession
     taught = labels.select(F.col(quoted(key)).alias("key"), F.col(quoted(label)).cast("int").alias("y")).where("key is not null and y in (0, 1)")
     taught = written(taught.where(~is_held_out(F.col("key"))).groupBy("key").agg(F.max("y").alias("y")), "labels")
     rows = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
     chosen = written(hash_sample(taught.where("y = 1"), "key", examples).withColumn("y", F.lit(1)).unionByName(
         hash_sample(taught.where("y = 0"), "key", examples).withColumn("y", F.lit(0))), "chosen")
-    sample = written(docs.join(F.broadcast(chosen), "key").select("key", "text", "y"), "examples")  # at most 2 * examples keys
+    found = docs.join(F.broadcast(chosen), "key").select("key", "text", "y")  # at most 2 * examples keys
+    sample = written(found.groupBy("key", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")), "examples")
     n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     base = rows.get(1, 0) / max(1, rows.get(0, 0) + rows.get(1, 0))
     if not n0 or not n1:
-        return {}, [], (1.0, 1.0), base
-    ratio = ((F.col("n1") + 0.5) / (n1 + 1)) / ((F.col("n0") + 0.5) / (n0 + 1))
-    tested = term_counts(sample.dropDuplicates(["text", "y"])).where("n1 >= 4").where(ratio >= LEAST_RATIO).withColumn("g2", g_squared(F.col("n0"), F.col("n1"), n0, n1)).where(F.col("g2") >= LEAST_G2)
-    terms = {bytes(r["term"]) for r in tested.orderBy(F.desc("g2"), "term").limit(MOST_TERMS).collect()}
-    shared = spark.sparkContext.broadcast(terms)
-    total, frequency = corpus_counts(docs, shared)
-    idf = {t: math.log((1 + total) / (1 + frequency.get(t, 0))) + 1 for t in terms}
-
-    def pairs():
-        chosen = Chosen(shared.value)
-        return lambda texts: [[[{"w": w, "c": c} for w, c in sorted(chosen.counts(t).items())] for t in texts]]
-
-    # one vector a key; the vectors hold chosen terms only
-    vectors = map_texts(sample, pairs, [("v", "array<struct<w:binary,c:int>>")], ["key", "y"]).groupBy("key", "y").agg(F.min("v").alias("v"))
-    # the rate among examples without any chosen term, which have no neighbours
-    got = [(str(r["key"]), r["y"], {bytes(x["w"]): x["c"] for x in r["v"]}) for r in vectors.orderBy("key").collect()]
-    weights = (rows[0] / max(1, n0), rows[1] / max(1, n1))
-    bare = [sum(not v and y == c for _, y, v in got) * weights[c] for c in (0, 1)]
-    return idf, got, weights, (bare[1] + base) / (sum(bare) + 1)
+        return [], np.zeros(0), 1.0, [], (1.0, 1.0), base
+    counts = written(term_counts(sample.dropDuplicates(["text", "y"])), "terms")
+    shared = spark.sparkContext.broadcast(counts.select("term").toArrow()["term"].to_pylist())
+    table = counts.join(written(corpus_counts(docs, shared), "frequencies"), "term", "left").select("term", "n0", "n1", F.coalesce("n", F.lit(0)).alias("n")).orderBy("term").toArrow()
+    terms = table["term"].to_pylist()
+    total = docs.count()
+    idf = np.log((1 + total) / (1 + table["n"].to_numpy())) + 1
+    weights = idf * class_weight(table["n0"].to_numpy(), table["n1"].to_numpy(), n1 / (n0 + n1))
+    unknown = (math.log(1 + total) + 1) * FLOOR
+    model = spark.sparkContext.broadcast((terms, weights, unknown))
+
+    def make():
+        vectors = Vectors(*model.value)
+
+        def fn(texts):
+            got = [vectors(terms_of(t)) for t in texts]
+            return [[at.tobytes() for at, _ in got], [w.tobytes() for _, w in got]]
+        return fn
+
+    made = map_texts(sample, make, [("at", "binary"), ("w", "binary")], ["key", "y"])
+    vectors = [(str(r["key"]), r["y"], bytes(r["at"]), bytes(r["w"])) for r in made.orderBy("key").collect()]  # at most 2 * examples rows
+    return terms, weights, unknown, vectors, (rows[0] / max(1, n0), rows[1] / max(1, n1)), base
 
 
 def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", evidence: bool = True,
            examples: int = EXAMPLES) -> DataFrame:
     """(key, held_out, score, predicted, neighbours) of every row of ``docs``; the neighbours are keys of examples.
 
-    Null keys and labels teach nothing; of several labels of a key the greatest counts, of several texts the least vector.
-    A text without any chosen term (empty and null ones, too) scores the rate of such examples; every text the share of class
-    1 if a class is empty.
+    Null keys and labels teach nothing; of several labels of a key the greatest counts, of several texts the least.
+    A text that shares no term with an example (empty and null ones, too) scores the share of class 1 among the labels, and so does every text
+    if a class is empty. However few labels there are, each example finds itself.
     """
     narrow = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
-    model = docs.sparkSession.sparkContext.broadcast(fit(narrow, labels, key, label, examples))
+    fitted = fit(narrow, labels, key, label, examples)
+    number = uuid.uuid4().hex
+    model = docs.sparkSession.sparkContext.broadcast((number, *fitted))
 
     def make():
-        index = Index(*model.value)
+        index = _index(model)
 
         def fn(texts):
             got = [index.score(t) for t in texts]
