@@ -199,7 +199,7 @@ def test_block_max_equals_brute_force():
     words = [f"t{i}" for i in range(40)]
     terms = [w.encode() for w in words]
     vectors = toxicity.Vectors(terms, np.array([1 + rng.random() * 3 for _ in terms]), 0.7)
-    texts = [" ".join(rng.choices([*words, "other"], k=rng.randrange(6))) for _ in range(2000)]
+    texts = [" ".join(rng.choices([*words, "other"], [*range(1, 41), 5], k=rng.randrange(6))) for _ in range(4000)]
     examples = [(str(i), rng.randrange(2), *vectors(toxicity.terms_of(t))) for i, t in enumerate(texts)]
     index = toxicity.Index(vectors, examples, (1.0, 1.0), 0.1)
     dicts = [(k, dict(zip(at.tolist(), w.tolist()))) for k, _, at, w in examples]

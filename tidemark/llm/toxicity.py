@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import ascii_words, columns, hash_sample, is_held_out, map_texts, quoted, written
 
 #: Labelled rows used of each class; neighbours; examples of a block; power of the cosine in a vote; weight of the base rate.
-EXAMPLES, NEIGHBOURS, BLOCK, POWER, SMOOTH = 4_000, 25, 256, 2.0, 0.5
+EXAMPLES, NEIGHBOURS, BLOCK, POWER, SMOOTH = 2_000, 25, 512, 2.0, 0.5
 #: Bytes of a stem; weight of a term that says nothing of the label; examples of the overall share mixed into a term's share; terms a task counts before it sends them on.
 STEM, FLOOR, PRIOR, FLUSH = 5, 0.02, 4.0, 500_000
 THRESHOLD = 0.5
+#: Terms in more than one of so many examples have their postings as rows of a matrix for each block.
+DENSE_PART = 16
 #: Results of texts remembered by a task, as copies are common.
 REMEMBERED = 20_000
 
@@ -130,6 +132,15 @@ class Index:
         # rounded up, so that a bound stays a bound
         np.maximum.at(self.maxima, cell, np.nextafter(self.w.astype(np.float32), np.float32(np.inf)))
         self.maxima = self.maxima.reshape(size, max(self.blocks, 1))
+        counts = np.bincount(term, minlength=size)
+        common = np.flatnonzero(counts * DENSE_PART > len(examples))
+        self.row = np.full(size, -1, np.int64)
+        self.row[common] = np.arange(len(common))
+        rows = self.row[term[order]]
+        held = rows >= 0
+        dense = np.zeros((self.blocks, len(common), BLOCK))
+        dense[self.owner[held] // BLOCK, rows[held], self.owner[held] % BLOCK] = self.w[held]
+        self.dense = dense
         self.known: dict[bytes, tuple[float, list[str]]] = {}
         self.scored_blocks = 0
 
@@ -139,14 +150,18 @@ class Index:
             return []
         bounds = weights @ self.maxima[terms]
         found_i, found_s, kth = [], [], 0.0
+        row = self.row[terms]
+        wanted = np.zeros(self.dense.shape[1])
+        wanted[row[row >= 0]] = weights[row >= 0]
+        base, rare = terms[row < 0] * self.blocks, weights[row < 0]
         for b in np.argsort(-bounds, kind="stable").tolist():
             if bounds[b] <= 0 or bounds[b] < kth - 1e-6:
                 break
-            cell = terms * self.blocks + b
-            begin = self.begin[cell].astype(np.int64)
-            count = self.begin[cell + 1] - begin
+            begin = self.begin[base + b].astype(np.int64)
+            count = self.begin[base + b + 1] - begin
             at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-            cosine = np.round(np.bincount(self.owner[at] - b * BLOCK, weights=self.w[at] * np.repeat(weights, count), minlength=BLOCK), 9)
+            found = np.bincount(self.owner[at] - b * BLOCK, weights=self.w[at] * np.repeat(rare, count), minlength=BLOCK)
+            cosine = np.round(found + wanted @ self.dense[b], 9)
             self.scored_blocks += 1
             near = np.flatnonzero(cosine > 0)
             found_i.append(near + b * BLOCK)
