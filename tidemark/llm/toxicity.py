@@ -151,8 +151,7 @@ class Index:
         bounds = weights @ self.maxima[terms]
         found_i, found_s, kth = [], [], 0.0
         row = self.row[terms]
-        wanted = np.zeros(self.dense.shape[1])
-        wanted[row[row >= 0]] = weights[row >= 0]
+        rows, common = row[row >= 0], weights[row >= 0]
         base, rare = terms[row < 0] * self.blocks, weights[row < 0]
         for b in np.argsort(-bounds, kind="stable").tolist():
             if bounds[b] <= 0 or bounds[b] < kth - 1e-6:
@@ -161,7 +160,7 @@ class Index:
             count = self.begin[base + b + 1] - begin
             at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
             found = np.bincount(self.owner[at] - b * BLOCK, weights=self.w[at] * np.repeat(rare, count), minlength=BLOCK)
-            cosine = np.round(found + wanted @ self.dense[b], 9)
+            cosine = np.round(found + common @ self.dense[b][rows], 9)
             self.scored_blocks += 1
             near = np.flatnonzero(cosine > 0)
             found_i.append(near + b * BLOCK)
