@@ -41,10 +41,10 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_ROOT[0]
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts the lineage, survives lost executors."""
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write a frame to the shared folder (``options`` of the writer) and read it back: cuts the lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

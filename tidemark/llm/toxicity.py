@@ -5,9 +5,12 @@ the first ``STEM`` bytes of longer ones, as insults inflect. A term's weight is
 how far the examples with the term part from the share of the classes, never below ``FLOOR``: no term is left out, and words that have nothing to
 do with the label weigh little. Terms of a text that no example has count for its length.
 
+Texts are read once: every row's terms are numbered and written as (numbers, counts), from which corpus counts and vectors are made.
+
 The index holds postings in blocks of ``BLOCK`` examples, with each term's greatest weight in each block. For a query the
-block maxima give an upper bound of any cosine in a block; blocks are scored exactly in falling order of their bounds
-until no bound reaches the k-th best cosine, so the neighbours are exact. They vote with weights that grow with the
+block maxima give an upper bound of any cosine in a block. The block with the greatest bound is scored first, then all whose bound reaches
+the k-th best cosine of it. Common terms are scored for many queries at once as a product of matrices in single precision; every example that its
+error bound leaves among the k best gets its cosine in double precision, so the neighbours are exact. They vote with weights that grow with the
 cosine and undo the sampling of the classes; the rate of the labels is mixed in, so few or far neighbours give
 scores near it. The neighbours are the evidence.
 """
@@ -16,8 +19,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import struct
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +38,14 @@ STEM, FLOOR, PRIOR, FLUSH = 5, 0.02, 4.0, 500_000
 THRESHOLD = 0.5
 #: Terms in more than one of so many examples have their postings as rows of a matrix for each block.
 DENSE_PART = 16
-#: Results of texts remembered by a task, as copies are common.
-REMEMBERED = 20_000
+#: Results of texts remembered by a task, as copies are common; queries scored at once.
+REMEMBERED, TOGETHER = 20_000, 64
 
 
 def terms_of(text: str | None) -> Counter:
     """Occurrences of words and stems; a stem is marked by a sign that no word has."""
     out = Counter(ascii_words(text))
-    stems: Counter = Counter()
+    stems: dict[bytes, int] = defaultdict(int)
     for word, n in out.items():
         if len(word) > STEM:
             stems[b"^" + word[:STEM]] += n
@@ -71,17 +76,33 @@ def term_counts(rows: DataFrame) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def corpus_counts(docs: DataFrame, terms) -> DataFrame:
-    """(term, n): rows with each of the (broadcast) terms, over all documents."""
+def counted(rows: DataFrame, terms: list[bytes], keep: list[str]) -> DataFrame:
+    """``keep`` and the known terms of each text: ``at`` (their numbers in order) and ``n`` (occurrences) as 32-bit integers, ``rest`` of the others."""
+    shared = rows.sparkSession.sparkContext.broadcast(terms)
+
+    def make():
+        vectors = Vectors(shared.value, np.zeros(0), 0.0)
+
+        def fn(texts):
+            got = [vectors.count(terms_of(t)) for t in texts]
+            return [[at.tobytes() for at, _, _ in got], [n.tobytes() for _, n, _ in got], [rest for _, _, rest in got]]
+        return fn
+
+    return map_texts(rows, make, [("at", "binary"), ("n", "binary"), ("rest", "double")], keep)
+
+
+def corpus_counts(rows: DataFrame, size: int) -> DataFrame:
+    """(id, n): counted rows with each of the ``size`` terms. A task sends sums."""
 
     def count(batches):
-        known, found = set(terms.value), Counter()
+        found = np.zeros(size, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(known.intersection(terms_of(text)))
-        yield _sums({t: [n] for t, n in found.items()}, ["term", "n"])
+            for at in batch.column(0).to_pylist():
+                found[np.frombuffer(at, np.int32)] += 1  # a row has each number once
+        hit = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array(found[hit], pa.int64())], ["id", "n"])
 
-    return docs.select("text").mapInArrow(count, "term binary, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    return rows.select("at").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def class_weight(n0: np.ndarray, n1: np.ndarray, share: float) -> np.ndarray:
@@ -96,16 +117,22 @@ class Vectors:
     def __init__(self, terms: list[bytes], weights: np.ndarray, unknown: float):
         self.at, self.weights, self.unknown = {t: i for i, t in enumerate(terms)}, weights, unknown
 
-    def __call__(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """(terms, weights) of the known terms, by term; the length is that of all terms."""
-        get = self.at.get
-        at = np.fromiter((get(t, -1) for t in counts), np.int64, len(counts))
-        w = 1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))
-        w *= np.where(at >= 0, self.weights[at], self.unknown) if len(self.weights) else self.unknown
+    def count(self, counts: Counter) -> tuple[np.ndarray, np.ndarray, float]:
+        """(numbers, occurrences) of the known terms, by number; squared frequency weights of the others, summed."""
+        at = np.fromiter(map(self.at.get, counts, repeat(-1)), np.int32, len(counts))
+        n = np.fromiter(counts.values(), np.int32, len(counts))
         known = np.flatnonzero(at >= 0)
-        order = known[np.argsort(at[known], kind="stable")]
-        length = math.sqrt(float(w @ w))
-        return at[order], w[order] / length if length else w[order]
+        order = known[np.argsort(at[known])]
+        return at[order], n[order], float(np.square(1 + np.log(n[at < 0])).sum())
+
+    def unit(self, at: np.ndarray, n: np.ndarray, rest: float) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of counted terms; the length is that of all terms."""
+        w = (1 + np.log(n)) * self.weights[at]
+        length = math.sqrt(float(w @ w) + self.unknown ** 2 * rest)
+        return at, w / length if length else w
+
+    def __call__(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        return self.unit(*self.count(counts))
 
 
 class Index:
@@ -138,54 +165,103 @@ class Index:
         self.row[common] = np.arange(len(common))
         rows = self.row[term[order]]
         held = rows >= 0
-        dense = np.zeros((self.blocks, len(common), BLOCK))
-        dense[self.owner[held] // BLOCK, rows[held], self.owner[held] % BLOCK] = self.w[held]
-        self.dense = dense
+        self.dense = np.zeros((self.blocks, len(common), BLOCK), np.float32)
+        self.dense[self.owner[held] // BLOCK, rows[held], self.owner[held] % BLOCK] = self.w[held]
+        # bound of the error of a cosine from the matrices, as absolute products of unit vectors add up to 1 at most
+        self.slack = (len(common) + 8) * 2.0 ** -24
+        self.first = np.concatenate(([0], np.cumsum([len(e[2]) for e in examples]))).astype(np.int64)
+        self.term, self.weight = term, (np.concatenate([e[3] for e in examples]) if examples else np.zeros(0))
+        self.query = np.zeros(size)
         self.known: dict[bytes, tuple[float, list[str]]] = {}
         self.scored_blocks = 0
 
+    def _ranges(self, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """All places from each begin, count of them."""
+        return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+    def _score(self, need: np.ndarray, queries: list, table: np.ndarray, near: np.ndarray) -> None:
+        """Cosines of the queries with the needed blocks, within the slack, into ``near``."""
+        self.scored_blocks += int(need.sum())
+        for b in range(self.blocks):
+            at = np.flatnonzero(need[:, b])
+            if len(at):
+                near[at, b * BLOCK:(b + 1) * BLOCK] = table[at] @ self.dense[b]
+        for j in np.flatnonzero(need.any(axis=1)).tolist():
+            terms, weights = queries[j]
+            rare = self.row[terms] < 0
+            low, high = np.flatnonzero(need[j])[[0, -1]]
+            base = terms[rare].astype(np.int64) * self.blocks
+            begin = self.begin[base + low].astype(np.int64)
+            count = self.begin[base + high + 1] - begin
+            at = self._ranges(begin, count)
+            found = np.bincount(self.owner[at] - low * BLOCK, weights=self.w[at] * np.repeat(weights[rare], count), minlength=(high + 1 - low) * BLOCK)
+            # blocks between that are not needed stay at or below their marks of -9
+            near[j, low * BLOCK:(high + 1) * BLOCK] += np.where(np.repeat(need[j, low:high + 1], BLOCK), found, 0).astype(np.float32)
+
+    def _kth(self, near: np.ndarray, k: int) -> float:
+        """The k-th best cosine, 0 if there are fewer."""
+        return max(0.0, float(np.partition(near, len(near) - k)[len(near) - k])) if len(near) >= k else 0.0
+
+    def _exact(self, some: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of a query with some examples in double precision."""
+        self.query[terms] = weights
+        count = self.first[some + 1] - self.first[some]
+        at = self._ranges(self.first[some], count)
+        cosine = np.add.reduceat(self.weight[at] * self.query[self.term[at]], np.cumsum(count) - count)
+        self.query[terms] = 0
+        return np.round(cosine, 9)
+
+    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[list[tuple[int, float]]]:
+        """For each query (example, cosine) of the k nearest with a cosine over 0; among equal cosines the smaller keys."""
+        if not queries or not self.blocks:
+            return [[] for _ in queries]
+        table = np.zeros((len(queries), self.dense.shape[1]), np.float32)
+        for j, (terms, weights) in enumerate(queries):
+            rows = self.row[terms]
+            table[j, rows[rows >= 0]] = weights[rows >= 0]
+        bounds = np.stack([weights @ self.maxima[terms] for terms, weights in queries])
+        near = np.full((len(queries), self.blocks * BLOCK), -9, np.float32)
+        first = np.arange(self.blocks) == bounds.argmax(axis=1)[:, None]
+        first &= bounds > 0
+        self._score(first, queries, table, near)
+        kth = np.array([self._kth(n, k) for n in near])
+        self._score((bounds > 0) & (bounds >= (kth - self.slack - 1e-6)[:, None]) & ~first, queries, table, near)
+        out = []
+        for n, (terms, weights) in zip(near, queries):
+            some = np.flatnonzero((n > 0) & (n >= self._kth(n, k) - 2 * self.slack - 1e-6))
+            if not len(some):
+                out.append([])
+                continue
+            cosine = self._exact(some, terms, weights)
+            order = np.lexsort((self.rank[some], -cosine))[:k]
+            out.append([(i, s) for i, s in zip(some[order].tolist(), cosine[order].tolist()) if s > 0])
+        return out
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[int, float]]:
-        """(example, cosine) of the k nearest with a cosine over 0; among equal cosines the smaller keys."""
-        if not len(terms) or not self.blocks:
-            return []
-        bounds = weights @ self.maxima[terms]
-        found_i, found_s, kth = [], [], 0.0
-        row = self.row[terms]
-        rows, common = row[row >= 0], weights[row >= 0]
-        base, rare = terms[row < 0] * self.blocks, weights[row < 0]
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or bounds[b] < kth - 1e-6:
-                break
-            begin = self.begin[base + b].astype(np.int64)
-            count = self.begin[base + b + 1] - begin
-            at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-            found = np.bincount(self.owner[at] - b * BLOCK, weights=self.w[at] * np.repeat(rare, count), minlength=BLOCK)
-            cosine = np.round(found + common @ self.dense[b][rows], 9)
-            self.scored_blocks += 1
-            near = np.flatnonzero(cosine > 0)
-            found_i.append(near + b * BLOCK)
-            found_s.append(cosine[near])
-            best = np.concatenate(found_s)
-            if len(best) >= k:
-                kth = np.partition(best, len(best) - k)[len(best) - k]
-        i, s = np.concatenate(found_i), np.concatenate(found_s)
-        order = np.lexsort((self.rank[i], -s))[:k]
-        return list(zip(i[order].tolist(), s[order].tolist()))
-
-    def score(self, text: str | None) -> tuple[float, list[str]]:
-        """Score, and the keys of the neighbours as evidence. Equal texts share a result."""
-        key = hashlib.blake2b((text or "").encode(), digest_size=16).digest()
-        if (got := self.known.get(key)) is None:
-            near = self.nearest(*self.vectors(terms_of(text)))
-            votes = [0.0, 0.0]
-            for i, s in near:
-                y = int(self.labels[i])
-                votes[y] += s ** POWER * self.weights[y]
-            got = ((votes[1] + SMOOTH * self.prior) / (votes[0] + votes[1] + SMOOTH), [self.keys[i] for i, _ in near])
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[key] = got
-        return got
+        """``nearest_all`` of one query."""
+        return self.nearest_all([(terms, weights)], k)[0]
+
+    def _vote(self, near: list[tuple[int, float]]) -> tuple[float, list[str]]:
+        """Score, and the keys of the neighbours as evidence."""
+        votes = [0.0, 0.0]
+        for i, s in near:
+            y = int(self.labels[i])
+            votes[y] += s ** POWER * self.weights[y]
+        return (votes[1] + SMOOTH * self.prior) / (votes[0] + votes[1] + SMOOTH), [self.keys[i] for i, _ in near]
+
+    def scores(self, ats: list[bytes], ns: list[bytes], rests: list[float]) -> list[tuple[float, list[str]]]:
+        """Votes for counted texts. Equal texts share a result."""
+        names = [hashlib.blake2b(at + n + struct.pack("<d", rest), digest_size=16).digest() for at, n, rest in zip(ats, ns, rests)]
+        got = {name: self.known[name] for name in names if name in self.known}
+        new = list({name: j for j, name in enumerate(names) if name not in got}.items())
+        for i in range(0, len(new), TOGETHER):
+            part = new[i:i + TOGETHER]
+            queries = [self.vectors.unit(np.frombuffer(ats[j], np.int32), np.frombuffer(ns[j], np.int32), rests[j]) for _, j in part]
+            got.update(zip([name for name, _ in part], map(self._vote, self.nearest_all(queries))))
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+        self.known.update(got)
+        return [got[name] for name in names]
 
 
 _BUILT: dict[str, Index] = {}
@@ -195,18 +271,18 @@ def _index(model) -> Index:
     """The index of a broadcast model, built once in a Python worker."""
     if model.value[0] not in _BUILT:
         _BUILT.clear()
-        number, terms, weights, unknown, examples, votes, prior = model.value
-        unpacked = [(key, y, np.frombuffer(at, np.int64), np.frombuffer(w, np.float64)) for key, y, at, w in examples]
-        _BUILT[number] = Index(Vectors(terms, weights, unknown), unpacked, votes, prior)
+        number, weights, unknown, examples, votes, prior = model.value
+        vectors = Vectors([], weights, unknown)
+        made = [(key, y, *vectors.unit(np.frombuffer(at, np.int32), np.frombuffer(n, np.int32), rest)) for key, y, at, n, rest in examples]
+        _BUILT[number] = Index(vectors, made, votes, prior)
     return _BUILT[model.value[0]]
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str, label: str, examples: int = EXAMPLES) -> tuple:
-    """(terms, weights, weight of unknown terms, examples, class weights, base rate) from labelled rows that are not held out.
+def fit(docs: DataFrame, labels: DataFrame, key: str, label: str, examples: int = EXAMPLES) -> tuple[DataFrame | None, tuple, float]:
+    """All texts counted, (weights, weight of unknown terms, examples, class weights), base rate; from labelled rows that are not held out.
 
-    The driver holds the terms of at most 2 x ``examples`` texts. One class alone, or none, gives no examples.
+    The driver holds the terms of at most 2 x ``examples`` texts. One class alone, or none, gives no examples and no counts.
     """
-    spark = docs.sparkSession
     taught = labels.select(F.col(quoted(key)).alias("key"), F.col(quoted(label)).cast("int").alias("y")).where("key is not null and y in (0, 1)")
     taught = written(taught.where(~is_held_out(F.col("key"))).groupBy("key").agg(F.max("y").alias("y")), "labels")
     rows = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
@@ -218,28 +294,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, label: str, examples: int
     n0, n1 = n.get(0, 0), n.get(1, 0)
     base = rows.get(1, 0) / max(1, rows.get(0, 0) + rows.get(1, 0))
     if not n0 or not n1:
-        return [], np.zeros(0), 1.0, [], (1.0, 1.0), base
-    counts = written(term_counts(sample.dropDuplicates(["text", "y"])), "terms")
-    shared = spark.sparkContext.broadcast(counts.select("term").toArrow()["term"].to_pylist())
-    table = counts.join(written(corpus_counts(docs, shared), "frequencies"), "term", "left").select("term", "n0", "n1", F.coalesce("n", F.lit(0)).alias("n")).orderBy("term").toArrow()
+        return None, (), base
+    table = term_counts(sample.dropDuplicates(["text", "y"])).orderBy("term").toArrow()
     terms = table["term"].to_pylist()
-    total = docs.count()
-    idf = np.log((1 + total) / (1 + table["n"].to_numpy())) + 1
+    every = written(counted(docs, terms, ["key"]), "counted", compression="zstd")
+    having, total = corpus_counts(every, len(terms)).toArrow(), every.count()
+    n_docs = np.zeros(len(terms), np.int64)
+    n_docs[having["id"].to_numpy()] = having["n"].to_numpy()
+    idf = np.log((1 + total) / (1 + n_docs)) + 1
     weights = idf * class_weight(table["n0"].to_numpy(), table["n1"].to_numpy(), n1 / (n0 + n1))
     unknown = (math.log(1 + total) + 1) * FLOOR
-    model = spark.sparkContext.broadcast((terms, weights, unknown))
-
-    def make():
-        vectors = Vectors(*model.value)
-
-        def fn(texts):
-            got = [vectors(terms_of(t)) for t in texts]
-            return [[at.tobytes() for at, _ in got], [w.tobytes() for _, w in got]]
-        return fn
-
-    made = map_texts(sample, make, [("at", "binary"), ("w", "binary")], ["key", "y"])
-    vectors = [(str(r["key"]), r["y"], bytes(r["at"]), bytes(r["w"])) for r in made.orderBy("key").collect()]  # at most 2 * examples rows
-    return terms, weights, unknown, vectors, (rows[0] / max(1, n0), rows[1] / max(1, n1)), base
+    made = counted(sample, terms, ["key", "y"]).orderBy("key").collect()  # at most 2 * examples rows
+    vectors = [(str(r["key"]), r["y"], bytes(r["at"]), bytes(r["n"]), r["rest"]) for r in made]
+    return every, (weights, unknown, vectors, (rows[0] / max(1, n0), rows[1] / max(1, n1))), base
 
 
 def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", evidence: bool = True,
@@ -251,18 +318,20 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     if a class is empty. However few labels there are, each example finds itself.
     """
     narrow = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
-    fitted = fit(narrow, labels, key, label, examples)
-    number = uuid.uuid4().hex
-    model = docs.sparkSession.sparkContext.broadcast((number, *fitted))
+    every, fitted, base = fit(narrow, labels, key, label, examples)
+    fields = [("score", "double"), ("predicted", "int")] + ([("neighbours", "array<string>")] if evidence else [])
+    if every is None:
+        out = narrow.select("key", F.lit(base).alias("score"), F.lit(int(base >= THRESHOLD)).alias("predicted"), F.array().cast("array<string>").alias("neighbours"))
+    else:
+        model = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, *fitted, base))
 
-    def make():
-        index = _index(model)
+        def make():
+            index = _index(model)
 
-        def fn(texts):
-            got = [index.score(t) for t in texts]
-            return [[g[0] for g in got], [int(g[0] >= THRESHOLD) for g in got], *([[g[1] for g in got]] if evidence else [])]
-        return fn
+            def fn(*counts):
+                got = index.scores(*counts)
+                return [[g[0] for g in got], [int(g[0] >= THRESHOLD) for g in got], *([[g[1] for g in got]] if evidence else [])]
+            return fn
 
-    fields = [("score", "double"), ("predicted", "int")] + ([("neighbours", "array<string>")] if evidence else [])
-    out = map_texts(narrow, make, fields, ["key"])
+        out = map_texts(every, make, fields, ["key"], ["at", "n", "rest"])
     return out.select(F.col("key").alias(key), is_held_out(F.col("key")).alias("held_out"), *columns([n for n, _ in fields]))
