@@ -169,70 +169,58 @@ class Index:
         self.dense[self.owner[held] // BLOCK, rows[held], self.owner[held] % BLOCK] = self.w[held]
         # bound of the error of a cosine from the matrices, as absolute products of unit vectors add up to 1 at most
         self.slack = (len(common) + 8) * 2.0 ** -24
-        self.first = np.concatenate(([0], np.cumsum([len(e[2]) for e in examples]))).astype(np.int64)
-        self.term, self.weight = term, (np.concatenate([e[3] for e in examples]) if examples else np.zeros(0))
-        self.query = np.zeros(size)
+        # the same in double precision, example by example
+        self.common = np.zeros((self.blocks * BLOCK, len(common)))
+        self.common[self.owner[held], rows[held]] = self.w[held]
+        # postings of the other terms are read in short runs all over memory, so they are kept small
+        self.owner = self.owner.astype(np.min_scalar_type(max(len(examples), 1)))
         self.known: dict[bytes, tuple[float, list[str]]] = {}
         self.scored_blocks = 0
 
-    def _ranges(self, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """All places from each begin, count of them."""
-        return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-
-    def _score(self, need: np.ndarray, queries: list, table: np.ndarray, near: np.ndarray) -> None:
-        """Cosines of the queries with the needed blocks, within the slack, into ``near``."""
+    def _score(self, need: np.ndarray, queries: list, table: np.ndarray, near: np.ndarray, rest: np.ndarray) -> None:
+        """Cosines of the queries with the needed blocks, within the slack, into ``near``; their parts from uncommon terms into ``rest``."""
         self.scored_blocks += int(need.sum())
         for b in range(self.blocks):
             at = np.flatnonzero(need[:, b])
             if len(at):
-                near[at, b * BLOCK:(b + 1) * BLOCK] = table[at] @ self.dense[b]
+                near[at, b * BLOCK:(b + 1) * BLOCK] = table[at].astype(np.float32) @ self.dense[b]
         for j in np.flatnonzero(need.any(axis=1)).tolist():
             terms, weights = queries[j]
             rare = self.row[terms] < 0
-            low, high = np.flatnonzero(need[j])[[0, -1]]
+            low, high = np.flatnonzero(need[j])[[0, -1]].tolist()
             base = terms[rare].astype(np.int64) * self.blocks
             begin = self.begin[base + low].astype(np.int64)
             count = self.begin[base + high + 1] - begin
-            at = self._ranges(begin, count)
-            found = np.bincount(self.owner[at] - low * BLOCK, weights=self.w[at] * np.repeat(weights[rare], count), minlength=(high + 1 - low) * BLOCK)
-            # blocks between that are not needed stay at or below their marks of -9
-            near[j, low * BLOCK:(high + 1) * BLOCK] += np.where(np.repeat(need[j, low:high + 1], BLOCK), found, 0).astype(np.float32)
+            at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+            found = np.bincount(self.owner[at], weights=self.w[at] * np.repeat(weights[rare], count), minlength=near.shape[1])
+            for b in np.flatnonzero(need[j]).tolist():
+                part = slice(b * BLOCK, (b + 1) * BLOCK)
+                rest[j, part] = found[part]
+                near[j, part] += found[part]
 
     def _kth(self, near: np.ndarray, k: int) -> float:
         """The k-th best cosine, 0 if there are fewer."""
         return max(0.0, float(np.partition(near, len(near) - k)[len(near) - k])) if len(near) >= k else 0.0
 
-    def _exact(self, some: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Cosines of a query with some examples in double precision."""
-        self.query[terms] = weights
-        count = self.first[some + 1] - self.first[some]
-        at = self._ranges(self.first[some], count)
-        cosine = np.add.reduceat(self.weight[at] * self.query[self.term[at]], np.cumsum(count) - count)
-        self.query[terms] = 0
-        return np.round(cosine, 9)
-
     def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[list[tuple[int, float]]]:
         """For each query (example, cosine) of the k nearest with a cosine over 0; among equal cosines the smaller keys."""
         if not queries or not self.blocks:
             return [[] for _ in queries]
-        table = np.zeros((len(queries), self.dense.shape[1]), np.float32)
+        table = np.zeros((len(queries), self.dense.shape[1]))
         for j, (terms, weights) in enumerate(queries):
             rows = self.row[terms]
             table[j, rows[rows >= 0]] = weights[rows >= 0]
         bounds = np.stack([weights @ self.maxima[terms] for terms, weights in queries])
-        near = np.full((len(queries), self.blocks * BLOCK), -9, np.float32)
+        near, rest = np.full((len(queries), self.blocks * BLOCK), -9, np.float32), np.zeros((len(queries), self.blocks * BLOCK))
         first = np.arange(self.blocks) == bounds.argmax(axis=1)[:, None]
         first &= bounds > 0
-        self._score(first, queries, table, near)
+        self._score(first, queries, table, near, rest)
         kth = np.array([self._kth(n, k) for n in near])
-        self._score((bounds > 0) & (bounds >= (kth - self.slack - 1e-6)[:, None]) & ~first, queries, table, near)
+        self._score((bounds > 0) & (bounds >= (kth - self.slack - 1e-6)[:, None]) & ~first, queries, table, near, rest)
         out = []
-        for n, (terms, weights) in zip(near, queries):
+        for n, uncommon, weights in zip(near, rest, table):
             some = np.flatnonzero((n > 0) & (n >= self._kth(n, k) - 2 * self.slack - 1e-6))
-            if not len(some):
-                out.append([])
-                continue
-            cosine = self._exact(some, terms, weights)
+            cosine = np.round(uncommon[some] + self.common[some] @ weights, 9)
             order = np.lexsort((self.rank[some], -cosine))[:k]
             out.append([(i, s) for i, s in zip(some[order].tolist(), cosine[order].tolist()) if s > 0])
         return out
