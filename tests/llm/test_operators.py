@@ -161,6 +161,29 @@ def test_html_text_goes_on_after(tag):
     assert kept(f"<p>One.</p>{tag}<p>Two.</p><p>Three.</p>") == ["One.", "Two.", "Three."]
 
 
+@pytest.mark.parametrize("wrapper", ['div class="layout has-sidebar"', 'div id="page" class="site with-nav"', 'div class="page-header-fixed"', 'form id="aspnetForm"'])
+@pytest.mark.parametrize("inner", ["article", "main"])
+def test_html_wrapped_article_stays(wrapper, inner):
+    tag = wrapper.split()[0]
+    page = f"<body><a>Skip</a><{wrapper}><div class=sidebar>Side</div><{inner}><h1>One.</h1><p class=share>Share</p><p>Two words.</p></{inner}><p>Foot</p></{tag}></body>"
+    blocks = html_text.parse(page)[0]
+    assert [t for t, kind in blocks if kind == html_text.best_kind(blocks)] == ["One.", "Two words."]
+
+
+@pytest.mark.parametrize("box", ["div class=comments", "div class=related", "nav", "div hidden", "div class='sidebar related'"])
+def test_html_articles_of_boxes_go(box):
+    tag = box.split()[0]
+    assert kept(f"<body><p>Text.</p><{box}><article>Another one that is longer.</article></{tag}></body>") == ["Text."]
+    assert kept(f"<body><article>Text.</article><div class=has-nav><{box}><article>Another one.</article></{tag}></div></body>") == ["Text."]
+
+
+def test_html_teaser_in_main(llm_spark):
+    page = "<main><h1>Title</h1><p>A long text stands in the main element.</p><article><p>Teaser</p></article></main>"
+    rows = [(1, "http://a.org/1", page), (2, "http://a.org/2", "<main><h1>Title</h1><article><p>The article itself.</p></article></main>")]
+    got = {r["page_id"]: r["text"] for r in html_text.extracted(llm_spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {1: "Title\nA long text stands in the main element.", 2: "The article itself."}
+
+
 def test_html_raw_elements_go():
     assert kept("<p>One.</p><svg><text>no</text></svg ><p>Two.</p><SCRIPT>if (a<b) '<p>no</p>'</script><p>Three.</p><style>no") == ["One.", "Two.", "Three."]
     assert len(kept("<svg><p>a</p>" * 100_000)) == 100_000  # linear

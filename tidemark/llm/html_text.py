@@ -4,7 +4,8 @@ A page is parsed once into blocks of text and element subtrees. Every block-leve
 text; Spark counts on how many different pages of a host each hash occurs, and subtrees that recur on many pages are
 templates and are deleted with all they hold. Inside the article only containers can be templates: paragraphs, headings and
 lists of copied articles recur, too, and are text. What is not the same on each page (rotating adverts, comments of readers, related
-links) is told by its element, role, class or id.
+links) is told by its element, role, class or id. A form, or an element whose class names what a layout has ("has-sidebar"), may wrap
+the article itself: what stands in an article or main element there counts if the page has no other and less text beside it.
 
 Pages are parsed where they are read; only hashes are shuffled and each page's deleted spans are joined back to its blocks.
 """
@@ -41,6 +42,11 @@ WORDS = re.compile(r"ads?|adverts?|advertisements?|advertising|adsense|banner|br
 #: Words that titles hold, too: on a section or heading of an article they tell nothing unless it recurs across the host.
 WEAK_WORDS = re.compile(r"advertising|banner|consent|copyright|cookies?|disclaimer|footer|gdpr|hidden|login|menu|modal|navigation|notices?|promotion|recommended|"
                         r"related|respond|social|sponsor(?:ed|s)?|toolbar|trending|widgets?")
+#: Boxes of these hold articles and comments that are not the page's own; an element with another word of the list may wrap the page.
+OTHERS = re.compile(r"ads?|adverts?|advertisements?|advertising|adsense|comments?|commentlist|disqus|hidden|modal|popup|promos?|promotion|recommended|related|"
+                    r"replies|respond|sponsor(?:ed|s)?|trending|widgets?")
+#: An article element with less than this share of the text beside it in the main element is a teaser.
+LEAST_OF_MAIN = 0.5
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: In an article the id of one of these counts, as a whole; ids of others are made from titles and terms.
 BOXES = frozenset("div ul ol table".split())
@@ -60,37 +66,48 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower().removeprefix("www.") if m else ""
 
 
-def is_boilerplate(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is told to be no article text by its name, role, class or id; and whether it is if it also recurs."""
+def is_boilerplate(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is told to be no article text by its name, role, class or id; whether it is if it also recurs; whether it may wrap an article."""
     if tag in DROPPED or tag == "header" and not in_article:
-        return True, False
+        return True, False, tag == "form" and not in_article
     if not attrs or tag in ("html", "body", "main"):
-        return False, False
+        return False, False, False
     found = [(name.lower(), (a or b or c).lower()) for name, a, b, c in ATTR.findall(attrs)]
     titled = in_article and (tag in HEADINGS or tag == "section" or any(n == "class" and SECTION_WORDS.search(v) for n, v in found))
-    weak = False
+    weak = wraps = False
     for name, value in found:
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True, False
+            return True, False, False
         if name == "id" and (tag in HEADINGS or titled):
             weak = weak or WORDS.fullmatch(value) is not None
         elif name == "id" and in_article:
             if tag in BOXES and WORDS.fullmatch(value):
-                return True, False
+                return True, False, False
         elif name in ("class", "id"):
             for word in re.split(r"[^a-z0-9]+", value):
                 if WORDS.fullmatch(word) or not in_article and OUTSIDE_WORDS.fullmatch(word):
-                    if not titled or not WEAK_WORDS.fullmatch(word):
-                        return True, False
-                    weak = True
-    return False, weak
+                    if titled and WEAK_WORDS.fullmatch(word):
+                        weak = True
+                    elif in_article or OTHERS.fullmatch(word):
+                        return True, False, False
+                    else:
+                        wraps = True
+    return wraps, weak and not wraps, wraps
 
 
 class _Node:
-    __slots__ = ("tag", "dropped", "article", "main", "first", "weak", "parts")
+    __slots__ = ("tag", "dropped", "article", "main", "first", "weak", "wrapped", "parts")
 
-    def __init__(self, tag, dropped, article, main, first, weak=False):
-        self.tag, self.dropped, self.article, self.main, self.first, self.weak, self.parts = tag, dropped, article, main, first, weak, []
+    def __init__(self, tag, dropped, article, main, first, weak=False, wrapped=False):
+        self.tag, self.dropped, self.article, self.main, self.first, self.weak, self.wrapped, self.parts = tag, dropped, article, main, first, weak, wrapped, []
+
+
+def best_kind(blocks: list[tuple[str, int]]) -> int:
+    """The kind of block that is the page's text: articles, unless they are teasers beside the text of a main element; or else main; or else the body."""
+    size = [0] * 4
+    for t, kind in blocks:
+        size[kind] += len(t)
+    return 2 if size[3] < LEAST_OF_MAIN * size[2] else max((k for k in range(4) if size[k]), default=0)
 
 
 def parse(page: str | None) -> tuple[list[tuple[str, int]], list[tuple[int, int, int]]]:
@@ -107,7 +124,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, int]], list[tuple[int, int,
 
     def flush():
         top = stack[-1]
-        for part, kind in zip(text, (3 if top.article else 2 if top.main else 1, 0)):
+        for part, kind in zip(text, ((3 if top.article else 2 if top.main else 1) * (-1 if top.wrapped else 1), 0)):
             if part:
                 t = " ".join(entities.unescape("".join(part)).split())
                 part.clear()
@@ -169,21 +186,29 @@ def parse(page: str | None) -> tuple[list[tuple[str, int]], list[tuple[int, int,
             continue
         up = stack[-1]
         inside = up.article or up.main
-        told, weak = is_boilerplate(tag, m["attrs"], inside)
-        dropped = up.dropped or told
-        stack.append(_Node(tag, dropped, up.article or tag == "article" and not dropped, up.main or not dropped and (
-            tag == "main" or "main" in m["attrs"] and re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]) is not None), len(blocks), weak))
+        told, weak, wraps = is_boilerplate(tag, m["attrs"], inside)
+        # in a wrapper only an article or a main element may be text
+        lost = up.dropped and not up.wrapped or told and not wraps
+        wrapped = not lost and (up.wrapped or told)
+        article = up.article or tag == "article" and not lost
+        main = up.main or not lost and (tag == "main" or "main" in m["attrs"] and re.search(r"role\s*=\s*[\"']?main\b", m["attrs"]) is not None)
+        stack.append(_Node(tag, lost or wrapped and not article and not main, article, main, len(blocks), weak, wrapped))
     text[stack[-1].dropped].append(page[at:])
     flush()
     while len(stack) > 1:
         close()
+    if any(kind < 0 for _, kind in blocks):
+        wrapped, others = sum(len(t) for t, kind in blocks if kind < 0), sum(len(t) for t, kind in blocks if kind == 1)
+        lift = wrapped > others and not any(kind > 1 for _, kind in blocks)
+        blocks = [(t, kind if kind >= 0 else -kind if lift else 0) for t, kind in blocks]
     return blocks, nodes
 
 
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """(key, url, text, n_chars) of every row: the article's blocks in page order, joined by line breaks.
 
-    With an article element (or else a main one) the text is what stands in it; otherwise all of the body that is left. Null and
+    With an article element (or else a main one) the text is what stands in it; otherwise all of the body that is left. Articles with less than half of
+    the text beside them in the main element are teasers, and the text is that beside them. Null and
     empty pages have an empty text; pages without a host in their URL count as one host; equal rows each stay. Pages
     with equal text count once for a template, so copies of an article do not delete each other.
     """
@@ -194,7 +219,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
             hosts, blocks, nodes, whole = [], [], [], []
             for u, h in zip(urls, htmls):
                 b, n = parse(h)
-                best = max((k for _, k in b), default=0)
+                best = best_kind(b)
                 hosts.append(host_of(u))
                 blocks.append([t if k and k == best else None for t, k in b])
                 nodes.append([{"hash": x, "first": f, "end": e, "text": any(t is not None for t in blocks[-1][f:e])} for x, f, e in n])
