@@ -215,6 +215,17 @@ def test_html_template_of_one_section_of_a_large_host(llm_spark):
         assert got == {i: ("Spring sale until Sunday.\n" if n == 40 and i % 10 == 0 else "") + f"Text of page {i}." for i in range(n)}
 
 
+def test_new_columns_replace_clashing_ones(llm_spark):
+    docs = llm_spark.createDataFrame([(1, "Mail a.b@c.org now.", 7, "x", 2)], "doc_id bigint, text string, Ids int, decoded string, spans int")
+    alone = bpe.tokenized(docs.select("doc_id", "text"), bpe.default_path()).first()
+    got = bpe.tokenized(docs, bpe.default_path())
+    assert got.columns == ["doc_id", "text", "spans", "ids", "decoded"] and got.first()["ids"] == alone["ids"] and got.first()["decoded"] == alone["decoded"]
+    got = bpe.tokenized(docs.withColumnRenamed("text", "t").drop("decoded").withColumnRenamed("t", "decoded"), bpe.default_path(), text="decoded")
+    assert got.columns == ["doc_id", "spans", "ids", "decoded"] and got.first()["ids"] == alone["ids"] and got.first()["decoded"] == alone["decoded"]
+    got = pii.with_spans(docs)
+    assert got.columns == ["doc_id", "text", "Ids", "decoded", "spans"] and [s["kind"] for s in got.first()["spans"]] == ["email"]
+
+
 # ---- toxicity
 
 def test_block_max_equals_brute_force():

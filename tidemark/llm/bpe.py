@@ -200,7 +200,7 @@ class Bpe:
 
 def tokenized(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None,
               names: tuple[str, str] = ("ids", "decoded")) -> DataFrame:
-    """``keep`` columns (all by default) plus the ids (binary, little-endian 32 bit) and the decoded text.
+    """``keep`` columns (all by default) plus the ids (binary, little-endian 32 bit) and the decoded text; they replace columns of their ``names``.
 
     A null or empty text has no ids and an empty decoded text. Every row stands alone, so copies, repeated rows and an
     empty table need no care. A text is held whole, one batch at a time; the memory of pieces is bounded.

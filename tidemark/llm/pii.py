@@ -435,7 +435,7 @@ def fitted(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
 
 
 def with_spans(docs: DataFrame, name: str = "spans", key: str = "doc_id", text: str = "text", keep: list[str] | None = None, model: dict | None = None) -> DataFrame:
-    """``keep`` columns (all by default) plus all spans by start, then kind; positions are code points, ends exclusive.
+    """``keep`` columns (all by default) plus all spans by start, then kind; positions are code points, ends exclusive. They replace a column ``name``.
 
     Null and empty texts have none. Rows stand alone, so copies, repeated rows and an empty table need no care; the model
     is the same for the same documents.

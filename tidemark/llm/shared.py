@@ -69,8 +69,10 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[Sequence], Sequence[Se
     """``keep`` columns plus new ``fields`` (name, DDL type), computed from the ``inputs`` columns in Arrow batches.
 
     ``make()`` runs once in a task and returns a function from the batch's input lists to one list per field. A
-    task holds one batch at a time. New names must differ from the kept ones.
+    task holds one batch at a time. A kept column with the name of a new field (in any case) gives way to it.
     """
+    new = {n.lower() for n, _ in fields}
+    keep = [c for c in keep if c.lower() not in new]
     out = T.StructType([df.schema[c] for c in keep] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
     new_types = [to_arrow_type(T._parse_datatype_string(t)) for _, t in fields]
     names = [f.name for f in out.fields]
