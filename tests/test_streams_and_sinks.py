@@ -93,6 +93,22 @@ def test_drain_keeps_messages_without_order(spark):
     assert rows(table.read().select("k", "v")) == [(1, "a"), (2, "f"), (3, "e")]
 
 
+def test_drain_of_a_batch_that_is_all_older(spark):
+    """No message of the second batch is newer than its row, so its log is empty; the third batch goes on."""
+    path, schema = work_dir(spark, "landed"), "k int, v string, o int"
+    for batch in ([(1, "a", 5), (2, "b", 6)], [(1, "old", 4), (2, "old", 3)], [(2, "c", 7)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(path)
+    table = KeyedTable(spark, work_dir(spark, "drained"), ["k"], buckets=2)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        D.drain(D.file_stream(spark, path, spark.read.parquet(path).schema, 1), table, work_dir(spark, "cp"), "d", order=F.struct("o", "v"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert rows(table.read().select("k", "v")) == [(1, "a"), (2, "c")]
+    assert table.state() == {"batch": 2}
+
+
 def test_first_list_with_records(spark):
     docs = spark.createDataFrame([([], [(2,)], None), ([(1,)], [(9,), (8,)], None), ([], [], None), (None, None, None)],
                                  "data array<struct<a:int>>, results array<struct<a:int>>, other array<struct<a:int>>")

@@ -311,7 +311,8 @@ class KeyedTable:
         attempt = self._attempt(version)
         log_path = self._write(self._bucketed(log.observe(seen, F.max("_last_t").alias("cut"))).repartition(BUCKET), "log", attempt)
         touched = self._written(log_path)
-        cut = seen.get["cut"]  # measured by the write itself; the changes are not read again
+        # measured by the write itself, so the changes are not read again; a log without rows is measured by nobody
+        cut = seen.get["cut"] if touched else None
         log_schema = T.StructType([*log.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         staged = self.spark.read.schema(log_schema).parquet(log_path)
         folded = staged.filter(F.col("_last_t").isNull()).drop("_last_t")
