@@ -332,6 +332,22 @@ def test_large_bucket_is_shared_by_tasks(spark, monkeypatch):
     assert files.select("f").distinct().count() > 4 and files.where("v = 'new'").count() == 2500 and files.count() == 5000
 
 
+def test_bucket_of_many_small_rows_is_shared_by_tasks(spark, monkeypatch):
+    """Rows that are stored in few bytes take many more in memory: the number of rows shares a bucket too, in commits and when it is bucketed anew."""
+    from tidemark.plans import store
+
+    monkeypatch.setattr(store, "TASK_ROWS", 1000)
+    monkeypatch.setattr(store, "broadcast_limit", lambda spark: 0)
+    table = KeyedTable(spark, work_dir(spark, "rows"), ["k"], buckets=2)
+    frame = spark.range(20000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    table.load(frame)
+    largest = lambda: table.read().groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    table.commit(C.upserts(frame.withColumn("v", F.lit(2)).where("k % 2 = 0"), 1))
+    assert largest() < 5000 and table.read().where("v = 2").count() == 10000 and table.read().count() == 20000
+    table.rebucket(1)
+    assert largest() < 5000 and table.read().where("v = 2").count() == 10000 and table.read().count() == 20000
+
+
 @pytest.mark.parametrize("kind,low,high", [("string", "A", "B"), ("decimal(10,3)", "1.5", "10.25"), ("double", "1.5", "10.25"), ("timestamp", "2024-01-01", "2024-02-01")])
 def test_order_of_any_type(spark, kind, low, high):
     log = spark.createDataFrame([(1, high, "a"), (1, low, "z"), (2, None, "n")], "k int, c string, v string").withColumn("c", F.col("c").cast(kind))

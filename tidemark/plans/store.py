@@ -18,6 +18,7 @@ import json
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -35,8 +36,9 @@ BUCKET, PART = "_bucket", "_part"
 _WRITE_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.maxConcurrentOutputFileWriters": "4"}
 # staged bytes of a task's part of the log up to which the join may hold it in memory
 HASH_BYTES = 32 << 20
-# stored bytes of a bucket for which one more task works on it
-TASK_BYTES = 128 << 20
+# stored bytes and rows of a bucket, the log's included, for which one more task works on it: narrow rows are stored in few
+# bytes and take many more in memory, so bytes alone do not bound a task
+TASK_BYTES, TASK_ROWS = 32 << 20, 500_000
 # memory for a stored byte of a log: files are compressed and encoded
 IN_MEMORY = 10
 # buckets of a table that names none: one for so many rows of its first write, and at least so many
@@ -153,9 +155,12 @@ class KeyedTable:
         head = self.head()
         return bool(head) and head["batch_ids"].get(name, -1) >= batch_id
 
+    def _stored_at(self, head: dict, bucket: str) -> str:
+        return f"{self.path}/data/_version={head['buckets'][bucket]}/{BUCKET}={bucket}"
+
     def _read(self, head: dict, buckets: Sequence[str]) -> DataFrame:
         schema = T.StructType.fromJson(head["schema"])
-        paths = [f"{self.path}/data/_version={head['buckets'][b]}/{BUCKET}={b}" for b in buckets if b in head["buckets"]]
+        paths = [self._stored_at(head, b) for b in buckets if b in head["buckets"]]
         if not paths:
             return self.spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
         return (self.spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
@@ -211,6 +216,14 @@ class KeyedTable:
         part = F.col(BUCKET) * splits + F.pmod(F.hash(*[F.col(k).cast("string") for k in self.keys]), F.lit(splits))
         return df.withColumn(PART, part).repartition(max(1, min(tasks, 2 * buckets * splits)), PART)
 
+    def _shares(self, sides: Sequence[DataFrame], folders: Sequence[Sequence[str]]) -> tuple[int, int]:
+        """(tasks that share the largest bucket, tasks for all of them) by the rows and the stored bytes of some frames; ``folders`` are those of each bucket."""
+        marks = reduce(DataFrame.unionAll, [side.select(BUCKET) for side in sides])
+        rows = [r["count"] for r in marks.groupBy(BUCKET).count().collect()] or [0]  # counts from footers; one row a bucket
+        sizes = [sum(path_bytes(self.spark, f) for f in of_bucket) for of_bucket in folders] or [0]
+        splits = max(1, -(-max(sizes) // TASK_BYTES), -(-max(rows) // TASK_ROWS))
+        return splits, 2 * max(-(-sum(sizes) // TASK_BYTES), -(-sum(rows) // TASK_ROWS))
+
     def _written(self, folder: str) -> list[str]:
         """Bucket folders of one commit: at most ``buckets`` names."""
         fs, target = hadoop_path(self.spark, folder)
@@ -247,12 +260,15 @@ class KeyedTable:
         head = self.head()
         if head is None:
             raise ValueError(f"table {self.path} has no commit")
-        rows = self._read(head, sorted(head["buckets"])).drop(BUCKET)
+        stored = self._read(head, sorted(head["buckets"]))
+        rows = stored.drop(BUCKET)
+        count, size = stored.count(), sum(path_bytes(self.spark, self._stored_at(head, b)) for b in head["buckets"])
+        tasks = max(-(-count // TASK_ROWS), -(-size // TASK_BYTES))
         before, self.buckets = self.buckets, buckets
         try:
             version = head["version"] + 1
             attempt = self._attempt(version)
-            folder = self._write(self._spread(self._bucketed(rows), buckets, 1, 2 * buckets).drop(PART), "data", attempt)
+            folder = self._write(self._spread(self._bucketed(rows), buckets, max(1, -(-tasks // buckets)), 2 * max(buckets, tasks)).drop(PART), "data", attempt)
             self._publish({**head, "version": version, "bucket_count": buckets, "buckets": {b: attempt for b in self._written(folder)}})
         except BaseException:
             self.buckets = before
@@ -310,7 +326,7 @@ class KeyedTable:
         seen = Observation()
         attempt = self._attempt(version)
         log_path = self._write(self._bucketed(log.observe(seen, F.max("_last_t").alias("cut"))).repartition(BUCKET), "log", attempt)
-        touched = self._written(log_path)
+        touched = logged = self._written(log_path)
         # measured by the write itself, so the changes are not read again; a log without rows is measured by nobody
         cut = seen.get["cut"] if touched else None
         log_schema = T.StructType([*log.schema.fields, T.StructField(BUCKET, T.IntegerType())])
@@ -338,10 +354,12 @@ class KeyedTable:
                                                                       T.StructField("v", schema[f.name[3:]].dataType)]))
                                      .alias(f.name) if f.name.startswith("_x_") else F.col(f.name)
                                      for f in log_schema.fields if f.name != "_last_t"])
-            stored_at = [f"{self.path}/data/_version={head['buckets'][b]}/{BUCKET}={b}" for b in touched if b in head["buckets"]]
-            sizes = [path_bytes(self.spark, f) for f in stored_at] or [0]
-            splits, tasks = max(1, -(-max(sizes) // TASK_BYTES)), 2 * -(-sum(sizes) // TASK_BYTES)
-            rows = self._applied(base, folded, cut, run_time, len(touched), splits, self._log_size(log_path, touched, splits), tasks)
+            splits, tasks, log_size = 1, 0, self._log_size(log_path, logged, 1)
+            if base is not None and log_size != "broadcast":
+                stored_at = [[*([f"{log_path}/{BUCKET}={b}"] if b in logged else []), *([self._stored_at(head, b)] if b in head["buckets"] else [])] for b in touched]
+                splits, tasks = self._shares([base, staged], stored_at)
+                log_size = self._log_size(log_path, logged, splits)
+            rows = self._applied(base, folded, cut, run_time, len(touched), splits, log_size, tasks)
             folder = self._write(rows.select(*schema.fieldNames(), BUCKET), "data", attempt)
             buckets.update({b: attempt for b in self._written(folder)})
         if before_publish:
