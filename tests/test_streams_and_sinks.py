@@ -52,6 +52,16 @@ def test_last_of_batch_keeps_one_row_a_key():
     assert list(S._last_of_batch(["k"])([batch.slice(0, 0)])) == []
 
 
+def test_last_of_batch_brings_batches_together():
+    """One row a key over all batches of a task, and never more than the bound held at once."""
+    batches = [pa.RecordBatch.from_pydict({"k": [1, 2], "_time": [i, -i], "_at": [i, -i], "_position": [i, i]}) for i in range(50)]
+    out = pa.Table.from_batches(list(S._last_of_batch(["k"], most=10)(iter(batches)))).to_pylist()
+    assert sorted((r["k"], r["_at"], r["_position"]) for r in out) == [(1, 49, 49), (2, 0, 0)]
+    many = [pa.RecordBatch.from_pydict({"k": [2 * i, 2 * i + 1], "_time": [i, i], "_at": [i, i], "_position": [i, i]}) for i in range(50)]
+    out = [b.num_rows for b in S._last_of_batch(["k"], most=10)(iter(many))]
+    assert sum(out) == 100 and max(out) <= 10
+
+
 def test_sink_shows_both_kinds_or_nothing(spark):
     path = work_dir(spark, "checked")
     data = spark.range(1000).repartition(8).withColumn("v", F.concat(F.lit("v"), "id"))

@@ -148,7 +148,7 @@ def landed_in_turn(t: Tables, rows, parts: int = 6):
     for low, high in zip(bounds, bounds[1:]):
         part = rows if low is None else rows.filter(F.col("ts") >= F.lit(low))
         part = part if high is None else part.filter(F.col("ts") < F.lit(high))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(1).write.mode("append").parquet(path)  # one file, but the table is read by many tasks
     return D.file_stream(t.spark, path, rows.schema, files_per_batch=1)
 
 

@@ -46,9 +46,8 @@ class Positions(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803 - Spark's names
         # a running maximum: the rows of a hot key stream through, none is kept
         at, position = max((r["_at"], r["_position"]) for r in rows)
-        timer = None
-        if self.last.exists():
-            old = self.last.get()
+        timer, old = None, self.last.get()  # None for a key without state: asking first would be one more call for every key
+        if old is not None:
             timer = old[2]
             if (at, position) <= (old[0], old[1]):
                 return iter(())
@@ -61,9 +60,10 @@ class Positions(StatefulProcessor):
         return iter([self._row(key, at, position, False)])
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        if not self.last.exists():
+        old = self.last.get()
+        if old is None:
             return iter(())
-        at, position, _ = self.last.get()
+        at, position, _ = old
         self.last.clear()
         return iter([self._row(key, at, position, True)])
 
@@ -71,16 +71,27 @@ class Positions(StatefulProcessor):
         pass
 
 
-def _last_of_batch(key: Sequence[str]):
-    """The last (time, position) of each key of an Arrow batch: what a hot key sends to its state is a row a batch."""
+def _last_of_batch(key: Sequence[str], most: int = 1 << 18):
+    """The last (time, position) of each key of a task's Arrow batches, which are brought together up to ``most`` rows: a key sends its state a row or few a task."""
+
+    def last_of(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).sort_by([("_at", "ascending"), ("_position", "ascending")])
+        last = rows.group_by(list(key), use_threads=False).aggregate([(c, "last") for c in ("_time", "_at", "_position")])
+        last = last.rename_columns([c.removesuffix("_last") if c not in key else c for c in last.column_names])
+        return last.select(batches[0].schema.names).cast(batches[0].schema).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             if batch.num_rows:
-                rows = pa.Table.from_batches([batch]).sort_by([("_at", "ascending"), ("_position", "ascending")])
-                last = rows.group_by(list(key), use_threads=False).aggregate([(c, "last") for c in ("_time", "_at", "_position")])
-                last = last.rename_columns([c.removesuffix("_last") if c not in key else c for c in last.column_names])
-                yield from last.select(batch.schema.names).cast(batch.schema).to_batches()
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= most:
+                    held = last_of(held)
+                    if 2 * sum(b.num_rows for b in held) >= most:
+                        yield from held
+                        held = []
+        if held:
+            yield from last_of(held)
 
     return run
 
