@@ -348,6 +348,37 @@ def test_bucket_of_many_small_rows_is_shared_by_tasks(spark, monkeypatch):
     assert largest() < 5000 and table.read().where("v = 2").count() == 10000 and table.read().count() == 20000
 
 
+def test_load_of_many_rows_is_shared_by_tasks(spark, monkeypatch):
+    """The rows set how many tasks write a first load, not the session's shuffles alone."""
+    monkeypatch.setattr(store, "TASK_ROWS", 1000)
+    table = KeyedTable(spark, work_dir(spark, "loaded"), ["k"], buckets=2)
+    table.load(spark.range(20000).select(F.col("id").alias("k"), F.lit(1).alias("v")))
+    largest = table.read().groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert largest < 5000 and table.read().count() == 20000
+
+
+def test_fold_of_a_large_log_is_shared_by_tasks(spark, monkeypatch):
+    """The bytes of a log set how many tasks read and fold it, not the session's shuffles alone; the session keeps its settings."""
+    monkeypatch.setattr(store, "GROUP_BYTES", 1 << 16, raising=False)
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = [spark.conf.get(n, None) for n in names]
+    path = work_dir(spark, "log")
+    spark.range(300000).select(F.hash("id", F.lit(1)).cast("bigint").alias("k"), F.xxhash64("id").alias("v")).dropDuplicates(["k"]).coalesce(1).write.option("parquet.block.size", 1 << 18).parquet(path)
+    frame = spark.read.parquet(path)
+    table = KeyedTable(spark, work_dir(spark, "folded"), ["k"], buckets=1)
+    spark.sparkContext.setJobGroup("fold", "fold")
+    try:
+        table.commit(C.upserts(frame, 1))
+        status = spark.sparkContext.statusTracker()
+        tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("fold") for s in status.getJobInfo(j).stageIds if status.getStageInfo(s)]
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+    assert len([n for n in tasks if n > 8]) >= 2  # the scan and the fold; eight cores, four shuffle parts
+    assert [spark.conf.get(n, None) for n in names] == before
+    assert table.read().count() == frame.count() and table.read().drop("_deleted").exceptAll(frame).isEmpty()
+
+
 @pytest.mark.parametrize("kind,low,high", [("string", "A", "B"), ("decimal(10,3)", "1.5", "10.25"), ("double", "1.5", "10.25"), ("timestamp", "2024-01-01", "2024-02-01")])
 def test_order_of_any_type(spark, kind, low, high):
     log = spark.createDataFrame([(1, high, "a"), (1, low, "z"), (2, None, "n")], "k int, c string, v string").withColumn("c", F.col("c").cast(kind))

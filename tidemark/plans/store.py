@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.changes import DELETED, SYNCED, apply_folded, fold_changes, with_full_keys
 from tidemark.operators.schema import cast_to, loses_as_double, merged_schema
-from tidemark.session import broadcast_limit, hadoop_path, path_bytes
+from tidemark.session import broadcast_limit, conf_bytes, hadoop_path, path_bytes
 
 BUCKET, PART = "_bucket", "_part"
 
@@ -39,6 +39,9 @@ HASH_BYTES = 32 << 20
 # stored bytes and rows of a bucket, the log's included, for which one more task works on it: narrow rows are stored in few
 # bytes and take many more in memory, so bytes alone do not bound a task
 TASK_BYTES, TASK_ROWS = 32 << 20, 500_000
+# what a task of a grouping reads of stored files, where rows are grouped before the shuffle too, and of the shuffle: both hold many
+# rows in few bytes. The shuffle starts with so many parts, of which the session joins small ones
+GROUP_BYTES, GROUP_PARTS = 4 << 20, 2000
 # memory for a stored byte of a log: files are compressed and encoded
 IN_MEMORY = 10
 # buckets of a table that names none: one for so many rows of its first write, and at least so many
@@ -48,16 +51,35 @@ ORDER = "_order"
 
 
 @contextmanager
-def _bucket_writes(spark: SparkSession) -> Iterator[None]:
-    """Let the join on (bucket, key) use sides that are partitioned by bucket alone, and write without a sort."""
-    before = {name: spark.conf.get(name) for name in _WRITE_SETTINGS}
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs inside; those before come back."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
     try:
-        for name, value in _WRITE_SETTINGS.items():
+        for name, value in wanted.items():
             spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _bucket_writes(spark: SparkSession):
+    """Let the join on (bucket, key) use sides that are partitioned by bucket alone, and write without a sort."""
+    return _settings(spark, _WRITE_SETTINGS)
+
+
+def _small_groups(spark: SparkSession):
+    """Bound what a task of a grouping holds, whatever the input: without this a task's share grows with it.
+
+    The session's own settings stay where they are tighter.
+    """
+    sizes = {"spark.sql.files.maxPartitionBytes": "128m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"}
+    parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    initial = int(spark.conf.get(parts, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    return _settings(spark, {**{name: f"{min(GROUP_BYTES, conf_bytes(spark, name, default))}b" for name, default in sizes.items()}, parts: str(max(GROUP_PARTS, initial))})
 
 
 def order_literal(value) -> Column | None:
@@ -122,7 +144,15 @@ class KeyedTable:
         """Fix the number of buckets by the rows of the first write, if the caller has not."""
         if self.buckets is None:
             head = self.head()
-            self.buckets = head["bucket_count"] if head else max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS))
+            self.buckets = head["bucket_count"] if head else self._buckets_for(self._count(rows))
+
+    def _count(self, rows: DataFrame) -> int:
+        with _small_groups(self.spark):
+            return rows.count()
+
+    @staticmethod
+    def _buckets_for(count: int) -> int:
+        return max(LEAST_BUCKETS, -(-count // BUCKET_ROWS))
 
     # -- commit files ------------------------------------------------------
 
@@ -243,13 +273,18 @@ class KeyedTable:
             rows = rows.withColumn(SYNCED, run_time)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
         attempt = self._attempt(1)
-        self._choose_buckets(rows)
-        # as many tasks as the session shuffles with; each writes few buckets
-        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        spread = self._spread(self._bucketed(rows), self.buckets, max(1, -(-tasks // self.buckets)), 2 * self.buckets).drop(PART)
-        folder = self._write(spread, "data", attempt)
+        count = self._count(df)
+        if self.buckets is None:
+            self.buckets = self._buckets_for(count)
+        # as many tasks as the session shuffles with, more for many rows; each writes few buckets
+        by_rows = -(-count // TASK_ROWS)
+        tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), by_rows)
+        with _small_groups(self.spark):
+            spread = self._spread(self._bucketed(rows), self.buckets, max(1, -(-tasks // self.buckets)), 2 * max(self.buckets, by_rows)).drop(PART)
+            folder = self._write(spread, "data", attempt)
         head = {"version": 1, "buckets": {b: attempt for b in self._written(folder)}, "schema": schema.jsonValue(), "state": state or {}, "batch_ids": {}}
-        twice = self._read(head, sorted(head["buckets"])).groupBy(*self.keys).count().where("count > 1").select(*self.keys).first()
+        with _small_groups(self.spark):
+            twice = self._read(head, sorted(head["buckets"])).groupBy(*self.keys).count().where("count > 1").select(*self.keys).first()
         if twice is not None:
             raise ValueError(f"key {tuple(twice)} occurs more than once")
         self._publish(head)
@@ -325,7 +360,8 @@ class KeyedTable:
         log = fold_changes(changes, self.keys, truncates=True)
         seen = Observation()
         attempt = self._attempt(version)
-        log_path = self._write(self._bucketed(log.observe(seen, F.max("_last_t").alias("cut"))).repartition(BUCKET), "log", attempt)
+        with _small_groups(self.spark):
+            log_path = self._write(self._bucketed(log.observe(seen, F.max("_last_t").alias("cut"))).repartition(BUCKET), "log", attempt)
         touched = logged = self._written(log_path)
         # measured by the write itself, so the changes are not read again; a log without rows is measured by nobody
         cut = seen.get["cut"] if touched else None

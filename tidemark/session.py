@@ -78,9 +78,14 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(target).getLength())
 
 
+def conf_bytes(spark: SparkSession, name: str, default: str) -> int:
+    """A size among the session's settings, in bytes."""
+    text = spark.conf.get(name, default).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+    digits = text.rstrip("bkmgt")
+    return int(digits) * units.get(text[len(digits):], 1)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's own bound for broadcast sides, in bytes; 0 when broadcasting is off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    digits = text.rstrip("bkmg")
-    return max(0, int(digits) * units.get(text[len(digits):], 1))
+    return max(0, conf_bytes(spark, "spark.sql.autoBroadcastJoinThreshold", "10485760"))
