@@ -83,6 +83,23 @@ def test_sink_shows_both_kinds_or_nothing(spark):
     assert B.commits(path)[0]["rows"] == {"accepted": 449, "rejected": 551}
 
 
+def test_sink_task_that_ends_after_the_abort(spark):
+    """A task that is still writing when its job is aborted removes its own files."""
+    import pyarrow.fs as pf
+
+    path = work_dir(spark, "late")
+    writer = B.CheckedWriter({"path": path}, spark.createDataFrame([], f"id bigint, {B.REASON} string").schema)
+
+    def batches():
+        batch = pa.record_batch({"id": pa.array([1, 2], pa.int64()), B.REASON: pa.array([None, "bad"], pa.string())})
+        writer.abort([])
+        yield batch
+
+    writer.write(batches())
+    fs, root = topics._file_system(path)
+    assert [i for i in fs.get_file_info(pf.FileSelector(root, recursive=True, allow_not_found=True)) if i.base_name.endswith(".parquet")] == []
+
+
 def test_null_order_is_the_oldest(spark):
     base = spark.createDataFrame([(1, "base")], "k int, v string")
     log = spark.createDataFrame([(1, "first", 3), (1, "none", None), (2, "none", None), (3, "none", None), (3, "later", 0)], "k int, v string, o bigint")

@@ -46,6 +46,10 @@ class CheckedWriter(DataSourceArrowWriter):
         whole = to_arrow_schema(self.schema)
         return whole if kind == "rejected" else pa.schema([f for f in whole if f.name != REASON])
 
+    def _stopped(self, root: str) -> str:
+        """A file that marks an aborted job, for tasks that still run."""
+        return f"{root}/_attempts/.{self.attempt}.aborted"
+
     def write(self, iterator: Iterator[pa.RecordBatch]) -> TaskFiles:
         fs, root = _file_system(self.path)
         folder, name = f"{root}/_attempts/{self.attempt}", uuid.uuid4().hex
@@ -65,6 +69,12 @@ class CheckedWriter(DataSourceArrowWriter):
         finally:
             for writer in writers.values():
                 writer.close()
+            # a task may end after its job was aborted: then nobody else removes its files
+            if fs.get_file_info(self._stopped(root)).type != pf.FileType.NotFound:
+                for kind in writers:
+                    late = f"{folder}/{kind}-{name}.parquet"
+                    if fs.get_file_info(late).type == pf.FileType.File:
+                        fs.delete_file(late)
         return TaskFiles({kind: f"_attempts/{self.attempt}/{kind}-{name}.parquet" for kind in writers}, rows)
 
     def commit(self, messages: list[TaskFiles | None]) -> None:
@@ -82,6 +92,9 @@ class CheckedWriter(DataSourceArrowWriter):
     def abort(self, messages: list[TaskFiles | None]) -> None:
         fs, root = _file_system(self.path)
         folder = f"{root}/_attempts/{self.attempt}"
+        fs.create_dir(f"{root}/_attempts", recursive=True)
+        with fs.open_output_stream(self._stopped(root)):
+            pass
         if fs.get_file_info(folder).type == pf.FileType.Directory:
             fs.delete_dir(folder)
 
