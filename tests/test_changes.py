@@ -1,7 +1,9 @@
 """Change application: golden tables, a row-by-row model, commits that stop, partition counts."""
 
+import os
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import rows
 from tidemark.operators import changes as C
-from tidemark.plans import store
+from tidemark.plans import merge_table, store
 from tidemark.plans.store import KeyedTable
 from tidemark.session import broadcast_limit, work_dir
 
@@ -320,7 +322,7 @@ def test_load_refuses_repeated_keys(spark):
 
 
 def test_large_bucket_is_shared_by_tasks(spark, monkeypatch):
-    from tidemark.plans import store
+    from tidemark.plans import merge_table, store
 
     monkeypatch.setattr(store, "TASK_BYTES", 2000)
     monkeypatch.setattr(store, "broadcast_limit", lambda spark: 0)
@@ -334,7 +336,7 @@ def test_large_bucket_is_shared_by_tasks(spark, monkeypatch):
 
 def test_bucket_of_many_small_rows_is_shared_by_tasks(spark, monkeypatch):
     """Rows that are stored in few bytes take many more in memory: the number of rows shares a bucket too, in commits and when it is bucketed anew."""
-    from tidemark.plans import store
+    from tidemark.plans import merge_table, store
 
     monkeypatch.setattr(store, "TASK_ROWS", 1000)
     monkeypatch.setattr(store, "broadcast_limit", lambda spark: 0)
@@ -379,6 +381,66 @@ def test_fold_of_a_large_log_is_shared_by_tasks(spark, monkeypatch):
     assert table.read().count() == frame.count() and table.read().drop("_deleted").exceptAll(frame).isEmpty()
 
 
+@pytest.mark.parametrize("kind", ["keyed", "merged"])
+def test_fold_does_not_follow_the_row_groups_of_a_log(spark, monkeypatch, kind):
+    """A log in one row group, which no scan divides, is grouped in small parts, and so are the operations on a hot key."""
+    monkeypatch.setattr(store, "GROUP_BYTES", 1 << 16)
+    module, table = (store, KeyedTable) if kind == "keyed" else (merge_table, merge_table.MergeTable)
+    path, parts = work_dir(spark, "log"), []
+    rows = spark.range(200000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("v"), F.col("id").alias("n"))
+    rows.coalesce(1).write.parquet(path)
+    changes = C.upserts(spark.read.parquet(path), F.col("n")).drop("n")
+
+    def watched(log, *args, **kw):
+        with store._settings(spark, {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}):
+            parts.extend(log.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("rows"), F.count_if(F.col("k") == 0).alias("hot")).collect())
+        return C.fold_changes(log, *args, **kw)
+
+    monkeypatch.setattr(module, "fold_changes", watched)
+    table = table(spark, work_dir(spark, "folded"), ["k"], buckets=2)
+    table.commit(changes)
+    assert sum(p["rows"] for p in parts) == 200000 and max(p["rows"] for p in parts) < 40000 and max(p["hot"] for p in parts) < 20000
+    wanted = changes.groupBy("k").agg(F.max_by("v", "_seq").alias("v"))
+    got = table.read().select("k", "v")
+    assert got.count() == wanted.count() and got.exceptAll(wanted).isEmpty()
+
+
+def test_stored_row_groups_are_small(spark, monkeypatch):
+    """Log and rows are stored in row groups of bounded size, or the tasks that read them would hold more as buckets grow."""
+    monkeypatch.setattr(store, "ROW_GROUP_BYTES", 1 << 18, raising=False)
+    table = KeyedTable(spark, path := work_dir(spark, "groups"), ["k"], buckets=1)
+    rows = spark.range(200000).select(F.col("id").alias("k"), F.xxhash64("id").alias("v"))
+    table.load(rows.where("k < 100000").coalesce(1))
+    table.commit(C.upserts(rows.coalesce(1), 1))
+    for kind in ("log", "data"):
+        files = [os.path.join(at, f) for at, _, names in os.walk(f"{path}/{kind}") for f in names if f.endswith(".parquet")]
+        groups = [pq.ParquetFile(f).metadata.row_group(i).num_rows for f in files for i in range(pq.ParquetFile(f).num_row_groups)]
+        assert sum(groups) >= 200000 and max(groups) < 45000
+    assert table.read().count() == 200000
+
+
+def test_load_of_many_parts_is_dealt_out(spark, monkeypatch):
+    """Beyond the parts that a shuffle streams, rows of one row group are dealt out before they are spread; a key that comes twice still fails."""
+    monkeypatch.setattr(store, "TASK_ROWS", 100)
+    monkeypatch.setattr(store, "GROUP_BYTES", 1 << 16)
+    path = work_dir(spark, "rows")
+    spark.range(30000).select(F.col("id").alias("k"), F.xxhash64("id").alias("v")).coalesce(1).write.parquet(path)
+    seen, real = [], KeyedTable._spread
+
+    def spread(self, df, *args, **kw):
+        with store._settings(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}):
+            seen.append(df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0])
+        return real(self, df, *args, **kw)
+
+    monkeypatch.setattr(KeyedTable, "_spread", spread)
+    table = KeyedTable(spark, work_dir(spark, "loaded"), ["k"], buckets=2)
+    rows = spark.read.parquet(path)
+    table.load(rows)
+    assert seen[0] < 15000 and table.read().drop("_deleted").exceptAll(rows).isEmpty() and table.read().count() == 30000
+    with pytest.raises(ValueError, match="more than once"):
+        KeyedTable(spark, work_dir(spark, "loaded"), ["k"], buckets=2).load(rows.unionAll(rows.where("k = 7")))
+
+
 @pytest.mark.parametrize("kind,low,high", [("string", "A", "B"), ("decimal(10,3)", "1.5", "10.25"), ("double", "1.5", "10.25"), ("timestamp", "2024-01-01", "2024-02-01")])
 def test_order_of_any_type(spark, kind, low, high):
     log = spark.createDataFrame([(1, high, "a"), (1, low, "z"), (2, None, "n")], "k int, c string, v string").withColumn("c", F.col("c").cast(kind))

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.changes import DELETED, OP, apply_folded, fold_changes, sequence
 from tidemark.operators.schema import cast_to, loses_as_double, merged_schema
-from tidemark.plans.store import BUCKET, BUCKET_ROWS, IN_MEMORY, LEAST_BUCKETS, TASK_BYTES, commit_versions, create_once, order_literal, read_text
+from tidemark.plans.store import BUCKET, BUCKET_ROWS, IN_MEMORY, LEAST_BUCKETS, TASK_BYTES, commit_versions, create_once, dealt, order_literal, read_text, small_groups
 from tidemark.session import broadcast_limit, hadoop_path, path_bytes
 
 # steps inside a version: a truncate, values older than the row's first upsert, upserts, deletes
@@ -234,11 +234,12 @@ class MergeTable:
         version = head["version"] + 1
         if self.buckets is None:
             self.buckets = max(LEAST_BUCKETS, -(-changes.count() // BUCKET_ROWS))
-        log = fold_changes(changes, self.keys)
+        log = fold_changes(dealt(changes, self.keys), self.keys)
         # logs built by this package name their operation in the plan: without truncates none of their rows is read for this
         cut = order_literal(changes.where(F.col(OP) == "T").agg(F.max(sequence(changes)).alias("cut")).first()["cut"])
         placed = self._placed(log, version, cut)
-        attempt, rows = self._write_delta(placed)
+        with small_groups(self.spark):
+            attempt, rows = self._write_delta(placed)
         delta = placed.schema.jsonValue()
         stored = T.StructType.fromJson(head["schema"])
         incoming = T.StructType([changes.schema[k] for k in self.keys]

@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.changes import DELETED, SYNCED, apply_folded, fold_changes, with_full_keys
+from tidemark.operators.changes import DELETED, SEQ, SYNCED, apply_folded, fold_changes, with_full_keys
 from tidemark.operators.schema import cast_to, loses_as_double, merged_schema
 from tidemark.session import broadcast_limit, conf_bytes, hadoop_path, path_bytes
 
@@ -42,6 +42,11 @@ TASK_BYTES, TASK_ROWS = 32 << 20, 500_000
 # what a task of a grouping reads of stored files, where rows are grouped before the shuffle too, and of the shuffle: both hold many
 # rows in few bytes. The shuffle starts with so many parts, of which the session joins small ones
 GROUP_BYTES, GROUP_PARTS = 4 << 20, 2000
+# a file is not divided within a row group, so its writer would decide how many rows a task groups or sorts for a shuffle. Rows of
+# others are dealt out first, to so many parts that the dealing task streams them to files (Spark's limit for that) and holds none
+DEAL_PARTS = 200
+# row groups of stored files, for the tasks that read them again
+ROW_GROUP_BYTES = 16 << 20
 # memory for a stored byte of a log: files are compressed and encoded
 IN_MEMORY = 10
 # buckets of a table that names none: one for so many rows of its first write, and at least so many
@@ -71,7 +76,7 @@ def _bucket_writes(spark: SparkSession):
     return _settings(spark, _WRITE_SETTINGS)
 
 
-def _small_groups(spark: SparkSession):
+def small_groups(spark: SparkSession):
     """Bound what a task of a grouping holds, whatever the input: without this a task's share grows with it.
 
     The session's own settings stay where they are tighter.
@@ -82,6 +87,16 @@ def _small_groups(spark: SparkSession):
     return _settings(spark, {**{name: f"{min(GROUP_BYTES, conf_bytes(spark, name, default))}b" for name, default in sizes.items()}, parts: str(max(GROUP_PARTS, initial))})
 
 
+def dealt(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows in parts of the session's advised size, which adaptive execution joins and divides; without it, as they are.
+
+    Dealt by order and plain columns too, not by the key alone: a hot key of a log is in all parts, and each makes one row of it.
+    """
+    plain = (T.NumericType, T.StringType, T.BooleanType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    by = [f.name for f in rows.schema.fields if f.name in (*keys, SEQ) or isinstance(f.dataType, plain)]
+    return rows.hint("rebalance", DEAL_PARTS, *[F.col(c) for c in by])
+
+
 def order_literal(value) -> Column | None:
     """An observed order as a column again."""
     if isinstance(value, Row):
@@ -147,7 +162,7 @@ class KeyedTable:
             self.buckets = head["bucket_count"] if head else self._buckets_for(self._count(rows))
 
     def _count(self, rows: DataFrame) -> int:
-        with _small_groups(self.spark):
+        with small_groups(self.spark):
             return rows.count()
 
     @staticmethod
@@ -223,10 +238,11 @@ class KeyedTable:
         code = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets))
         return df.withColumn(BUCKET, code.cast("int"))
 
-    def _write(self, df: DataFrame, kind: str, attempt: str) -> str:
+    def _write(self, df: DataFrame, kind: str, attempt: str, shuffled: bool = True) -> str:
+        """Write rows by bucket. Where a shuffle places them, they are read in small pieces; else these would make small files."""
         target = f"{self.path}/{kind}/_version={attempt}"
-        with _bucket_writes(self.spark):
-            df.write.partitionBy(BUCKET).parquet(target)
+        with _bucket_writes(self.spark), small_groups(self.spark) if shuffled else nullcontext():
+            df.write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(BUCKET).parquet(target)
         return target
 
     @staticmethod
@@ -279,11 +295,13 @@ class KeyedTable:
         # as many tasks as the session shuffles with, more for many rows; each writes few buckets
         by_rows = -(-count // TASK_ROWS)
         tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), by_rows)
-        with _small_groups(self.spark):
+        with small_groups(self.spark):
+            if 2 * by_rows > DEAL_PARTS:
+                rows = dealt(rows, self.keys)
             spread = self._spread(self._bucketed(rows), self.buckets, max(1, -(-tasks // self.buckets)), 2 * max(self.buckets, by_rows)).drop(PART)
             folder = self._write(spread, "data", attempt)
         head = {"version": 1, "buckets": {b: attempt for b in self._written(folder)}, "schema": schema.jsonValue(), "state": state or {}, "batch_ids": {}}
-        with _small_groups(self.spark):
+        with small_groups(self.spark):
             twice = self._read(head, sorted(head["buckets"])).groupBy(*self.keys).count().where("count > 1").select(*self.keys).first()
         if twice is not None:
             raise ValueError(f"key {tuple(twice)} occurs more than once")
@@ -357,10 +375,10 @@ class KeyedTable:
             return head["version"]
         version = head["version"] + 1
         self._choose_buckets(changes)
-        log = fold_changes(changes, self.keys, truncates=True)
         seen = Observation()
         attempt = self._attempt(version)
-        with _small_groups(self.spark):
+        with small_groups(self.spark):
+            log = fold_changes(dealt(changes, self.keys), self.keys, truncates=True)
             log_path = self._write(self._bucketed(log.observe(seen, F.max("_last_t").alias("cut"))).repartition(BUCKET), "log", attempt)
         touched = logged = self._written(log_path)
         # measured by the write itself, so the changes are not read again; a log without rows is measured by nobody
@@ -391,12 +409,13 @@ class KeyedTable:
                                      .alias(f.name) if f.name.startswith("_x_") else F.col(f.name)
                                      for f in log_schema.fields if f.name != "_last_t"])
             splits, tasks, log_size = 1, 0, self._log_size(log_path, logged, 1)
-            if base is not None and log_size != "broadcast":
+            shuffled = base is not None and log_size != "broadcast"
+            if shuffled:
                 stored_at = [[*([f"{log_path}/{BUCKET}={b}"] if b in logged else []), *([self._stored_at(head, b)] if b in head["buckets"] else [])] for b in touched]
                 splits, tasks = self._shares([base, staged], stored_at)
                 log_size = self._log_size(log_path, logged, splits)
             rows = self._applied(base, folded, cut, run_time, len(touched), splits, log_size, tasks)
-            folder = self._write(rows.select(*schema.fieldNames(), BUCKET), "data", attempt)
+            folder = self._write(rows.select(*schema.fieldNames(), BUCKET), "data", attempt, shuffled)
             buckets.update({b: attempt for b in self._written(folder)})
         if before_publish:
             before_publish()
